@@ -4,19 +4,43 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from firngrid.llm import byte_bpe
+from firngrid.llm import byte_bpe, language_id, pii
 from firngrid.sources.tables import read_table
 
 BPE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
+def fold(modulus: int, rest: int):
+    """Whether crc32 of the id as text leaves ``rest``."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % modulus == rest, F.lit(False))
+
+
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every text of documents, learned from three of four folds."""
+    docs = read_table(spark, sf_dir, "documents")
+    held_out = fold(4, 2)
+    dictionaries = language_id.train(docs.where(~held_out))
+    return language_id.identify(docs, dictionaries, {"held_out": held_out})
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text of documents, encoded and decoded."""
     docs = read_table(spark, sf_dir, "documents")
     return byte_bpe.round_trip(docs, BPE_RANKS, public_tokenizers.PATTERN)
 
 
-QUERIES = {"op9_byte_bpe": op9_byte_bpe}
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every text of documents."""
+    docs = read_table(spark, sf_dir, "documents")
+    return pii.find(docs, pii.train(docs))
+
+
+QUERIES = {
+    "op1_language_id": op1_language_id,
+    "op9_byte_bpe": op9_byte_bpe,
+    "op10_pii": op10_pii,
+}
 
 ORACLE_SQL: dict[str, str] = {}
