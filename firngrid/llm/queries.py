@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from firngrid.llm import byte_bpe, language_id, pii
+from firngrid.llm import byte_bpe, language_id, pii, quality
+from firngrid.sources.shared import staged
 from firngrid.sources.tables import read_table
 
 BPE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -25,6 +26,28 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(docs, dictionaries, {"held_out": held_out})
 
 
+def quality_scores(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """``doc_id, stats, score`` of ``docs``, learned from two of three folds of its labels."""
+    profiled = staged(quality.profile(docs), "profile")
+    part = F.crc32(F.col("doc_id").cast("string"))
+    labels = read_table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
+    labelled = profiled.join(labels.where(part % 3 != 1), "doc_id").withColumn(
+        "calibrate", F.floor(part / 3) % 4 == 0
+    )
+    return quality.score(profiled, quality.train(labelled))
+
+
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every text of documents."""
+    scored = quality_scores(spark, read_table(spark, sf_dir, "documents"), sf_dir)
+    return scored.select(
+        "doc_id",
+        fold(3, 1).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text of documents, encoded and decoded."""
     docs = read_table(spark, sf_dir, "documents")
@@ -39,6 +62,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_language_id": op1_language_id,
+    "op3_quality": op3_quality,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_pii": op10_pii,
 }
