@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from firngrid.llm import byte_bpe, language_id, pii, quality
+from firngrid.llm import byte_bpe, decontamination, language_id, pii, quality
 from firngrid.sources.shared import staged
 from firngrid.sources.tables import read_table
 
@@ -48,6 +48,12 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text of documents against every text of benchmark."""
+    docs, items = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")
+    return decontamination.hits(docs, items)
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text of documents, encoded and decoded."""
     docs = read_table(spark, sf_dir, "documents")
@@ -63,8 +69,11 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op3_quality": op3_quality,
+    "op5_decontamination": op5_decontamination,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_pii": op10_pii,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op5_decontamination": decontamination.ORACLE_SQL,
+}
