@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from firngrid.llm import byte_bpe, decontamination, language_id, pii, quality
+from firngrid.llm import byte_bpe, decontamination, jaccard_join, language_id, pii, quality
 from firngrid.sources.shared import staged
 from firngrid.sources.tables import read_table
 
@@ -54,6 +54,11 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.hits(docs, items)
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents under links of 4-word shingles at 0.85."""
+    return jaccard_join.components(read_table(spark, sf_dir, "documents"))
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text of documents, encoded and decoded."""
     docs = read_table(spark, sf_dir, "documents")
@@ -70,10 +75,12 @@ QUERIES = {
     "op1_language_id": op1_language_id,
     "op3_quality": op3_quality,
     "op5_decontamination": op5_decontamination,
+    "op7_jaccard_join": op7_jaccard_join,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_pii": op10_pii,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op5_decontamination": decontamination.ORACLE_SQL,
+    "op7_jaccard_join": jaccard_join.ORACLE_SQL,
 }
