@@ -6,7 +6,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from firngrid.llm import byte_bpe, decontamination, jaccard_join, language_id, pii, quality
+from firngrid.llm import (
+    byte_bpe,
+    decontamination,
+    jaccard_join,
+    language_id,
+    pii,
+    quality,
+    substring_dedup,
+)
 from firngrid.sources.shared import staged
 from firngrid.sources.tables import read_table
 
@@ -59,6 +67,11 @@ def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.components(read_table(spark, sf_dir, "documents"))
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of documents without repeated windows of 50 words."""
+    return substring_dedup.summary(read_table(spark, sf_dir, "documents"))
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text of documents, encoded and decoded."""
     docs = read_table(spark, sf_dir, "documents")
@@ -76,6 +89,7 @@ QUERIES = {
     "op3_quality": op3_quality,
     "op5_decontamination": op5_decontamination,
     "op7_jaccard_join": op7_jaccard_join,
+    "op8_substring_dedup": op8_substring_dedup,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_pii": op10_pii,
 }
@@ -83,4 +97,5 @@ QUERIES = {
 ORACLE_SQL: dict[str, str] = {
     "op5_decontamination": decontamination.ORACLE_SQL,
     "op7_jaccard_join": jaccard_join.ORACLE_SQL,
+    "op8_substring_dedup": substring_dedup.ORACLE_SQL,
 }
