@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from firngrid.llm import (
     byte_bpe,
     decontamination,
+    fingerprints,
     jaccard_join,
     language_id,
     pii,
@@ -62,6 +63,11 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.hits(docs, items)
 
 
+def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of documents, of their edited texts, and how alike they are."""
+    return fingerprints.compare_with_next(read_table(spark, sf_dir, "documents"))
+
+
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents under links of 4-word shingles at 0.85."""
     return jaccard_join.components(read_table(spark, sf_dir, "documents"))
@@ -88,6 +94,7 @@ QUERIES = {
     "op1_language_id": op1_language_id,
     "op3_quality": op3_quality,
     "op5_decontamination": op5_decontamination,
+    "op6_fingerprints": op6_fingerprints,
     "op7_jaccard_join": op7_jaccard_join,
     "op8_substring_dedup": op8_substring_dedup,
     "op9_byte_bpe": op9_byte_bpe,
