@@ -355,7 +355,10 @@ def redacted(text: str, spans: list[tuple[int, int, int]]) -> str:
 
 
 def redact(docs: DataFrame, field: SegmentField) -> DataFrame:
-    """The rows of ``docs`` with every span of ``text`` replaced; nulls stay null."""
+    """The rows of ``docs`` with every span of ``text`` replaced; nulls stay null.
+
+    A column ``n_chars``, if there is one, is made to count the new text.
+    """
     weights = {f: w.tolist() for f, w in field.weights.items()}
 
     @F.pandas_udf("string")
@@ -365,4 +368,5 @@ def redact(docs: DataFrame, field: SegmentField) -> DataFrame:
             lambda t: t if t is None else redacted(t, all_spans(own, t)[1]), na_action="ignore"
         )
 
-    return docs.withColumn("text", cleaned("text"))
+    out = docs.withColumn("text", cleaned("text"))
+    return out.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else out

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,14 +14,18 @@ from firngrid.llm import (
     fingerprints,
     jaccard_join,
     language_id,
+    licenses,
     pii,
     quality,
     substring_dedup,
+    token_rollup,
 )
-from firngrid.sources.shared import staged
+from firngrid.sources.shared import shared_dir, staged
 from firngrid.sources.tables import read_table
 
+#: The vocabulary and split pattern that the queries encode with.
 BPE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+PATTERN = public_tokenizers.PATTERN
 
 
 def fold(modulus: int, rest: int):
@@ -35,6 +41,12 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(docs, dictionaries, {"held_out": held_out})
 
 
+def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence notices in every paragraph of documents."""
+    docs = read_table(spark, sf_dir, "documents")
+    return licenses.scan(docs, licenses.train(docs))
+
+
 def quality_scores(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``doc_id, stats, score`` of ``docs``, learned from two of three folds of its labels."""
     profiled = staged(quality.profile(docs), "profile")
@@ -57,6 +69,27 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token totals of documents: all inserted, toxic ones deleted, poor ones cut to a line.
+
+    The second batch is sent twice, as after a lost answer.
+    """
+    docs = read_table(spark, sf_dir, "documents")
+    counts = staged(token_rollup.counted(docs), "counts")
+    lines = docs.withColumn("line", F.split("text", "\n")[0])
+    line_counts = token_rollup.counted(lines, "line")
+    labels = read_table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
+    toxic = labels.where("toxic = 1").select("doc_id")
+    poor = labels.where("toxic = 0 and quality = 0").select("doc_id")
+    rollup = token_rollup.TokenRollup(spark, f"{shared_dir(spark)}/firngrid/rollup-{uuid.uuid4().hex}")
+    rollup.commit("inserts", token_rollup.signed_changes(counts, 1))
+    for _ in range(2):
+        rollup.commit("deletes", token_rollup.signed_changes(counts.join(toxic, "doc_id"), -1))
+    cut = token_rollup.revised(counts.join(poor, "doc_id"), line_counts.join(poor, "doc_id"))
+    rollup.commit("revisions", cut)
+    return rollup.totals()
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text of documents against every text of benchmark."""
     docs, items = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")
@@ -81,7 +114,7 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text of documents, encoded and decoded."""
     docs = read_table(spark, sf_dir, "documents")
-    return byte_bpe.round_trip(docs, BPE_RANKS, public_tokenizers.PATTERN)
+    return byte_bpe.round_trip(docs, BPE_RANKS, PATTERN)
 
 
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -92,7 +125,9 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_language_id": op1_language_id,
+    "op2_licenses": op2_licenses,
     "op3_quality": op3_quality,
+    "op4_token_rollup": op4_token_rollup,
     "op5_decontamination": op5_decontamination,
     "op6_fingerprints": op6_fingerprints,
     "op7_jaccard_join": op7_jaccard_join,
@@ -102,6 +137,7 @@ QUERIES = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op4_token_rollup": token_rollup.ORACLE_SQL,
     "op5_decontamination": decontamination.ORACLE_SQL,
     "op7_jaccard_join": jaccard_join.ORACLE_SQL,
     "op8_substring_dedup": substring_dedup.ORACLE_SQL,
