@@ -1 +1 @@
-
+"""Views over the test tables and the registered queries."""
