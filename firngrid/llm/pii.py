@@ -203,29 +203,32 @@ class SegmentField:
                     row += w
         return out
 
-    def decode(self, text: str, zone: list[tuple[int, int]]) -> list[tuple[int, int, int]]:
-        """``(start, kind number, end)`` of the best segmentation."""
-        found = candidates(text, zone)
+    def segment(self, found, n_tokens: int) -> tuple[float, list[tuple[int, int]]]:
+        """Score of the best segmentation of a zone, and its ``(candidate, kind)`` pairs."""
         scores = self.scores(found)
         by_end: dict[int, list[int]] = {}
         for k, c in enumerate(found):
             by_end.setdefault(c[1], []).append(k)
-        best, back = [0.0] * (len(zone) + 1), [-1] * (len(zone) + 1)
-        for j in range(1, len(zone) + 1):
+        best, back = [0.0] * (n_tokens + 1), [-1] * (n_tokens + 1)
+        for j in range(1, n_tokens + 1):
             best[j] = best[j - 1]  # a token outside any entity scores 0
             for k in by_end.get(j, ()):
                 score = best[found[k][0]] + scores[k].max()
                 if score > best[j]:
                     best[j], back[j] = score, k
-        out, j = [], len(zone)
+        out, j = [], n_tokens
         while j > 0:
             if back[j] < 0:
                 j -= 1
             else:
-                c = found[back[j]]
-                out.append((c[2], int(scores[back[j]].argmax()), c[3]))
-                j = c[0]
-        return out[::-1]
+                out.append((back[j], int(scores[back[j]].argmax())))
+                j = found[back[j]][0]
+        return best[-1], out[::-1]
+
+    def decode(self, text: str, zone: list[tuple[int, int]]) -> list[tuple[int, int, int]]:
+        """``(start, kind number, end)`` of the best segmentation."""
+        found = candidates(text, zone)
+        return [(found[k][2], kind, found[k][3]) for k, kind in self.segment(found, len(zone))[1]]
 
 
 def _fit(examples: list[tuple[str, list]], rounds: int = 40, rate: float = 0.5, l2: float = 1e-3) -> dict[str, list[float]]:
