@@ -108,3 +108,17 @@ def matrix_apply(entries: DataFrame, vector: DataFrame) -> DataFrame:
         .groupBy("row")
         .agg((F.sum(F.col("w") * F.col("v")) / F.nullif(F.sum("w"), F.lit(0.0))).alias("value"))
     )
+
+
+#: Variables that statistics are made of: the band's expression and what it is divided by.
+VARIABLES: dict[str, tuple[Column, Column]] = {}
+
+
+def register_variable(name: str, value: Column, scale: Column) -> None:
+    """Add a variable to VARIABLES."""
+    VARIABLES[name] = value, scale
+
+
+def variable_statistics(cells: DataFrame, keys: list[str], names: list[str]) -> DataFrame:
+    """Mean of each named variable by ``keys``."""
+    return cells.groupBy(*keys).agg(*[F.avg(VARIABLES[n][0] / VARIABLES[n][1]).alias(n) for n in names])

@@ -170,7 +170,7 @@ select i, j, count(*) as domain_count, count(*) filter (max_height > 0.25 and ma
   round(coalesce(max(300 * max_vel * max_vel) filter (max_height > 0.25 and max_vel > 1), 0), 1) as max_pressure
 from fx_aval group by 1, 2""")
 def mosaic_query(fx):
-    out = mosaic.mosaic(raster.nonzero(fx.aval).unionByName(fx.aval.where("not (max_vel > 0 or max_height > 0 or depo > 0)")))
+    out = mosaic.mosaic(fx.aval)
     return out.withColumns({"max_height": F.round("max_height", 4), "deposition": F.round("deposition", 4), "max_pressure": F.round("max_pressure", 1)})
 
 

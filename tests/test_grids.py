@@ -197,3 +197,16 @@ def test_publishing_replaces_only_its_partitions(spark, tmp_path):
     sinks.publish(spark.createDataFrame([row("a", 1.0), row("b", 2.0)], schema), path)
     out = sinks.publish(spark.createDataFrame([row("a", 3.0)], schema), path)
     assert sorted(r.value for r in out.collect()) == [2.0, 3.0]
+
+
+def test_registered_variables(spark):
+    from firngrid.operators import stats
+
+    stats.register_variable("depth", F.col("swe"), F.lit(200.0))
+    rows = spark.createDataFrame([("a", 400.0), ("a", 0.0)], "k string, swe double")
+    assert stats.variable_statistics(rows, ["k"], ["depth"]).first().depth == 1.0
+
+
+def test_experiment_hooks(spark):
+    own = catalog.Experiment("ak", ("era", "forest"), mosaic_filter=lambda df: df.where("n > 1"), sizes=pra.SIZES_RUN)
+    assert own.mosaic_filter(spark.range(4).toDF("n")).count() == 2 and set(own.sizes) == {"For", "NoFor"}
