@@ -48,11 +48,11 @@ from firngrid.sources.shared import staged
 #: Ids that may be broadcast at most.
 BROADCAST_ROWS = 200_000
 #: Bands are this many times the widest ratio of sizes that can be linked, as a power.
-BAND_POWER = 3
+BAND_POWER = 4
 #: Cost of a comparison against that of an index entry, and the bits by which one more
 #: element in a segment lowers the odds of a chance match.
 COMPARE_COST = 2.0
-BITS = 3.0
+BITS = 10.0
 _SKETCH = 256
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
