@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from firngrid.llm.texts import map_batches
 
 #: Entries of a worker's word memo (about 200 bytes each); it is emptied when full.
-MEMO_ENTRIES = 800_000
+MEMO_ENTRIES = 250_000
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -147,13 +147,17 @@ class MergeReplay:
                 self.memo[word] = rank.to_bytes(4, sys.byteorder)
         self.memo.update(zip(apart, self.replay([w.encode() for w in apart]), strict=True))
 
-    def encode_all(self, texts: list[str | None]) -> Iterator[list[int]]:
+    def encode_arrays(self, texts: list[str | None]) -> Iterator[np.ndarray]:
         """The ids of each text, one after the other."""
         split = [self.split.findall(t) if t else [] for t in texts]
         self.learn(set(chain.from_iterable(split)))
-        for words in split:
-            packed = b"".join(map(self.memo.__getitem__, words))
-            yield np.frombuffer(packed, np.int32).tolist()
+        for k, words in enumerate(split):
+            split[k] = None
+            yield np.frombuffer(b"".join(map(self.memo.__getitem__, words)), np.int32)
+
+    def encode_all(self, texts: list[str | None]) -> Iterator[list[int]]:
+        """The ids of each text as a list."""
+        return (ids.tolist() for ids in self.encode_arrays(texts))
 
     def decode(self, ids: list[int]) -> bytes:
         """The bytes that the ids stand for."""
@@ -175,7 +179,7 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
 
     def batch(rows):
         coder = replayer(path, pattern)
-        return {"doc_id": rows["doc_id"], "ids": list(coder.encode_all(rows["text"]))}
+        return {"doc_id": rows["doc_id"], "ids": list(coder.encode_arrays(rows["text"]))}
 
     return map_batches(docs.select("doc_id", "text"), batch, "doc_id long, ids array<long>")
 

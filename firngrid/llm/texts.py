@@ -10,9 +10,9 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 
 #: Rows of an Arrow batch. Texts run to 100 kB and more, so a batch stays some tens of MB.
-BATCH_ROWS = 500
+BATCH_ROWS = 256
 #: Entries of a worker's word memo; it is emptied when full, so memory stays bounded.
-MEMO_WORDS = 400_000
+MEMO_WORDS = 200_000
 
 
 def keep_batches_small(spark: SparkSession) -> None:
