@@ -17,8 +17,8 @@ so an equal segment ranks alike in both sets and the guarantee holds (see ``kept
 
 Candidates are met at a hub. Equal sets are one class first. The classes that share an
 entry are compared with the least of them and not with each other; links make
-components; then, within an entry whose classes still lie in several components, pairs
-across components are compared too. So no link between components is lost, and a group
+components; where an entry's classes still lie in several, they are compared with other
+hubs, and at last all pairs across components are compared too. So no link between components is lost, and a group
 of a million near copies costs a million comparisons. A parity sketch of the
 set, whose difference never exceeds that of the sets, drops most pairs before the exact
 comparison of the sets themselves.
@@ -53,6 +53,8 @@ BAND_POWER = 4
 #: element in a segment lowers the odds of a chance match.
 COMPARE_COST = 2.0
 BITS = 10.0
+#: Hubs of an entry's classes beyond the first: so many at a time, so many times at most.
+HUBS, HUB_TURNS = 16, 1
 _SKETCH = 256
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -297,17 +299,41 @@ def components(docs: DataFrame, percent: int = 85, size: int = 4) -> DataFrame:
     links = staged(_verified(met, docs, classes, size, percent), "links")
     joined = staged(connected_components(links), "components")
 
-    # Entries whose classes still lie in several components: pairs across these.
-    placed = (
-        shared.select("entry", "c1")
-        .join(usable, "c1")
-        .join(joined.withColumnRenamed("node", "rep"), "rep", "left")
-        .withColumn("component", F.coalesce("component", "rep"))
-    )
-    mixed_entries = placed.groupBy("entry").agg(
-        F.min("component").alias("low"), F.max("component").alias("high")
-    ).where("low < high").select("entry")
-    across = staged(placed.join(mixed_entries, "entry"), "across")
+    def unresolved(state: DataFrame) -> DataFrame:
+        """Rows of the entries whose classes still lie in several components."""
+        placed = (
+            shared.select("entry", "c1")
+            .join(usable, "c1")
+            .join(state.withColumnRenamed("node", "rep"), "rep", "left")
+            .withColumn("component", F.coalesce("component", "rep"))
+        )
+        spread = placed.groupBy("entry").agg(
+            F.min("component").alias("low"), F.max("component").alias("high")
+        )
+        return placed.join(spread.where("low < high").select("entry"), "entry")
+
+    # Other hubs first, which join what is left of a group by a few comparisons of each class.
+    for turn in range(HUB_TURNS):
+        open_rows = staged(unresolved(joined), "open")
+        order = F.xxhash64("rep", F.col("entry") % HUBS, F.lit(turn))
+        hub = F.min_by(F.struct("rep", "component", "n", "s0", "s1", "s2", "s3"), order).alias("y")
+        hub_of = open_rows.groupBy("entry").agg(hub)
+        near = (
+            open_rows.alias("x")
+            .join(hub_of, "entry")
+            .where((F.col("x.component") != F.col("y.component")) & _may_link(percent))
+            .select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b"))
+            .distinct()
+        )
+        near = staged(staged(near, "near").join(met, ["a", "b"], "left_anti"), "near")
+        more = staged(_verified(near, docs, classes, size, percent), "links")
+        if more.isEmpty():
+            break
+        met, links = met.unionByName(near), links.unionByName(more)
+        joined = staged(connected_components(links), "components")
+
+    # Then all pairs across components, so that none is missed.
+    across = staged(unresolved(joined), "across")
     x, y = across.alias("x"), across.alias("y")
     pairs = x.join(
         y,
@@ -316,11 +342,10 @@ def components(docs: DataFrame, percent: int = 85, size: int = 4) -> DataFrame:
         & (F.col("x.component") != F.col("y.component"))
         & _may_link(percent),
     ).select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct()
-    more = staged(
-        _verified(pairs.join(met, ["a", "b"], "left_anti"), docs, classes, size, percent), "links"
-    )
+    pairs = staged(pairs, "across").join(met, ["a", "b"], "left_anti")
+    more = staged(_verified(pairs, docs, classes, size, percent), "links")
     if not more.isEmpty():
-        joined = staged(connected_components(links.union(more)), "components")
+        joined = staged(connected_components(links.unionByName(more)), "components")
 
     named = profile.join(classes.select("c1", "c2", "rep"), ["c1", "c2"], "left").join(
         joined.withColumnRenamed("node", "rep"), "rep", "left"
