@@ -26,7 +26,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from firngrid.llm.texts import map_batches
+from firngrid.llm.texts import map_batches, thinned
 
 UNKNOWN = "und"
 #: Documents of each language that its dictionary is made from, at most.
@@ -54,22 +54,26 @@ def train(
 
     The languages are in the order of their training rows, most first.
 
-    At most ``sample_docs`` texts of a language are used, those with the smallest text
-    hash. Spark keeps only so many of each language in each task before the shuffle.
+    At most ``sample_docs`` texts of a language are used, those with the least hashes; all
+    but a few times as many are cut by the hash before they are moved.
     """
     usable = labelled.select("lang", "text").where("lang is not null and length(text) > 0")
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("text"), "text")
+    counts = {r.lang: r["count"] for r in usable.groupBy("lang").count().collect()}
+    if not counts:
+        return {}
+    rows_of = F.create_map(*[F.lit(x) for pair in counts.items() for x in pair])
+    near = thinned(usable.withColumn("h", F.xxhash64("text")), rows_of[F.col("lang")], sample_docs)
+    order = Window.partitionBy("lang").orderBy("h")
     rows = (
-        usable.select("lang", "text", F.row_number().over(order).alias("k"))
+        near.dropDuplicates(["lang", "h"])
+        .select("lang", "h", F.row_number().over(order).alias("k"), F.substring("text", 1, SAMPLE_CHARS).alias("text"))
         .where(F.col("k") <= sample_docs)
-        .select("lang", F.substring("text", 1, SAMPLE_CHARS).alias("text"))
-        .orderBy("lang", F.xxhash64("text"), "text")
+        .orderBy("lang", "h")
         .collect()
     )
     pieces: dict[str, dict[bytes, None]] = {}
     for row in rows:
         pieces.setdefault(row.lang, {})[plain(row.text)] = None
-    counts = {r.lang: r["count"] for r in usable.groupBy("lang").count().collect()}
     made = {}
     for lang in sorted(pieces, key=lambda x: (-counts[x], x)):
         texts = pieces[lang]

@@ -30,7 +30,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from firngrid.llm.texts import map_batches
+from firngrid.llm.texts import map_batches, sampled
 
 BASE_KINDS = ("email", "ip", "card", "phone")
 KINDS = (*BASE_KINDS, "secret")
@@ -289,7 +289,7 @@ def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> SegmentField:
     at most 12 tokens each.
     """
     marked = docs.select("text").where(F.col("text").rlike("[0-9@=+]"))
-    sample = marked.orderBy(F.xxhash64("text"), "text").limit(sample_docs)
+    sample = sampled(marked, marked.count(), sample_docs)
 
     def batch(rows):
         found = [

@@ -7,7 +7,8 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Rows of an Arrow batch. Texts run to 100 kB and more, so a batch stays some tens of MB.
 BATCH_ROWS = 256
@@ -87,3 +88,21 @@ def mixed(x: np.ndarray) -> np.ndarray:
 def signed(x: np.ndarray) -> np.ndarray:
     """The same bits as Spark's long."""
     return x.view(np.int64)
+
+
+def sampled(df: DataFrame, rows: int, wanted: int) -> DataFrame:
+    """At most ``wanted`` distinct texts of ``df (text)``, those with the least hashes.
+
+    ``rows`` is the number of rows. Most rows are cut by their hash alone, so that no task
+    gets more than a few times ``wanted`` texts, however many partitions there are.
+    """
+    near = thinned(df.select("text").withColumn("h", F.xxhash64("text")), F.lit(rows), wanted)
+    return near.dropDuplicates(["h"]).orderBy("h").limit(wanted).select("text")
+
+
+def thinned(df: DataFrame, rows: Column, wanted: int) -> DataFrame:
+    """Rows whose hash ``h`` is among the least ``4 * wanted / rows`` of all hashes."""
+    share = F.least(F.lit(1.0), 4.0 * wanted / F.greatest(rows, F.lit(1)))
+    # 2**11 below the largest double under 2**63, so that the bound is a long
+    bound = (share * float(2**64 - 2**12) - float(2**63)).cast("long")
+    return df.where((F.col("h") <= bound) | (share >= 1.0))
