@@ -17,7 +17,6 @@ an empty table gives an empty table; extra columns are ignored.
 from __future__ import annotations
 
 import random
-import re
 from collections import Counter
 from dataclasses import dataclass
 
@@ -25,7 +24,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from firngrid.llm.texts import map_batches
+from firngrid.llm.texts import map_batches, sampled
 
 # Short notices of public licences, by family.
 TEMPLATES = {
@@ -63,19 +62,28 @@ SEEDS = {
 }
 FAMILIES = tuple(sorted(TEMPLATES))
 UNKNOWN = len(FAMILIES)
-#: Paragraphs of a family, and unknown ones, that are trained on at most.
+#: Paragraphs of a family, and unknown ones of so many documents, that are trained on at most.
 SAMPLE_KNOWN = 200
 SAMPLE_UNKNOWN = 2000
+SAMPLE_DOCS = 400
 #: Characters of a sampled paragraph at most; longer ones are not sampled.
 SAMPLE_CHARS = 2000
 #: Share of the paragraph's or the template's 2-grams that confirms a prediction.
 CONFIRMED = 0.5
-_WORD = re.compile(r"[^\W_]+(?:[.-][^\W_]+)*")
+#: What a document with a notice that a seed could label holds.
+_HINT = r"(?i)licen[sc]e|cc[- ]by|rights reserved"
+_BREAKS = bytes(b if b > 127 or b == 10 or chr(b).isalnum() else 32 for b in range(256))
 
 
-def grams(paragraph: str) -> Counter:
-    """Counts of the word 1- and 2-grams of a paragraph."""
-    words = _WORD.findall(paragraph.lower())
+def plain(text: str) -> bytes:
+    """UTF-8 with A-Z lower-cased and any ASCII but letters, digits and line ends as spaces."""
+    return text.encode().lower().translate(_BREAKS)
+
+
+def grams(paragraph: str | bytes) -> Counter:
+    """Counts of the word 1- and 2-grams of a paragraph, or of its plain form."""
+    data = plain(paragraph) if isinstance(paragraph, str) else paragraph
+    words = data.decode().split()
     return Counter(words) + Counter(f"{a} {b}" for a, b in zip(words, words[1:], strict=False))
 
 
@@ -90,7 +98,7 @@ class LicenseModel:
 
     def __post_init__(self):
         # A 2-gram of a paragraph can only count if both its words are there.
-        self.words = {w for g in self.weights for w in g.split(" ")}
+        self.words = {w.encode() for g in self.weights for w in g.split(" ")}
 
     def probabilities(self, counts: Counter) -> np.ndarray:
         """Tempered probabilities of the families and, last, of unknown."""
@@ -103,7 +111,7 @@ class LicenseModel:
         share = np.exp(score - score.max())
         return share / share.sum()
 
-    def classify(self, paragraph: str) -> tuple[str, float, float, bool] | None:
+    def classify(self, paragraph: str | bytes) -> tuple[str, float, float, bool] | None:
         """``(family, probability, likeness to its template, confirmed)``, or None if unknown."""
         share = self.probabilities(grams(paragraph))
         best = int(share.argmax())
@@ -114,12 +122,12 @@ class LicenseModel:
 
     def scan(self, text: str | None):
         """``(paragraph number, ...)`` for each known paragraph of a whole text."""
-        for k, line in enumerate((text or "").split("\n")):
-            if not self.words.isdisjoint(_WORD.findall(line.lower())) and (found := self.classify(line)):
+        for k, line in enumerate(plain(text or "").split(b"\n")):
+            if not self.words.isdisjoint(line.split()) and (found := self.classify(line)):
                 yield (k, *found)
 
 
-def template_likeness(paragraph: str, family: str) -> float:
+def template_likeness(paragraph: str | bytes, family: str) -> float:
     """The largest share of 2-grams that the paragraph and a template of the family have in common."""
     own = {g for g in grams(paragraph) if " " in g}
     best = 0.0
@@ -163,19 +171,26 @@ def _fit(rows: list[tuple[Counter, int]], rounds: int = 200, rate: float = 1.0,
 
 def train(docs: DataFrame, seed: int = 5) -> LicenseModel:
     """Learn from bounded samples of paragraphs, chosen by a hash of their text."""
-    lines = docs.select(F.explode(F.split("text", "\n")).alias("line")).where(
-        f"length(trim(line)) between 1 and {SAMPLE_CHARS}"
-    )
+    texts = docs.select("text")
+
+    def lines(of: DataFrame) -> DataFrame:
+        line = of.select(F.explode(F.split("text", "\n")).alias("line"))
+        return line.where(f"length(trim(line)) between 1 and {SAMPLE_CHARS}")
+
+    low = F.lower("line")
     label = F.coalesce(
-        *[F.when(F.lower("line").rlike(p), F.lit(FAMILIES.index(f))) for f, p in SEEDS.items()],
+        *[F.when(low.rlike(p), F.lit(FAMILIES.index(f))) for f, p in SEEDS.items()],
         F.lit(UNKNOWN),
     )
-    labelled = lines.select("line", label.alias("label"))
-    known = labelled.where(F.col("label") < UNKNOWN).distinct()
+    hinted = lines(texts.where(F.col("text").rlike(_HINT))).where(F.col("line").rlike(_HINT))
+    known = hinted.distinct().select("line", label.alias("label")).where(F.col("label") < UNKNOWN)
     order = Window.partitionBy("label").orderBy(F.xxhash64("line"), "line")
     known = known.withColumn("k", F.row_number().over(order)).where(F.col("k") <= SAMPLE_KNOWN).drop("k")
+    sample = sampled(texts, docs.count(), SAMPLE_DOCS)
     other = (
-        labelled.where(F.col("label") == UNKNOWN)
+        lines(sample)
+        .where(~F.col("line").rlike(_HINT))
+        .select("line", F.lit(UNKNOWN).alias("label"))
         .orderBy(F.xxhash64("line"), "line")
         .limit(SAMPLE_UNKNOWN)
     )
