@@ -61,8 +61,7 @@ def train(
     counts = {r.lang: r["count"] for r in usable.groupBy("lang").count().collect()}
     if not counts:
         return {}
-    rows_of = F.create_map(*[F.lit(x) for pair in counts.items() for x in pair])
-    near = thinned(usable.withColumn("h", F.xxhash64("text")), rows_of[F.col("lang")], sample_docs)
+    near = thinned(usable.withColumn("h", F.xxhash64("text")), sample_docs, "lang")
     order = Window.partitionBy("lang").orderBy("h")
     rows = (
         near.dropDuplicates(["lang", "h"])

@@ -186,7 +186,7 @@ def train(docs: DataFrame, seed: int = 5) -> LicenseModel:
     known = hinted.distinct().select("line", label.alias("label")).where(F.col("label") < UNKNOWN)
     order = Window.partitionBy("label").orderBy(F.xxhash64("line"), "line")
     known = known.withColumn("k", F.row_number().over(order)).where(F.col("k") <= SAMPLE_KNOWN).drop("k")
-    sample = sampled(texts, docs.count(), SAMPLE_DOCS)
+    sample = sampled(texts, SAMPLE_DOCS)
     other = (
         lines(sample)
         .where(~F.col("line").rlike(_HINT))

@@ -289,7 +289,7 @@ def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> SegmentField:
     at most 12 tokens each.
     """
     marked = docs.select("text").where(F.col("text").rlike("[0-9@=+]"))
-    sample = sampled(marked, marked.count(), sample_docs)
+    sample = sampled(marked, sample_docs)
 
     def batch(rows):
         found = [

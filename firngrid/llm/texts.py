@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Rows of an Arrow batch. Texts run to 100 kB and more, so a batch stays some tens of MB.
@@ -90,19 +90,35 @@ def signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
 
-def sampled(df: DataFrame, rows: int, wanted: int) -> DataFrame:
-    """At most ``wanted`` distinct texts of ``df (text)``, those with the least hashes.
+def sampled(df: DataFrame, wanted: int) -> DataFrame:
+    """The ``wanted`` distinct texts of ``df (text)`` with the least hashes, or all if fewer.
 
-    ``rows`` is the number of rows. Most rows are cut by their hash alone, so that no task
-    gets more than a few times ``wanted`` texts, however many partitions there are.
+    Most rows are cut by their hash alone, so that no task gets more than a few times
+    ``wanted`` texts, however many partitions there are.
     """
-    near = thinned(df.select("text").withColumn("h", F.xxhash64("text")), F.lit(rows), wanted)
+    texts = df.select("text").where("text is not null").withColumn("h", F.xxhash64("text"))
+    near = thinned(texts, wanted)
     return near.dropDuplicates(["h"]).orderBy("h").limit(wanted).select("text")
 
 
-def thinned(df: DataFrame, rows: Column, wanted: int) -> DataFrame:
-    """Rows whose hash ``h`` is among the least ``4 * wanted / rows`` of all hashes."""
-    share = F.least(F.lit(1.0), 4.0 * wanted / F.greatest(rows, F.lit(1)))
-    # 2**11 below the largest double under 2**63, so that the bound is a long
-    bound = (share * float(2**64 - 2**12) - float(2**63)).cast("long")
-    return df.where((F.col("h") <= bound) | (share >= 1.0))
+def thinned(df: DataFrame, wanted: int, by: str | None = None) -> DataFrame:
+    """Rows of ``df (h)`` that hold the ``wanted`` least distinct hashes, of each value of ``by``.
+
+    The bound is the least power of two under which so many distinct hashes lie; they are
+    counted, so repeated rows do not count and a group with fewer hashes keeps all its rows.
+    """
+    # hashes in their order as unsigned numbers, which have so many binary digits
+    digits = F.length(F.bin(F.col("h").bitwiseXOR(F.lit(-(2**63)))))
+    group = F.col(by) if by else F.lit("")
+    distinct = df.select(group.alias("group"), "h").distinct()
+    found = distinct.groupBy("group", digits.alias("digits")).count().collect()
+    bounds: dict[str, int] = {}
+    met: dict[str, int] = {}
+    for row in sorted(found, key=lambda r: r.digits):
+        if met.get(row.group, 0) < wanted:
+            met[row.group] = met.get(row.group, 0) + row["count"]
+            bounds[row.group] = row.digits
+    if not bounds:
+        return df
+    bound_of = F.create_map(*[F.lit(x) for pair in bounds.items() for x in pair])
+    return df.where(digits <= bound_of[group])

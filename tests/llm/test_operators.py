@@ -459,3 +459,24 @@ def test_word_hashes_and_mixing():
     a = texts.word_hashes([b"x", b"y", b"x"])
     assert a[0] == a[2] != a[1]
     assert len(np.unique(texts.mixed(np.arange(1000, dtype=np.uint64)))) == 1000
+
+
+def test_samples_are_full_whatever_repeats(spark):
+    few = [f"text {k}" for k in range(20)]
+    rows = [("a", t) for t in few for _ in range(500)] + [("b", f"other {k}") for k in range(3000)] + [("c", None)]
+    df = spark.createDataFrame(rows, "lang string, text string")
+    copies = df.where("lang = 'a'")
+    assert {r.text for r in texts.sampled(copies, 40).collect()} == set(few)
+    for wanted in (1, 7, 20):
+        got = [r.text for r in texts.sampled(copies, wanted).collect()]
+        least = copies.select("text", F.xxhash64("text").alias("h")).distinct().orderBy("h").limit(wanted)
+        assert got == [r.text for r in least.collect()] and len(got) == wanted
+    near = texts.thinned(df.where("text is not null").withColumn("h", F.xxhash64("text")), 40, "lang")
+    kept = {r.lang: r["count"] for r in near.distinct().groupBy("lang").count().collect()}
+    assert kept["a"] == 20 and 40 <= kept["b"] < 400
+
+
+def test_a_language_of_few_repeated_texts_has_a_dictionary(spark):
+    rows = [(0, f"{w} one text", lang) for lang in map(str, range(40)) for w in (f"eau{lang}",) for _ in range(500)]
+    made = language_id.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert set(made) == set(map(str, range(40)))
