@@ -8,6 +8,7 @@ the last return the columns of documents; the last adds the ids of the byte-leve
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from firngrid.llm import byte_bpe, decontamination, jaccard_join, pii
 from firngrid.llm.queries import BPE_RANKS, PATTERN, quality_scores
@@ -16,18 +17,17 @@ from firngrid.sources.tables import read_table
 
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier does not reject."""
-    rejected = staged(
-        quality_scores(spark, docs, sf_dir).where("score < 0.5").select("doc_id").distinct(),
-        "rejected",
-    )
+    """Rows that the quality classifier does not reject, each judged by its own text."""
+    keyed = docs.withColumn("text_key", F.xxhash64("text"))
+    scores = quality_scores(spark, keyed, sf_dir, "text_key")
+    rejected = staged(scores.where("score < 0.5").select("text_key").distinct(), "rejected")
     small = decontamination.small(rejected, rejected.count())
-    return docs.join(small, "doc_id", "left_anti").select(docs.columns)
+    return keyed.join(small, "text_key", "left_anti").select(docs.columns)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first document of each group of near duplicates (five-word shingles, 0.8)."""
-    return jaccard_join.first_of_each(docs, percent=80, size=5)
+    """One row of each group of near duplicates (five-word shingles, 0.8), that of the least id."""
+    return jaccard_join.one_of_each(docs, percent=80, size=5)
 
 
 def without_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

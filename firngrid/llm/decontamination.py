@@ -256,9 +256,13 @@ def near(docs: DataFrame, items: DataFrame, distance: int) -> DataFrame:
 
 
 def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that are not contaminated."""
-    bad = staged(hits(docs, items).where("contaminated").select("doc_id").distinct(), "contaminated")
-    return docs.join(small(bad, bad.count()), "doc_id", "left_anti").select(docs.columns)
+    """The rows of ``docs`` that are not contaminated, each judged by its own text."""
+    key = F.xxhash64("text")
+    found = hits(docs.select(key.alias("doc_id"), "text"), items)
+    bad = found.where("contaminated").select(F.col("doc_id").alias("text_key")).distinct()
+    bad = staged(bad, "contaminated")
+    keyed = docs.withColumn("text_key", key)
+    return keyed.join(small(bad, bad.count()), "text_key", "left_anti").select(docs.columns)
 
 
 ORACLE_SQL = r"""

@@ -372,6 +372,33 @@ def first_of_each(docs: DataFrame, percent: int = 85, size: int = 4) -> DataFram
     ).select(docs.columns)
 
 
+def one_of_each(docs: DataFrame, percent: int = 85, size: int = 4) -> DataFrame:
+    """Exactly one row of ``docs`` of each component: a row of the least id, nulls last.
+
+    Rows are linked by their own texts and known by a hash of id and text, so ids may repeat
+    or be null. Texts without words have no near copies, and all their rows stay.
+    """
+    key = F.xxhash64("doc_id", F.col("doc_id").isNull(), "text")
+    rows = docs.groupBy(key.alias("row_key"), "doc_id").agg(F.count("*").alias("times"))
+    grouped = components(docs.select(key.alias("doc_id"), "text"), percent, size)
+    placed = grouped.where("n_shingles > 0").select(F.col("doc_id").alias("row_key"), "component_id")
+    members = staged(placed.distinct().join(rows, "row_key"), "members")
+    first = F.min_by("row_key", F.struct(F.col("doc_id").isNull(), "doc_id", "row_key"))
+    kept = staged(members.groupBy("component_id").agg(first.alias("row_key")).select("row_key"), "kept")
+    dropped = staged(members.select("row_key").join(kept, "row_key", "left_anti"), "dropped")
+    repeated = staged(members.where("times > 1").select("row_key").join(kept, "row_key"), "repeated")
+    counts = dropped.count(), repeated.count()
+    dropped, repeated = (
+        F.broadcast(x) if n <= BROADCAST_ROWS else x
+        for x, n in zip((dropped, repeated), counts, strict=True)
+    )
+    out = docs.withColumn("row_key", key).join(dropped, "row_key", "left_anti")
+    if counts[1]:
+        once = out.join(repeated, "row_key", "left_semi").dropDuplicates(["row_key"])
+        out = out.join(repeated, "row_key", "left_anti").unionByName(once)
+    return out.select(docs.columns)
+
+
 ORACLE_SQL = r"""
 with recursive w as (
   select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',

@@ -80,13 +80,15 @@ def statistics(text: str | None) -> list[float]:
     ]
 
 
-def profile(docs: DataFrame) -> DataFrame:
-    """``doc_id, stats``: the statistics of every whole text."""
+def profile(docs: DataFrame, *keep: str) -> DataFrame:
+    """``doc_id``, the long columns of ``keep``, ``stats``: the statistics of every whole text."""
+    names = ("doc_id", *keep)
 
     def batch(rows):
-        return {"doc_id": rows["doc_id"], "stats": [statistics(t) for t in rows["text"]]}
+        return {**{n: rows[n] for n in names}, "stats": [statistics(t) for t in rows["text"]]}
 
-    return map_batches(docs.select("doc_id", "text"), batch, "doc_id long, stats array<double>")
+    schema = "".join(f"{n} long, " for n in names) + "stats array<double>"
+    return map_batches(docs.select(*names, "text"), batch, schema)
 
 
 @dataclass
@@ -201,10 +203,12 @@ def train(labelled: DataFrame, seed: int = 17) -> QualityModel:
     return QualityModel(mean, scale, fitted.weights, at, values.tolist(), seed)
 
 
-def score(profiled: DataFrame, model: QualityModel) -> DataFrame:
-    """``doc_id, score`` for every row of ``profiled (doc_id, stats)``."""
+def score(profiled: DataFrame, model: QualityModel, *keep: str) -> DataFrame:
+    """``doc_id``, the long columns of ``keep``, ``score`` for every row of ``profiled``."""
+    names = ("doc_id", *keep)
 
     def batch(rows):
-        return {"doc_id": rows["doc_id"], "score": model.score(rows["stats"]).tolist()}
+        return {**{n: rows[n] for n in names}, "score": model.score(rows["stats"]).tolist()}
 
-    return map_batches(profiled.select("doc_id", "stats"), batch, "doc_id long, score double")
+    schema = "".join(f"{n} long, " for n in names) + "score double"
+    return map_batches(profiled.select(*names, "stats"), batch, schema)

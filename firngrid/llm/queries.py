@@ -47,15 +47,15 @@ def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(docs, licenses.train(docs))
 
 
-def quality_scores(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """``doc_id, stats, score`` of ``docs``, learned from two of three folds of its labels."""
-    profiled = staged(quality.profile(docs), "profile")
+def quality_scores(spark: SparkSession, docs: DataFrame, sf_dir: str, *keep: str) -> DataFrame:
+    """``doc_id``, ``keep``, ``score`` of ``docs``, learned from two of three folds of its labels."""
+    profiled = staged(quality.profile(docs, *keep), "profile")
     part = F.crc32(F.col("doc_id").cast("string"))
     labels = read_table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
     labelled = profiled.join(labels.where(part % 3 != 1), "doc_id").withColumn(
         "calibrate", F.floor(part / 3) % 4 == 0
     )
-    return quality.score(profiled, quality.train(labelled))
+    return quality.score(profiled, quality.train(labelled), *keep)
 
 
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -71,3 +71,28 @@ def test_pipeline_stages_equal_brute_force(spark, data):
     _, own = _tiktoken()
     texts = dict(hidden.select("doc_id", "text").collect())
     assert Counter((r.doc_id, tuple(r.ids)) for r in stage(spark, hidden, data).collect()) == Counter((i, tuple(own.encode_ordinary(t))) for i, t in texts.items())
+
+
+def test_pipeline_decides_by_row(spark, data):
+    docs = read_table(spark, data, "documents")
+    (_, quality_stage), (_, one_stage), (_, clean_stage), *_ = corpus_pipeline.STAGES
+
+    # a rejected text and a good one under one id, and a rejected one without an id
+    kept = quality_stage(spark, docs, data)
+    good = kept.orderBy("doc_id").first()
+    bad = docs.join(kept.select("doc_id"), "doc_id", "left_anti").orderBy("doc_id").first()
+    extra = [{**good.asDict(), "doc_id": bad.doc_id}, {**bad.asDict(), "doc_id": None}]
+    more = docs.unionByName(spark.createDataFrame(extra, docs.schema))
+    left = Counter((r.doc_id, r.text) for r in quality_stage(spark, more, data).collect())
+    assert left == Counter((r.doc_id, r.text) for r in kept.collect()) + Counter([(bad.doc_id, good.text)])
+
+    words = lambda a: " ".join(f"w{a}x{k}" for k in range(60))
+    rows = [(1, words(1)), (1, words(1)), (2, words(1) + " end"), (None, words(1) + " last"), (2, words(2)), (None, words(3)), (None, words(3)), (7, words(4)), (7, words(5)), (5, words(5) + " end"), (8, ""), (9, "")]
+    make = lambda rows: spark.createDataFrame([{"doc_id": i, "text": t} for i, t in rows], docs.schema)
+    left = [(r.doc_id, r.text) for r in one_stage(spark, make(rows), data).collect()]
+    assert Counter(left) == Counter([(1, words(1)), (2, words(2)), (None, words(3)), (7, words(4)), (5, words(5) + " end"), (8, ""), (9, "")])
+
+    item = read_table(spark, data, "benchmark").where("length(text) > 100").orderBy("item_id").first().text
+    rows = [(1, words(1)), (1, item), (None, item), (None, words(2)), (3, None)]
+    left = [(r.doc_id, r.text) for r in clean_stage(spark, make(rows), data).collect()]
+    assert Counter(left) == Counter([(1, words(1)), (None, words(2)), (3, None)])
