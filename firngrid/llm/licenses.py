@@ -70,6 +70,10 @@ SAMPLE_DOCS = 400
 SAMPLE_CHARS = 2000
 #: Share of the paragraph's or the template's 2-grams that confirms a prediction.
 CONFIRMED = 0.5
+#: 2-grams in common with a template that make a line no example of an unknown one.
+SHARED_GRAMS = 3
+#: Share of the held-out unknown paragraphs that may be taken for known, at most.
+FALSE_KNOWN = 0.01
 #: What a document with a notice that a seed could label holds.
 _HINT = r"(?i)licen[sc]e|cc[- ]by|rights reserved"
 _BREAKS = bytes(b if b > 127 or b == 10 or chr(b).isalnum() else 32 for b in range(256))
@@ -138,6 +142,36 @@ def template_likeness(paragraph: str | bytes, family: str) -> float:
     return best
 
 
+def like_a_template(line: str) -> bool:
+    """Whether a template of any family confirms the line by SHARED_GRAMS 2-grams or more."""
+    own = {g for g in grams(line) if " " in g}
+    return any(
+        len(own & {g for g in grams(t) if " " in g}) >= SHARED_GRAMS
+        and template_likeness(line, family) >= CONFIRMED
+        for family, templates in TEMPLATES.items()
+        for t in templates
+    )
+
+
+def _without_templates(lines: DataFrame) -> DataFrame:
+    """Those of ``lines (line)`` that no template confirms."""
+
+    def batch(rows):
+        return {"line": [line for line in rows["line"] if not like_a_template(line)]}
+
+    return map_batches(lines.select("line"), batch, "line string")
+
+
+def least_known(wrong: list[float], n_unknown: int) -> float:
+    """The least probability, 0.5 at least, that leaves FALSE_KNOWN of ``n_unknown`` known.
+
+    ``wrong`` are the probabilities of those unknown paragraphs that are taken for known.
+    """
+    allowed = int(FALSE_KNOWN * n_unknown)
+    above = sorted(wrong, reverse=True)[allowed:]
+    return max([0.5, *(float(np.nextafter(p, 2.0)) for p in above[:1])])
+
+
 def _fit(rows: list[tuple[Counter, int]], rounds: int = 200, rate: float = 1.0, l1: float = 2e-4):
     """Proximal gradient descent with L1; returns n-gram names, weights and bias."""
     seen = Counter(g for counts, _ in rows for g in counts)
@@ -183,18 +217,18 @@ def train(docs: DataFrame, seed: int = 5) -> LicenseModel:
         F.lit(UNKNOWN),
     )
     hinted = lines(texts.where(F.col("text").rlike(_HINT))).where(F.col("line").rlike(_HINT))
-    known = hinted.distinct().select("line", label.alias("label")).where(F.col("label") < UNKNOWN)
+    labelled = hinted.distinct().select("line", label.alias("label"))
+    known = labelled.where(F.col("label") < UNKNOWN)
     order = Window.partitionBy("label").orderBy(F.xxhash64("line"), "line")
     known = known.withColumn("k", F.row_number().over(order)).where(F.col("k") <= SAMPLE_KNOWN).drop("k")
     sample = sampled(texts, SAMPLE_DOCS)
-    other = (
-        lines(sample)
-        .where(~F.col("line").rlike(_HINT))
-        .select("line", F.lit(UNKNOWN).alias("label"))
-        .orderBy(F.xxhash64("line"), "line")
-        .limit(SAMPLE_UNKNOWN)
-    )
-    rows = sorted({(r.line, r.label) for r in known.unionByName(other).collect()})
+    # Notices that only a template shows are not unknown; lines that only mention licences are.
+    other = _without_templates(lines(sample).where(~F.col("line").rlike(_HINT)))
+    mentions = _without_templates(labelled.where(F.col("label") == UNKNOWN))
+    for lines_of, most in ((other, SAMPLE_UNKNOWN), (mentions, SAMPLE_KNOWN)):
+        least = lines_of.orderBy(F.xxhash64("line"), "line").limit(most)
+        known = known.unionByName(least.select("line", F.lit(UNKNOWN).alias("label")))
+    rows = sorted({(r.line, r.label) for r in known.collect()})
     rng = random.Random(seed)
     for k, family in enumerate(FAMILIES):
         for template in TEMPLATES[family]:
@@ -211,13 +245,13 @@ def train(docs: DataFrame, seed: int = 5) -> LicenseModel:
         return -sum(np.log(max(1e-9, model.probabilities(c)[y])) for c, y in held)
 
     model = LicenseModel(weights, bias, min((0.25, 0.35, 0.5, 0.7, 1.0, 1.4, 2.0), key=loss), 0.0)
-    # The least probability above that of any held-out unknown paragraph taken for known.
     wrong = [
         float(p[:UNKNOWN].max())
         for c, y in held
         if y == UNKNOWN and (p := model.probabilities(c))[:UNKNOWN].max() > p[UNKNOWN]
     ]
-    return LicenseModel(weights, bias, model.temperature, max([0.5, *wrong]))
+    n_unknown = sum(y == UNKNOWN for _, y in held)
+    return LicenseModel(weights, bias, model.temperature, least_known(wrong, n_unknown))
 
 
 def scan(docs: DataFrame, model: LicenseModel) -> DataFrame:

@@ -480,3 +480,15 @@ def test_a_language_of_few_repeated_texts_has_a_dictionary(spark):
     rows = [(0, f"{w} one text", lang) for lang in map(str, range(40)) for w in (f"eau{lang}",) for _ in range(500)]
     made = language_id.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
     assert set(made) == set(map(str, range(40)))
+
+
+def test_full_notices_are_known_and_mentions_are_not(spark):
+    rng = random.Random(12)
+    words = vocabulary(80, 2)
+    plain = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    full = {f: licenses.TEMPLATES[f][0] for f in ("mit", "bsd")}
+    rows = [(k, f"{plain(12)}\n{full['mit']} {plain(2)}\n{full['bsd']} {plain(2)}\nhis driving license for {plain(6)}") for k in range(80)]
+    docs = documents(spark, rows)
+    found = {(r.doc_id, r.paragraph, r.family) for r in licenses.scan(docs, licenses.train(docs)).collect()}
+    assert found == {(k, p, f) for k in range(80) for p, f in ((1, "mit"), (2, "bsd"))}
+    assert licenses.least_known([0.9, 0.8, 0.7], 200) == pytest.approx(0.7) and licenses.least_known([0.9], 100) == 0.5
