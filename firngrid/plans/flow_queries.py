@@ -188,7 +188,7 @@ def domains(fx):
 def buffered_paths(fx):
     cells = _terraces(fx)
     edges = flow.flow_edges(cells, "z", flow.edge_cells(cells, "z"))
-    found = vector.buffered_paths(cells.where("cell % 5 = 0").select(F.col("cell").alias("root"), "cell"), edges, cells, 20.0, 2.0)
+    found = vector.buffered_paths(cells.select(F.col("cell").alias("root"), "cell"), edges, cells, 20.0, 2.0)
     return found.select("root", F.round("area", 4).alias("area"))
 
 

@@ -210,3 +210,12 @@ def test_registered_variables(spark):
 def test_experiment_hooks(spark):
     own = catalog.Experiment("ak", ("era", "forest"), mosaic_filter=lambda df: df.where("n > 1"), sizes=pra.SIZES_RUN)
     assert own.mosaic_filter(spark.range(4).toDF("n")).count() == 2 and set(own.sizes) == {"For", "NoFor"}
+
+
+def test_paths_are_buffered_from_every_cell(spark, data):
+    from firngrid.plans import queries
+    from firngrid.plans.fixtures import Fixtures
+
+    cells = {r.cell for r in Fixtures(spark, data).dem.where("landcover <> 11").select("cell").collect()}
+    found = [r.root for r in queries.QUERIES["v_04_buffered_paths"](spark, data).collect()]
+    assert sorted(found) == sorted(cells)
