@@ -2,32 +2,36 @@
 
 Sets are put in bands by size; a set of a band only has partners in its own band and
 the neighbouring ones. For each band a hash cuts the universe of n-grams into segments.
-Two sets whose similarity reaches the threshold differ in at most H elements, so by the
-pigeonhole principle enough of their segments are equal, or nearly so:
-
-* an *exact* segment is indexed by its subset as a whole;
-* a *loose* segment is indexed by its subset and by all subsets with one element less,
-  so it matches unless two or more elements differ in it, and saves an exact one.
-
-How many segments of a band are loose, and into how many it is cut, is chosen by cost:
-index entries, against the chance matches that the number of sets in the band (counted
-over all of them) makes likely. Of the exact segments a set indexes only the most
-selective ones, those with the most elements; the order depends on the content alone,
-so an equal segment ranks alike in both sets and the guarantee holds (see ``kept``).
-
-Candidates are met at a hub. Equal sets are one class first. The classes that share an
-entry are compared with the least of them and not with each other; links make
-components; where an entry's classes still lie in several, they are compared with other
-hubs, and at last all pairs across components are compared too. So no link between components is lost, and a group
-of a million near copies costs a million comparisons. A parity sketch of the
-set, whose difference never exceeds that of the sets, drops most pairs before the exact
-comparison of the sets themselves.
+Two sets whose similarity reaches the threshold differ in at most H elements. A set asks
+for a segment with one unit (an equal subset matches) or with two (a subset with one
+element more or less matches too); by the pigeonhole principle units that add up to
+H + 1 miss no partner.
+
+How the units are spent is decided by cost, with lists that have been counted:
+
+* Every set indexes the subsets of H + 1 segments and some spare ones (exact entries), those
+  with the most elements. The entries that stand in one set only can match nothing; of the
+  others a set passes over the longest lists, as many as there are spare segments. Both
+  orders depend on what is equal in two partners, so one entry that they share is left
+  (``indexed``). Most sets have nothing left after that.
+* A set that still has entries in long lists indexes all its segments a second time, with
+  their one-deletion neighbourhoods, among those of its kind. Where short lists of subsets
+  and of neighbourhoods give it its H + 1 units, and reading them costs less than the long
+  lists do, it asks these (``allocate``) and leaves the long lists; else it stays in them.
+
+Short lists are compared pair by pair, a bounded number for each set. The sets of a long
+list are compared with a hub, the one with most long lists; links make components; what
+still lies in several components is compared with further hubs, and at last across
+components, so that no link between components is lost. A group of a million near copies
+thus costs a few million comparisons. A parity sketch of the set, whose difference never
+exceeds that of the sets, drops most pairs before the exact comparison of the sets.
 
 Defined results: null texts and texts without words have an empty set and are linked with
 nothing; with fewer words than an n-gram has, the whole sequence is the one element; equal
 sets are linked; rows with a repeated id keep a row each and share the links of either; a
-row with a null id is linked but lends no id; empty tables give empty tables; extra columns
-are ignored.
+row with a null id is linked but lends no id, and its own id stands where no linked row has
+one; empty tables give empty tables; extra columns are ignored. N-grams and sets are known
+by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -41,22 +45,26 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from firngrid.llm.texts import arrow_schema, keep_batches_small, map_batches, mixed, signed, word_hashes
+from firngrid.llm.texts import arrow_schema, fresh, keep_batches_small, map_batches, mixed, signed, word_hashes
 from firngrid.operators.components import connected_components
 from firngrid.sources.shared import staged
 
-#: Ids that may be broadcast at most.
+#: Rows of a few numbers that may be broadcast at most.
 BROADCAST_ROWS = 200_000
 #: Bands are this many times the widest ratio of sizes that can be linked, as a power.
 BAND_POWER = 4
-#: Cost of a comparison against that of an index entry, and the bits by which one more
-#: element in a segment lowers the odds of a chance match.
-COMPARE_COST = 2.0
-BITS = 10.0
-#: Hubs of an entry's classes beyond the first: so many at a time, so many times at most.
-HUBS, HUB_TURNS = 16, 1
-_SKETCH = 256
+#: Lists with more sets than this are long: compared with hubs, and left where that is cheaper.
+LONG = 32
+#: Lists up to this length are compared pair by pair at once, longer ones with a hub first.
+PAIRED = 8
+#: Turns of hubs before what is left is compared across components.
+HUB_TURNS = 3
+#: Pairs of one hub that a task compares at most.
+HUB_BLOCK = 2048
+_SKETCH = 512
+_WORDS = _SKETCH // 64
 _STEP = np.uint64(0x9E3779B97F4A7C15)
+_LOOSE = np.uint64(0x5851F42D4C957F2D)
 
 
 def shingles(text: str | None, size: int) -> np.ndarray:
@@ -73,19 +81,21 @@ def shingles(text: str | None, size: int) -> np.ndarray:
 
 
 def sketch(elements: np.ndarray) -> np.ndarray:
-    """256 parity bits as four longs; the bits that two sketches differ in bound the sets'."""
+    """Parity bits as longs; the bits that two sketches differ in bound the sets' difference."""
     counts = np.bincount((mixed(elements + _STEP) % np.uint64(_SKETCH)).astype(np.int64), minlength=_SKETCH)
     return np.packbits((counts & 1).astype(np.uint8)).view(np.int64)
 
 
+def _digest(elements: np.ndarray) -> tuple[int, int]:
+    return tuple(np.frombuffer(xxhash.xxh3_128_digest(elements.tobytes()), np.int64).tolist())
+
+
 @dataclass(frozen=True)
 class Bands:
-    """Size bands, and for each the numbers of segments: all, and loose ones among them."""
+    """Size bands and their segments."""
 
     percent: int
     tops: tuple[int, ...]
-    segments: tuple[int, ...] = ()
-    loose: tuple[int, ...] = ()
 
     @staticmethod
     def up_to(largest: int, percent: int) -> Bands:
@@ -103,153 +113,175 @@ class Bands:
         """Most elements in which linked sets of these sizes differ."""
         return (100 - self.percent) * (n + partner) // (100 + self.percent)
 
-    def most(self, band: int) -> int:
-        """Most elements in which any linked pair of the band's scheme differs."""
+    def segments(self, band: int) -> int:
+        """Segments of a band: one more than any linked pair differs in, and the spare ones."""
+        top = self.tops[band]
+        return self.differing(top, top * 100 // self.percent) + 1 + self.spare(band)
+
+    def spare(self, band: int) -> int:
+        """Lists that a set of the band's scheme may pass over."""
         top = self.tops[band]
-        return self.differing(top, top * 100 // self.percent)
+        return max(1, self.differing(top, top * 100 // self.percent) // 5)
 
     def schemes(self, n: int) -> Iterator[tuple[int, int]]:
         """``(scheme, most differing elements)`` under which a set of n elements is indexed.
 
         It meets larger partners, and those of its own band, in the scheme of its band;
-        and smaller ones of the band below in the scheme of that band.
+        and smaller ones of the band below in the scheme of that band. Where no element
+        may differ, only equal sets are linked, which are one class already.
         """
         band = self.of(n)
-        yield band, self.differing(n, n * 100 // self.percent)
+        if most := self.differing(n, n * 100 // self.percent):
+            yield band, most
         if band and -(-n * self.percent // 100) <= self.tops[band - 1]:
-            yield band - 1, self.differing(n, self.tops[band - 1])
-
-    def allocated(self, sets: dict[int, int]) -> Bands:
-        """With the cheapest segments for ``sets``, the number of sets in each band."""
-        segments, loose = [], []
-        for band in range(len(self.tops)):
-            n_sets = sets.get(band, 0) + sets.get(band + 1, 0)
-            most = self.most(band)
-            size = self.tops[band] * 0.8
-            best = None
-            for d in range(0, most // 2 + 2):
-                exact = max(0, most + 1 - 2 * d)
-                m = d + exact + exact // 6  # a sixth more, so that light ones can be passed over
-                each = size / m
-                entries = n_sets * (exact + d * (each + 1))
-                chance = 0.5 * n_sets**2 * (exact * 2.0 ** (-BITS * each) + d * 2.0 ** (-BITS * max(0.0, each - 2)))
-                cost = entries + COMPARE_COST * chance
-                if best is None or cost < best[0]:
-                    best = (cost, m, d)
-            segments.append(best[1])
-            loose.append(best[2])
-        return Bands(self.percent, self.tops, tuple(segments), tuple(loose))
+            if most := self.differing(n, self.tops[band - 1]):
+                yield band - 1, most
 
 
-def entries(elements: np.ndarray, bands: Bands) -> np.ndarray:
-    """The index entries of a set, as 64-bit hashes of band, segment and subset."""
-    out = []
+def bands_of(percent: int) -> Bands:
+    """Bands up to sets of two thousand million elements, the most that a text can have."""
+    return Bands.up_to(2**31, percent)
+
+
+def _keyed(hashes: np.ndarray, scheme: int) -> np.ndarray:
+    """Hashes whose last bit tells the two schemes of a set apart."""
+    return (hashes << np.uint64(1)) | np.uint64(scheme & 1)
+
+
+def _cut(elements: np.ndarray, scheme: int, m: int):
+    """``(spread, segment, sums, key)``: elements, their segments, and a hash and salt of each segment."""
     spread = mixed(elements ^ _STEP)
-    for scheme, most in bands.schemes(len(elements)):
-        m, d = bands.segments[scheme], bands.loose[scheme]
-        segment = ((spread >> np.uint64(20)) % np.uint64(m)).astype(np.int64)
-        order = np.argsort(segment, kind="stable")
-        counts = np.bincount(segment, minlength=m)
-        held = np.flatnonzero(counts)
-        sums = np.zeros(m, np.uint64)
-        starts = np.concatenate([[0], np.cumsum(counts[held])[:-1]]).astype(np.int64)
-        sums[held] = np.add.reduceat(spread[order], starts)
-        key = mixed(np.arange(m, dtype=np.uint64) + np.uint64(scheme << 32) + _STEP)
-        # d loose segments leave m + d - most equal exact ones at least, all but one may be passed over.
-        kept = max(0, most + 1 - 2 * d)
-        exact = np.arange(d, m)
-        exact = exact[np.argsort(-counts[d:], kind="stable")[:kept]]
-        out.append(mixed(sums[exact] ^ key[exact]))
-        if d:
-            out.append(mixed(sums[:d] ^ key[:d]))
-            inside = segment < d
-            out.append(mixed((sums[segment[inside]] - spread[inside]) ^ key[segment[inside]]))
-    return np.concatenate(out)
-
-
-def _profile(docs: DataFrame, size: int) -> DataFrame:
-    """``doc_id, n, c1, c2, s0..s3``: size, 128-bit digest and sketch of each set."""
+    segment = ((spread >> np.uint64(20)) % np.uint64(m)).astype(np.int64)
+    order = np.argsort(segment, kind="stable")
+    counts = np.bincount(segment, minlength=m)
+    held = np.flatnonzero(counts)
+    sums = np.zeros(m, np.uint64)
+    starts = np.concatenate([[0], np.cumsum(counts[held])[:-1]]).astype(np.int64)
+    sums[held] = np.add.reduceat(spread[order], starts)
+    key = mixed(np.arange(m, dtype=np.uint64) + np.uint64(scheme << 32) + _STEP)
+    return spread, segment, sums, key
+
+
+def indexed(elements: np.ndarray, scheme: int, bands: Bands, most: int) -> np.ndarray:
+    """The entries of the subsets that a set indexes: of ``most + 1 + spare`` segments, the fullest.
+
+    Partners have all but ``most`` segments alike. The order is the same for these, so each
+    leaves out the same ones, from the end, and ``spare + 1`` of them stay in both.
+    """
+    m = bands.segments(scheme)
+    _, segment, sums, key = _cut(elements, scheme, m)
+    full = np.argsort(-np.bincount(segment, minlength=m), kind="stable")[: most + 1 + bands.spare(scheme)]
+    return _keyed(mixed(sums[full] ^ key[full]), scheme)
 
-    def batch(rows):
-        out = {k: [] for k in ("n", "c1", "c2", "s0", "s1", "s2", "s3")}
-        for text in rows["text"]:
-            elements = shingles(text, size)
-            digest = np.frombuffer(xxhash.xxh3_128_digest(elements.tobytes()), np.int64)
-            out["n"].append(len(elements))
-            for k, v in zip(("c1", "c2"), digest.tolist(), strict=True):
-                out[k].append(v)
-            for k, v in zip(("s0", "s1", "s2", "s3"), sketch(elements).tolist(), strict=True):
-                out[k].append(v)
-        return {"doc_id": rows["doc_id"], **out}
 
-    return map_batches(
-        docs.select("doc_id", "text"),
-        batch,
-        "doc_id long, n long, c1 long, c2 long, s0 long, s1 long, s2 long, s3 long",
+def loose_entries(elements: np.ndarray, scheme: int, m: int) -> tuple[np.ndarray, np.ndarray]:
+    """``(segments, entries)``: each segment's subset, and its subsets with one element less."""
+    spread, segment, sums, key = _cut(elements, scheme, m)
+    less = mixed((sums[segment] - spread) ^ key[segment] ^ _LOOSE)
+    return (
+        np.concatenate([np.arange(m), segment]),
+        _keyed(np.concatenate([mixed(sums ^ key ^ _LOOSE), less]), scheme),
     )
 
 
-def _index(docs: DataFrame, size: int, bands: Bands) -> DataFrame:
-    """``c1, entries``: the index entries of each set, a set once in each task."""
+def entries(elements: np.ndarray, bands: Bands) -> np.ndarray:
+    """The exact entries of a set under all its schemes."""
+    out = [indexed(elements, scheme, bands, most) for scheme, most in bands.schemes(len(elements))]
+    return np.concatenate([np.zeros(0, np.uint64), *out])
+
+
+def allocate(
+    units: int, m: int, own: dict[int, int], near: dict[int, int], stay: int
+) -> tuple[list[int], list[int]] | None:
+    """``(segments asked with one unit, with two)``, or None where the long lists are cheaper.
+
+    ``units`` is what must be spent on ``m`` segments. ``own`` has the lengths of the lists
+    of the segments' subsets, ``near`` those of all lists of their neighbourhoods together,
+    where other sets stand in them, and ``stay`` is the length of the lists of the set as it
+    is. Subsets in short lists come first, then their neighbourhoods, the shortest lists first.
+    """
+    short = sorted((own.get(k, 0), k) for k in range(m) if own.get(k, 0) <= LONG)[:units]
+    missing = units - len(short)
+    extra = sorted((near.get(k, 0), k) for _, k in short)[:missing]
+    cost = sum(n for n, _ in short) + sum(n for n, _ in extra)
+    if len(extra) < missing or (extra and extra[-1][0] > LONG) or cost >= stay:
+        return None
+    twice = {k for _, k in extra}
+    return sorted(k for _, k in short if k not in twice), sorted(twice)
+
+
+def _facts(docs: DataFrame, size: int, bands: Bands) -> DataFrame:
+    """A row of each text: size and 128-bit digest of its set, and of a set once in each task its entries."""
     keep_batches_small(docs.sparkSession)
-    schema = "c1 long, entries array<long>"
+    schema = "doc_id long, t long, n long, c1 long, c2 long, entries array<long>"
     arrow = arrow_schema(schema)
 
     def run(batches):
         seen: set[int] = set()
         for b in batches:
-            keys, found = [], []
+            out = {k: [] for k in ("n", "c1", "c2", "entries")}
             for text in b.column("text").to_pylist():
                 elements = shingles(text, size)
-                if not len(elements):
-                    continue
-                c1 = int(np.frombuffer(xxhash.xxh3_128_digest(elements.tobytes()), np.int64)[0])
-                if c1 not in seen:
+                c1, c2 = _digest(elements)
+                found = None
+                if len(elements) and c1 not in seen:
                     seen.add(c1)
-                    keys.append(c1)
-                    found.append(signed(entries(elements, bands)))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(keys, pa.int64()), pa.array(found, arrow.field(1).type)], schema=arrow
-            )
+                    found = signed(entries(elements, bands))
+                for k, v in zip(out, (len(elements), c1, c2, found), strict=True):
+                    out[k].append(v)
+            columns = [b.column("doc_id"), b.column("t")] + [
+                pa.array(v, arrow.field(k).type) for k, v in out.items()
+            ]
+            yield pa.RecordBatch.from_arrays(columns, schema=arrow)
 
-    return docs.select("text").mapInArrow(run, schema)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("t"), "text")
+    return rows.mapInArrow(run, schema)
+
+
+def _small(df: DataFrame, n: int) -> DataFrame:
+    return F.broadcast(df) if n <= BROADCAST_ROWS else df
 
 
 def _may_link(percent: int) -> Column:
     """Sizes and sketches of ``x`` and ``y`` allow a link."""
     x, y = F.col("x.n"), F.col("y.n")
-    differ = sum(F.bit_count(F.col(f"x.s{k}").bitwiseXOR(F.col(f"y.s{k}"))) for k in range(4))
+    differ = sum(F.bit_count(F.col(f"x.s{k}").bitwiseXOR(F.col(f"y.s{k}"))) for k in range(_WORDS))
     return (
         (100 * F.least(x, y) >= percent * F.greatest(x, y))
         & ((100 + percent) * differ <= (100 - percent) * (x + y))
     )
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, size: int, percent: int) -> DataFrame:
-    """Those of ``pairs (a, b)`` of class ids whose sets reach the threshold."""
-    pairs = staged(pairs, "pairs")
-    wanted = staged(pairs.select("a").union(pairs.select("b")).distinct().toDF("rep"), "wanted")
-    n = wanted.count()
-    known = wanted.join(classes.select("rep", "c1"), "rep")
-    ids = known.select(F.col("rep").alias("doc_id"), F.col("c1").alias("known"))
-    texts = docs.select("doc_id", "text").join(
-        F.broadcast(ids) if n <= BROADCAST_ROWS else ids, "doc_id"
-    )
+def _sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
+    """``c1, n, s0.., elements`` of the classes ``wanted (c1, c2, t, rep)``."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("t"), "text")
+    w = _small(wanted.select("c1", "t", "rep"), wanted.count())
+    texts = rows.join(w, (rows["t"] == w["t"]) & rows["doc_id"].eqNullSafe(w["rep"]))
+    names = [f"s{k}" for k in range(_WORDS)]
 
     def batch(rows):
-        out = {"rep": [], "elements": []}
-        for i, text, c1 in zip(rows["doc_id"], rows["text"], rows["known"], strict=True):
-            data = shingles(text, size).tobytes()
-            # of rows that repeat an id, the one whose set the class has
-            if int(np.frombuffer(xxhash.xxh3_128_digest(data), np.int64)[0]) == c1:
-                out["rep"].append(i)
-                out["elements"].append(data)
+        out = {k: [] for k in ("c1", "n", *names, "elements")}
+        for c1, text in zip(rows["c1"], rows["text"], strict=True):
+            elements = shingles(text, size)
+            for k, v in zip(out, (c1, len(elements), *sketch(elements).tolist(), elements.tobytes()), strict=True):
+                out[k].append(v)
         return out
 
-    sets = map_batches(texts, batch, "rep long, elements binary").dropDuplicates(["rep"])
-    sets = staged(sets, "sets")
-    left = sets.select(F.col("rep").alias("a"), F.col("elements").alias("x"))
-    right = sets.select(F.col("rep").alias("b"), F.col("elements").alias("y"))
+    schema = "c1 long, n long, " + "".join(f"{s} long, " for s in names) + "elements binary"
+    return map_batches(texts.select("c1", "text"), batch, schema).dropDuplicates(["c1"])
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Those of ``pairs (a, b)`` whose sets reach the threshold; ``b`` may stand in very many."""
+    n_pairs = F.count("*").alias("n_pairs")
+    blocks = pairs.groupBy("b").agg(n_pairs).select("b", F.ceil(F.col("n_pairs") / HUB_BLOCK).cast("int").alias("blocks"))
+    left = sets.select(F.col("c1").alias("a"), F.col("elements").alias("x"))
+    right = (
+        blocks.join(sets.select(F.col("c1").alias("b"), F.col("elements").alias("y")), "b")
+        .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .drop("blocks")
+    )
+    keyed = pairs.join(blocks, "b").select("a", "b", F.pmod(F.hash("a"), F.col("blocks")).alias("block"))
 
     def compare(rows):
         out = {"a": [], "b": []}
@@ -261,102 +293,184 @@ def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, size: int,
                 out["b"].append(b)
         return out
 
-    return map_batches(pairs.join(left, "a").join(right, "b"), compare, "a long, b long")
+    both = keyed.join(left, "a").join(right, ["b", "block"]).select("a", "b", "x", "y")
+    return map_batches(both, compare, "a long, b long")
 
 
-def components(docs: DataFrame, percent: int = 85, size: int = 4) -> DataFrame:
-    """``doc_id, n_shingles, component_id``: the least id that links lead to, for every row."""
-    profile = staged(_profile(docs, size), "sets")
-    sketches = [F.first(f"s{k}").alias(f"s{k}") for k in range(4)]
-    classes = staged(
-        profile.where("n > 0").groupBy("c1", "c2").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), *sketches),
-        "classes",
-    )
-    usable = classes.where("rep is not null")
-    largest = usable.agg(F.max("n")).first()[0] or 1
-    bands = Bands.up_to(largest, percent)
-    tops = F.array(*[F.lit(t) for t in bands.tops])
-    band = F.size(F.filter(tops, lambda t: t < F.col("n")))
-    sets = {r.band: r["count"] for r in usable.groupBy(band.alias("band")).count().collect()}
-    bands = bands.allocated(sets)
-
-    index = staged(_index(docs, size, bands), "index")
-    listed = index.select(F.explode("entries").alias("entry"), "c1")
-    hubs = listed.groupBy("entry").agg(F.min("c1").alias("hub"), F.max("c1").alias("top"))
-    shared = staged(
-        listed.join(hubs.where("hub < top").select("entry", "hub"), "entry").distinct(), "shared"
+def _left_lists(hot: DataFrame, sets: DataFrame, bands: Bands) -> tuple[DataFrame, DataFrame]:
+    """``(met, left)`` of the sets ``hot (c1, parity, stay)`` that stand in long lists.
+
+    ``left (c1, parity)`` are those that leave the long lists, and ``met (entry, c1)`` the
+    lists of subsets and neighbourhoods that they ask, with all of ``hot`` that are in them.
+    """
+
+    def batch(rows):
+        out = {k: [] for k in ("c1", "parity", "units", "m", "stay", "segments", "loose")}
+        for c1, parity, stay, data in zip(*(rows[k] for k in ("c1", "parity", "stay", "elements")), strict=True):
+            elements = np.frombuffer(data, np.uint64)
+            for scheme, most in bands.schemes(len(elements)):
+                if scheme & 1 == parity:
+                    m = bands.segments(scheme)
+                    segments, loose = loose_entries(elements, scheme, m)
+                    for k, v in zip(out, (c1, parity, most + 1, m, stay, segments, signed(loose)), strict=True):
+                        out[k].append(v)
+        return out
+
+    schema = "c1 long, parity long, units long, m long, stay long, segments array<long>, loose array<long>"
+    near = staged(map_batches(hot.join(sets.select("c1", "elements"), "c1"), batch, schema), "neighbourhoods")
+    # the first m entries are the subsets themselves
+    each = near.select("c1", "parity", "m", F.posexplode(F.arrays_zip("segments", "loose")).alias("at", "e")).select(
+        "c1", "parity", (F.col("at") < F.col("m")).alias("own"), F.col("e.segments").alias("segment"), F.col("e.loose").alias("entry")
+    )
+    lengths = each.groupBy("entry").agg(F.count("*").alias("length")).where("length > 1")
+    costs = (
+        each.join(lengths, "entry")
+        .groupBy("c1", "parity", "segment")
+        .agg(F.sum("length").alias("near"), F.coalesce(F.sum(F.when(F.col("own"), F.col("length"))), F.lit(0)).alias("own"))
+        .groupBy("c1", "parity")
+        .agg(*[F.collect_list(F.struct("segment", k)).alias(k) for k in ("near", "own")])
     )
-    spokes = shared.where("c1 <> hub").select("c1", "hub").distinct()
-    hub_side = usable.alias("y").withColumnRenamed("c1", "hub")
-    met = (
-        spokes.join(usable.alias("x"), "c1")
-        .join(hub_side.alias("y"), "hub")
-        .where(_may_link(percent) & (F.col("x.rep") != F.col("y.rep")))
-        .select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b"))
-        .distinct()
+
+    def choose(rows):
+        out = {k: [] for k in ("c1", "parity", "twice", "asked")}
+        for c1, parity, units, m, stay, segments, loose, near, own in zip(
+            *(rows[k] for k in ("c1", "parity", "units", "m", "stay", "segments", "loose", "near", "own")), strict=True
+        ):
+            lengths = [{e["segment"]: e[k] for e in v or []} for k, v in (("own", own), ("near", near))]
+            if (found := allocate(units, m, *lengths, stay)) is not None:
+                once, twice = map(set, found)
+                asked = [e for k, (s, e) in enumerate(zip(segments, loose, strict=True)) if s in twice or (k < m and s in once)]
+                for k, v in zip(out, (c1, parity, sorted(twice), asked), strict=True):
+                    out[k].append(v)
+        return out
+
+    chosen = map_batches(
+        near.join(costs, ["c1", "parity"], "left"), choose, "c1 long, parity long, twice array<long>, asked array<long>"
     )
-    met = staged(met, "met")
-    links = staged(_verified(met, docs, classes, size, percent), "links")
-    joined = staged(connected_components(links), "components")
-
-    def unresolved(state: DataFrame) -> DataFrame:
-        """Rows of the entries whose classes still lie in several components."""
-        placed = (
-            shared.select("entry", "c1")
-            .join(usable, "c1")
-            .join(state.withColumnRenamed("node", "rep"), "rep", "left")
-            .withColumn("component", F.coalesce("component", "rep"))
-        )
+    chosen = staged(chosen, "chosen")
+    asked = chosen.select(F.explode("asked").alias("entry")).distinct()
+    met = each.select("entry", "c1").join(asked, "entry", "left_semi").distinct()
+    return met, chosen.select("c1", "parity")
+
+
+def _joined(state: DataFrame | None, links: DataFrame) -> DataFrame:
+    """``c1, component`` after further ``links (a, b)``; classes without links have no row."""
+    if state is None:
+        return staged(connected_components(links).toDF("c1", "component"), "components")
+    named = links
+    for side in ("a", "b"):
+        own = state.select(F.col("c1").alias(side), F.col("component").alias("_to"))
+        named = named.join(own, side, "left").withColumn(side, F.coalesce("_to", side)).drop("_to")
+    moved = connected_components(staged(named, "links")).toDF("component", "_to")
+    old = state.join(moved, "component", "left").select("c1", F.coalesce("_to", "component").alias("component"))
+    new = moved.join(state.select("component").distinct(), "component", "left_anti").toDF("c1", "component")
+    return staged(old.unionByName(new), "components")
+
+
+def _linked(lists: DataFrame, sets: DataFrame, percent: int) -> DataFrame | None:
+    """``c1, component`` from all links between sets that share one of ``lists (entry, c1)``."""
+    light = sets.drop("elements")
+    popular = lists.groupBy("c1").agg(F.count("*").alias("popular"))
+    rows = staged(lists.join(popular, "c1").join(light, "c1"), "lists")
+    state, met = None, None
+    for turn in range(HUB_TURNS + 1):
+        component = F.col("c1")
+        placed = rows.withColumn("component", component)
+        if state is not None:
+            placed = rows.join(state, "c1", "left").withColumn("component", F.coalesce("component", "c1"))
         spread = placed.groupBy("entry").agg(
-            F.min("component").alias("low"), F.max("component").alias("high")
+            F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("length")
         )
-        return placed.join(spread.where("low < high").select("entry"), "entry")
-
-    # Other hubs first, which join what is left of a group by a few comparisons of each class.
-    for turn in range(HUB_TURNS):
-        open_rows = staged(unresolved(joined), "open")
-        order = F.xxhash64("rep", F.col("entry") % HUBS, F.lit(turn))
-        hub = F.min_by(F.struct("rep", "component", "n", "s0", "s1", "s2", "s3"), order).alias("y")
-        hub_of = open_rows.groupBy("entry").agg(hub)
-        near = (
-            open_rows.alias("x")
-            .join(hub_of, "entry")
-            .where((F.col("x.component") != F.col("y.component")) & _may_link(percent))
-            .select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b"))
-            .distinct()
+        spread = spread.where("low < high").select("entry", "length")
+        rows_open = staged(placed.join(spread, "entry"), "open")
+        paired = F.lit(True)
+        if turn < HUB_TURNS:
+            paired = F.col("length") <= (LONG if turn else PAIRED)
+        x, y = rows_open.where(paired).alias("x"), rows_open.where(paired).alias("y")
+        apart = (F.col("x.component") != F.col("y.component")) & _may_link(percent)
+        near = x.join(y, (F.col("x.entry") == F.col("y.entry")) & (F.col("x.c1") < F.col("y.c1")) & apart).select(
+            F.col("x.c1").alias("a"), F.col("y.c1").alias("b")
         )
-        near = staged(staged(near, "near").join(met, ["a", "b"], "left_anti"), "near")
-        more = staged(_verified(near, docs, classes, size, percent), "links")
-        if more.isEmpty():
+        longer = rows_open.where(~paired)
+        if turn < HUB_TURNS:
+            # the hub is of the largest component at first, then of any; of its most popular sets
+            order = F.struct(F.xxhash64("component", F.lit(turn)), "popular", "c1") if turn else F.struct("popular", "c1")
+            own = F.struct("c1", "component", "n", *[f"s{k}" for k in range(_WORDS)])
+            hubs = longer.groupBy("entry").agg(F.max_by(own, order).alias("y"))
+            hubs = hubs.select("entry", "y.*")
+            spokes = longer.alias("x").join(hubs.alias("y"), (F.col("x.entry") == F.col("y.entry")) & apart)
+            near = near.union(spokes.select(F.col("x.c1").alias("a"), F.col("y.c1").alias("b")))
+        near = near.distinct()
+        if met is not None:
+            near = near.join(met, ["a", "b"], "left_anti")
+        near = staged(near, "pairs")
+        if not near.isEmpty():
+            links = staged(_verified(near, sets, percent), "links")
+            if not links.isEmpty():
+                state = _joined(state, links)
+            met = near if met is None else met.unionByName(near)
+        rows = longer.select(rows.columns)
+        if rows.isEmpty():
             break
-        met, links = met.unionByName(near), links.unionByName(more)
-        joined = staged(connected_components(links), "components")
-
-    # Then all pairs across components, so that none is missed.
-    across = staged(unresolved(joined), "across")
-    x, y = across.alias("x"), across.alias("y")
-    pairs = x.join(
-        y,
-        (F.col("x.entry") == F.col("y.entry"))
-        & (F.col("x.rep") < F.col("y.rep"))
-        & (F.col("x.component") != F.col("y.component"))
-        & _may_link(percent),
-    ).select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct()
-    pairs = staged(pairs, "across").join(met, ["a", "b"], "left_anti")
-    more = staged(_verified(pairs, docs, classes, size, percent), "links")
-    if not more.isEmpty():
-        joined = staged(connected_components(links.unionByName(more)), "components")
-
-    named = profile.join(classes.select("c1", "c2", "rep"), ["c1", "c2"], "left").join(
-        joined.withColumnRenamed("node", "rep"), "rep", "left"
+    return state
+
+
+def components(docs: DataFrame, percent: int = 85, size: int = 4) -> DataFrame:
+    """``doc_id, n_shingles, component_id``: the least id that links lead to, for every row."""
+    bands = bands_of(percent)
+    facts = staged(_facts(docs, size, bands), "facts")
+    classes = staged(
+        facts.where("n > 0")
+        .groupBy("c1", "c2")
+        .agg(
+            F.min("doc_id").alias("rep"),
+            F.min_by("t", F.struct(F.col("doc_id").isNull(), "doc_id")).alias("t"),
+            F.first("n").alias("n"),
+        ),
+        "classes",
+    )
+    listed = facts.select("c1", F.explode("entries").alias("entry"))
+    several = listed.groupBy("entry").agg(F.min("c1").alias("low"), F.max("c1").alias("high")).where("low < high")
+    shared = staged(listed.join(several.select("entry"), "entry").distinct(), "shared")
+    lengths = shared.groupBy("entry").agg(F.count("*").alias("length"))
+    # What a set has in lists of several sets, the longest first; the first ones are passed over.
+    band = F.size(F.filter(F.array(*[F.lit(t) for t in bands.tops]), lambda t: t < F.col("n")))
+    scheme = band - (band.bitwiseAND(F.lit(1)) != F.col("parity")).cast("int")
+    spare = F.array(*[F.lit(bands.spare(k)) for k in range(len(bands.tops))])
+    offers = (
+        shared.join(lengths, "entry")
+        .groupBy("c1", F.col("entry").bitwiseAND(F.lit(1)).alias("parity"))
+        .agg(F.sort_array(F.collect_list(F.struct("length", "entry")), asc=False).alias("found"))
+        .join(classes.select("c1", "n"), "c1")
+        .withColumn("spare", F.get(spare, scheme))
+        .where(F.size("found") > F.col("spare"))
+        .withColumn("kept", F.slice("found", F.col("spare") + 1, F.size("found")))
+        .withColumn("hot", F.col("kept")[0]["length"] > LONG)
+        .withColumn("stay", F.aggregate("kept", F.lit(0).cast("long"), lambda total, e: total + e["length"]))
     )
-    alone = F.col("n") == 0
-    return named.select(
+    offers = staged(offers, "offers")
+    wanted = staged(classes.join(offers.select("c1").distinct(), "c1"), "wanted")
+    sets = staged(_sets(docs, wanted, size), "sets")
+
+    kept = offers.select("c1", "parity", F.inline("kept"))
+    found = offers.select("c1", F.inline("found"))
+    met, left = _left_lists(offers.where("hot").select("c1", "parity", "stay"), sets, bands)
+    stay = kept.join(left, ["c1", "parity"], "left_anti")
+    asked = stay.where(F.col("length") <= LONG).select("entry").distinct()
+    short = found.where(F.col("length") <= LONG).select("entry", "c1").join(asked, "entry", "left_semi")
+    long = stay.where(F.col("length") > LONG).select("entry", "c1")
+    joined = _linked(short.union(long).union(met), sets, percent)
+
+    named = facts.select("doc_id", "n", "c1", "c2").join(classes.select("c1", "c2", "rep"), ["c1", "c2"], "left")
+    if joined is None:
+        component = named.withColumn("least", F.lit(None).cast("long"))
+    else:
+        least = joined.join(classes.select("c1", "rep"), "c1").groupBy("component").agg(F.min("rep").alias("least"))
+        component = named.join(joined.join(least, "component").select("c1", "least"), "c1", "left")
+    return component.select(
         "doc_id",
         F.col("n").alias("n_shingles"),
-        F.when(alone, F.col("doc_id"))
-        .otherwise(F.coalesce("component", "rep", "doc_id"))
-        .alias("component_id"),
+        F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.coalesce("least", "rep", "doc_id")).alias("component_id"),
     )
 
 
@@ -366,10 +480,7 @@ def first_of_each(docs: DataFrame, percent: int = 85, size: int = 4) -> DataFram
     dropped = staged(
         grouped.where("doc_id <> component_id").select("doc_id").distinct(), "dropped"
     )
-    n = dropped.count()
-    return docs.join(
-        F.broadcast(dropped) if n <= BROADCAST_ROWS else dropped, "doc_id", "left_anti"
-    ).select(docs.columns)
+    return docs.join(_small(dropped, dropped.count()), "doc_id", "left_anti").select(docs.columns)
 
 
 def one_of_each(docs: DataFrame, percent: int = 85, size: int = 4) -> DataFrame:
@@ -378,6 +489,7 @@ def one_of_each(docs: DataFrame, percent: int = 85, size: int = 4) -> DataFrame:
     Rows are linked by their own texts and known by a hash of id and text, so ids may repeat
     or be null. Texts without words have no near copies, and all their rows stay.
     """
+    own = fresh(docs, "row_key")
     key = F.xxhash64("doc_id", F.col("doc_id").isNull(), "text")
     rows = docs.groupBy(key.alias("row_key"), "doc_id").agg(F.count("*").alias("times"))
     grouped = components(docs.select(key.alias("doc_id"), "text"), percent, size)
@@ -388,14 +500,11 @@ def one_of_each(docs: DataFrame, percent: int = 85, size: int = 4) -> DataFrame:
     dropped = staged(members.select("row_key").join(kept, "row_key", "left_anti"), "dropped")
     repeated = staged(members.where("times > 1").select("row_key").join(kept, "row_key"), "repeated")
     counts = dropped.count(), repeated.count()
-    dropped, repeated = (
-        F.broadcast(x) if n <= BROADCAST_ROWS else x
-        for x, n in zip((dropped, repeated), counts, strict=True)
-    )
-    out = docs.withColumn("row_key", key).join(dropped, "row_key", "left_anti")
+    dropped, repeated = (_small(x, n).toDF(own) for x, n in zip((dropped, repeated), counts, strict=True))
+    out = docs.withColumn(own, key).join(dropped, own, "left_anti")
     if counts[1]:
-        once = out.join(repeated, "row_key", "left_semi").dropDuplicates(["row_key"])
-        out = out.join(repeated, "row_key", "left_anti").unionByName(once)
+        once = out.join(repeated, own, "left_semi").dropDuplicates([own])
+        out = out.join(repeated, own, "left_anti").unionByName(once)
     return out.select(docs.columns)
 
 

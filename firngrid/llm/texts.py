@@ -90,6 +90,14 @@ def signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, with underscores before it until ``df`` has no such column."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name = f"_{name}"
+    return name
+
+
 def sampled(df: DataFrame, wanted: int) -> DataFrame:
     """The ``wanted`` distinct texts of ``df (text)`` with the least hashes, or all if fewer.
 

@@ -218,34 +218,70 @@ def _components(sets, percent):
     return {i: root(i) for i in ids}
 
 
-@pytest.mark.parametrize(("percent", "size", "bits"), [(85, 4, 10.0), (80, 5, 10.0), (60, 2, 0.5), (85, 4, 0.2)])
-def test_components_equal_brute_force(spark, corpus, monkeypatch, percent, size, bits):
-    monkeypatch.setattr(jaccard_join, "BITS", bits)
+@pytest.mark.parametrize(("percent", "size", "long"), [(85, 4, 32), (80, 5, 32), (60, 2, 32), (85, 4, 3), (80, 5, 2)])
+def test_components_equal_brute_force(spark, corpus, monkeypatch, percent, size, long):
+    monkeypatch.setattr(jaccard_join, "LONG", long)
+    monkeypatch.setattr(jaccard_join, "PAIRED", min(8, long))
     sets = _sets(corpus, size)
     expected = _components(sets, percent)
     found = jaccard_join.components(documents(spark, corpus), percent, size).collect()
     assert sorted(map(tuple, found)) == sorted((i, len(sets[i]), expected[i]) for i, _ in corpus)
 
 
-@pytest.mark.parametrize("bits", [0.1, 1.0, 3.0, 20.0])
-def test_linked_sets_share_an_index_entry(monkeypatch, bits):
-    monkeypatch.setattr(jaccard_join, "BITS", bits)
+def test_long_lists_are_left_by_loose_segments(spark, monkeypatch):
+    rng = random.Random(4)
+    words = vocabulary(4000, 3)
+    passage = [rng.choice(words) for _ in range(150)]
+    rows = [(k, " ".join(passage[: 60 + k % 30] + [rng.choice(words) for _ in range(30)])) for k in range(120)]
+    for k in range(120, 260):  # near copies, from very near to not linked
+        near = list(passage)
+        for at in rng.sample(range(len(near)), k % 9):
+            near[at] = rng.choice(words)
+        rows.append((k, " ".join(near)))
+    seen = {}
+    real = jaccard_join.staged
+    monkeypatch.setattr(jaccard_join, "staged", lambda df, name: seen.setdefault(name, real(df, name)) if name == "chosen" else real(df, name))
+    sets = _sets(rows, 4)
+    expected = _components(sets, 85)
+    found = jaccard_join.components(documents(spark, rows)).collect()
+    assert sorted(map(tuple, found)) == sorted((i, len(sets[i]), expected[i]) for i, _ in rows)
+    assert seen["chosen"].where("size(twice) > 0").count() > 10
+
+
+def test_linked_sets_meet_however_the_units_are_spent():
     rng = np.random.default_rng(7)
     for percent in (80, 85, 90):
-        bands = jaccard_join.Bands.up_to(600, percent).allocated({k: 10_000 for k in range(40)})
+        bands = jaccard_join.bands_of(percent)
         for _ in range(400):
             n = int(rng.integers(1, 300))
             base = rng.integers(0, 2**63, 2 * n + 4, dtype=np.int64).view(np.uint64)
             cut, more = int(rng.integers(0, n // 5 + 1)), int(rng.integers(0, n // 5 + 2))
             a, b = np.unique(base[:n]), np.unique(np.concatenate([base[cut:n], base[n : n + more]]))
             met = len(np.intersect1d(a, b))
-            if len(b) and 100 * met >= percent * (len(a) + len(b) - met):
-                assert len(np.intersect1d(jaccard_join.entries(a, bands), jaccard_join.entries(b, bands)))
-
-
-def test_loose_segments_are_allocated():
-    bands = jaccard_join.Bands.up_to(50, 85).allocated({k: 10**9 for k in range(20)})
-    assert any(bands.loose)
+            if not len(b) or 100 * met < percent * (len(a) + len(b) - met) or met == len(a) == len(b):
+                continue
+            both = dict(bands.schemes(len(a))), dict(bands.schemes(len(b)))
+            scheme = min(both[0].keys() & both[1].keys())
+            m, units = bands.segments(scheme), both[0][scheme] + 1
+            spent = np.zeros(m, int)
+            while spent.sum() < units:
+                at = int(rng.integers(m))
+                spent[at] = min(2, spent[at] + int(rng.integers(1, 3)))
+            (s, x), (t, y) = jaccard_join.loose_entries(a, scheme, m), jaccard_join.loose_entries(b, scheme, m)
+            loose = any(len(np.intersect1d(x[s == k], y[t == k])) for k in np.flatnonzero(spent == 2))
+            assert loose or (x[:m] == y[:m])[spent == 1].any()
+            both_index = [jaccard_join.indexed(e, scheme, bands, v[scheme]) for e, v in zip((a, b), both, strict=True)]
+            assert len(np.intersect1d(*both_index)) > bands.spare(scheme)
+
+
+def test_units_go_where_lists_are_short():
+    own = {0: 5000, 1: 5000, 2: 3}
+    assert jaccard_join.allocate(2, 4, own, {}, 5003) == ([2, 3], [])
+    assert jaccard_join.allocate(3, 4, own, {}, 5003) == ([3], [2])
+    assert jaccard_join.allocate(3, 4, own, {2: 30, 3: 9}, 5003) == ([2], [3])
+    assert jaccard_join.allocate(3, 4, own, {2: 40, 3: 50}, 5003) is None  # no short neighbourhood
+    assert jaccard_join.allocate(3, 4, own, {2: 20, 3: 20}, 15) is None  # staying costs less
+    assert jaccard_join.allocate(5, 4, own, {}, 5003) is None  # not enough units
 
 
 def test_first_of_each(spark, corpus):
