@@ -40,6 +40,8 @@ def connected_components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
         if mark == before:
             break
         before = mark
+    else:
+        raise RuntimeError(f"components have not settled in {max_rounds} rounds")
     return pairs.select(F.col("a").alias("node"), F.col("b").alias("component")).union(
         pairs.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     )

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from firngrid.operators import focal
 from firngrid.operators.components import connected_components
-from firngrid.sources.shared import staged
+from firngrid.sources.shared import grown, staged
 
 EIGHT = [(a, b, 1.0) for b in (-1, 0, 1) for a in (-1, 0, 1) if (a, b) != (0, 0)]
 FOUR = [(1, 0), (-1, 0), (0, 1), (0, -1)]
@@ -53,7 +53,7 @@ def spill_levels(cells: DataFrame, height: str, size: int = 128, max_rounds: int
     known = cells.where(F.col(height).isNotNull()).select("cell", "i", "j", F.col(height).cast("double").alias("z"))
     border = edge_cells(known, "z").select("cell", F.lit(True).alias("border"))
     state = known.join(border, "cell", "left").select(
-        "cell", "i", "j", "z", F.coalesce("border", F.lit(False)).alias("border"), F.lit(math.inf).alias("spill")
+        "cell", "i", "j", "z", F.coalesce("border", F.lit(False)).alias("border"), F.lit(math.inf).alias("spill"), F.lit(False).alias("lower")
     )
     state = staged(state, "spill")
 
@@ -82,18 +82,18 @@ def spill_levels(cells: DataFrame, height: str, size: int = 128, max_rounds: int
                         heapq.heappush(queue, (new, q, p))
         out = frame[own].copy()
         out["spill"] = level[jj[own], ii[own]]
-        return out[["cell", "i", "j", "z", "border", "spill"]]
+        out["lower"] = out["spill"] < frame["spill"][own]
+        return out[["cell", "i", "j", "z", "border", "spill", "lower"]]
 
     span = lambda c: F.sequence(F.floor((F.col(c) - 1) / size).cast("int"), F.floor((F.col(c) + 1) / size).cast("int"))
-    before = None
     for _ in range(max_rounds):
         dealt = state.select("*", F.explode(span("i")).alias("ti"), span("j").alias("tjs")).select("cell", "i", "j", "z", "border", "spill", "ti", F.explode("tjs").alias("tj"))
         flooded = dealt.groupBy("ti", "tj").applyInPandas(flood, state.schema)
         state = staged(flooded, "spill")
-        now = state.agg(F.count_if(F.col("spill") == math.inf), F.sum(F.when(F.col("spill") < math.inf, F.col("spill")))).first()
-        if now == before:
+        if state.where("lower").isEmpty():
             break
-        before = now
+    else:
+        raise RuntimeError(f"levels have not settled in {max_rounds} rounds")
     return state.select("cell", "i", "j", "spill")
 
 
@@ -155,34 +155,36 @@ def runout(
     placed = release.join(terrain, "cell")
     top = placed.groupBy("pra_id").agg(F.max_by(F.struct("i", "j", "h"), F.struct("h", -F.col("cell"))).alias("top"))
     top = staged(top, "top")
-    seen = staged(release.select("pra_id", "cell").distinct(), "seen")
-    frontier = seen
+    frontier = staged(release.select("pra_id", "cell").distinct(), "seen")
+    seen = grown(frontier, "seen")
     steep = math.tan(math.radians(min_alpha))
     for _ in range(max_rounds):
         reached = frontier.join(edges, "cell").select("pra_id", F.col("other").alias("cell")).distinct()
-        fresh = staged(reached.join(seen, ["pra_id", "cell"], "left_anti"), "fresh")
+        fresh = staged(reached.join(seen(), ["pra_id", "cell"], "left_anti"), "fresh")
         if fresh.isEmpty():
             break
-        seen = staged(seen.unionByName(fresh), "seen")
+        seen = grown(fresh, "seen", seen)
         at = fresh.join(terrain, "cell").join(top, "pra_id")
         away = size * F.hypot(F.col("i") - F.col("top.i"), F.col("j") - F.col("top.j"))
         goes_on = (away <= max_runout) & (F.col("top.h") - F.coalesce("h", F.lit(0.0)) >= steep * away)
         frontier = at.where(goes_on).select("pra_id", "cell")
-    void = seen.join(terrain.where("void"), "cell", "left_semi").select("pra_id").distinct()
-    return seen.join(void, "pra_id", "left_anti")
+    else:
+        raise RuntimeError(f"runouts have not ended in {max_rounds} rounds")
+    void = seen().join(terrain.where("void"), "cell", "left_semi").select("pra_id").distinct()
+    return seen().join(void, "pra_id", "left_anti")
 
 
 def reachable(start: DataFrame, edges: DataFrame, max_rounds: int = 100_000) -> DataFrame:
     """``root, cell`` that ``start (root, cell)`` leads to along ``edges (cell, next_cell)``."""
-    seen = staged(start.select("root", "cell").distinct(), "seen")
-    frontier = seen
+    frontier = staged(start.select("root", "cell").distinct(), "seen")
+    seen = grown(frontier, "seen")
     for _ in range(max_rounds):
         reached = frontier.join(edges, "cell").where("next_cell >= 0").select("root", F.col("next_cell").alias("cell")).distinct()
-        frontier = staged(reached.join(seen, ["root", "cell"], "left_anti"), "fresh")
+        frontier = staged(reached.join(seen(), ["root", "cell"], "left_anti"), "fresh")
         if frontier.isEmpty():
-            return seen
-        seen = staged(seen.unionByName(frontier), "seen")
-    return seen
+            return seen()
+        seen = grown(frontier, "seen", seen)
+    raise RuntimeError(f"paths have not ended in {max_rounds} rounds")
 
 
 def _beside(cells: DataFrame, key: str) -> DataFrame:

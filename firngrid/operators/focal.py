@@ -7,6 +7,7 @@ halo, for kernels of many cells.
 
 from __future__ import annotations
 
+import itertools
 import math
 
 import numpy as np
@@ -233,22 +234,27 @@ def gaussian_weights(sigma: float, truncate: float = 4.0) -> list[float]:
 def blur(cells: DataFrame, band: str, sigma: float) -> DataFrame:
     """``i, j, band`` by a Gaussian with mirrored borders, in a pass along each axis.
 
-    Borders are mirrored once, so the reach of the kernel must not exceed the grid.
+    A grid narrower than the kernel is mirrored again and again.
     Unknown cells are left out and the rest reweighted, which fills holes.
     """
-    nx, ny = grid_size(cells)
+    size = grid_size(cells)
     w = gaussian_weights(sigma)
     r = len(w) // 2
-    if r > min(nx, ny):
-        r = min(nx, ny)
-        w = w[len(w) // 2 - r : len(w) // 2 + r + 1]
     out = cells.select("i", "j", band)
-    for axis in (0, 1):
+    for axis, (name, n) in enumerate(zip("ij", size, strict=True)):
         offsets = [((d, 0) if axis == 0 else (0, d)) + (x,) for d, x in zip(range(-r, r + 1), w, strict=True)]
-        out = _inside(mean(mirrored(out, nx, ny, r), band, offsets), nx, ny)
+        out = _inside(mean(reflected(out, name, n, r), band, offsets), *size)
     return out
 
 
+def reflected(cells: DataFrame, axis: str, n: int, reach: int) -> DataFrame:
+    """``cells`` and their images along one axis of ``n`` cells, up to ``reach`` beyond the borders."""
+    turns = range(-(reach // (2 * n)) - 1, reach // (2 * n) + 2)
+    images = F.array(*[F.struct(F.lit(s).alias("_sign"), F.lit(2 * n * k - (s < 0)).alias("_shift")) for k in turns for s in (1, -1)])
+    at = F.col(axis) * F.col("_sign") + F.col("_shift")
+    return cells.select("*", F.inline(images)).withColumn(axis, at.cast("int")).where(F.col(axis).between(-reach, n - 1 + reach)).drop("_sign", "_shift")
+
+
 def blur_by_height(cells: DataFrame, band: str, height: str, size: float, sigma: tuple[float, float, float]) -> DataFrame:
     """Gaussian mean over cells near in plan and height, within two sigmas."""
     reach = 2 * max(sigma[:2])
@@ -322,16 +328,26 @@ def cleaned_lapse(cells: DataFrame, least_height: float = 200.0) -> DataFrame:
     return cells.crossJoin(F.broadcast(middle)).withColumn("lapse", value).drop("_mean")
 
 
-def filled(cells: DataFrame, band: str, passes: int = 20) -> DataFrame:
-    """Unknown cells by repeated means of the four neighbours; known ones stay."""
+def filled(cells: DataFrame, band: str, passes: int | None = None) -> DataFrame:
+    """Unknown cells by repeated means of the four neighbours; known ones stay.
+
+    Without ``passes`` it goes on until a pass fills no further cell, however wide the holes are.
+    """
     cross = [(0, 1, 1.0), (1, 0, 1.0), (0, -1, 1.0), (-1, 0, 1.0)]
     known = cells.select("i", "j", F.col(band).alias("known"))
     out = known.withColumn(band, F.col("known"))
-    for k in range(passes):
+    unknown = None
+    for k in itertools.count():
+        if k == passes:
+            break
         near = mean(out.select("i", "j", band), band, cross).withColumnRenamed(band, "near")
         out = known.join(near, ["i", "j"], "left").select("i", "j", "known", F.coalesce("known", "near").alias(band))
         if k % 4 == 3:
             out = staged(out, "filled")
+            left = out.where(F.col(band).isNull()).count() if passes is None else None
+            if passes is None and left in (0, unknown):
+                break
+            unknown = left
     return out.select("i", "j", band)
 
 

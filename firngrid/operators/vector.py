@@ -36,27 +36,32 @@ def burn(polygons: DataFrame, key: str, keep: list[str] | None = None) -> DataFr
     return cells.where(inside_ring(F.col("i") + 0.5, F.col("j") + 0.5, F.col("ring"))).drop("ring")
 
 
-def nearest(points: DataFrame, targets: DataFrame, k: int, bin_size: int, reach_bins: int) -> DataFrame:
+def nearest(points: DataFrame, targets: DataFrame, k: int, bin_size: int) -> DataFrame:
     """``cell, distance`` of the ``k`` targets nearest to each of ``points (cell, i, j)``.
 
-    Points look in the bins around them, one ring of bins after the other, until the k-th
-    target is nearer than anything outside of the rings looked at.
+    Points look in the bins around them, in twice as many rings each time, until the k-th
+    target is nearer than anything outside of the rings looked at, or these hold all targets.
     """
     binned = lambda df: df.withColumns({"bi": F.floor(F.col("i") / bin_size).cast("int"), "bj": F.floor(F.col("j") / bin_size).cast("int")})
     todo, goal = binned(points.select("cell", "i", "j")), staged(binned(targets.select(F.col("i").alias("ti"), F.col("j").alias("tj"), "i", "j")).drop("i", "j"), "targets")
-    done = None
-    for ring in range(1, reach_bins + 1):
+    span = [F.max(c) for c in ("bi", "bj")] + [F.min(c) for c in ("bi", "bj")]
+    ends = todo.select("bi", "bj").union(goal.select("bi", "bj")).agg(*span).first()
+    widest = 0 if ends[0] is None else max(ends[0] - ends[2], ends[1] - ends[3])
+    done, ring = None, 1
+    while True:
+        last = ring >= widest
         near = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a in range(-ring, ring + 1) for b in range(-ring, ring + 1)])
         wide = todo.select("cell", "i", "j", "bi", "bj", F.inline(near)).select("cell", "i", "j", (F.col("bi") + F.col("a")).alias("bi"), (F.col("bj") + F.col("b")).alias("bj"))
         away = F.hypot((F.col("i") - F.col("ti")).cast("double"), (F.col("j") - F.col("tj")).cast("double"))
         found = wide.join(goal, ["bi", "bj"]).groupBy("cell").agg(F.slice(F.sort_array(F.collect_list(away)), 1, k).alias("near"))
         found = staged(todo.join(found, "cell", "left"), "near")
         enough = (F.size("near") == k) & (F.element_at("near", -1) <= ring * bin_size)
-        sure = found.where(enough if ring < reach_bins else F.lit(True)).select("cell", F.explode("near").alias("distance"))
+        sure = found.where(F.lit(True) if last else enough).select("cell", F.explode("near").alias("distance"))
         done = sure if done is None else done.unionByName(sure)
         todo = found.where(~F.coalesce(enough, F.lit(False))).drop("near")
-        if ring == reach_bins or todo.isEmpty():
+        if last or todo.isEmpty():
             break
+        ring = min(2 * ring, widest)
     return done
 
 

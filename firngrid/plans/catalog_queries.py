@@ -10,19 +10,20 @@ from firngrid.operators import catalog, status
 from firngrid.plans.registry import query
 
 
-@query("t_01_tile_grid", "", """
+@query("t_01_tile_grid", "dem", """
 select cast(i as int) as idom, cast(j as int) as jdom, 100 + i * 30.0::double as x0, 500 - (j + 1) * 30.0::double as y0, 130 + i * 30.0::double as x1, 500 - j * 30.0::double as y1,
   92 + i * 30.0::double as mx0, 492 - (j + 1) * 30.0::double as my0, 138 + i * 30.0::double as mx1, 508 - j * 30.0::double as my1
-from (select unnest(range(0, (select count(*) from nation))) as i), (select unnest(range(0, (select count(*) from region))) as j)""")
+from (select unnest(range(0, (select max(i) + 1 from fx_dem))) as i), (select unnest(range(0, (select max(j) + 1 from fx_dem))) as j)""")
 def tile_grid(fx):
-    return catalog.tile_grid(fx.spark, fx.table("nation").count(), fx.table("region").count(), 100.0, 500.0, 30.0, -30.0, 8.0)
+    nx, ny = fx.dem.agg(F.max("i") + 1, F.max("j") + 1).first()
+    return catalog.tile_grid(fx.spark, nx, ny, 100.0, 500.0, 30.0, -30.0, 8.0)
 
 
 @query("t_02_active_tiles", "tiles boxes", """
-select idom, jdom from fx_tiles t where exists (select 1 from fx_boxes b where b.aval_id % 500 = 0
+select idom, jdom from fx_tiles t where exists (select 1 from fx_boxes b where (b.x1 - b.x0) * (b.y1 - b.y0) <= 12
   and t.x0 <= b.x1 and b.x0 <= t.x1 and t.y0 <= b.y1 and b.y0 <= t.y1)""")
 def active_tiles(fx):
-    region = fx.boxes.where("aval_id % 500 = 0").drop("aval_id")
+    region = fx.boxes.where("(x1 - x0) * (y1 - y0) <= 12").drop("aval_id")
     return catalog.box_join(fx.tiles, region.withColumn("k", F.lit(1)), 10.0).select("idom", "jdom").distinct()
 
 
@@ -389,7 +390,7 @@ def neighbour_index(fx):
     return rows.select("cell", G.absolute_neighbour(F.col("cell"), F.col("n"), 50).alias("back"), F.when(F.col("n") < 0, -1).otherwise(1).alias("sign"))
 
 
-@query("x_03_cell_coordinates", "dem", "select cell, 100 + (i + 0.5) * 10 as x, 900 + (j + 0.5) * -10 as y, i, j from fx_dem")
+@query("x_03_cell_coordinates", "dem", "select cell, 100 + (i + 0.5::double) * 10 as x, 900 + (j + 0.5::double) * -10 as y, i, j from fx_dem")
 def cell_coordinates(fx):
     g = G.Grid(100.0, 10.0, 900.0, -10.0, 50, 40)
     x, y = G.cell_to_xy(F.col("i"), F.col("j"), g)

@@ -24,7 +24,6 @@ select l_orderkey as aval_id, l_partkey as cell, cast(l_partkey % 50 as int) as
   cast(l_partkey // 50 as int) as j, max(l_quantity) as max_vel,
   max(round(l_discount * 10, 4)) as max_height, max(round(l_tax * 10, 4)) as depo,
   max(l_linenumber) as chunkid from lineitem group by 1, 2, 3, 4"""),
-    "sparse": (("aval",), "select * from fx_aval where aval_id % 40 = 0"),
     "pra": ((), """
 select o_orderkey as id, o_custkey as cell, o_totalprice / 10 as area_m2,
   cast((o_orderkey * 7) % 1200 as double) as mean_dem,
@@ -42,9 +41,10 @@ select user_id as cell, cast(ts as date) as day, sum(value) as acsnow from event
     "annual": ((), """
 select o_custkey as cell, cast(o_orderdate as date) as day, o_totalprice as v from orders"""),
     "combos": ((), """
-select r_name as region, era, forest, return_period from region,
-  (values ('past'), ('future')) e(era), (values ('For'), ('NoFor')) f(forest),
-  (values (10), (30), (100), (300)) t(return_period)"""),
+select distinct r_name as region, case when month(o_orderdate) < 7 then 'past' else 'future' end as era,
+  case when o_totalprice < 150000 then 'For' else 'NoFor' end as forest,
+  case o_orderkey % 4 when 0 then 10 when 1 then 30 when 2 then 100 else 300 end as return_period
+from orders join region on r_regionkey = o_custkey % 5"""),
     "tiles": (("dem",), """
 select distinct cast(i // 10 as int) as idom, cast(j // 10 as int) as jdom,
   cast((i // 10) * 10 as double) as x0, cast((j // 10) * 10 as double) as y0,
@@ -55,12 +55,6 @@ select aval_id, min(i)::double as x0, min(j)::double as y0, max(i)::double + 1 a
     "names": ((), """
 select l_orderkey as id, l_linenumber as chunk, case l_linenumber % 4 when 0 then 'T' when 1 then 'S' when 2 then 'M' else 'L' end as size,
   l_returnflag as flag, l_partkey as part from lineitem"""),
-    "toy": ((), """
-select j * 10 + i as cell, i, j, case
-    when (j <= 3 and i = 0) or (j <= 1 and i = 1) or (j = 0 and i = 2) then -5.0::double
-    when j in (4, 5) and i in (4, 5) then 6.0::double
-    else (i + j) + 0.4::double * greatest((8 - j) + i, j + (9 - i)) end as elev
-from (select cast(unnest(range(0, 10)) as int) as i) a, (select cast(unnest(range(0, 9)) as int) as j) b"""),
 }
 
 
@@ -111,11 +105,6 @@ class Fixtures:
             )
         )
 
-    @cached_property
-    def sparse(self) -> DataFrame:
-        """Every fortieth avalanche."""
-        return self.aval.where("aval_id % 40 = 0")
-
     @cached_property
     def pra(self) -> DataFrame:
         """Release areas: id, cell, area_m2, mean_dem, mean_slope, forest, swe."""
@@ -173,14 +162,19 @@ class Fixtures:
 
     @cached_property
     def combos(self) -> DataFrame:
-        """Scenarios: region, era, forest, return_period."""
-        return self.table("region").select(
-            F.col("r_name").alias("region"),
-            F.explode(F.array(F.lit("past"), F.lit("future"))).alias("era"),
-        ).select(
-            "*", F.explode(F.array(F.lit("For"), F.lit("NoFor"))).alias("forest")
-        ).select(
-            "*", F.explode(F.array(*[F.lit(t) for t in (10, 30, 100, 300)])).alias("return_period")
+        """Scenarios that orders have: region, era, forest, return_period."""
+        period = F.element_at(F.array(*[F.lit(t) for t in (10, 30, 100, 300)]), (F.col("o_orderkey") % 4 + 1).cast("int"))
+        return (
+            self.table("orders")
+            .withColumn("r_regionkey", F.col("o_custkey") % 5)
+            .join(self.table("region"), "r_regionkey")
+            .select(
+                F.col("r_name").alias("region"),
+                F.when(F.month("o_orderdate") < 7, "past").otherwise("future").alias("era"),
+                F.when(F.col("o_totalprice") < 150000, "For").otherwise("NoFor").alias("forest"),
+                period.alias("return_period"),
+            )
+            .distinct()
         )
 
     @cached_property
@@ -219,22 +213,3 @@ class Fixtures:
             F.col("l_returnflag").alias("flag"),
             F.col("l_partkey").alias("part"),
         )
-
-    @cached_property
-    def toy(self) -> DataFrame:
-        """A 9 x 10 terrain with an ocean corner and a closed basin: cell, i, j, elev."""
-        i, j = F.col("i"), F.col("j")
-        sea = ((j <= 3) & (i == 0)) | ((j <= 1) & (i == 1)) | ((j == 0) & (i == 2))
-        ramp = (i + j) + 0.4 * F.greatest((8 - j) + i, j + (9 - i))
-        return (
-            self.spark.range(90)
-            .select(
-                F.col("id").alias("cell"),
-                (F.col("id") % 10).cast("int").alias("i"),
-                F.floor(F.col("id") / 10).cast("int").alias("j"),
-            )
-            .withColumn(
-                "elev",
-                F.when(sea, -5.0).when(j.isin(4, 5) & i.isin(4, 5), 6.0).otherwise(ramp),
-            )
-        )

@@ -94,12 +94,15 @@ s as (select grp, i as x0, j as y0, i + 1 as x1, j as y1 from k union all select
 """
 
 
-@query("g_06_outline_edges", "aval", _SIDES + "select * from s where not exists (select 1 from s o where o.grp = s.grp and o.x0 = s.x1 and o.y0 = s.y1 and o.x1 = s.x0 and o.y1 = s.y0)")
+_USED_ONCE = ", u as (select *, count(*) over (partition by grp, least(x0, x1), least(y0, y1), greatest(x0, x1), greatest(y0, y1)) as n from s)\n"
+
+
+@query("g_06_outline_edges", "aval", _SIDES + _USED_ONCE + "select grp, x0, y0, x1, y1 from u where n = 1")
 def outline_edges(fx):
     return flow.outline_edges(_groups(fx), "grp")
 
 
-@query("g_06_outline_lengths", "aval", _SIDES + "select grp, count(*) as length from s where not exists (select 1 from s o where o.grp = s.grp and o.x0 = s.x1 and o.y0 = s.y1 and o.x1 = s.x0 and o.y1 = s.y0) group by 1")
+@query("g_06_outline_lengths", "aval", _SIDES + _USED_ONCE + "select grp, count(*) as length from u where n = 1 group by 1")
 def outline_lengths(fx):
     rings = flow.outline_rings(_groups(fx), "grp")
     return rings.groupBy("grp").agg(F.sum(F.size("points") / 2).cast("long").alias("length"))
@@ -128,20 +131,20 @@ def overrun_test(fx):
 
 
 @query("g_09_reachable", "dem", _EDGES + """,
-w(root, cell) as (select cell, cell from t where cell % 25 = 0 union select w.root, fe.next_cell from w join fe on fe.cell = w.cell where fe.next_cell >= 0)
+w(root, cell) as (select cell, cell from t union select w.root, fe.next_cell from w join fe on fe.cell = w.cell where fe.next_cell >= 0)
 select root, cell from w""")
 def reachable(fx):
     cells = _terraces(fx)
     edges = flow.flow_edges(cells, "z", flow.edge_cells(cells, "z"))
-    return flow.reachable(cells.where("cell % 25 = 0").select(F.col("cell").alias("root"), "cell"), edges)
+    return flow.reachable(cells.select(F.col("cell").alias("root"), "cell"), edges)
 
 
-@query("a_28_dissolved_extents", "sparse", """
-k as (select distinct cell, i, j from fx_sparse), b as (select x.cell, y.cell as other from k x join k y on abs(x.i - y.i) + abs(x.j - y.j) = 1),
+@query("a_28_dissolved_extents", "aval", """
+k as (select distinct cell, i, j from fx_aval where max_height > 0.85 and max_vel > 45), b as (select x.cell, y.cell as other from k x join k y on abs(x.i - y.i) + abs(x.j - y.j) = 1),
 r(cell, reached) as (select cell, cell from k union select r.cell, b.other from r join b on b.cell = r.reached)
 select cell, min(reached) as part from r group by 1""")
 def dissolved_extents(fx):
-    cells = fx.sparse.select("cell", "i", "j").distinct().withColumn("one", F.lit(0).cast("long"))
+    cells = fx.aval.where("max_height > 0.85 and max_vel > 45").select("cell", "i", "j").distinct().withColumn("one", F.lit(0).cast("long"))
     return flow.extent_parts(cells, "one", 100_000_000).select("cell", "part")
 
 
@@ -150,9 +153,14 @@ def _box_ring(fx):
     return fx.boxes.select("aval_id", G.points((c["x0"], c["y0"]), (c["x1"], c["y0"]), (c["x1"], c["y1"]), (c["x0"], c["y1"])).alias("ring"))
 
 
-@query("j_08_burn", "boxes", "select aval_id, cast((x1 - x0) * (y1 - y0) as bigint) as n, cast((x0 + x1 - 1) * (x1 - x0) * (y1 - y0) / 2 as bigint) as sum_i from fx_boxes where aval_id % 20 = 0")
+@query("j_08_burn", "boxes", """
+p as (select aval_id, x0, y0, a, b, a + 0.5::double as x, b + 0.5::double as y from fx_boxes, (select unnest(range(-3, 6)) as a), (select unnest(range(-3, 6)) as b))
+select aval_id, count(*) as n, cast(sum(x0 + a) as bigint) as sum_i from p
+where 3.2 * y - 1.1 * x > 0 and -1.1 * (y - 1.1) - 3.2 * (x - 3.2) > 0 and -3.2 * (y - 4.3) + 1.1 * (x - 2.1) > 0 and 1.1 * (y - 3.2) + 3.2 * (x + 1.1) > 0 group by 1""")
 def burn(fx):
-    cells = vector.burn(_box_ring(fx).where("aval_id % 20 = 0"), "aval_id")
+    x, y = F.col("x0"), F.col("y0")
+    turned = G.points((x, y), (x + 3.2, y + 1.1), (x + 2.1, y + 4.3), (x - 1.1, y + 3.2))  # a square that is not parallel to the axes
+    cells = vector.burn(fx.boxes.select("aval_id", turned.alias("ring")), "aval_id")
     return cells.groupBy("aval_id").agg(F.count("*").alias("n"), F.sum("i").cast("long").alias("sum_i"))
 
 
@@ -172,7 +180,14 @@ def convex_hulls(fx):
     return h.select("aval_id", end(F.array_min, "x").alias("x0"), end(F.array_min, "y").alias("y0"), end(F.array_max, "x").alias("x1"), end(F.array_max, "y").alias("y1"))
 
 
-@query("v_02_least_rectangles")
+@query("v_02_least_rectangles", "aval", """
+e as (select aval_id, j, min(i) as a, max(i) + 1 as b from fx_aval group by 1, 2),
+c as (select distinct aval_id, x::double as x, (j + d)::double as y from (select aval_id, j, unnest([a, b]) as x from e), (values (0), (1)) d(d)),
+l as (select aval_id, y, min(x) as x0, max(x) as x1 from c group by 1, 2),
+p as (select distinct aval_id, unnest([x0, x1]) as x, y from l),
+t as (select distinct p.aval_id, round(a - floor(a / (pi() / 2)) * (pi() / 2), 12) as t from (select p.aval_id, atan2(q.y - p.y, q.x - p.x) as a from p join p q on q.aval_id = p.aval_id and (q.x, q.y) <> (p.x, p.y)) p),
+f as (select t.aval_id, t, (max(x * cos(t) + y * sin(t)) - min(x * cos(t) + y * sin(t))) * (max(y * cos(t) - x * sin(t)) - min(y * cos(t) - x * sin(t))) as area from t join p using (aval_id) group by 1, 2)
+select aval_id, round(min(area), 4) as area from f group by 1""")
 def least_rectangles(fx):
     return vector.least_rectangles(vector.hulls(fx.aval, "aval_id"), "aval_id", 2.0).select("aval_id", F.round("area", 4).alias("area"))
 
@@ -201,14 +216,14 @@ def extent_rows(fx):
 
 
 @query("st_01_incremental_archive", "aval", """
-select aval_id, cast(row_number() over (partition by aval_id order by cell) - 1 as int) as pos, max_vel from fx_aval where aval_id % 3 = 0""")
+select aval_id, cast(row_number() over (partition by aval_id order by cell) - 1 as int) as pos, max_vel from fx_aval""")
 def incremental_archive(fx):
-    packed = blobs.pack(fx.aval.where("aval_id % 3 = 0"))
-    path = scratch(packed, "results")
-    for part in (0, 1):  # files come in two lots
+    packed = blobs.pack(fx.aval)
+    path, archive = scratch(packed, "results"), scratch(packed, "archive")
+    for part in (0, 1):  # files come in two lots, and the second run takes the second lot only
         packed.where(F.col("aval_id") % 2 == part).write.mode("append").parquet(path)
-    decoded = streams.archived(streams.files(fx.spark, path, packed.schema))
-    out = streams.drained(decoded, "archive")
+        decoded = streams.archived(streams.files(fx.spark, path, packed.schema))
+        out = streams.drained(decoded, archive)
     return out.select("aval_id", "pos", F.col("max_vel").cast("double").alias("max_vel"))
 
 
@@ -222,21 +237,23 @@ def _events(fx):
 
 @query("st_02_latest_status", "status", "select id, chunkid, id_status from fx_status")
 def latest_status(fx):
-    return streams.latest_status_table(_events(fx), "2 days", "status")
+    return streams.latest_status_table(_events(fx), "2 days", scratch(fx.jobs, "status"))
 
 
 @query("st_03_streamed_sums", "", """
 select user_id as cell, cast(timestamp '2024-01-01' + interval 3 day * (datediff('day', date '2024-01-01', cast(ts as date)) // 3) as varchar) as start, round(sum(value), 4) as acsnow
-from events group by 1, 2 having max(ts) is not null and start <= '2024-01-25 00:00:00'""")
+from events group by 1, 2 having max(ts) is not null""")
 def streamed_sums(fx):
     rows = fx.table("events").select(F.col("user_id").alias("cell"), F.col("ts").cast("timestamp").alias("ts"), "value")
     path = scratch(rows, "steps")
-    rows.repartitionByRange(4, "ts").write.parquet(path)
-    sums = streams.snow_sums(streams.files(fx.spark, path, rows.schema), "1 day", "1 day")
-    out = streams.drained(sums, "sums").where("start <= timestamp '2024-01-25'")
+    # one later row without a cell, by which the last window closes
+    last = rows.agg((F.max("ts") + F.expr("interval 10 days")).alias("ts")).select(F.lit(None).cast("long").alias("cell"), "ts", F.lit(0.0).alias("value"))
+    rows.select(F.col("cell").cast("long").alias("cell"), "ts", F.col("value").cast("double").alias("value")).unionByName(last).repartitionByRange(4, "ts").write.parquet(path)
+    sums = streams.snow_sums(streams.files(fx.spark, path, "cell long, ts timestamp, value double"), "1 day", "1 day")
+    out = streams.drained(sums, scratch(rows, "sums")).where("cell is not null")
     return out.select("cell", F.date_format("start", "yyyy-MM-dd HH:mm:ss").alias("start"), F.round("acsnow", 4).alias("acsnow"))
 
 
 @query("st_04_without_duplicates", "jobs", "select distinct id, chunkid from fx_jobs")
 def without_duplicates(fx):
-    return streams.drained(streams.without_duplicates(_events(fx), ["id", "chunkid"], "60 days"), "runs").select("id", "chunkid")
+    return streams.drained(streams.without_duplicates(_events(fx), ["id", "chunkid"], "60 days"), scratch(fx.jobs, "runs")).select("id", "chunkid")

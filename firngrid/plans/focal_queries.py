@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from firngrid.functions import climate as CF
 from firngrid.operators import focal, raster
 from firngrid.plans.registry import query
+from firngrid.plans.stats_queries import _MOMENTS
 
 #: Each cell of fx_dem with the cells around it.
 _NEAR = "n as (select a.cell, a.i, a.j, a.elev as own, b.i - a.i as di, b.j - a.j as dj, b.elev as z, b.landcover as lc from fx_dem a join fx_dem b on b.i between a.i - {r} and a.i + {r} and b.j between a.j - {r} and a.j + {r})"
@@ -139,9 +140,11 @@ def _blur_sql(name: str, src: str, band: str, sigma: float) -> str:
     case = lambda d: "case abs(" + d + ") " + " ".join(f"when {k} then {w[r + k]!r}::double" for k in range(r + 1)) + " end"
     mean = f"sum({band} * w) / sum(w) filter ({band} is not null)"
     along = lambda k, a, of: f"{name}{k} as (select a.i, a.j, {mean} as {band} from (select a.i, a.j, b.{band}, {case(f'b.{a} - a.{a}')} as w from {src} a join m{of} b on b.{'j' if a == 'i' else 'i'} = a.{'j' if a == 'i' else 'i'} and b.{a} between a.{a} - {r} and a.{a} + {r}) a group by 1, 2)"
+    image = lambda a, n: f"case when s = 1 then {a} else -1 - {a} end + 2 * k * {n}"
+    back = lambda k, of, i, j, n, a: f"m{k} as (select * from (select {i} as i, {j} as j, {band} from {of}, (select max({a}) + 1 as n from {src}) b, (values (1), (-1)) s(s), (select unnest(range(-12, 13)) as k)) x where {a} between -{r} and (select max({a}) from {src}) + {r})"
     return (
-        _MIRROR.format(k=f"{name}p", src=src, cols=band, r=r) + "," + along("h", "i", f"{name}p") + ","
-        + _MIRROR.format(k=f"{name}q", src=f"{name}h", cols=band, r=r) + "," + along("", "j", f"{name}q")
+        back(f"{name}p", src, image("i", "n"), "j", "n", "i") + "," + along("h", "i", f"{name}p") + ","
+        + back(f"{name}q", f"{name}h", "i", image("j", "n"), "n", "j") + "," + along("", "j", f"{name}q")
     )
 
 
@@ -232,14 +235,23 @@ def downscaled_by_local_lapse(fx):
     return focal.downscaled(fx.dem.select("i", "j", "elev"), coarse, 5, "snow", "lapse")
 
 
-@query("r_20_filled")
+def _filled_sql(src: str, band: str, passes: int) -> str:
+    """CTEs ``f0`` to ``f{passes}`` of repeated means of the four neighbours."""
+    parts = [f"f0 as materialized (select i, j, {band} as known, {band} as v from {src})"]
+    for k in range(passes):
+        near = " union all ".join(f"select i + {a} as i, j + {b} as j, v from f{k}" for a, b in ((1, 0), (-1, 0), (0, 1), (0, -1)))
+        parts.append(f"f{k + 1} as materialized (select o.i, o.j, known, coalesce(known, m) as v from f{k} o left join (select i, j, avg(v) as m from ({near}) group by 1, 2) n on n.i = o.i and n.j = o.j)")
+    return ",\n".join(parts) + f" select i, j, round(v + 1e-8, 6) as {band} from f{passes}"  # the means end in fives, which must round alike
+
+
+@query("r_20_filled", "dem", "src as (select i, j, case when landcover <> 11 then elev end as elev from fx_dem),\n" + _filled_sql("src", "elev", 8))
 def filled(fx):
-    return focal.filled(fx.dem.withColumn("elev", F.when(F.col("landcover") != 11, F.col("elev"))), "elev", 8)
+    return focal.filled(fx.dem.withColumn("elev", F.when(F.col("landcover") != 11, F.col("elev"))), "elev", 8).select("i", "j", F.round(F.col("elev") + 1e-8, 6).alias("elev"))
 
 
-@query("r_21_margin_ring", "dem", "select i, j, not (i between 3 and 46 and j between 3 and 36) as margin from fx_dem where j < 40")
+@query("r_21_margin_ring", "dem", "select i, j, not (i between 3 and 46 and j between 3 and (select max(j) from fx_dem) - 3) as margin from fx_dem")
 def margin_ring(fx):
-    return focal.margin_ring(fx.dem.where("j < 40"), 50, 40, 3)
+    return focal.margin_ring(fx.dem, *focal.grid_size(fx.dem), 3)
 
 
 @query("r_22_cleaned_lapse", "dem", """
@@ -261,7 +273,10 @@ def lowest_neighbour(fx):
     return flow.lowest_neighbour(fx.dem, "elev")
 
 
-@query("c_09_exported_levels")
+@query("c_09_exported_levels", "annual dem", _MOMENTS + """,
+lv as (select cell, loc - scale * ln(-ln(1 - 1 / 30::double)) as level from p),
+src as (select i, j, level from fx_dem left join lv using (cell)),
+""" + _filled_sql("src", "level", 8))
 def exported_levels(fx):
     from firngrid.operators import climate
 
@@ -269,4 +284,4 @@ def exported_levels(fx):
     params = fit.select("cell", F.col("gumbel_loc").alias("loc"), F.col("gumbel_scale").alias("scale"), F.lit(0.0).alias("shape"))
     level = climate.return_levels(params, (30,))
     layer = fx.dem.select("cell", "i", "j").join(level, "cell", "left").select("i", "j", "level")
-    return focal.filled(layer, "level", 8)
+    return focal.filled(layer, "level", 8).select("i", "j", F.round(F.col("level") + 1e-8, 6).alias("level"))

@@ -104,24 +104,24 @@ def log_flags(fx):
 
 def _layers(fx):
     layer = F.explode(F.array(F.struct(F.lit("height").alias("layer"), F.col("max_height").alias("value")), F.struct(F.lit("depo").alias("layer"), F.col("depo").alias("value")), F.struct(F.lit("domain").alias("layer"), F.lit(1.0).alias("value"))))
-    return fx.sparse.select(F.lit("ak").alias("exp"), F.when(F.col("aval_id") % 80 == 0, "past-30").otherwise("future-30").alias("wcombo"), F.floor(F.col("i") / 10).cast("int").alias("idom"), F.floor(F.col("j") / 10).cast("int").alias("jdom"), "aval_id", "cell", layer.alias("l")).select("exp", "wcombo", "idom", "jdom", "aval_id", "cell", "l.layer", "l.value")
+    return fx.aval.select(F.lit("ak").alias("exp"), F.when(F.col("aval_id") % 2 == 0, "past-30").otherwise("future-30").alias("wcombo"), F.floor(F.col("i") / 10).cast("int").alias("idom"), F.floor(F.col("j") / 10).cast("int").alias("jdom"), "aval_id", "cell", layer.alias("l")).select("exp", "wcombo", "idom", "jdom", "aval_id", "cell", "l.layer", "l.value")
 
 
 _LAYER_SQL = """
-lay as (select 'ak' as exp, case when aval_id % 80 = 0 then 'past-30' else 'future-30' end as wcombo,
+lay as (select 'ak' as exp, case when aval_id % 2 = 0 then 'past-30' else 'future-30' end as wcombo,
   cast(i // 10 as int) as idom, cast(j // 10 as int) as jdom, aval_id, cell, layer,
   case layer when 'height' then max_height else depo end as value
-  from fx_sparse, (values ('height'), ('depo')) l(layer))
+  from fx_aval, (values ('height'), ('depo')) l(layer))
 """
 
 
-@query("s_13_publish", "sparse", _LAYER_SQL + "select * from lay")
+@query("s_13_publish", "aval", _LAYER_SQL + "select * from lay")
 def publish(fx):
     layers = _layers(fx)
     return sinks.publish(layers, sinks.scratch(layers, "publish"), skip=("domain",))
 
 
-@query("s_14_republish", "sparse", _LAYER_SQL + "select * from lay where layer = 'depo' and wcombo = 'past-30'")
+@query("s_14_republish", "aval", _LAYER_SQL + "select * from lay where layer = 'depo' and wcombo = 'past-30'")
 def republish(fx):
     layers = _layers(fx)
     chosen = layers.select("exp", "wcombo").where("wcombo = 'past-30'").distinct()
@@ -129,9 +129,9 @@ def republish(fx):
 
 
 @query("s_15_write_extents", "aval", """
-select aval_id, cell from fx_aval where max_height > 0.25 and max_vel > 1.0 and aval_id % 10 = 0""")
+select aval_id, cell from fx_aval where max_height > 0.25 and max_vel > 1.0""")
 def write_extents(fx):
-    rows = raster.extent_masks(fx.aval.where("aval_id % 10 = 0")).select("aval_id", "cell", "extent_type")
+    rows = raster.extent_masks(fx.aval).select("aval_id", "cell", "extent_type")
     paths = sinks.write_extents(rows, sinks.scratch(rows, "extents"))
     return fx.spark.read.parquet(paths["christen"])
 
@@ -139,10 +139,10 @@ def write_extents(fx):
 @query("s_16_variable_inventory", "", """
 select cast(cast(ts as date) as varchar) as day, max(case when event_type = 'view' then 'x' end) as acsnow,
   max(case when event_type = 'click' then 'x' end) as t2, max(case when event_type = 'error' then 'x' end) as rain
-from events where user_id < 12 group by 1""")
+from events group by 1""")
 def variable_inventory(fx):
     known = F.when(F.col("event_type") == "view", "acsnow").when(F.col("event_type") == "click", "t2").when(F.col("event_type") == "error", "rain")
-    seen = fx.table("events").where("user_id < 12").select(F.date_format("ts", "yyyy-MM-dd").alias("day"), known.alias("variable"))
+    seen = fx.table("events").select(F.date_format("ts", "yyyy-MM-dd").alias("day"), known.alias("variable"))
     return seen.groupBy("day").pivot("variable", ["acsnow", "t2", "rain"]).agg(F.first(F.lit("x")))
 
 

@@ -43,9 +43,9 @@ def survivors(fx):
 
 
 @query("j_07_box_join", "tiles boxes", """
-select b.aval_id, t.idom, t.jdom from fx_boxes b join fx_tiles t on b.x0 <= t.x1 and t.x0 <= b.x1 and b.y0 <= t.y1 and t.y0 <= b.y1 where b.aval_id % 5 = 0""")
+select b.aval_id, t.idom, t.jdom from fx_boxes b join fx_tiles t on b.x0 <= t.x1 and t.x0 <= b.x1 and b.y0 <= t.y1 and t.y0 <= b.y1""")
 def box_join(fx):
-    return catalog.box_join(fx.boxes.where("aval_id % 5 = 0"), fx.tiles, 10.0).select("aval_id", "idom", "jdom")
+    return catalog.box_join(fx.boxes, fx.tiles, 10.0).select("aval_id", "idom", "jdom")
 
 
 @query("j_09_nearest_sea", "dem", """
@@ -57,7 +57,7 @@ def nearest_sea(fx):
     from firngrid.operators import vector
 
     land, sea = fx.dem.where("landcover <> 11"), fx.dem.where("landcover = 11")
-    near = vector.nearest(land.select("cell", "i", "j"), sea.select("i", "j"), 30, 8, 50)
+    near = vector.nearest(land.select("cell", "i", "j"), sea.select("i", "j"), 30, 8)
     return near.groupBy("cell").agg(F.round(F.avg("distance"), 6).alias("distance"))
 
 
@@ -133,13 +133,13 @@ def coarsen_sum(fx):
 
 
 _HIT = """
-h as (select cell, count(*) as n from fx_sparse where max_height > 0.25 and max_vel > 1 group by 1),
+h as (select cell, count(*) as n from fx_aval where max_height > 0.85 and max_vel > 45 group by 1),
 x as (select d.cell, i, j, case when landcover = 11 then 0 else elev end as elev, least(coalesce(n, 0), 1) as hit, elev / 10 as snow from fx_dem d left join h using (cell))
 """
 
 
 def _hits(fx):
-    hit = fx.sparse.where("max_height > 0.25 and max_vel > 1").groupBy("cell").agg(F.count("*").alias("n"))
+    hit = fx.aval.where("max_height > 0.85 and max_vel > 45").groupBy("cell").agg(F.count("*").alias("n"))
     elev = F.when(F.col("landcover") == 11, 0.0).otherwise(F.col("elev"))
     return fx.dem.join(hit, "cell", "left").select("cell", "i", "j", elev.alias("elev"), stats.present(F.col("n")).alias("hit"), (F.col("elev") / 10).alias("snow"))
 
@@ -149,18 +149,18 @@ select label, size, cast(i // size as int) as ci, cast(j // size as int) as cj,
 from x, c, (values (5), (10), (50)) t(size) where elev > 0 and elev >= low and elev < high group by all"""
 
 
-@query("a_15_class_statistics", "dem sparse", _CLASS_STATS)
+@query("a_15_class_statistics", "dem aval", _CLASS_STATS)
 def class_statistics(fx):
     out = stats.by_class_and_size(_hits(fx), stats.class_table(fx.spark, stats.CLASSES), (5, 10, 50))
     return out.withColumns({"hit_share": F.round("hit_share", 6), "snow_mean": F.round("snow_mean", 6)})
 
 
-@query("a_16_presence", "dem sparse", _HIT + "select cell, hit from x")
+@query("a_16_presence", "dem aval", _HIT + "select cell, hit from x")
 def presence(fx):
     return _hits(fx).select("cell", "hit")
 
 
-@query("a_17_density", "dem sparse", _HIT + "select i // 10 as ci, j // 10 as cj, round(avg(hit) / 100, 8) as per_m2, round(avg(hit) / 100 * 1000000, 4) as per_km2 from x group by 1, 2")
+@query("a_17_density", "dem aval", _HIT + "select i // 10 as ci, j // 10 as cj, round(avg(hit) / 100, 8) as per_m2, round(avg(hit) / 100 * 1000000, 4) as per_km2 from x group by 1, 2")
 def density(fx):
     mean = F.avg("hit") / 100
     return raster.coarsen(_hits(fx), 10, [F.round(mean, 8).alias("per_m2"), F.round(mean * 1_000_000, 4).alias("per_km2")])
@@ -179,15 +179,15 @@ def combine_tiles(fx):
 
 
 @query("a_20_scenario_difference", "aval", """
-a as (select cell, count(*) as n from fx_aval where aval_id % 40 = 0 group by 1), b as (select cell, count(*) as n from fx_aval where aval_id % 40 = 1 group by 1)
+a as (select cell, count(*) as n from fx_aval where aval_id % 2 = 0 group by 1), b as (select cell, count(*) as n from fx_aval where aval_id % 2 = 1 group by 1)
 select cell, b.n - a.n as difference from a join b using (cell)""")
 def scenario_difference(fx):
-    scenario = F.when(F.col("aval_id") % 40 == 0, "past").when(F.col("aval_id") % 40 == 1, "future")
-    layers = fx.aval.withColumn("scenario", scenario).where("scenario is not null").groupBy("scenario", "cell").agg(F.count("*").alias("n"))
+    scenario = F.when(F.col("aval_id") % 2 == 0, "past").otherwise("future")
+    layers = fx.aval.withColumn("scenario", scenario).groupBy("scenario", "cell").agg(F.count("*").alias("n"))
     return stats.difference(layers, ["cell"], "scenario", "future", "past", "n")
 
 
-@query("a_21_correlations", "dem sparse", _HIT + """
+@query("a_21_correlations", "dem aval", _HIT + """
 , l as (select max(elev) as elev, cell, max(case when cell % 9 <> 0 then hit end) as hit, max(snow * (cell % 3)) as snow from x group by cell), k as (select * from l where hit is not null)
 select 'elev' as a, 'hit' as b, round(corr(elev, hit), 6) as r from k union all select 'elev', 'snow', round(corr(elev, snow), 6) from k union all select 'hit', 'snow', round(corr(hit, snow), 6) from k""")
 def correlations(fx):
@@ -318,9 +318,9 @@ def return_levels(fx):
 
 @query("c_08_curves", "pra", """
 select id, t as period, round(mean_dem + swe / 0.2::double * (1 - (-ln(1 - 1 / t::double)) ** 0.2::double), 6) as level,
-  round(greatest(exp(-exp(-(1.5::double))) * exp(-1.5::double) / (swe + 1), 0), 9) as density from fx_pra, (values (2), (5), (50)) q(t) where id % 20 = 0""")
+  round(greatest(exp(-exp(-(1.5::double))) * exp(-1.5::double) / (swe + 1), 0), 9) as density from fx_pra, (values (2), (5), (50)) q(t)""")
 def curves(fx):
-    rows = fx.pra.where("id % 20 = 0").withColumn("period", F.explode(F.array(F.lit(2), F.lit(5), F.lit(50))))
+    rows = fx.pra.withColumn("period", F.explode(F.array(F.lit(2), F.lit(5), F.lit(50))))
     level = CF.gev_quantile(F.col("mean_dem"), F.col("swe"), F.lit(0.2), F.col("period"))
     dense = CF.gev_density(F.col("mean_dem") + 1.5 * (F.col("swe") + 1), F.col("mean_dem"), F.col("swe") + 1, F.lit(0.0))
     return rows.select("id", "period", F.round(level, 6).alias("level"), F.round(dense, 9).alias("density"))

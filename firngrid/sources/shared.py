@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,3 +30,18 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_dir(spark)}/firngrid/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def grown(df: DataFrame, name: str, table: Callable[[], DataFrame] | None = None) -> Callable[[], DataFrame]:
+    """Append ``df`` to a table of the shared folder, a new one without ``table``; what reads it.
+
+    A set that grows by steps is written once, and not again at each step.
+    """
+    path = table.path if table else f"{shared_dir(df.sparkSession)}/firngrid/{name}-{uuid.uuid4().hex}"
+    df.write.mode("append").option("compression", "zstd").parquet(path)
+
+    def read() -> DataFrame:
+        return df.sparkSession.read.schema(df.schema).parquet(path)
+
+    read.path = path
+    return read

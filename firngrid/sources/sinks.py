@@ -35,12 +35,14 @@ def republish(published: DataFrame, combos: DataFrame, layers: list[str]) -> Dat
 
 
 def write_extents(extents: DataFrame, folder: str) -> dict[str, str]:
-    """One table for each extent type; the write commits all files of a table at once."""
-    paths = {}
-    for kind in ("full", "christen", "tetra30", "tetra1"):
-        paths[kind] = f"{folder}/extent_{kind}"
-        extents.where(F.col("extent_type") == kind).drop("extent_type").write.mode("overwrite").parquet(paths[kind])
-    return paths
+    """One table for each extent type, in one pass over ``extents``; the paths of the tables.
+
+    Each call writes a folder of its own, so a table that is there stays whole until the new
+    one is, whatever fails; the caller then takes the new paths and drops the old ones.
+    """
+    path = f"{folder}/extents-{uuid.uuid4().hex}"
+    extents.write.partitionBy("extent_type").parquet(path)
+    return {kind: f"{path}/extent_type={kind}" for kind in ("full", "christen", "tetra30", "tetra1")}
 
 
 def scratch(df: DataFrame, name: str) -> str:

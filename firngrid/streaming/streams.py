@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from firngrid.sources import blobs
-from firngrid.sources.sinks import scratch
 
 
 def files(spark: SparkSession, path: str, schema: StructType, per_batch: int = 1000) -> DataFrame:
@@ -19,9 +18,13 @@ def files(spark: SparkSession, path: str, schema: StructType, per_batch: int = 1
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", per_batch).parquet(path)
 
 
-def drained(stream: DataFrame, name: str, mode: str = "append") -> DataFrame:
-    """Run a stream over all that is there now, into the shared folder; what it has written."""
-    out, log = scratch(stream, name), scratch(stream, f"{name}-log")
+def drained(stream: DataFrame, out: str, mode: str = "append") -> DataFrame:
+    """Run a stream over all that is new, into the folder ``out``; what all runs have written.
+
+    The checkpoint stands beside ``out``, so a later run over the same folders goes on where
+    this one ended.
+    """
+    log = f"{out}-log"
     query = stream.writeStream.format("parquet").outputMode(mode).option("checkpointLocation", log).trigger(availableNow=True).start(out)
     query.awaitTermination()
     return stream.sparkSession.read.schema(stream.schema).parquet(out)
@@ -39,16 +42,19 @@ def latest_status(events: DataFrame, lateness: str) -> DataFrame:
     )
 
 
-def latest_status_table(events: DataFrame, lateness: str, name: str) -> DataFrame:
-    """Run ``latest_status`` over all there is; each batch replaces the rolled-up table."""
-    out, log = scratch(events, name), scratch(events, f"{name}-log")
+def latest_status_table(events: DataFrame, lateness: str, out: str) -> DataFrame:
+    """Run ``latest_status`` over all that is new; the table of what changed in each batch, rolled up.
 
-    def replace(batch: DataFrame, _: int) -> None:
-        batch.write.mode("overwrite").parquet(out)
+    A batch writes its own folder once more if it is repeated, and only the keys that it
+    touched; the last batch of a key counts.
+    """
+    def write(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out}/batch={number}")
 
-    query = latest_status(events, lateness).writeStream.outputMode("complete").option("checkpointLocation", log).trigger(availableNow=True).foreachBatch(replace).start()
+    query = latest_status(events, lateness).writeStream.outputMode("update").option("checkpointLocation", f"{out}-log").trigger(availableNow=True).foreachBatch(write).start()
     query.awaitTermination()
-    return events.sparkSession.read.parquet(out)
+    rows = events.sparkSession.read.parquet(out)
+    return rows.groupBy("id", "chunkid").agg(F.max_by("id_status", "batch").alias("id_status"))
 
 
 def snow_sums(steps: DataFrame, origin_offset: str, lateness: str) -> DataFrame:

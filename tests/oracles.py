@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 import duckdb
 
 TABLES = (
@@ -23,7 +25,8 @@ def _plain(x):
         return "null"
     if isinstance(x, bool):
         return str(x)
-    if isinstance(x, (int, float)):
+    if isinstance(x, (int, float, Decimal)):
+        x = float(x) if isinstance(x, Decimal) else x
         return str(int(x)) if x == int(x) and abs(x) < 1e15 else repr(round(x, 6))
     return str(x)
 

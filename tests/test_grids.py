@@ -13,11 +13,21 @@ from firngrid.operators import catalog, climate, flow, focal, mosaic, pra, raste
 from firngrid.operators.components import connected_components
 from firngrid.plans.fixtures import Fixtures
 from firngrid.sources import blobs, sinks
+from firngrid.streaming import streams
 
 
 @pytest.fixture(scope="module")
 def toy(spark):
-    return Fixtures(spark, "").toy.withColumn("z", F.when(F.col("elev") > 0, F.col("elev"))).cache()
+    """Two hills with a closed bowl between them, terraces, and water along one side: cell, i, j, elev, z."""
+    rows = []
+    for cell in range(11 * 12):
+        i, j = cell % 12, cell // 12
+        elev = 4.0 * min(abs(i - 2) + abs(j - 8), abs(i - 9) + abs(j - 3), 6) + (3 * i + j) // 4
+        if abs(i - 5) <= 1 and abs(j - 6) <= 1:
+            elev = 2.5
+        rows.append((cell, i, j, -1.0 if j == 0 or (i == 0 and j < 5) else elev + 1.0))
+    cells = spark.createDataFrame(rows, "cell long, i int, j int, elev double")
+    return cells.withColumn("z", F.when(F.col("elev") > 0, F.col("elev"))).cache()
 
 
 def _flood(rows):
@@ -106,6 +116,54 @@ def test_two_focal_forms_agree(spark):
     assert a.keys() == b.keys() and all(abs(a[k] - b[k]) < 1e-9 for k in a)
 
 
+def test_blur_of_a_grid_narrower_than_the_kernel(spark):
+    rng = random.Random(6)
+    n, (nx, ny), sigma = {}, (9, 4), 3.0
+    for i in range(nx):
+        for j in range(ny):
+            n[i, j] = rng.random()
+    w = focal.gaussian_weights(sigma)
+    r = len(w) // 2
+    fold = lambda k, size: min(k % (2 * size), 2 * size - 1 - k % (2 * size))
+    across = {(i, j): sum(w[d + r] * n[fold(i + d, nx), j] for d in range(-r, r + 1)) for i, j in n}
+    both = {(i, j): sum(w[d + r] * across[i, fold(j + d, ny)] for d in range(-r, r + 1)) for i, j in n}
+    cells = spark.createDataFrame([(i, j, v) for (i, j), v in n.items()], "i int, j int, v double")
+    found = {(x.i, x.j): x.v for x in focal.blur(cells, "v", sigma).collect()}
+    assert found.keys() == both.keys() and all(abs(found[k] - both[k]) < 1e-9 for k in both)
+
+
+def test_holes_fill_however_wide(spark):
+    rows = [(i, 0, 1.0 if i == 0 else None) for i in range(30)]
+    cells = spark.createDataFrame(rows, "i int, j int, v double")
+    assert focal.filled(cells, "v", 3).where("v is null").count() == 26
+    assert [r.v for r in focal.filled(cells, "v").collect()] == [1.0] * 30
+    assert focal.filled(cells.where("i > 0"), "v").where("v is not null").count() == 0
+
+
+def test_nearest_looks_as_far_as_it_must(spark):
+    rng = random.Random(8)
+    spots = [(rng.randrange(400), rng.randrange(400)) for _ in range(12)] + [(0, 0), (399, 399)]
+    points = [(k, rng.randrange(400), rng.randrange(400)) for k in range(30)]
+    found = vector.nearest(spark.createDataFrame(points, "cell long, i int, j int"), spark.createDataFrame(spots, "i int, j int"), 5, 8)
+    by_cell = {}
+    for r in found.collect():
+        by_cell.setdefault(r.cell, []).append(r.distance)
+    for k, i, j in points:
+        assert sorted(by_cell[k]) == pytest.approx(sorted(math.hypot(i - a, j - b) for a, b in spots)[:5])
+
+
+def test_a_second_run_takes_only_new_files(spark):
+    rows = spark.createDataFrame([(k, f"t{k}") for k in range(4)], "id long, name string")
+    source, out = sinks.scratch(rows, "lots"), sinks.scratch(rows, "copied")
+    for lot in (0, 1):
+        rows.where(F.col("id") % 2 == lot).write.mode("append").parquet(source)
+        seen = []
+        stream = streams.files(spark, source, rows.schema)
+        copied = streams.drained(stream, out)
+        seen.append(copied.count())
+        assert seen == [2 * (lot + 1)]  # were the first lot read again, its rows would stand twice
+
+
 def test_coarse_sums_keep_the_total(spark):
     cells = spark.range(400).select((F.col("id") % 20).cast("int").alias("i"), F.floor(F.col("id") / 20).cast("int").alias("j"), F.col("id").cast("double").alias("v"))
     coarse = raster.coarsen(cells, 3, [F.sum("v").alias("v")])
@@ -214,8 +272,7 @@ def test_experiment_hooks(spark):
 
 def test_paths_are_buffered_from_every_cell(spark, data):
     from firngrid.plans import queries
-    from firngrid.plans.fixtures import Fixtures
-
+    
     cells = {r.cell for r in Fixtures(spark, data).dem.where("landcover <> 11").select("cell").collect()}
     found = [r.root for r in queries.QUERIES["v_04_buffered_paths"](spark, data).collect()]
     assert sorted(found) == sorted(cells)
