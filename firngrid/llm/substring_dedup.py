@@ -16,7 +16,9 @@ Defined results: null texts have no words; a text shorter than a window keeps al
 words; repeats inside one document are kept; rows that repeat an id count as one document
 and each is judged by its own text; a row with a null id keeps all its words and removes
 none; empty tables give empty tables; extra columns are kept by ``deduplicated`` and
-ignored else. Hashes have 64 bits, so among n windows about n*n/2**65 pairs meet by chance.
+ignored else. A window is known by two independent 64-bit hashes, of two bases and two
+word hashes; both must be equal for it to be repeated, so that none of the 10**13 windows of
+100 TB is expected to meet another by chance. Inside one document one of them is enough.
 """
 
 from __future__ import annotations
@@ -24,16 +26,19 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from firngrid.llm.texts import map_batches, mixed, signed, word_hashes
+from firngrid.llm.texts import fresh, map_batches, mixed, signed, word_hashes
 from firngrid.sources.shared import staged
 
 WINDOW = 50
 ANCHOR = 16
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 2**64)
+_CHECK_BASE = 0xD1342543DE82EF95
+_CHECK_INVERSE = pow(_CHECK_BASE, -1, 2**64)
 
 
 def _powers(base: int, n: int) -> np.ndarray:
@@ -43,7 +48,8 @@ def _powers(base: int, n: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
-_POWERS: list[np.ndarray] = [_powers(_BASE, 1), _powers(_INVERSE, 1)]
+_BASES = {False: (_BASE, _INVERSE), True: (_CHECK_BASE, _CHECK_INVERSE)}
+_POWERS: dict[bool, list[np.ndarray]] = {k: [_powers(b, 1) for b in v] for k, v in _BASES.items()}
 
 
 def rolled(prefix: np.ndarray, size: int, back: np.ndarray) -> np.ndarray:
@@ -51,13 +57,14 @@ def rolled(prefix: np.ndarray, size: int, back: np.ndarray) -> np.ndarray:
     return mixed((prefix[size:] - prefix[:-size]) * back[: len(prefix) - size])
 
 
-def _prefix(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    n = len(words)
-    if len(_POWERS[0]) <= n:
-        _POWERS[:] = _powers(_BASE, 2 * n + 1), _powers(_INVERSE, 2 * n + 1)
+def _prefix(hashes: np.ndarray, check: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    n = len(hashes)
+    if len(_POWERS[check][0]) <= n:
+        _POWERS[check] = [_powers(b, 2 * n + 1) for b in _BASES[check]]
+    forth, back = _POWERS[check]
     prefix = np.zeros(n + 1, np.uint64)
-    np.cumsum(word_hashes(words) * _POWERS[0][:n], out=prefix[1:])
-    return prefix, _POWERS[1]
+    np.cumsum(hashes * forth[:n], out=prefix[1:])
+    return prefix, back
 
 
 def _least_of(values: np.ndarray, width: int) -> np.ndarray:
@@ -74,12 +81,21 @@ def windows(words: list[bytes], window: int) -> tuple[np.ndarray, np.ndarray]:
     """The hash and the anchor of every window of a text."""
     if len(words) < window:
         return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
-    prefix, back = _prefix(words)
+    prefix, back = _prefix(word_hashes(words))
     anchor = min(ANCHOR, window)
     anchors = _least_of(rolled(prefix, anchor, back), window - anchor + 1)
     return rolled(prefix, window, back), anchors
 
 
+def checks(words: list[bytes], window: int) -> np.ndarray:
+    """The second hash of every window of a text."""
+    if len(words) < window:
+        return np.zeros(0, np.uint64)
+    second = np.fromiter((xxhash.xxh64_intdigest(w, 1) for w in words), np.uint64, len(words))
+    prefix, back = _prefix(second, check=True)
+    return rolled(prefix, window, back)
+
+
 def split(text: str | None) -> list[bytes]:
     """The words of a text as they stand, between ASCII white space."""
     return (text or "").encode().split()
@@ -108,14 +124,14 @@ def _anchors(docs: DataFrame, window: int) -> DataFrame:
     )
 
 
-def _in_several(listed: DataFrame, key: str) -> DataFrame:
+def _in_several(listed: DataFrame, *key: str) -> DataFrame:
     """``key, first``: values that stand in more than one document, and the least id."""
     return (
         listed.where("doc_id is not null")
-        .groupBy(key)
+        .groupBy(*key)
         .agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
         .where("first < last")
-        .select(key, "first")
+        .select(*key, "first")
     )
 
 
@@ -127,18 +143,22 @@ def repeated(docs: DataFrame, window: int = WINDOW) -> tuple[DataFrame, DataFram
     by_doc = met.groupBy("doc_id").agg(F.collect_set("anchor").alias("met"))
 
     def batch(rows):
-        found = []
+        out = {"doc_id": rows["doc_id"], "hashes": [], "checks": []}
         for text, met_here in zip(rows["text"], rows["met"], strict=True):
-            hashes, own = windows(split(text), window)
-            found.append(np.unique(signed(hashes)[np.isin(signed(own), met_here)]))
-        return {"doc_id": rows["doc_id"], "hashes": found}
+            words = split(text)
+            hashes, own = windows(words, window)
+            held = np.isin(signed(own), met_here)
+            found, first = np.unique(signed(hashes)[held], return_index=True)
+            out["hashes"].append(found)
+            out["checks"].append(signed(checks(words, window))[held][first])
+        return out
 
     asked = map_batches(
-        docs.select("doc_id", "text").join(by_doc, "doc_id"), batch, "doc_id long, hashes array<long>"
+        docs.select("doc_id", "text").join(by_doc, "doc_id"), batch, "doc_id long, hashes array<long>, checks array<long>"
     )
     asked = staged(asked, "windows")
-    listed = asked.select("doc_id", F.explode("hashes").alias("hash"))
-    later = listed.join(_in_several(listed, "hash"), "hash").where("doc_id > first")
+    listed = asked.select("doc_id", F.inline(F.arrays_zip(F.col("hashes").alias("hash"), F.col("checks").alias("check"))))
+    later = listed.join(_in_several(listed, "hash", "check"), ["hash", "check"]).where("doc_id > first")
     repeats = later.groupBy("doc_id").agg(F.collect_set("hash").alias("hashes"))
     return facts, staged(repeats, "repeats")
 
@@ -187,8 +207,9 @@ def summary(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 def deduplicated(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """The rows of ``docs``; where words go, ``text`` is the kept ones joined by a space."""
     _, repeats = repeated(docs, window)
-    own = repeats.withColumnsRenamed({"doc_id": "_cut_id", "hashes": "_cut_hashes"})
-    found = docs.join(own, docs["doc_id"] == own["_cut_id"], "left")
+    cut_id, cut = fresh(docs, "cut_id"), fresh(docs, "cut_hashes")
+    own = repeats.withColumnsRenamed({"doc_id": cut_id, "hashes": cut})
+    found = docs.join(own, docs["doc_id"] == own[cut_id], "left")
 
     @F.pandas_udf("string")
     def without(texts, hashes):
@@ -199,7 +220,7 @@ def deduplicated(docs: DataFrame, window: int = WINDOW) -> DataFrame:
             for t, h in zip(texts, hashes, strict=True)
         )
 
-    return found.withColumn("text", without("text", "_cut_hashes")).select(docs.columns)
+    return found.withColumn("text", without("text", cut)).select(docs.columns)
 
 
 ORACLE_SQL = r"""
