@@ -5,8 +5,9 @@ regression over licence families and an unknown class. It is trained on notices
 corpus that seed patterns label, on the templates with words left out, and on other
 paragraphs as unknown, all in bounded numbers. The L1 weights leave few n-grams, and a
 paragraph with none of them is unknown without more work. Probabilities are tempered on
-held-out rows, and the least probability that counts as known is set there too. A
-prediction is confirmed if the family's template shares enough 2-grams with the paragraph.
+held-out rows, and the least probability that counts as known is set there too. A long
+paragraph is judged by its best span (SPANS) about a word that speaks for a family,
+so that a notice is found wherever it stands in it. A prediction is confirmed if the family's template shares enough 2-grams with the paragraph.
 
 Defined results: null texts and empty lines have no paragraphs; paragraphs are numbered
 from 0 among the lines of a text, empty ones included; unknown paragraphs give no rows; of
@@ -18,6 +19,7 @@ from __future__ import annotations
 
 import random
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -76,6 +78,9 @@ SHARED_GRAMS = 3
 FALSE_KNOWN = 0.01
 #: What a document with a notice that a seed could label holds.
 _HINT = r"(?i)licen[sc]e|cc[- ]by|rights reserved"
+#: Words of a span, and how many of them stand before the word that it is taken about; for
+#: notices of a sentence and of a few words.
+SPANS = ((40, 8), (14, 3))
 _BREAKS = bytes(b if b > 127 or b == 10 or chr(b).isalnum() else 32 for b in range(256))
 
 
@@ -101,8 +106,23 @@ class LicenseModel:
     least: float
 
     def __post_init__(self):
-        # A 2-gram of a paragraph can only count if both its words are there.
-        self.words = {w.encode() for g in self.weights for w in g.split(" ")}
+        # Without an n-gram that speaks for a family, and with a bias for unknown, it is unknown.
+        lead = max(self.bias[:UNKNOWN], default=0.0) > (self.bias[UNKNOWN] if self.bias else 0.0)
+        speaking = {g for g, w in self.weights.items() if lead or max(w[:UNKNOWN]) > w[UNKNOWN]}
+        self.words = {w.encode() for g in speaking for w in g.split(" ")}
+
+    def spans(self, paragraph: str | bytes) -> Iterator[bytes]:
+        """The plain paragraph, and if it is long its spans about the words that speak for a family."""
+        data = plain(paragraph) if isinstance(paragraph, str) else paragraph
+        yield data
+        words = data.split()
+        for size, before in SPANS:
+            covered = -1 if len(words) > size else len(words)
+            for at, word in enumerate(words):
+                if at > covered and word in self.words:
+                    first = max(0, at - before)
+                    covered = at + (size - before) // 2  # spans overlap by half of what follows
+                    yield b" ".join(words[first : first + size])
 
     def probabilities(self, counts: Counter) -> np.ndarray:
         """Tempered probabilities of the families and, last, of unknown."""
@@ -117,12 +137,16 @@ class LicenseModel:
 
     def classify(self, paragraph: str | bytes) -> tuple[str, float, float, bool] | None:
         """``(family, probability, likeness to its template, confirmed)``, or None if unknown."""
-        share = self.probabilities(grams(paragraph))
-        best = int(share.argmax())
-        if best == UNKNOWN or share[best] < self.least:
+        best, found = 0.0, None
+        for span in self.spans(paragraph):
+            share = self.probabilities(grams(span))
+            kind = int(share.argmax())
+            if kind != UNKNOWN and share[kind] >= self.least and share[kind] > best:
+                best, found = float(share[kind]), (FAMILIES[kind], span)
+        if found is None:
             return None
-        like = template_likeness(paragraph, FAMILIES[best])
-        return FAMILIES[best], float(share[best]), like, like >= CONFIRMED
+        like = template_likeness(found[1], found[0])
+        return found[0], best, like, like >= CONFIRMED
 
     def scan(self, text: str | None):
         """``(paragraph number, ...)`` for each known paragraph of a whole text."""
@@ -237,6 +261,7 @@ def train(docs: DataFrame, seed: int = 5) -> LicenseModel:
             rows.append((template, k))
     rng.shuffle(rows)
     data = [(grams(line), y) for line, y in rows]
+    held_lines = [line for line, y in rows[::4] if y == UNKNOWN]
     held, rest = data[::4], [d for k, d in enumerate(data) if k % 4]
     weights, bias = _fit(rest)
 
@@ -245,13 +270,8 @@ def train(docs: DataFrame, seed: int = 5) -> LicenseModel:
         return -sum(np.log(max(1e-9, model.probabilities(c)[y])) for c, y in held)
 
     model = LicenseModel(weights, bias, min((0.25, 0.35, 0.5, 0.7, 1.0, 1.4, 2.0), key=loss), 0.0)
-    wrong = [
-        float(p[:UNKNOWN].max())
-        for c, y in held
-        if y == UNKNOWN and (p := model.probabilities(c))[:UNKNOWN].max() > p[UNKNOWN]
-    ]
-    n_unknown = sum(y == UNKNOWN for _, y in held)
-    return LicenseModel(weights, bias, model.temperature, least_known(wrong, n_unknown))
+    wrong = [found[1] for line in held_lines if (found := model.classify(line))]
+    return LicenseModel(weights, bias, model.temperature, least_known(wrong, len(held_lines)))
 
 
 def scan(docs: DataFrame, model: LicenseModel) -> DataFrame:
