@@ -11,7 +11,7 @@ that capitals, numbers and runs of marks tell nothing.
 Blocks keep the dictionary's share alike over the whole of a long text, whose own
 history would else outweigh it.
 
-Defined results: a null text, or one without a letter, is ``und`` with score 0 and is
+Defined results: a null text, or one without a letter (Unicode category L), is ``und`` with score 0 and is
 rejected; ties go to the language with more training rows, then to the one that sorts first; training rows with null text or
 language are ignored; with no training rows at all every text is ``und``; repeated
 rows give repeated results; extra columns are ignored.
@@ -22,6 +22,7 @@ from __future__ import annotations
 import math
 import re
 
+import regex
 import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -38,7 +39,7 @@ BLOCK_BYTES = 2_048
 LEVEL = 6
 #: Below this margin, as a share of the best total, a prediction is rejected.
 NARROW = 0.01
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")
 _REST = re.compile(r"[\W\d_]+")
 
 
@@ -47,6 +48,15 @@ def plain(text: str) -> bytes:
     return _REST.sub(" ", text.lower()).encode()
 
 
+def spread(data: bytes, share: int, pieces: int = 4) -> bytes:
+    """``data``, or ``share`` bytes of it in pieces from its whole length."""
+    if len(data) <= share:
+        return data
+    size = share // pieces
+    step = (len(data) - size) / (pieces - 1)
+    return b" ".join(data[int(k * step) : int(k * step) + size] for k in range(pieces))
+
+
 def train(
     labelled: DataFrame, sample_docs: int = SAMPLE_DOCS, dictionary_bytes: int = DICTIONARY_BYTES
 ) -> dict[str, bytes]:
@@ -55,7 +65,8 @@ def train(
     The languages are in the order of their training rows, most first.
 
     At most ``sample_docs`` texts of a language are used, those with the least hashes; all
-    but a few times as many are cut by the hash before they are moved.
+    but a few times as many are cut by the hash before they are moved. Of a text that is longer
+    than its share, SAMPLE_CHARS characters and then the share come from all along it.
     """
     usable = labelled.select("lang", "text").where("lang is not null and length(text) > 0")
     counts = {r.lang: r["count"] for r in usable.groupBy("lang").count().collect()}
@@ -63,9 +74,13 @@ def train(
         return {}
     near = thinned(usable.withColumn("h", F.xxhash64("text")), sample_docs, "lang")
     order = Window.partitionBy("lang").orderBy("h")
+    size = SAMPLE_CHARS // 4
+    starts = [F.floor((F.length("text") - size) * k / 3).cast("int") + 1 for k in range(4)]
+    whole = F.length("text") <= SAMPLE_CHARS
+    sliced = F.when(whole, F.col("text")).otherwise(F.concat_ws(" ", *[F.substring(F.col("text"), s, F.lit(size)) for s in starts]))
     rows = (
         near.dropDuplicates(["lang", "h"])
-        .select("lang", "h", F.row_number().over(order).alias("k"), F.substring("text", 1, SAMPLE_CHARS).alias("text"))
+        .select("lang", "h", F.row_number().over(order).alias("k"), sliced.alias("text"))
         .where(F.col("k") <= sample_docs)
         .orderBy("lang", "h")
         .collect()
@@ -77,7 +92,7 @@ def train(
     for lang in sorted(pieces, key=lambda x: (-counts[x], x)):
         texts = pieces[lang]
         share = max(256, dictionary_bytes // len(texts))
-        made[lang] = b" ".join(t[:share] for t in texts)[:dictionary_bytes]
+        made[lang] = b" ".join(spread(t, share) for t in texts)[:dictionary_bytes]
     return made
 
 
