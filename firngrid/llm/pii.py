@@ -23,8 +23,10 @@ import hashlib
 import json
 import math
 import re
+from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -139,15 +141,15 @@ def _trim(text: str, start: int, end: int) -> tuple[int, int]:
 def _features(text: str, start: int, end: int, before: str, n_tokens: int) -> list[str]:
     """Whole-span features of a candidate."""
     span = text[start:end]
-    digits = re.sub("[^0-9]", "", span[:200])
-    letters = re.sub("[^A-Za-z]", "", span[:200])
-    shape = re.sub(r"(.)\1+", r"\1", re.sub("[a-z]", "a", re.sub("[A-Z]", "A", re.sub("[0-9]", "9", span[:60]))))
+    digits = re.sub("[^0-9]", "", span)
+    letters = re.sub("[^A-Za-z]", "", span)
+    shape = re.sub(r"(.)\1+", r"\1", re.sub("[a-z]", "a", re.sub("[A-Z]", "A", re.sub("[0-9]", "9", span))))
     size = min(6, len(span) // 6)
-    counts = Counter(span[:200])
-    spread = -sum(n / len(span[:200]) * math.log2(n / len(span[:200])) for n in counts.values())
+    counts = Counter(span)
+    spread = -sum(n / len(span) * math.log2(n / len(span)) for n in counts.values())
     found = [
         "bias",
-        f"shape={shape[:16]}",
+        f"shape={shape if len(shape) <= 16 else 'long'}",
         f"size={size}",
         f"tokens={n_tokens}",
         f"digits={min(len(digits), 20)}",
@@ -308,13 +310,20 @@ def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> SegmentField:
 def all_spans(field: SegmentField, text: str) -> tuple[list, list]:
     """The base spans, and these with what the field adds."""
     base = base_spans(text)
+    starts = [a for a, _, _ in base]
+    ends = list(accumulate((b for _, _, b in base), max))  # the last end so far
+
+    def first_beyond(start: int) -> int:
+        """The first base span such that it or one before it ends after ``start``."""
+        return bisect_right(ends, start)
+
     added = []
     for zone in zones(text):
-        near = [(a, b) for a, _, b in base if a < zone[-1][1] and b > zone[0][0]]
-        if len(near) == 1 and near[0][0] <= zone[0][0] + 2 and near[0][1] >= zone[-1][1] - 2:
+        low, high = first_beyond(zone[0][0]), bisect_left(starts, zone[-1][1])
+        if high - low == 1 and base[low][0] <= zone[0][0] + 2 and base[low][2] >= zone[-1][1] - 2:
             continue  # the whole zone is a base span
         for start, kind, end in field.decode(text, zone):
-            if all(end <= a or start >= b for a, b in near):
+            if first_beyond(start) >= bisect_left(starts, end):
                 added.append((start, kind, end))
     return base, sorted(base + added)
 
