@@ -23,6 +23,7 @@ import string
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from firngrid.llm.texts import fresh
 from firngrid.sources.shared import staged
 
 #: Consecutive words of a window; a shorter item is one window.
@@ -259,10 +260,11 @@ def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are not contaminated, each judged by its own text."""
     key = F.xxhash64("text")
     found = hits(docs.select(key.alias("doc_id"), "text"), items)
-    bad = found.where("contaminated").select(F.col("doc_id").alias("text_key")).distinct()
+    own = fresh(docs, "text_key")
+    bad = found.where("contaminated").select(F.col("doc_id").alias(own)).distinct()
     bad = staged(bad, "contaminated")
-    keyed = docs.withColumn("text_key", key)
-    return keyed.join(small(bad, bad.count()), "text_key", "left_anti").select(docs.columns)
+    keyed = docs.withColumn(own, key)
+    return keyed.join(small(bad, bad.count()), own, "left_anti").select(docs.columns)
 
 
 ORACLE_SQL = r"""

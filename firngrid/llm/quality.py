@@ -170,6 +170,8 @@ def train(labelled: DataFrame, seed: int = 17) -> QualityModel:
     """Fit on ``labelled (stats array<double>, label int, calibrate boolean)``.
 
     The rows with ``calibrate`` are left out of the ridge fit and set the calibration.
+    Without labels of both kinds, or without a row to calibrate by, all texts get the share
+    of label 1 (0.5 without any label).
     """
     rows = labelled.where("label is not null and stats is not null")
     width = len(STATISTICS)
