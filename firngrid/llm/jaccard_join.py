@@ -14,8 +14,8 @@ How the units are spent is decided by cost, with lists that have been counted:
   others a set passes over the longest lists, as many as there are spare segments. Both
   orders depend on what is equal in two partners, so one entry that they share is left
   (``indexed``). Most sets have nothing left after that.
-* A set that still has entries in long lists indexes all its segments a second time, with
-  their one-deletion neighbourhoods, among those of its kind. Where short lists of subsets
+* A set that still has entries in long lists indexes all its segments a second time, half of
+  them with their one-deletion neighbourhoods, among those of its kind. Where short lists of subsets
   and of neighbourhoods give it its H + 1 units, and reading them costs less than the long
   lists do, it asks these (``allocate``) and leaves the long lists; else it stays in them.
 
@@ -174,9 +174,16 @@ def indexed(elements: np.ndarray, scheme: int, bands: Bands, most: int) -> np.nd
     return _keyed(mixed(sums[full] ^ key[full]), scheme)
 
 
+def loose_segments(m: int) -> int:
+    """How many of ``m`` segments, the first ones, have neighbourhoods."""
+    return (m + 1) // 2
+
+
 def loose_entries(elements: np.ndarray, scheme: int, m: int) -> tuple[np.ndarray, np.ndarray]:
-    """``(segments, entries)``: each segment's subset, and its subsets with one element less."""
+    """``(segments, entries)``: each segment's subset, then for the loose ones all with one element less."""
     spread, segment, sums, key = _cut(elements, scheme, m)
+    loose = segment < loose_segments(m)
+    spread, segment = spread[loose], segment[loose]
     less = mixed((sums[segment] - spread) ^ key[segment] ^ _LOOSE)
     return (
         np.concatenate([np.arange(m), segment]),
@@ -202,7 +209,7 @@ def allocate(
     """
     short = sorted((own.get(k, 0), k) for k in range(m) if own.get(k, 0) <= LONG)[:units]
     missing = units - len(short)
-    extra = sorted((near.get(k, 0), k) for _, k in short)[:missing]
+    extra = sorted((near.get(k, 0), k) for _, k in short if k < loose_segments(m))[:missing]
     cost = sum(n for n, _ in short) + sum(n for n, _ in extra)
     if len(extra) < missing or (extra and extra[-1][0] > LONG) or cost >= stay:
         return None
@@ -298,57 +305,58 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _left_lists(hot: DataFrame, sets: DataFrame, bands: Bands) -> tuple[DataFrame, DataFrame]:
-    """``(met, left)`` of the sets ``hot (c1, parity, stay)`` that stand in long lists.
+    """``(met, left)`` of the sets ``hot (c1, parity, long, stay)`` that stand in ``long`` long lists.
 
     ``left (c1, parity)`` are those that leave the long lists, and ``met (entry, c1)`` the
     lists of subsets and neighbourhoods that they ask, with all of ``hot`` that are in them.
     """
+    keep_batches_small(hot.sparkSession)
+    schema = "c1 long, parity long, units long, m long, stay long, may boolean, own boolean, segment long, entry long"
+    arrow = arrow_schema(schema)
 
-    def batch(rows):
-        out = {k: [] for k in ("c1", "parity", "units", "m", "stay", "segments", "loose")}
-        for c1, parity, stay, data in zip(*(rows[k] for k in ("c1", "parity", "stay", "elements")), strict=True):
-            elements = np.frombuffer(data, np.uint64)
-            for scheme, most in bands.schemes(len(elements)):
-                if scheme & 1 == parity:
+    def listed(batches):
+        for b in batches:
+            rows = b.to_pydict()
+            for c1, parity, long, stay, data in zip(*(rows[k] for k in ("c1", "parity", "long", "stay", "elements")), strict=True):
+                elements = np.frombuffer(data, np.uint64)
+                for scheme, most in bands.schemes(len(elements)):
+                    if scheme & 1 != parity:
+                        continue
                     m = bands.segments(scheme)
-                    segments, loose = loose_entries(elements, scheme, m)
-                    for k, v in zip(out, (c1, parity, most + 1, m, stay, segments, signed(loose)), strict=True):
-                        out[k].append(v)
-        return out
-
-    schema = "c1 long, parity long, units long, m long, stay long, segments array<long>, loose array<long>"
-    near = staged(map_batches(hot.join(sets.select("c1", "elements"), "c1"), batch, schema), "neighbourhoods")
-    # the first m entries are the subsets themselves
-    each = near.select("c1", "parity", "m", F.posexplode(F.arrays_zip("segments", "loose")).alias("at", "e")).select(
-        "c1", "parity", (F.col("at") < F.col("m")).alias("own"), F.col("e.segments").alias("segment"), F.col("e.loose").alias("entry")
-    )
+                    segments, found = loose_entries(elements, scheme, m)
+                    # with the short lists that it has, doubled, a set must reach its units
+                    may = 2 * (most + 1 + bands.spare(scheme) - long) > most
+                    n = len(found)
+                    same = [pa.array(np.full(n, v)) for v in (c1, parity, most + 1, m, stay)]
+                    flags = [pa.array(np.full(n, may)), pa.array(np.arange(n) < m)]
+                    yield pa.RecordBatch.from_arrays([*same, *flags, pa.array(segments), pa.array(signed(found))], schema=arrow)
+
+    # a row becomes some hundred ones, so the rows are dealt evenly first
+    each = hot.join(sets.select("c1", "elements"), "c1").repartition("c1").mapInArrow(listed, schema)
+    each = staged(each, "neighbourhoods")
     lengths = each.groupBy("entry").agg(F.count("*").alias("length")).where("length > 1")
+    one = ("c1", "parity", "units", "m", "stay")
     costs = (
-        each.join(lengths, "entry")
-        .groupBy("c1", "parity", "segment")
+        each.where("may")
+        .join(lengths, "entry")
+        .groupBy(*one, "segment")
         .agg(F.sum("length").alias("near"), F.coalesce(F.sum(F.when(F.col("own"), F.col("length"))), F.lit(0)).alias("own"))
-        .groupBy("c1", "parity")
-        .agg(*[F.collect_list(F.struct("segment", k)).alias(k) for k in ("near", "own")])
+        .groupBy(*one)
+        .agg(*[F.collect_list(k).alias(k) for k in ("segment", "near", "own")])
     )
 
     def choose(rows):
-        out = {k: [] for k in ("c1", "parity", "twice", "asked")}
-        for c1, parity, units, m, stay, segments, loose, near, own in zip(
-            *(rows[k] for k in ("c1", "parity", "units", "m", "stay", "segments", "loose", "near", "own")), strict=True
-        ):
-            lengths = [{e["segment"]: e[k] for e in v or []} for k, v in (("own", own), ("near", near))]
-            if (found := allocate(units, m, *lengths, stay)) is not None:
-                once, twice = map(set, found)
-                asked = [e for k, (s, e) in enumerate(zip(segments, loose, strict=True)) if s in twice or (k < m and s in once)]
-                for k, v in zip(out, (c1, parity, sorted(twice), asked), strict=True):
+        out = {k: [] for k in ("c1", "parity", "once", "twice")}
+        for c1, parity, units, m, stay, at, near, own in zip(*(rows[k] for k in (*one, "segment", "near", "own")), strict=True):
+            found = allocate(units, m, dict(zip(at, own, strict=True)), dict(zip(at, near, strict=True)), stay)
+            if found is not None:
+                for k, v in zip(out, (c1, parity, *found), strict=True):
                     out[k].append(v)
         return out
 
-    chosen = map_batches(
-        near.join(costs, ["c1", "parity"], "left"), choose, "c1 long, parity long, twice array<long>, asked array<long>"
-    )
-    chosen = staged(chosen, "chosen")
-    asked = chosen.select(F.explode("asked").alias("entry")).distinct()
+    chosen = staged(map_batches(costs, choose, "c1 long, parity long, once array<long>, twice array<long>"), "chosen")
+    wanted = F.array_contains("twice", F.col("segment")) | (F.col("own") & F.array_contains("once", F.col("segment")))
+    asked = each.where("may").join(chosen, ["c1", "parity"]).where(wanted).select("entry").distinct()
     met = each.select("entry", "c1").join(asked, "entry", "left_semi").distinct()
     return met, chosen.select("c1", "parity")
 
@@ -446,6 +454,7 @@ def components(docs: DataFrame, percent: int = 85, size: int = 4) -> DataFrame:
         .where(F.size("found") > F.col("spare"))
         .withColumn("kept", F.slice("found", F.col("spare") + 1, F.size("found")))
         .withColumn("hot", F.col("kept")[0]["length"] > LONG)
+        .withColumn("long", F.size(F.filter("found", lambda e: e["length"] > LONG)))
         .withColumn("stay", F.aggregate("kept", F.lit(0).cast("long"), lambda total, e: total + e["length"]))
     )
     offers = staged(offers, "offers")
@@ -454,7 +463,7 @@ def components(docs: DataFrame, percent: int = 85, size: int = 4) -> DataFrame:
 
     kept = offers.select("c1", "parity", F.inline("kept"))
     found = offers.select("c1", F.inline("found"))
-    met, left = _left_lists(offers.where("hot").select("c1", "parity", "stay"), sets, bands)
+    met, left = _left_lists(offers.where("hot").select("c1", "parity", "long", "stay"), sets, bands)
     stay = kept.join(left, ["c1", "parity"], "left_anti")
     asked = stay.where(F.col("length") <= LONG).select("entry").distinct()
     short = found.where(F.col("length") <= LONG).select("entry", "c1").join(asked, "entry", "left_semi")

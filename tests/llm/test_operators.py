@@ -265,10 +265,10 @@ def test_linked_sets_meet_however_the_units_are_spent():
             both = dict(bands.schemes(len(a))), dict(bands.schemes(len(b)))
             scheme = min(both[0].keys() & both[1].keys())
             m, units = bands.segments(scheme), both[0][scheme] + 1
-            spent = np.zeros(m, int)
+            spent, most = np.zeros(m, int), np.where(np.arange(m) < jaccard_join.loose_segments(m), 2, 1)
             while spent.sum() < units:
                 at = int(rng.integers(m))
-                spent[at] = min(2, spent[at] + int(rng.integers(1, 3)))
+                spent[at] = min(most[at], spent[at] + int(rng.integers(1, 3)))
             (s, x), (t, y) = jaccard_join.loose_entries(a, scheme, m), jaccard_join.loose_entries(b, scheme, m)
             loose = any(len(np.intersect1d(x[s == k], y[t == k])) for k in np.flatnonzero(spent == 2))
             assert loose or (x[:m] == y[:m])[spent == 1].any()
@@ -277,13 +277,14 @@ def test_linked_sets_meet_however_the_units_are_spent():
 
 
 def test_units_go_where_lists_are_short():
-    own = {0: 5000, 1: 5000, 2: 3}
-    assert jaccard_join.allocate(2, 4, own, {}, 5003) == ([2, 3], [])
-    assert jaccard_join.allocate(3, 4, own, {}, 5003) == ([3], [2])
-    assert jaccard_join.allocate(3, 4, own, {2: 30, 3: 9}, 5003) == ([2], [3])
-    assert jaccard_join.allocate(3, 4, own, {2: 40, 3: 50}, 5003) is None  # no short neighbourhood
-    assert jaccard_join.allocate(3, 4, own, {2: 20, 3: 20}, 15) is None  # staying costs less
+    own = {3: 5000, 2: 5000, 1: 3}  # of four segments the first two are loose
+    assert jaccard_join.allocate(2, 4, own, {}, 5003) == ([0, 1], [])
+    assert jaccard_join.allocate(3, 4, own, {}, 5003) == ([1], [0])
+    assert jaccard_join.allocate(3, 4, own, {0: 30, 1: 9}, 5003) == ([0], [1])
+    assert jaccard_join.allocate(3, 4, own, {0: 40, 1: 50}, 5003) is None  # no short neighbourhood
+    assert jaccard_join.allocate(3, 4, own, {0: 20, 1: 20}, 15) is None  # staying costs less
     assert jaccard_join.allocate(5, 4, own, {}, 5003) is None  # not enough units
+    assert jaccard_join.allocate(3, 4, {0: 99, 1: 99}, {}, 5003) is None  # the short ones are not loose
 
 
 def test_first_of_each(spark, corpus):
