@@ -1,8 +1,8 @@
 """Benchmark decontamination over a positional inverted index, in DataFrame operations only.
 
-The index holds a posting list ``(term, doc_id, positions)`` for the terms that a
-search asks for. A phrase search takes, from each window of a benchmark item, the
-terms that are rarest in the corpus, subtracts their offset in the item from each of
+The stored index holds a posting ``(term, doc_id, pos)`` of every word of the corpus, so
+that one index serves any number of searches. A phrase search takes, from each window of
+a benchmark item, the terms that are rarest in the corpus, subtracts their offset in the item from each of
 their positions, and intersects these adjusted lists: what is left are places where
 the rarest terms stand as far apart as in the window. Each such place is then
 compared word by word with the text. A proximity search starts from the rarest term
@@ -52,26 +52,28 @@ def small(side: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(side) if rows <= BROADCAST_ROWS else side
 
 
-def term_counts(docs: DataFrame, terms: DataFrame, n_terms: int) -> DataFrame:
+def build_index(docs: DataFrame) -> DataFrame:
+    """The stored index of every term: ``term_key, term, doc_id, pos``, positions from 0.
+
+    Each posting is a row, so no term and no document is ever one group. Files are sorted
+    by the hash of the term: the postings of a term lie together, and row groups without
+    it can be skipped. Searches read the index and not the corpus.
+    """
+    tokens = docs.select("doc_id", F.posexplode(words(F.col("text"))).alias("pos", "term"))
+    keyed = tokens.select(F.xxhash64("term").alias("term_key"), "term", "doc_id", "pos")
+    return staged(keyed.sortWithinPartitions("term_key"), "postings")
+
+
+def term_counts(index: DataFrame, terms: DataFrame, n_terms: int) -> DataFrame:
     """``term, n_corpus``: how often each of ``terms (term)`` stands in the corpus."""
-    tokens = docs.select(F.explode(words(F.col("text"))).alias("term"))
+    postings = index.select("term")
     if n_terms <= BROADCAST_ROWS:
-        tokens = tokens.join(F.broadcast(terms), "term")
-        return tokens.groupBy("term").agg(F.count("*").alias("n_corpus"))
-    counted = tokens.groupBy("term").agg(F.count("*").alias("n_corpus"))
+        postings = postings.join(F.broadcast(terms), "term")
+        return postings.groupBy("term").agg(F.count("*").alias("n_corpus"))
+    counted = postings.groupBy("term").agg(F.count("*").alias("n_corpus"))
     return counted.join(terms, "term")
 
 
-def build_index(docs: DataFrame, terms: DataFrame, n_terms: int) -> DataFrame:
-    """The stored index of ``terms (term)``: ``term, doc_id, positions``, positions from 0."""
-    tokens = docs.select("doc_id", F.posexplode(words(F.col("text"))).alias("pos", "term"))
-    postings = tokens.join(small(terms, n_terms), "term")
-    lists = postings.groupBy("term", "doc_id").agg(
-        F.sort_array(F.collect_set("pos")).alias("positions")
-    )
-    return staged(lists, "postings")
-
-
 def phrases_of(items: DataFrame) -> DataFrame:
     """``phrase, item_id, item_words, size``: each item with words, under a key of its own."""
     return (
@@ -114,7 +116,7 @@ def _rarest(phrases: DataFrame, counts: DataFrame) -> DataFrame:
     return ranked.where(f"rank <= {RAREST} and least > 0").select("phrase", "start", "pos", "term")
 
 
-def phrase_candidates(docs: DataFrame, phrases: DataFrame) -> DataFrame:
+def phrase_candidates(index: DataFrame, phrases: DataFrame) -> DataFrame:
     """``doc_id, found``: places that the intersected posting lists leave, by document.
 
     ``found`` lists ``(item_id, item_words, size, shift, starts)``: window ``start`` of the
@@ -124,17 +126,13 @@ def phrase_candidates(docs: DataFrame, phrases: DataFrame) -> DataFrame:
     terms = phrases.select(F.explode("item_words").alias("term")).distinct()
     terms = staged(terms, "terms")
     n_terms = terms.count()
-    counts = term_counts(docs, terms, n_terms)
+    counts = term_counts(index, terms, n_terms)
     rarest = staged(_rarest(phrases, counts), "rarest")
     anchors = rarest.select("phrase", "pos", "term").distinct()
-    asked = anchors.select("term").distinct()
-    index = build_index(docs, asked, n_terms)
-
     n_anchors = anchors.count()
     adjusted = (
         index.join(small(anchors.withColumnRenamed("pos", "item_pos"), n_anchors), "term")
-        .select("doc_id", "phrase", "item_pos", F.explode("positions").alias("at"))
-        .groupBy("doc_id", "phrase", (F.col("at") - F.col("item_pos")).alias("shift"))
+        .groupBy("doc_id", "phrase", (F.col("pos") - F.col("item_pos")).alias("shift"))
         .agg(F.collect_set("item_pos").alias("met"))
     )
     windows = rarest.groupBy("phrase", "start").agg(F.collect_set("pos").alias("asked"))
@@ -153,9 +151,13 @@ def phrase_candidates(docs: DataFrame, phrases: DataFrame) -> DataFrame:
     )
 
 
-def hits(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """One row per document: words, hit words, items and whether it is contaminated."""
-    found = staged(phrase_candidates(docs, phrases_of(items)), "candidates")
+def hits(docs: DataFrame, items: DataFrame, index: DataFrame | None = None) -> DataFrame:
+    """One row per document: words, hit words, items and whether it is contaminated.
+
+    ``index`` is the stored index of ``docs``; without one it is built.
+    """
+    index = build_index(docs) if index is None else index
+    found = staged(phrase_candidates(index, phrases_of(items)), "candidates")
     ids = found.select("doc_id")
     n_ids = found.count()
     texts = docs.select("doc_id", words(F.col("text")).alias("words"))
@@ -217,17 +219,18 @@ def hits(docs: DataFrame, items: DataFrame) -> DataFrame:
     )
 
 
-def near(docs: DataFrame, items: DataFrame, distance: int) -> DataFrame:
+def near(index: DataFrame, items: DataFrame, distance: int) -> DataFrame:
     """``doc_id, item_id``: documents with all terms of an item near its rarest one.
 
     Near is at most ``distance`` words before or after some occurrence of the rarest term.
+    Postings meet by document, term and block of ``distance + 1`` words, so an occurrence
+    is compared with those of three blocks only, however long the document is.
     """
     phrases = staged(phrases_of(items), "phrases")
     wanted = phrases.select("phrase", "item_id", F.explode("item_words").alias("term")).distinct()
     terms = staged(wanted.select("term").distinct(), "terms")
     n_terms = terms.count()
-    counts = term_counts(docs, terms, n_terms)
-    index = build_index(docs, terms, n_terms)
+    counts = term_counts(index, terms, n_terms)
     order = Window.partitionBy("phrase").orderBy("n_corpus", "term")
     whole = Window.partitionBy("phrase")
     ranked = wanted.join(counts, "term", "left").select(
@@ -237,17 +240,20 @@ def near(docs: DataFrame, items: DataFrame, distance: int) -> DataFrame:
         F.count("n_corpus").over(whole).alias("n_known"),
     )
     ranked = staged(ranked.where("n_known = n_terms"), "wanted")
-    seeds = (
-        index.join(ranked.where("rank = 1"), "term")
-        .select("doc_id", "phrase", "item_id", "n_terms", F.explode("positions").alias("seed"))
+    n_ranked = ranked.count()
+    seeds = index.join(small(ranked.where("rank = 1").select("term", "phrase"), n_ranked), "term").select(
+        "doc_id", "phrase", F.col("pos").alias("seed")
+    )
+    block = F.floor(F.col("seed") / (distance + 1))
+    around = seeds.join(small(ranked.select("phrase", "term", "item_id", "n_terms"), n_ranked), "phrase").select(
+        "*", F.explode(F.array(block - 1, block, block + 1)).alias("block")
     )
-    others = index.join(ranked.select("term", "phrase"), "term").select(
-        "doc_id", "phrase", "term", "positions"
+    postings = index.join(small(terms, n_terms), "term", "left_semi").select(
+        "term", "doc_id", "pos", F.floor(F.col("pos") / (distance + 1)).alias("block")
     )
-    close = F.exists("positions", lambda p: F.abs(p - F.col("seed")) <= distance)
     return (
-        seeds.join(others, ["doc_id", "phrase"])
-        .where(close)
+        around.join(postings, ["doc_id", "term", "block"])
+        .where(F.abs(F.col("pos") - F.col("seed")) <= distance)
         .groupBy("doc_id", "item_id", "phrase", "seed", "n_terms")
         .agg(F.countDistinct("term").alias("met"))
         .where("met = n_terms")

@@ -87,7 +87,7 @@ def test_every_operator_takes_an_empty_table(spark):
     path = queries.BPE_RANKS
     assert byte_bpe.round_trip(empty, path, queries.PATTERN).count() == 0
     assert decontamination.hits(empty, none).count() == 0
-    assert decontamination.near(empty, none, 5).count() == 0
+    assert decontamination.near(decontamination.build_index(empty), none, 5).count() == 0
     assert fingerprints.compare_with_next(empty).count() == 0
     assert jaccard_join.components(empty).count() == 0
     assert language_id.identify(empty, language_id.train(empty), {}).count() == 0
@@ -184,10 +184,44 @@ def test_clean_keeps_the_rest(spark, corpus):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(i for i, _ in corpus if i not in bad)
 
 
+def _near(texts, items, distance):
+    counts = Counter(w for _, t in texts for w in _words(t))
+    out = set()
+    for item_id, item in items:
+        terms = set(_words(item))
+        if not terms or item_id is None or not all(counts[t] for t in terms):
+            continue
+        rarest = min(terms, key=lambda t: (counts[t], t))
+        for i, t in texts:
+            w = _words(t)
+            if any(terms <= set(w[max(0, k - distance) : k + distance + 1]) for k, x in enumerate(w) if x == rarest):
+                out.add((i, str(item_id)))
+    return out
+
+
 def test_proximity(spark):
-    docs = documents(spark, [(1, "a b c d e f"), (2, "f x x x x x x a"), (3, None), (4, "a f")])
-    items = spark.createDataFrame([(9, "a f")], "item_id long, text string")
-    assert sorted(decontamination.near(docs, items, 5).collect()) == [(1, "9"), (4, "9")]
+    rng = random.Random(9)
+    texts = [(1, "a b c d e f"), (2, "f x x x x x x a"), (3, None), (4, "a f"), (5, ""), (6, "a " * 300 + "f")]
+    texts += [(k, " ".join(rng.choice("abcdefghxyz") for _ in range(40))) for k in range(10, 60)]
+    items = [(9, "a f"), (10, "b G h b"), (11, "nowhere a"), (12, None), (None, "a b"), (13, "x")]
+    index = decontamination.build_index(documents(spark, texts))
+    asked = spark.createDataFrame(items, "item_id long, text string")
+    for distance in (0, 1, 5):
+        found = decontamination.near(index, asked, distance).collect()
+        assert sorted(map(tuple, found)) == sorted(_near(texts, items, distance))
+
+
+def test_one_index_serves_many_searches(spark, corpus):
+    docs = documents(spark, corpus)
+    index = decontamination.build_index(docs)
+    assert index.count() == sum(len(_words(t)) for _, t in corpus)
+    for chosen in ([75], [42, 36]):
+        items = [(i, dict(corpus)[i]) for i in chosen]
+        found = decontamination.hits(docs, spark.createDataFrame(items, "item_id long, text string"), index)
+        assert Counter(map(tuple, found.collect())) == Counter((i, *_contamination(t, items)) for i, t in corpus)
+        phrases = decontamination.phrases_of(spark.createDataFrame(items, "item_id long, text string"))
+        read = decontamination.phrase_candidates(index, phrases).inputFiles()
+        assert read and all("firngrid" in f for f in read)
 
 
 # -- n-gram Jaccard join
