@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -136,6 +137,58 @@ def likelihood_fit(maxima: DataFrame) -> DataFrame:
     return maxima.groupBy("cell").applyInPandas(fit, "cell long, loc double, scale double, shape double")
 
 
+@lru_cache
+def order_weights(n: int) -> tuple[tuple[float, float], ...]:
+    """Weights of the sorted values for Gumbel location and scale, by generalised least squares.
+
+    They follow from the means and covariances of the order statistics of ``n`` values. The
+    k-th smallest of n uniform values is a beta variable, and a smaller one is a share of it
+    that is an independent beta variable; both integrals are taken on doubly exponential nodes.
+    """
+    x = np.linspace(-3.6, 3.6, 181)
+    s = math.pi * np.sinh(x)
+    low, high = -np.logaddexp(0, -s), -np.logaddexp(0, s)
+    step = (x[1] - x[0]) * math.pi * np.cosh(x)
+
+    def beta(a: int, b: int) -> np.ndarray:
+        return step * np.exp(math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * low + b * high)
+
+    value = -np.log(-low)
+    both = value[:, None] * -np.log(-(low[:, None] + low[None, :]))
+    own = [beta(k, n - k + 1) for k in range(1, n + 1)]
+    mean = np.array([w @ value for w in own])
+    second = np.diag([w @ value**2 for w in own])
+    for k in range(2, n + 1):
+        of_largest = own[k - 1] @ both
+        for i in range(1, k):
+            second[i - 1, k - 1] = second[k - 1, i - 1] = of_largest @ beta(i, k - i)
+    design = np.column_stack([np.ones(n), mean])
+    weighted = np.linalg.solve(second - np.outer(mean, mean), design)
+    found = np.linalg.solve(design.T @ weighted, weighted.T)
+    return tuple((float(a), float(b)) for a, b in found.T)
+
+
+def order_fit(maxima: DataFrame) -> DataFrame:
+    """Gumbel parameters of each cell as the best linear sums of its sorted values (Lieblein).
+
+    A cell of zeros has zeros; fewer than two values, or equal ones, give null; null values
+    are left out. There is a weight for each year of each length of series, so this side is small.
+    """
+    w = Window.partitionBy("cell")
+    ranked = maxima.where("v is not null").select(
+        "cell", "v", F.row_number().over(w.orderBy("v")).alias("r"), F.count("*").over(w).alias("n")
+    )
+    lengths = [r.n for r in ranked.select("n").where("n > 1").distinct().collect()]
+    rows = [(n, k, a, b) for n in lengths for k, (a, b) in enumerate(order_weights(n), 1)]
+    weights = maxima.sparkSession.createDataFrame(rows, "n long, r int, a double, b double")
+    sums = ranked.join(F.broadcast(weights), ["n", "r"], "left").groupBy("cell").agg(
+        F.sum(F.col("a") * F.col("v")).alias("loc"), F.sum(F.col("b") * F.col("v")).alias("scale"),
+        F.max("v").alias("top"), F.min("v").alias("least"),
+    )
+    pick = lambda x: F.when(F.col("top") == 0, 0.0).when(F.col("top") > F.col("least"), x)
+    return sums.select("cell", *[pick(x).alias(c) for c, x in (("loc", F.col("loc")), ("scale", F.col("scale")), ("shape", F.lit(0.0)))])
+
+
 def return_levels(params: DataFrame, periods: tuple[int, ...] = PERIODS) -> DataFrame:
     """``cell, period, level`` from ``cell, loc, scale, shape``."""
     each = params.withColumn("period", F.explode(F.array(*[F.lit(p) for p in periods])))

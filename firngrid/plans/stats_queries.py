@@ -307,6 +307,11 @@ def likelihood_fit(fx):
     return climate.likelihood_fit(climate.block_maxima(fx.annual))
 
 
+@query("c_06_order_fit")
+def order_fit(fx):
+    return climate.order_fit(climate.block_maxima(fx.annual))
+
+
 @query("c_07_return_levels", "annual dem", _MOMENTS + """
 select cell, t as period, round(loc - scale * ln(-ln(1 - 1 / t::double)), 2) as level from p, (values (10), (30), (100), (300)) q(t) where cell in (select cell from fx_dem where landcover <> 11)""")
 def return_levels(fx):

@@ -276,3 +276,27 @@ def test_paths_are_buffered_from_every_cell(spark, data):
     cells = {r.cell for r in Fixtures(spark, data).dem.where("landcover <> 11").select("cell").collect()}
     found = [r.root for r in queries.QUERIES["v_04_buffered_paths"](spark, data).collect()]
     assert sorted(found) == sorted(cells)
+
+
+def test_order_weights_are_the_published_ones():
+    # fixed values: best linear weights for two, three and four values, smallest first
+    location = {2: [0.916373, 0.083627], 3: [0.656320, 0.255714, 0.087966], 4: [0.510998, 0.263943, 0.153680, 0.071380]}
+    scale = {2: [-0.721348, 0.721348], 3: [-0.630541, 0.255816, 0.374725], 4: [-0.558619, 0.085903, 0.223919, 0.248797]}
+    for n in location:
+        a, b = zip(*climate.order_weights(n), strict=True)
+        assert np.allclose(a, location[n], atol=2e-6) and np.allclose(b, scale[n], atol=2e-6)
+    a, b = np.array(climate.order_weights(80)).T
+    assert abs(a.sum() - 1) < 1e-6 and abs(b.sum()) < 1e-6
+
+
+def test_order_fit(spark):
+    rng = np.random.default_rng(3)
+    cells = {1: [0.0, 0.0, 0.0], 2: [5.0], 3: [4.0, 4.0], 4: [3.0, None, 7.0], 5: rng.gumbel(50, 8, 60).tolist(), 6: [9.0, 1.0, 4.0]}
+    frame = spark.createDataFrame([(c, v) for c, vs in cells.items() for v in vs], "cell long, v double")
+    found = {r.cell: (r.loc, r.scale, r.shape) for r in climate.order_fit(frame).collect()}
+    assert found[1] == (0.0, 0.0, 0.0) and found[2] == found[3] == (None, None, None)
+    for cell in (4, 5, 6):
+        v = np.sort([x for x in cells[cell] if x is not None])
+        assert np.allclose(found[cell], [*(np.array(climate.order_weights(len(v))).T @ v), 0.0])
+    assert abs(found[5][0] - 50) < 4 and abs(found[5][1] - 8) < 3
+    assert climate.order_fit(frame.limit(0)).count() == 0
