@@ -19,7 +19,6 @@ from __future__ import annotations
 
 import random
 from collections import Counter
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -110,19 +109,63 @@ class LicenseModel:
         lead = max(self.bias[:UNKNOWN], default=0.0) > (self.bias[UNKNOWN] if self.bias else 0.0)
         speaking = {g for g, w in self.weights.items() if lead or max(w[:UNKNOWN]) > w[UNKNOWN]}
         self.words = {w.encode() for g in speaking for w in g.split(" ")}
+        # By word: its own row of the weights, and those of the 2-grams that it begins.
+        self.rows = np.array([*self.weights.values(), self.bias]) if self.bias else np.zeros((1, UNKNOWN + 1))
+        self.singles: dict[str, int] = {}
+        self.pairs: dict[str, dict[str, int]] = {}
+        for k, g in enumerate(self.weights):
+            first, _, second = g.partition(" ")
+            if second:
+                self.pairs.setdefault(first, {})[second] = k
+            else:
+                self.singles[first] = k
+        # What an n-gram can add to a family over unknown, and what a paragraph must have of it.
+        self.gains = np.maximum(0.0, self.rows[:, :UNKNOWN].max(1) - self.rows[:, UNKNOWN])[:-1].tolist()
+        self.lack = -max((x - self.bias[UNKNOWN] for x in self.bias[:UNKNOWN]), default=0.0)
+
+    def hopeless(self, words: list[str]) -> bool:
+        """Whether no span of the paragraph can be known: all it has for a family is too little for the least span."""
+        least = min(len(words), 1 + min(before for _, before in SPANS))
+        most = sum(self.gains[self.singles[w]] for w in words if w in self.singles)
+        for w, after in zip(words, words[1:], strict=False):
+            if w in self.pairs and (k := self.pairs[w].get(after)) is not None:
+                most += self.gains[k]
+        return most + 1e-6 < self.lack * max(1, 2 * least - 1) ** 0.5
+
+    def spans(self, words: list[str]) -> list[tuple[int, int]]:
+        """All words of a paragraph, and if they are many the spans about those that speak for a family."""
+        out = [(0, len(words))]
+        if len(words) > min(size for size, _ in SPANS):
+            speaking = [at for at, word in enumerate(words) if word.encode() in self.words]
+            for size, before in SPANS:
+                covered = -1 if len(words) > size else len(words)
+                for at in speaking:
+                    if at > covered:
+                        first = max(0, at - before)
+                        covered = at + (size - before) // 2  # spans overlap by half of what follows
+                        out.append((first, min(len(words), first + size)))
+        return out
 
-    def spans(self, paragraph: str | bytes) -> Iterator[bytes]:
-        """The plain paragraph, and if it is long its spans about the words that speak for a family."""
-        data = plain(paragraph) if isinstance(paragraph, str) else paragraph
-        yield data
-        words = data.split()
-        for size, before in SPANS:
-            covered = -1 if len(words) > size else len(words)
-            for at, word in enumerate(words):
-                if at > covered and word in self.words:
-                    first = max(0, at - before)
-                    covered = at + (size - before) // 2  # spans overlap by half of what follows
-                    yield b" ".join(words[first : first + size])
+    def span_probabilities(self, words: list[str], spans: list[tuple[int, int]]) -> np.ndarray:
+        """A row of ``probabilities`` for each span, from running sums of the weights of the paragraph."""
+        singles = [(at, k) for at, w in enumerate(words) if (k := self.singles.get(w)) is not None]
+        pairs = [
+            (at, k)
+            for at, w in enumerate(words[:-1])
+            if (after := self.pairs.get(w)) is not None and (k := after.get(words[at + 1])) is not None
+        ]
+        first, last = np.array(spans).T
+        score = np.zeros((len(spans), UNKNOWN + 1))
+        for found, end in ((singles, last), (pairs, last - 1)):
+            if found:
+                at, rows = np.array(found).T
+                sums = np.vstack([np.zeros(UNKNOWN + 1), np.cumsum(self.rows[rows], axis=0)])
+                ends = np.maximum(np.searchsorted(at, end), np.searchsorted(at, first))
+                score += sums[ends] - sums[np.searchsorted(at, first)]
+        size = np.sqrt(np.maximum(1, 2 * (last - first) - 1))
+        score = np.round((score / size[:, None] + np.array(self.bias)) / self.temperature, 9)
+        share = np.exp(score - score.max(1, keepdims=True))
+        return share / share.sum(1, keepdims=True)
 
     def probabilities(self, counts: Counter) -> np.ndarray:
         """Tempered probabilities of the families and, last, of unknown."""
@@ -137,16 +180,20 @@ class LicenseModel:
 
     def classify(self, paragraph: str | bytes) -> tuple[str, float, float, bool] | None:
         """``(family, probability, likeness to its template, confirmed)``, or None if unknown."""
-        best, found = 0.0, None
-        for span in self.spans(paragraph):
-            share = self.probabilities(grams(span))
-            kind = int(share.argmax())
-            if kind != UNKNOWN and share[kind] >= self.least and share[kind] > best:
-                best, found = float(share[kind]), (FAMILIES[kind], span)
-        if found is None:
+        data = plain(paragraph) if isinstance(paragraph, str) else paragraph
+        words = data.decode().split()
+        if self.hopeless(words):
+            return None
+        spans = self.spans(words)
+        share = self.span_probabilities(words, spans)
+        kinds, best = share.argmax(1), share.max(1)
+        known = np.flatnonzero((kinds != UNKNOWN) & (best >= self.least))
+        if not len(known):
             return None
-        like = template_likeness(found[1], found[0])
-        return found[0], best, like, like >= CONFIRMED
+        at = known[best[known].argmax()]
+        family, (first, last) = FAMILIES[kinds[at]], spans[at]
+        like = template_likeness(" ".join(words[first:last]), family)
+        return family, float(best[at]), like, like >= CONFIRMED
 
     def scan(self, text: str | None):
         """``(paragraph number, ...)`` for each known paragraph of a whole text."""
@@ -155,25 +202,25 @@ class LicenseModel:
                 yield (k, *found)
 
 
+def _pairs(paragraph: str | bytes) -> set[str]:
+    return {g for g in grams(paragraph) if " " in g}
+
+
+TEMPLATE_PAIRS = {family: [_pairs(t) for t in templates] for family, templates in TEMPLATES.items()}
+
+
 def template_likeness(paragraph: str | bytes, family: str) -> float:
     """The largest share of 2-grams that the paragraph and a template of the family have in common."""
-    own = {g for g in grams(paragraph) if " " in g}
-    best = 0.0
-    for template in TEMPLATES[family]:
-        other = {g for g in grams(template) if " " in g}
-        if own and other:
-            best = max(best, len(own & other) / min(len(own), len(other)))
-    return best
+    own = _pairs(paragraph)
+    return max((len(own & t) / min(len(own), len(t)) for t in TEMPLATE_PAIRS[family] if own and t), default=0.0)
 
 
 def like_a_template(line: str) -> bool:
     """Whether a template of any family confirms the line by SHARED_GRAMS 2-grams or more."""
-    own = {g for g in grams(line) if " " in g}
+    own = _pairs(line)
     return any(
-        len(own & {g for g in grams(t) if " " in g}) >= SHARED_GRAMS
-        and template_likeness(line, family) >= CONFIRMED
-        for family, templates in TEMPLATES.items()
-        for t in templates
+        max(len(own & t) for t in templates) >= SHARED_GRAMS and template_likeness(line, family) >= CONFIRMED
+        for family, templates in TEMPLATE_PAIRS.items()
     )
 
 
