@@ -20,6 +20,8 @@ from firngrid.sources.shared import grown, staged
 
 EIGHT = [(a, b, 1.0) for b in (-1, 0, 1) for a in (-1, 0, 1) if (a, b) != (0, 0)]
 FOUR = [(1, 0), (-1, 0), (0, 1), (0, -1)]
+#: Cell numbers of a block in which the cells of a flat are chained.
+CHAIN_BLOCK = 65_536
 
 
 def neighbours(cells: DataFrame, bands: list[str]) -> DataFrame:
@@ -118,7 +120,13 @@ def flow_edges(cells: DataFrame, level: str, border: DataFrame) -> DataFrame:
     both = near.join(flats, "cell").join(flats.select(F.col("cell").alias("other"), F.col("flat").alias("other_flat")), "other")
     exits = both.where("flat <> other_flat").groupBy("flat").agg(F.min_by("other_flat", F.struct(level, "other")).alias("exit"))
     at_border = flats.join(border.select("cell"), "cell", "left_semi").select("flat").distinct().withColumn("leaves", F.lit(True))
-    chained = flats.withColumn("following", F.lead("cell").over(Window.partitionBy("flat").orderBy("cell")))
+    # A flat may be as wide as the map: its cells are chained by blocks of numbers, and the blocks by their heads.
+    blocks = flats.withColumn("block", F.floor(F.col("cell") / CHAIN_BLOCK))
+    heads = blocks.groupBy("flat", "block").agg(F.min("cell").alias("head"))
+    heads = heads.select("flat", "block", F.lead("head").over(Window.partitionBy("flat").orderBy("block")).alias("next_head"))
+    inside = F.lead("cell").over(Window.partitionBy("flat", "block").orderBy("cell"))
+    chained = blocks.withColumn("inside", inside).join(heads, ["flat", "block"])
+    chained = chained.select("flat", "cell", F.coalesce("inside", "next_head").alias("following"))
     return (
         chained.join(exits, "flat", "left").join(at_border, "flat", "left")
         .select("cell", F.coalesce("following", F.when(F.col("leaves"), F.lit(-1)).otherwise(F.coalesce("exit", F.lit(-1)))).cast("long").alias("next_cell"))

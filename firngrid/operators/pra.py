@@ -60,7 +60,7 @@ def chunked(areas: DataFrame, current_max: DataFrame | None = None, size: int =
     numbered = areas.withColumn("block", block).withColumn("k", F.row_number().over(own)).join(starts, ["pra_size", "block"])
     chunk = F.floor((F.col("start") + F.col("k") - 1) / size)
     if current_max is not None:
-        numbered = numbered.join(F.broadcast(current_max), "pra_size", "left")
+        numbered = numbered.join(current_max, "pra_size", "left")
         chunk = chunk + F.coalesce(F.col("last") + 1, F.lit(0))
     return numbered.withColumn("chunkid", chunk.cast("int")).select(*areas.columns, "chunkid")
 

@@ -81,7 +81,7 @@ def scaled_by_median_ratio(cells: DataFrame, value: str, by: str) -> DataFrame:
 def max_by_period(yearly: DataFrame, periods: DataFrame, key: str, value: str) -> DataFrame:
     """Maximum by (overlapping) periods ``period, first, last`` of years."""
     years = periods.select("period", F.explode(F.sequence("first", "last")).alias("year"))
-    return yearly.join(F.broadcast(years), "year").groupBy("period", key).agg(F.max(value).alias(value))
+    return yearly.join(years, "year").groupBy("period", key).agg(F.max(value).alias(value))
 
 
 def weights_between(cells: DataFrame, value: str, levels: list[float]) -> DataFrame:

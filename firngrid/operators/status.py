@@ -154,4 +154,4 @@ def area_query(
     inside = runs.where(
         (F.col("x0") <= x1) & (F.col("x1") >= x0) & (F.col("y0") <= y1) & (F.col("y1") >= y0) & F.col("id_status").isin(*statuses)
     )
-    return combos.crossJoin(F.broadcast(met)).join(inside, ["idom", "jdom"])
+    return combos.crossJoin(met).join(inside, ["idom", "jdom"])

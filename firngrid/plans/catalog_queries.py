@@ -64,7 +64,7 @@ def ordered_union(fx):
 
 @query("t_07_expand_experiment", "tiles combos", "select idom, jdom, region, era, forest, return_period from fx_tiles, fx_combos where return_period in (30, 300)")
 def expand_experiment(fx):
-    return fx.tiles.select("idom", "jdom").crossJoin(F.broadcast(fx.combos.where("return_period in (30, 300)")))
+    return fx.tiles.select("idom", "jdom").crossJoin(fx.combos.where("return_period in (30, 300)"))
 
 
 @query("t_08_expand_forest", "combos", """
@@ -305,12 +305,12 @@ def left_status(fx):
 @query("j_05_ignored_ids", "status", "select id, chunkid, id_status from fx_status where id not in (select n_nationkey from nation)")
 def ignored_ids(fx):
     ignored = fx.table("nation").select(F.col("n_nationkey").cast("long").alias("id"))
-    return fx.status.join(F.broadcast(ignored), "id", "left_anti")
+    return fx.status.join(ignored, "id", "left_anti")
 
 
 @query("j_10_combos_by_tiles", "combos tiles", "select * from fx_combos, (select idom, jdom from fx_tiles where x0 <= 18 and x1 >= 12)")
 def combos_by_tiles(fx):
-    return fx.combos.crossJoin(F.broadcast(fx.tiles.where("x0 <= 18 and x1 >= 12").select("idom", "jdom")))
+    return fx.combos.crossJoin(fx.tiles.where("x0 <= 18 and x1 >= 12").select("idom", "jdom"))
 
 
 @query("j_16_status_diff", "jobs", """

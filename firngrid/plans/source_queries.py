@@ -150,4 +150,4 @@ def variable_inventory(fx):
 select cell, cast(day as varchar) as day, cast(cast(case when day in (date '2024-01-05', date '2024-01-20') then day - interval 1 day else day end as date) as varchar) as source_day from fx_snow""")
 def missing_days(fx):
     missing = fx.spark.createDataFrame([("2024-01-05",), ("2024-01-20",)], "day string").select(F.to_date("day").alias("day"), F.lit(True).alias("gone"))
-    return fx.snow.join(F.broadcast(missing), "day", "left").select("cell", F.col("day").cast("string").alias("day"), F.when(F.col("gone"), F.date_sub("day", 1)).otherwise(F.col("day")).cast("string").alias("source_day"))
+    return fx.snow.join(missing, "day", "left").select("cell", F.col("day").cast("string").alias("day"), F.when(F.col("gone"), F.date_sub("day", 1)).otherwise(F.col("day")).cast("string").alias("source_day"))

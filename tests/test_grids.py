@@ -67,6 +67,17 @@ def test_flow_edges_lead_out(toy):
             assert steps <= len(edges)
 
 
+def test_flats_are_chained_alike_by_blocks(spark, monkeypatch):
+    cells = spark.createDataFrame([(9 * j + i, i, j, 1.0 if i < 6 else 2.0) for i in range(9) for j in range(7)], "cell long, i int, j int, z double")
+    edges = []
+    for block in (flow.CHAIN_BLOCK, 5, 1):
+        monkeypatch.setattr(flow, "CHAIN_BLOCK", block)
+        edges.append(sorted(map(tuple, flow.flow_edges(cells, "z", cells.where("i = 0")).collect())))
+    assert edges[0] == edges[1] == edges[2]
+    low = [c for c, _ in edges[0] if c % 9 < 6]
+    assert [n for c, n in edges[0] if c % 9 < 6] == [*low[1:], -1]
+
+
 def test_components(spark):
     rng = random.Random(3)
     edges = [(rng.randrange(80), rng.randrange(80)) for _ in range(60)] + [(None, 3), (5, 5), (5, 5)]
