@@ -56,7 +56,10 @@ def focal(cells: DataFrame, bands: list[str], offsets: list[tuple[int, int, floa
 
 
 def focal_blocks(cells: DataFrame, band: str, kernel, size: int = 64) -> DataFrame:
-    """``i, j, total, weight``: kernel sums over known cells, by dense tiles with a halo."""
+    """``i, j, total, weight, unknown``: kernel sums over known cells, by dense tiles with a halo.
+
+    ``unknown`` counts the cells under the kernel that are there without a value.
+    """
     k = np.array(kernel, float)
     r = len(k) // 2
     spans = [
@@ -73,20 +76,34 @@ def focal_blocks(cells: DataFrame, band: str, kernel, size: int = 64) -> DataFra
         held[at] = True
         value[at] = np.nan_to_num(v)
         known[at] = ~np.isnan(v)
-        total, weight = np.zeros((size, size)), np.zeros((size, size))
+        total, weight, unknown = np.zeros((size, size)), np.zeros((size, size)), np.zeros((size, size), int)
+        blank = held & (known == 0)
         for a in range(2 * r + 1):
             for b in range(2 * r + 1):
                 total += k[a, b] * value[a : a + size, b : b + size]
                 weight += k[a, b] * known[a : a + size, b : b + size]
+                unknown += blank[a : a + size, b : b + size]
         jj, ii = np.nonzero(held[r : r + size, r : r + size])
-        return pd.DataFrame({"i": ii + i0 + r, "j": jj + j0 + r, "total": total[jj, ii], "weight": weight[jj, ii]})
+        return pd.DataFrame({"i": ii + i0 + r, "j": jj + j0 + r, "total": total[jj, ii], "weight": weight[jj, ii], "unknown": unknown[jj, ii]})
 
-    return dealt.groupBy("ti", "tj").applyInPandas(summed, "i int, j int, total double, weight double")
+    return dealt.groupBy("ti", "tj").applyInPandas(summed, "i int, j int, total double, weight double, unknown long")
 
 
 def mean(cells: DataFrame, band: str, offsets, strict: bool = False) -> DataFrame:
-    """Weighted mean of the known cells around; with ``strict`` null if one of them is unknown."""
+    """Weighted mean of the known cells around; with ``strict`` null if one of them is unknown.
+
+    Squares wider than 3 x 3 are summed in tiles with a halo, so that a cell is not sent once for
+    each cell around it.
+    """
     v = F.col(band)
+    r = max(max(abs(di), abs(dj)) for di, dj, _ in offsets)
+    if r > 1 and len({(di, dj) for di, dj, _ in offsets}) == (2 * r + 1) ** 2:
+        kernel = np.zeros((2 * r + 1, 2 * r + 1))
+        for di, dj, w in offsets:
+            kernel[dj + r, di + r] += w
+        sums = focal_blocks(cells, band, kernel)
+        value = F.col("total") / F.nullif("weight", F.lit(0.0))
+        return sums.select("i", "j", (F.when(F.col("unknown") == 0, value) if strict else value).alias(band))
     value = F.sum(v * F.col("w")) / F.sum(F.when(v.isNotNull(), F.col("w")))
     if strict:
         value = F.when(F.count(v) == F.count("*"), value)

@@ -121,10 +121,19 @@ def test_two_focal_forms_agree(spark):
     rng = random.Random(2)
     rows = [(i, j, None if rng.random() < 0.1 else rng.random()) for i in range(20) for j in range(17)]
     cells = spark.createDataFrame(rows, "i int, j int, v double")
-    small = focal.mean(cells, "v", focal.weighted(focal.SMOOTHING))
-    large = focal.focal_blocks(cells, "v", focal.SMOOTHING, 8).select("i", "j", (F.col("total") / F.col("weight")).alias("v"))
-    a, b = ({(r.i, r.j): r.v for r in df.collect()} for df in (small, large))
-    assert a.keys() == b.keys() and all(abs(a[k] - b[k]) < 1e-9 for k in a)
+    v, w = F.col("v"), F.col("w")
+    loose = F.sum(v * w) / F.sum(F.when(v.isNotNull(), w))
+    strict = F.when(F.count(v) == F.count("*"), loose)
+    small = focal.focal(cells, ["v"], focal.weighted(focal.SMOOTHING), [loose.alias("v"), strict.alias("s")])
+    tiles = focal.focal_blocks(cells, "v", focal.SMOOTHING, 8)
+    tiles = tiles.select("i", "j", (F.col("total") / F.col("weight")).alias("v"), "unknown")
+    large = [focal.mean(cells, "v", focal.weighted(focal.SMOOTHING), s) for s in (False, True)]
+    a = {(r.i, r.j): r for r in small.collect()}
+    b, c, d = ({(r.i, r.j): r for r in df.collect()} for df in (tiles, *large))
+    assert a.keys() == b.keys() == c.keys() == d.keys()
+    assert all(abs(a[k].v - x[k].v) < 1e-9 for k in a for x in (b, c))
+    assert all((a[k].s is None) == (d[k].v is None) == (b[k].unknown > 0) for k in a)
+    assert all(a[k].s is None or abs(a[k].s - d[k].v) < 1e-9 for k in a)
 
 
 def test_blur_of_a_grid_narrower_than_the_kernel(spark):
