@@ -10,13 +10,16 @@ from pyspark.sql import functions as F
 
 from firngrid.llm import (
     byte_bpe,
+    centroids,
     decontamination,
+    filter_audit,
     fingerprints,
     jaccard_join,
     language_id,
     licenses,
     pii,
     quality,
+    sharding,
     substring_dedup,
     token_rollup,
 )
@@ -123,6 +126,25 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(docs, pii.train(docs))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What filters A to E remove from documents, by part, order and step."""
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    return filter_audit.audit(filter_audit.with_words(docs, labels), "ABCDE")
+
+
+def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents in 40 shards of nearly equal bytes."""
+    rows = sharding.measured(read_table(spark, sf_dir, "documents"))
+    return sharding.placed(rows, 40).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Forty clusters of embeddings after five rounds."""
+    return centroids.clustered(read_table(spark, sf_dir, "embeddings"), k=40, rounds=5, seed="2")
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_licenses": op2_licenses,
@@ -134,6 +156,9 @@ QUERIES = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_pii": op10_pii,
+    "op11_filter_audit": op11_filter_audit,
+    "op12_sharding": op12_sharding,
+    "op13_centroids": op13_centroids,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -141,4 +166,6 @@ ORACLE_SQL: dict[str, str] = {
     "op5_decontamination": decontamination.ORACLE_SQL,
     "op7_jaccard_join": jaccard_join.ORACLE_SQL,
     "op8_substring_dedup": substring_dedup.ORACLE_SQL,
+    "op11_filter_audit": filter_audit.ORACLE_SQL,
+    "op13_centroids": centroids.ORACLE_SQL,
 }
