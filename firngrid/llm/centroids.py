@@ -13,8 +13,9 @@ small number, and gives one row of sums for each cluster and task; Spark adds th
 are of transforms, since the transform of a sum is the sum of the transforms.
 
 Defined results: rows whose vector is null, of another length, or with null, NaN or infinite
-components are left out; repeated ids and equal vectors are rows like any others; rows without
-an id are clustered, and start a centroid only where too few have one; with fewer vectors than
+components are left out; repeated ids and equal vectors are rows like any others, those of one
+id in the order of their transforms where centroids start; rows without an id are clustered, and
+start a centroid only where too few have one; with fewer vectors than
 centroids each starts one; equal distances go to the smaller number; an empty cluster keeps its
 centroid; an empty table gives an empty table; extra columns are ignored. Components beyond
 +-2**15 raise an error, since squared sums would no longer fit into 64 bits.
@@ -57,24 +58,26 @@ def nearest(coefficients: np.ndarray, centroids: np.ndarray) -> tuple[np.ndarray
     Also returns how many pairs of a vector and a centroid came to the last stage.
     """
     n, k = len(coefficients), len(centroids)
-    row, number = np.repeat(np.arange(n), k), np.tile(np.arange(k), n)
+    if not n:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), 0
+    row, number = np.repeat(np.arange(n), k), np.tile(np.arange(k), n)  # in this order all along
     sums, begin, finished = np.zeros(n * k, np.int64), 0, 0
     for end in STAGES:
         step = coefficients[row, begin:end] - centroids[number, begin:end]
         sums += np.einsum("ij,ij->i", step, step)
         begin, finished = end, len(row)
+        # the first pair of each row that has the row's least sum
+        least = np.minimum.reduceat(sums, np.flatnonzero(np.diff(row, prepend=-1)))
+        best = np.flatnonzero(sums == least[row])
+        best = best[np.flatnonzero(np.diff(row[best], prepend=-1))]
         if end == WIDTH:
-            break
+            return number[best], sums[best] // WIDTH, finished
         # the whole distance of the best so far bounds the least distance from above
-        first = np.flatnonzero(np.diff(row, prepend=-1))
-        best = np.lexsort((number, sums, row))[first]
         rest = coefficients[:, end:] - centroids[number[best], end:]
-        bound = sums[best] + np.einsum("ij,ij->i", rest, rest)
+        bound = least + np.einsum("ij,ij->i", rest, rest)
         kept = sums <= bound[row]
         row, number, sums = row[kept], number[kept], sums[kept]
-    order = np.lexsort((number, sums, row))
-    best = order[np.flatnonzero(np.diff(row[order], prepend=-1))]
-    return number[best], sums[best] // WIDTH, finished
+    raise AssertionError("the last stage has all coefficients")
 
 
 def kept_vectors(table: DataFrame, vec_id: str = "vec_id", vector: str = "embedding") -> DataFrame:
