@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from firngrid.operators import focal
-from firngrid.operators.components import connected_components
+from firngrid.operators.parts import grid_parts
 from firngrid.sources.shared import grown, staged
 
 EIGHT = [(a, b, 1.0) for b in (-1, 0, 1) for a in (-1, 0, 1) if (a, b) != (0, 0)]
@@ -100,13 +100,10 @@ def spill_levels(cells: DataFrame, height: str, size: int = 128, max_rounds: int
 
 
 def flat_classes(cells: DataFrame, level: str) -> DataFrame:
-    """``cell, flat``: connected cells of one level; the least cell names them."""
-    near = neighbours(cells.select("cell", "i", "j", level), [level])
-    same = near.join(cells.select("cell", F.col(level).alias("own")), "cell").where(F.col(level) == F.col("own"))
-    found = connected_components(same.select(F.col("cell").alias("a"), F.col("other").alias("b")))
-    return cells.select("cell").join(found.withColumnRenamed("node", "cell"), "cell", "left").select(
-        "cell", F.coalesce("component", "cell").alias("flat")
-    )
+    """``cell, flat``: connected cells of one level; the least cell names them. Cells without a level are alone."""
+    found = grid_parts(cells.select(level, "cell", "i", "j"), [level], corners=True)
+    alone = cells.where(F.col(level).isNull()).select("cell", F.col("cell").cast("long").alias("flat"))
+    return found.select("cell", F.col("part").alias("flat")).unionByName(alone)
 
 
 def flow_edges(cells: DataFrame, level: str, border: DataFrame) -> DataFrame:
@@ -134,65 +131,143 @@ def flow_edges(cells: DataFrame, level: str, border: DataFrame) -> DataFrame:
 
 
 def lowest_edges(cells: DataFrame, height: str) -> DataFrame:
-    """``cell, other``: all neighbours at the lowest level around that is not above the cell.
+    """``cell, other, slot``: all neighbours at the lowest level around that is not above the cell.
 
     Heights below 0 count as 0, unknown ones too.
     """
     z = cells.select("cell", "i", "j", F.greatest(F.coalesce(height, F.lit(0.0)), F.lit(0.0)).alias("z"))
     near = neighbours(z, ["z"]).join(z.select("cell", F.col("z").alias("own")), "cell").where("z <= own")
     least = near.groupBy("cell").agg(F.min("z").alias("least"))
-    return near.join(least, "cell").where("z = least").select("cell", "other")
+    return near.join(least, "cell").where("z = least").select("cell", "other", "slot")
+
+
+#: Areas that are followed through a tile in one task.
+AREAS = 2_000
 
 
 def runout(
-    release: DataFrame, cells: DataFrame, height: str, size: float, min_alpha: float = 18.0, max_runout: float = 10_000.0, max_rounds: int = 100_000
+    release: DataFrame, cells: DataFrame, height: str, size: float, min_alpha: float = 18.0, max_runout: float = 10_000.0, tile: int = 64, max_rounds: int = 10_000
 ) -> DataFrame:
     """``pra_id, cell`` that an avalanche from ``release (pra_id, cell)`` may reach.
 
-    All areas advance together, a step each round, along the lowest edges. A cell is passed on
-    from while it is within ``max_runout`` of the area's highest cell and the line to that one is
-    at least as steep as ``min_alpha``; release cells are always passed on from. An area that
-    touches a cell without height, or the edge of the map, has no rows.
+    Areas are followed along the lowest edges. A cell is passed on from while it is within
+    ``max_runout`` of the area's highest cell and the line to that one is at least as steep as
+    ``min_alpha``; release cells are always passed on from. An area that touches a cell without
+    height, or the edge of the map, has no rows.
+
+    A round follows every area through a whole tile, so the rounds are as many as tiles on the
+    way. What an area has reached in a tile is one row with a bit for each cell. Only areas that
+    still go on are read again, and a tile with many of them is shared by several tasks.
     """
-    edges = staged(lowest_edges(cells, height), "edges")
+    ways = lowest_edges(cells, height).groupBy("cell").agg(F.bit_or(F.expr("shiftleft(1, slot + 4)")).alias("ways"))
     around = focal.focal(cells, [], EIGHT, [F.count("*").alias("n")])
-    terrain = cells.join(around, ["i", "j"], "left").select(
-        "cell", "i", "j", F.col(height).alias("h"), (F.col(height).isNull() | (F.coalesce("n", F.lit(0)) < 8)).alias("void")
+    void = F.col(height).isNull() | (F.coalesce("n", F.lit(0)) < 8)
+    at = [F.floor(F.col(c) / tile).cast("int").alias(t) for c, t in (("i", "ti"), ("j", "tj"))]
+    place = (F.pmod("j", F.lit(tile)) * tile + F.pmod("i", F.lit(tile))).cast("int").alias("place")
+    terrain = cells.join(around, ["i", "j"], "left").join(ways, "cell", "left").select(
+        "cell", "i", "j", F.col(height).cast("double").alias("h"), void.alias("void"), F.coalesce("ways", F.lit(0)).cast("int").alias("ways"), *at, place
     )
     terrain = staged(terrain, "terrain")
-    placed = release.join(terrain, "cell")
-    top = placed.groupBy("pra_id").agg(F.max_by(F.struct("i", "j", "h"), F.struct("h", -F.col("cell"))).alias("top"))
-    top = staged(top, "top")
-    frontier = staged(release.select("pra_id", "cell").distinct(), "seen")
-    seen = grown(frontier, "seen")
+    placed = release.select("pra_id", "cell").distinct().join(terrain, "cell")
+    top = placed.groupBy("pra_id").agg(F.max_by(F.struct("i", "j", "h"), F.struct("h", -F.col("cell"))).alias("t"))
+    top = staged(top.select("pra_id", F.col("t.i").alias("top_i"), F.col("t.j").alias("top_j"), F.col("t.h").alias("top_h")), "top")
     steep = math.tan(math.radians(min_alpha))
+    ahead = [(1 << (b * 3 + a + 4), a, b) for a, b, _ in EIGHT]
+
+    def followed(key: tuple, ground: pd.DataFrame, areas: pd.DataFrame) -> pd.DataFrame:
+        ti, tj = key[0], key[1]
+        n = tile * tile
+        ways, h, blank = np.zeros(n, int), np.zeros(n), np.zeros(n, bool)
+        where = ground["place"].to_numpy()
+        ways[where], h[where], blank[where] = ground["ways"], np.nan_to_num(ground["h"].to_numpy(float)), ground["void"]
+        ways, h = ways.tolist(), h.tolist()
+        out = []
+        for r in areas.itertuples(index=False):
+            seen = np.unpackbits(np.frombuffer(r.bits, np.uint8), count=n).tolist() if r.bits is not None else [0] * n
+            fresh = [p for p in r.places if not seen[p]]
+            if not fresh:
+                continue
+            free = set(fresh) if r.released else ()
+            for p in fresh:
+                seen[p] = 1
+            todo, exits = list(fresh), set()
+            while todo:
+                p = todo.pop()
+                i, j = p % tile, p // tile
+                if p not in free:
+                    away = size * math.hypot(ti * tile + i - r.top_i, tj * tile + j - r.top_j)
+                    if not (away <= max_runout and r.top_h - h[p] >= steep * away):
+                        continue
+                for bit, a, b in ahead:
+                    if ways[p] & bit:
+                        x, y = i + a, j + b
+                        if 0 <= x < tile and 0 <= y < tile:
+                            q = y * tile + x
+                            if not seen[q]:
+                                seen[q] = 1
+                                todo.append(q)
+                        else:
+                            exits.add((ti * tile + x, tj * tile + y))
+            bits = np.array(seen, np.uint8)
+            out.append((r.pra_id, ti, tj, np.packbits(bits).tobytes(), bool(blank[bits > 0].any()), [{"i": i, "j": j} for i, j in sorted(exits)]))
+        return pd.DataFrame(out, columns=["pra_id", "ti", "tj", "bits", "blank", "exits"], dtype=object)
+
+    schema = "pra_id long, ti int, tj int, bits binary, blank boolean, exits array<struct<i:int,j:int>>"
+    frontier, released = placed.select("pra_id", "ti", "tj", "place"), True
+    active, done = None, None
     for _ in range(max_rounds):
-        reached = frontier.join(edges, "cell").select("pra_id", F.col("other").alias("cell")).distinct()
-        fresh = staged(reached.join(seen(), ["pra_id", "cell"], "left_anti"), "fresh")
-        if fresh.isEmpty():
+        entries = frontier.groupBy("pra_id", "ti", "tj").agg(F.collect_set("place").alias("places"))
+        entries = entries.join(top, "pra_id")
+        entries = entries.join(active.select("pra_id", "ti", "tj", "bits"), ["pra_id", "ti", "tj"], "left") if active is not None else entries.withColumn("bits", F.lit(None).cast("binary"))
+        entries = staged(entries.withColumn("released", F.lit(released)), "entries")
+        shares = entries.groupBy("ti", "tj").agg(F.ceil(F.count("*") / AREAS).cast("int").alias("n"))
+        dealt = entries.join(shares, ["ti", "tj"]).withColumn("share", F.pmod(F.xxhash64("pra_id"), "n").cast("int")).drop("n")
+        ground = terrain.select("ti", "tj", "place", "h", "void", "ways").join(shares, ["ti", "tj"]).withColumn("share", F.explode(F.sequence(F.lit(0), F.col("n") - 1))).drop("n")
+        by = ["ti", "tj", "share"]
+        went = staged(ground.groupBy(*by).cogroup(dealt.groupBy(*by)).applyInPandas(followed, schema), "went")
+        # rows that this round has changed take the place of the old ones
+        now = went.unionByName(active.join(went, ["pra_id", "ti", "tj"], "left_anti").withColumn("exits", F.lit(None).cast("array<struct<i:int,j:int>>"))) if active is not None else went
+        going = staged(went.where(F.size("exits") > 0).select("pra_id", F.inline("exits")).distinct(), "exits")
+        on = going.select("pra_id").distinct()
+        kept = now.select("pra_id", "ti", "tj", "bits", "blank")
+        done = grown(kept.join(on, "pra_id", "left_anti"), "done", done)
+        if going.isEmpty():
             break
-        seen = grown(fresh, "seen", seen)
-        at = fresh.join(terrain, "cell").join(top, "pra_id")
-        away = size * F.hypot(F.col("i") - F.col("top.i"), F.col("j") - F.col("top.j"))
-        goes_on = (away <= max_runout) & (F.col("top.h") - F.coalesce("h", F.lit(0.0)) >= steep * away)
-        frontier = at.where(goes_on).select("pra_id", "cell")
+        active = staged(kept.join(on, "pra_id", "left_semi"), "active")
+        frontier, released = going.select("pra_id", *at, place), False
     else:
         raise RuntimeError(f"runouts have not ended in {max_rounds} rounds")
-    void = seen().join(terrain.where("void"), "cell", "left_semi").select("pra_id").distinct()
-    return seen().join(void, "pra_id", "left_anti")
 
+    def spots(frames):
+        for frame in frames:
+            for r in frame.itertuples(index=False):
+                p = np.flatnonzero(np.unpackbits(np.frombuffer(r.bits, np.uint8)))
+                yield pd.DataFrame({"pra_id": r.pra_id, "i": r.ti * tile + p % tile, "j": r.tj * tile + p // tile})
 
-def reachable(start: DataFrame, edges: DataFrame, max_rounds: int = 100_000) -> DataFrame:
-    """``root, cell`` that ``start (root, cell)`` leads to along ``edges (cell, next_cell)``."""
-    frontier = staged(start.select("root", "cell").distinct(), "seen")
-    seen = grown(frontier, "seen")
-    for _ in range(max_rounds):
-        reached = frontier.join(edges, "cell").where("next_cell >= 0").select("root", F.col("next_cell").alias("cell")).distinct()
-        frontier = staged(reached.join(seen(), ["root", "cell"], "left_anti"), "fresh")
-        if frontier.isEmpty():
-            return seen()
-        seen = grown(frontier, "seen", seen)
-    raise RuntimeError(f"paths have not ended in {max_rounds} rounds")
+    whole = done().join(done().where("blank").select("pra_id").distinct(), "pra_id", "left_anti")
+    reached = whole.select("pra_id", "ti", "tj", "bits").mapInPandas(spots, "pra_id long, i int, j int")
+    return reached.join(terrain.select("cell", "i", "j"), ["i", "j"]).select("pra_id", "cell")
+
+
+def reachable(start: DataFrame, edges: DataFrame) -> DataFrame:
+    """``root, cell`` that ``start (root, cell)`` leads to along ``edges (cell, next_cell)``.
+
+    Jumps of 1, 2, 4 ... cells are made by joining a jump with itself, until none stays on the
+    map. Then the paths are filled from the longest jump down, so the rounds grow with the
+    logarithm of the longest path. Paths may run in circles.
+    """
+    jumps = [staged(edges.where("next_cell >= 0").select("cell", F.col("next_cell").alias("far")), "jumps")]
+    n = jumps[0].count()
+    while n and 2 ** len(jumps) <= n:
+        last = jumps[-1]
+        longer = staged(last.join(last.select(F.col("cell").alias("far"), F.col("far").alias("farther")), "far").select("cell", F.col("farther").alias("far")), "jumps")
+        if longer.isEmpty():
+            break
+        jumps.append(longer)
+    paths = grown(start.select("root", "cell").distinct(), "paths")
+    for jump in reversed(jumps):
+        paths = grown(paths().join(jump, "cell").select("root", F.col("far").alias("cell")), "paths", paths)
+    return paths().distinct()
 
 
 def _beside(cells: DataFrame, key: str) -> DataFrame:
@@ -202,16 +277,9 @@ def _beside(cells: DataFrame, key: str) -> DataFrame:
     )
 
 
-def extent_parts(cells: DataFrame, key: str, n_cells: int) -> DataFrame:
-    """``key, cell, part``: connected parts (by sides) of each extent; the least cell names a part.
-
-    ``n_cells`` is above every cell number; keys and cells then make one node number.
-    """
-    sides = _beside(cells.select(key, "cell", "i", "j"), key).join(cells.select(key, "cell", "i", "j"), [key, "i", "j"]).where("cell < other")
-    node = lambda c: F.col(key) * n_cells + F.col(c)
-    found = connected_components(sides.select(node("cell").alias("a"), node("other").alias("b")))
-    named = cells.select(key, "cell", node("cell").alias("node")).join(found, "node", "left")
-    return named.select(key, "cell", F.coalesce(F.col("component") % n_cells, F.col("cell")).alias("part"))
+def extent_parts(cells: DataFrame, key: str) -> DataFrame:
+    """``key, cell, part``: connected parts (by sides) of each extent; the least cell names a part."""
+    return grid_parts(cells.select(key, "cell", "i", "j"), [key])
 
 
 def outline_edges(cells: DataFrame, key: str) -> DataFrame:

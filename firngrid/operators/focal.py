@@ -7,7 +7,6 @@ halo, for kernels of many cells.
 
 from __future__ import annotations
 
-import itertools
 import math
 
 import numpy as np
@@ -15,7 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from firngrid.operators import raster, stats
+from firngrid.operators import raster, stats, tiles
 from firngrid.sources.shared import staged
 
 # The smoothing kernel and the gradient operator.
@@ -167,9 +166,10 @@ def ruggedness(terrain: DataFrame, n: int = 7) -> DataFrame:
     parts = terrain.select(
         "i", "j", F.when(flat, 0.0).otherwise(F.sin(a) * F.sin(s)).alias("x"), F.when(flat, 0.0).otherwise(F.cos(a) * F.sin(s)).alias("y"), F.cos(s).alias("z")
     )
-    sums = [F.sum(c).alias(c) for c in "xyz"] + [F.count("z").alias("n")]
+    ones = np.ones((n, n))
+    sums = tiles.kernel_sums(parts, {c: (c, ones) for c in "xyz"})
     r = F.sqrt(F.col("x") ** 2 + F.col("y") ** 2 + F.col("z") ** 2)
-    return focal(parts, ["x", "y", "z"], box(n // 2), sums).select("i", "j", F.when(F.col("n") == n * n, 100 * (1 - r / n**2)).alias("ruggedness"))
+    return sums.select("i", "j", F.when(F.col("z_n") == n * n, 100 * (1 - r / n**2)).alias("ruggedness"))
 
 
 def hillshade(terrain: DataFrame, azimuth: float = 315.0, altitude: float = 45.0) -> DataFrame:
@@ -198,16 +198,8 @@ def grid_size(cells: DataFrame) -> tuple[int, int]:
 
 
 def mirrored(cells: DataFrame, nx: int, ny: int, radius: int) -> DataFrame:
-    """Cells with mirror images beyond the border, as far as ``radius``."""
-
-    def images(c: str, n: int) -> Column:
-        v = F.col(c)
-        all_of = F.array(v, F.when(v < radius, -1 - v), F.when(v >= n - radius, 2 * n - 1 - v))
-        return F.array_compact(all_of)
-
-    rest = [c for c in cells.columns if c not in ("i", "j")]
-    wide = cells.select(*rest, F.explode(images("i", nx)).alias("i"), images("j", ny).alias("js"))
-    return wide.select("i", F.explode("js").alias("j"), *rest)
+    """Cells with mirror images beyond the border, as far as ``radius``, again and again on a narrow grid."""
+    return reflected(reflected(cells, "i", nx, radius), "j", ny, radius)
 
 
 def _inside(cells: DataFrame, nx: int, ny: int) -> DataFrame:
@@ -217,22 +209,14 @@ def _inside(cells: DataFrame, nx: int, ny: int) -> DataFrame:
 def gradient_lapse(cells: DataFrame, height: str, value: str, size: float) -> DataFrame:
     """``i, j, lapse``: change of a value along the slope, by 5 x 5 gradients with mirrored borders."""
     nx, ny = grid_size(cells)
-    across = {(di, dj): w for di, dj, w in weighted(GRADIENT)}
-    both = [(di, dj, 1.0) for di, dj in across]
-    wx = F.element_at(F.array(*[F.lit(float(across[di, dj])) for di, dj, _ in both]), _slot())
-    wy = F.element_at(F.array(*[F.lit(float(across[dj, di])) for di, dj, _ in both]), _slot())
-    f = 1.0 / (960.0 * size)
-    aggs = [(f * F.sum(F.col(b) * w)).alias(n) for b, w, n in ((height, wx, "hx"), (height, wy, "hy"), (value, wx, "tx"), (value, wy, "ty"))]
-    out = _inside(focal(mirrored(cells.select("i", "j", height, value), nx, ny, 2), [height, value], both, aggs), nx, ny)
+    east = np.array(GRADIENT, float) / (960.0 * size)
+    kernels = {"hx": (height, east), "hy": (height, east.T), "tx": (value, east), "ty": (value, east.T)}
+    out = _inside(tiles.kernel_sums(mirrored(cells.select("i", "j", height, value), nx, ny, 2), kernels), nx, ny)
     hx, hy = F.col("hx"), F.col("hy")
     steep = hx * hx + hy * hy
     return out.select("i", "j", ((F.col("tx") * hx + F.col("ty") * hy) / F.nullif(steep, F.lit(0.0))).alias("lapse"), F.sqrt(steep).alias("steepness"))
 
 
-def _slot() -> Column:
-    return ((F.col("dj") + 2) * 5 + F.col("di") + 3).cast("int")
-
-
 def difference_lapse(cells: DataFrame, height: str, value: str) -> DataFrame:
     """``i, j, lapse_x, lapse_y`` by central differences; null at the border and where height is level."""
     across = lambda b, a: _at(b, *a) - _at(b, -a[0], -a[1])
@@ -248,19 +232,17 @@ def gaussian_weights(sigma: float, truncate: float = 4.0) -> list[float]:
     return [x / sum(w) for x in w]
 
 
-def blur(cells: DataFrame, band: str, sigma: float) -> DataFrame:
-    """``i, j, band`` by a Gaussian with mirrored borders, in a pass along each axis.
+def blur(cells: DataFrame, band: str | list[str], sigma: float) -> DataFrame:
+    """``i, j`` and the bands by a Gaussian with mirrored borders, in dense strips along each axis.
 
     A grid narrower than the kernel is mirrored again and again.
     Unknown cells are left out and the rest reweighted, which fills holes.
     """
-    size = grid_size(cells)
+    bands = [band] if isinstance(band, str) else band
     w = gaussian_weights(sigma)
-    r = len(w) // 2
-    out = cells.select("i", "j", band)
-    for axis, (name, n) in enumerate(zip("ij", size, strict=True)):
-        offsets = [((d, 0) if axis == 0 else (0, d)) + (x,) for d, x in zip(range(-r, r + 1), w, strict=True)]
-        out = _inside(mean(reflected(out, name, n, r), band, offsets), *size)
+    out = cells.select("i", "j", *bands)
+    for name, n in zip("ij", grid_size(cells), strict=True):
+        out = tiles.strip_means(reflected(out, name, n, len(w) // 2), bands, name, n, w)
     return out
 
 
@@ -273,23 +255,28 @@ def reflected(cells: DataFrame, axis: str, n: int, reach: int) -> DataFrame:
 
 
 def blur_by_height(cells: DataFrame, band: str, height: str, size: float, sigma: tuple[float, float, float]) -> DataFrame:
-    """Gaussian mean over cells near in plan and height, within two sigmas."""
+    """Gaussian mean over cells near in plan and height, within two sigmas, in tiles with a halo."""
     reach = 2 * max(sigma[:2])
     r = math.ceil(reach / size)
-    offsets = [(a, b, 1.0) for a, b, _ in box(r) if (a * a + b * b) * size * size <= reach * reach]
-    known = cells.where(F.col(height).isNotNull()).select("i", "j", band, height)
-    each = F.array(*[F.struct(F.lit(a).alias("di"), F.lit(b).alias("dj")) for a, b, _ in offsets])
-    sent = known.select("i", "j", F.col(band).alias("v"), F.col(height).alias("h"), F.inline(each)).select(
-        (F.col("i") - F.col("di")).alias("i"), (F.col("j") - F.col("dj")).alias("j"), "di", "dj", "v", "h"
-    )
-    q = (
-        (F.col("di") * (size / sigma[0])) ** 2 + (F.col("dj") * (size / sigma[1])) ** 2 + ((F.col("h") - F.col("own")) / sigma[2]) ** 2
-    )
-    own = known.select("i", "j", F.col(height).alias("own"))
-    w = F.exp(-0.5 * q)
-    return (
-        sent.join(own, ["i", "j"]).where(q <= 4.0).groupBy("i", "j").agg((F.sum(F.col("v") * w) / F.sum(F.when(F.col("v").isNotNull(), w))).alias(band))
-    )
+    offsets = [(a, b) for a, b, _ in box(r) if (a * a + b * b) * size * size <= reach * reach]
+    n = max(128, 8 * r)
+
+    def made(arrays: dict[str, np.ndarray], there: np.ndarray) -> dict[str, np.ndarray]:
+        own = arrays[height][r : r + n, r : r + n]
+        total, weight = np.zeros((n, n)), np.zeros((n, n))
+        for a, b in offsets:
+            at = slice(r + b, r + b + n), slice(r + a, r + a + n)
+            q = (a * (size / sigma[0])) ** 2 + (b * (size / sigma[1])) ** 2 + ((arrays[height][at] - own) / sigma[2]) ** 2
+            w = np.where(q <= 4.0, np.exp(-0.5 * q), 0.0)  # an unknown height is near to none
+            v = arrays[band][at]
+            total += w * np.nan_to_num(v)
+            weight += w * ~np.isnan(v)
+        found = np.full((n, n), np.nan)
+        np.divide(total, weight, out=found, where=weight > 0)
+        return {band: found}
+
+    known = cells.where(F.col(height).isNotNull())
+    return tiles.over_tiles(known, [band, height], r, made, [band], n)
 
 
 def blur_by_levels(cells: DataFrame, band: str, height: str, size: float, sigma: tuple[float, float, float]) -> DataFrame:
@@ -303,10 +290,10 @@ def blur_by_levels(cells: DataFrame, band: str, height: str, size: float, sigma:
     return smooth.crossJoin(F.broadcast(ratio)).select("i", "j", (F.col(band) * F.col("ratio")).alias(band))
 
 
-def spread(coarse: DataFrame, fine: DataFrame, factor: int, band: str) -> DataFrame:
-    """``i, j, band``: the value of the coarse cell (``ci, cj``) that a fine cell lies in."""
+def spread(coarse: DataFrame, fine: DataFrame, factor: int, *bands: str) -> DataFrame:
+    """``i, j, bands``: the values of the coarse cell (``ci, cj``) that a fine cell lies in."""
     keyed = fine.select("i", "j", F.floor(F.col("i") / factor).cast("int").alias("ci"), F.floor(F.col("j") / factor).cast("int").alias("cj"))
-    return keyed.join(coarse.select("ci", "cj", band), ["ci", "cj"], "left").select("i", "j", band)
+    return keyed.join(coarse.select("ci", "cj", *bands), ["ci", "cj"], "left").select("i", "j", *bands)
 
 
 def downscaled(fine: DataFrame, coarse: DataFrame, factor: int, snow: str, lapse: str) -> DataFrame:
@@ -315,11 +302,10 @@ def downscaled(fine: DataFrame, coarse: DataFrame, factor: int, snow: str, lapse
     ``fine`` has ``i, j, elev``; ``coarse`` has ``ci, cj`` and the two bands. Snow, lapse and the mean
     height of the coarse cells are spread and blurred; where a height is unknown, nothing is added.
     """
-    height = raster.coarsen(fine, factor, [F.avg("elev").alias("coarse_elev")])
-    bands = {"s": spread(coarse, fine, factor, snow), "l": spread(coarse, fine, factor, lapse), "e": spread(height, fine, factor, "coarse_elev")}
-    out = fine.select("i", "j", "elev")
-    for name, (layer, band) in {"s": (bands["s"], snow), "l": (bands["l"], lapse), "e": (bands["e"], "coarse_elev")}.items():
-        out = out.join(blur(staged(layer, "layer"), band, float(factor)).withColumnRenamed(band, f"_{name}"), ["i", "j"])
+    height = raster.coarsen(fine, factor, [F.avg("elev").alias("_e")])
+    both = coarse.select("ci", "cj", F.col(snow).alias("_s"), F.col(lapse).alias("_l")).join(height, ["ci", "cj"], "full")
+    smooth = blur(staged(spread(both, fine, factor, "_s", "_l", "_e"), "layers"), ["_s", "_l", "_e"], float(factor))
+    out = fine.select("i", "j", "elev").join(smooth, ["i", "j"])
     change = F.coalesce(F.col("_l") * (F.col("elev") - F.col("_e")), F.lit(0.0))
     return out.select("i", "j", F.greatest(F.col("_s") + change, F.lit(0.0)).alias(snow))
 
@@ -345,29 +331,6 @@ def cleaned_lapse(cells: DataFrame, least_height: float = 200.0) -> DataFrame:
     return cells.crossJoin(F.broadcast(middle)).withColumn("lapse", value).drop("_mean")
 
 
-def filled(cells: DataFrame, band: str, passes: int | None = None) -> DataFrame:
-    """Unknown cells by repeated means of the four neighbours; known ones stay.
-
-    Without ``passes`` it goes on until a pass fills no further cell, however wide the holes are.
-    """
-    cross = [(0, 1, 1.0), (1, 0, 1.0), (0, -1, 1.0), (-1, 0, 1.0)]
-    known = cells.select("i", "j", F.col(band).alias("known"))
-    out = known.withColumn(band, F.col("known"))
-    unknown = None
-    for k in itertools.count():
-        if k == passes:
-            break
-        near = mean(out.select("i", "j", band), band, cross).withColumnRenamed(band, "near")
-        out = known.join(near, ["i", "j"], "left").select("i", "j", "known", F.coalesce("known", "near").alias(band))
-        if k % 4 == 3:
-            out = staged(out, "filled")
-            left = out.where(F.col(band).isNull()).count() if passes is None else None
-            if passes is None and left in (0, unknown):
-                break
-            unknown = left
-    return out.select("i", "j", band)
-
-
 def margin_ring(cells: DataFrame, nx: int, ny: int, width: int) -> DataFrame:
     """``i, j, margin``: whether a cell is within ``width`` of the tile's border."""
     inner = F.col("i").between(width, nx - width - 1) & F.col("j").between(width, ny - width - 1)

@@ -137,9 +137,9 @@ def buffered_paths(start: DataFrame, edges: DataFrame, cells: DataFrame, window:
     return least_rectangles(hulls(near, "root"), "root", 2 * buffer)
 
 
-def extent_rows(cells: DataFrame, landcover: DataFrame, sizes: DataFrame, key: str, n_cells: int) -> DataFrame:
+def extent_rows(cells: DataFrame, landcover: DataFrame, sizes: DataFrame, key: str) -> DataFrame:
     """A row for each extent: its parts, cells by forest code, and what ``sizes`` says of the release."""
-    parts = flow.extent_parts(cells, key, n_cells)
+    parts = flow.extent_parts(cells, key)
     counted = parts.join(landcover.select("cell", "landcover"), "cell", "left").groupBy(key).agg(
         F.countDistinct("part").alias("n_parts"), F.count("*").alias("ext_n"), *[F.count_if(F.col("landcover") == k).alias(f"ext_n{k}") for k in (41, 42, 43)]
     )

@@ -55,15 +55,31 @@ def flow_edges(fx):
     return flow.flow_edges(cells, "z", flow.edge_cells(cells, "z"))
 
 
-@query("g_04_runout", "dem pra", """
+_RUNOUT = """
 t as (select cell, i, j, case when landcover <> 11 then elev end as h, greatest(case when landcover <> 11 then elev else 0 end, 0) as z from fx_dem),
 nb as (select a.cell, b.cell as other, b.z, min(b.z) over (partition by a.cell) as least, count(*) over (partition by a.cell) as n from t a join t b on abs(a.i - b.i) <= 1 and abs(a.j - b.j) <= 1 and a.cell <> b.cell),
 le as (select cell, other from nb join t using (cell) where nb.z = least and least <= t.z),
 bad as (select cell from t where h is null union select cell from nb where n < 8),
 p as (select id, cell as c0, i as i0, j as j0, h as h0 from fx_pra join t using (cell)),
 r(id, cell) as (select id, cell from fx_pra union select r.id, le.other from r join p using (id) join t on t.cell = r.cell join le on le.cell = r.cell
-  where r.cell = c0 or (10 * sqrt((i - i0) ** 2 + (j - j0) ** 2) <= 10000 and h0 - coalesce(h, 0) >= tan(radians(18)) * 10 * sqrt((i - i0) ** 2 + (j - j0) ** 2)))
-select id as pra_id, cell from r where id not in (select id from r join bad using (cell))""")
+  where r.cell = c0 or (10 * sqrt((i - i0) ** 2 + (j - j0) ** 2) <= 10000 and h0 - coalesce(h, 0) >= tan(radians(18)) * 10 * sqrt((i - i0) ** 2 + (j - j0) ** 2))),
+ro as (select id as pra_id, cell from r where id not in (select id from r join bad using (cell)))
+"""
+
+
+def _rectangle_sql(key: str, src: str) -> str:
+    """The area of the least rectangle around the cells of each key of ``src``."""
+    return f"""
+re as (select {key}, j, min(i) as a, max(i) + 1 as b from {src} group by 1, 2),
+rc as (select distinct {key}, x::double as x, (j + d)::double as y from (select {key}, j, unnest([a, b]) as x from re), (values (0), (1)) d(d)),
+rl as (select {key}, y, min(x) as x0, max(x) as x1 from rc group by 1, 2),
+rp as (select distinct {key}, unnest([x0, x1]) as x, y from rl),
+rt as (select distinct {key}, round(a - floor(a / (pi() / 2)) * (pi() / 2), 12) as t from (select p.{key}, atan2(q.y - p.y, q.x - p.x) as a from rp p join rp q on q.{key} = p.{key} and (q.x, q.y) <> (p.x, p.y))),
+rf as (select {key}, t, (max(x * cos(t) + y * sin(t)) - min(x * cos(t) + y * sin(t))) * (max(y * cos(t) - x * sin(t)) - min(y * cos(t) - x * sin(t))) as area from rt join rp using ({key}) group by 1, 2)
+select {key}, round(min(area), 4) as area from rf group by 1"""
+
+
+@query("g_04_runout", "dem pra", _RUNOUT + "select pra_id, cell from ro")
 def runout(fx):
     cells = fx.dem.select("cell", "i", "j", F.when(F.col("landcover") != 11, F.col("elev")).alias("h"))
     return flow.runout(fx.pra.select(F.col("id").alias("pra_id"), "cell"), cells, "h", 10.0)
@@ -86,7 +102,7 @@ pt as (select grp, cell, min(reached) as part from pr group by 1, 2)
 
 @query("g_05_extent_parts", "aval", _PARTS + "select grp, cell, part from pt")
 def extent_parts(fx):
-    return flow.extent_parts(_groups(fx), "grp", 100_000_000)
+    return flow.extent_parts(_groups(fx), "grp")
 
 
 _SIDES = _GROUPS + """,
@@ -145,7 +161,7 @@ r(cell, reached) as (select cell, cell from k union select r.cell, b.other from
 select cell, min(reached) as part from r group by 1""")
 def dissolved_extents(fx):
     cells = fx.aval.where("max_height > 0.85 and max_vel > 45").select("cell", "i", "j").distinct().withColumn("one", F.lit(0).cast("long"))
-    return flow.extent_parts(cells, "one", 100_000_000).select("cell", "part")
+    return flow.extent_parts(cells, "one").select("cell", "part")
 
 
 def _box_ring(fx):
@@ -180,26 +196,26 @@ def convex_hulls(fx):
     return h.select("aval_id", end(F.array_min, "x").alias("x0"), end(F.array_min, "y").alias("y0"), end(F.array_max, "x").alias("x1"), end(F.array_max, "y").alias("y1"))
 
 
-@query("v_02_least_rectangles", "aval", """
-e as (select aval_id, j, min(i) as a, max(i) + 1 as b from fx_aval group by 1, 2),
-c as (select distinct aval_id, x::double as x, (j + d)::double as y from (select aval_id, j, unnest([a, b]) as x from e), (values (0), (1)) d(d)),
-l as (select aval_id, y, min(x) as x0, max(x) as x1 from c group by 1, 2),
-p as (select distinct aval_id, unnest([x0, x1]) as x, y from l),
-t as (select distinct p.aval_id, round(a - floor(a / (pi() / 2)) * (pi() / 2), 12) as t from (select p.aval_id, atan2(q.y - p.y, q.x - p.x) as a from p join p q on q.aval_id = p.aval_id and (q.x, q.y) <> (p.x, p.y)) p),
-f as (select t.aval_id, t, (max(x * cos(t) + y * sin(t)) - min(x * cos(t) + y * sin(t))) * (max(y * cos(t) - x * sin(t)) - min(y * cos(t) - x * sin(t))) as area from t join p using (aval_id) group by 1, 2)
-select aval_id, round(min(area), 4) as area from f group by 1""")
+@query("v_02_least_rectangles", "aval", _rectangle_sql("aval_id", "fx_aval"))
 def least_rectangles(fx):
     return vector.least_rectangles(vector.hulls(fx.aval, "aval_id"), "aval_id", 2.0).select("aval_id", F.round("area", 4).alias("area"))
 
 
-@query("v_03_domains")
+@query("v_03_domains", "dem pra", _RUNOUT + ", rs as (select pra_id, i, j from ro join t using (cell)),\n" + _rectangle_sql("pra_id", "rs"))
 def domains(fx):
     cells = fx.dem.select("cell", "i", "j", F.when(F.col("landcover") != 11, F.col("elev")).alias("h"))
     found = vector.domains(fx.pra.select(F.col("id").alias("pra_id"), "cell"), cells, "h", 10.0, 2.0)
     return found.select("pra_id", F.round("area", 4).alias("area"))
 
 
-@query("v_04_buffered_paths")
+_PATHS = """,
+w(root, cell) as (select cell, cell from t union select w.root, fe.next_cell from w join fe on fe.cell = w.cell where fe.next_cell >= 0)
+"""
+
+
+@query("v_04_buffered_paths", "dem", _EDGES + _PATHS + """,
+ws as (select w.root, t.i, t.j from w join t using (cell) join t o on o.cell = w.root where greatest(abs(t.i - o.i), abs(t.j - o.j)) <= 20),
+""" + _rectangle_sql("root", "ws"))
 def buffered_paths(fx):
     cells = _terraces(fx)
     edges = flow.flow_edges(cells, "z", flow.edge_cells(cells, "z"))
@@ -212,7 +228,7 @@ select grp, count(distinct part) as n_parts, count(*) as ext_n, count(*) filter
 from pt join fx_dem using (cell) left join fx_pra p on p.id = grp group by 1""")
 def extent_rows(fx):
     sizes = fx.pra.select(F.col("id").alias("grp"), "area_m2")
-    return vector.extent_rows(_groups(fx), fx.dem, sizes, "grp", 100_000_000)
+    return vector.extent_rows(_groups(fx), fx.dem, sizes, "grp")
 
 
 @query("st_01_incremental_archive", "aval", """

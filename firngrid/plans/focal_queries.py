@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from firngrid.functions import climate as CF
-from firngrid.operators import focal, raster
+from firngrid.operators import focal, raster, relax
 from firngrid.plans.registry import query
 from firngrid.plans.stats_queries import _MOMENTS
 
@@ -235,18 +235,26 @@ def downscaled_by_local_lapse(fx):
     return focal.downscaled(fx.dem.select("i", "j", "elev"), coarse, 5, "snow", "lapse")
 
 
-def _filled_sql(src: str, band: str, passes: int) -> str:
-    """CTEs ``f0`` to ``f{passes}`` of repeated means of the four neighbours."""
-    parts = [f"f0 as materialized (select i, j, {band} as known, {band} as v from {src})"]
-    for k in range(passes):
-        near = " union all ".join(f"select i + {a} as i, j + {b} as j, v from f{k}" for a, b in ((1, 0), (-1, 0), (0, 1), (0, -1)))
-        parts.append(f"f{k + 1} as materialized (select o.i, o.j, known, coalesce(known, m) as v from f{k} o left join (select i, j, avg(v) as m from ({near}) group by 1, 2) n on n.i = o.i and n.j = o.j)")
-    return ",\n".join(parts) + f" select i, j, round(v + 1e-8, 6) as {band} from f{passes}"  # the means end in fives, which must round alike
+def _filled_sql(src: str, band: str, passes: int, digits: int) -> str:
+    """Repeated means of the four neighbours over lists of all cells, so often that they have settled."""
+    return f"""
+cells as (select i, j, {band} as known, row_number() over (order by j, i) as n from {src}),
+nb as (select a.n, list(b.n) as nb from cells a left join cells b on (a.j = b.j and abs(a.i - b.i) = 1) or (a.i = b.i and abs(a.j - b.j) = 1) group by 1),
+st as (select list(cast(known as double) order by n) as known, list(nb order by n) as nb from cells join nb using (n)),
+passes(k, v) as (select 0, known from st union all
+  select k + 1, list_transform(nb, lambda x, p: coalesce(known[p], list_avg(list_transform(x, lambda q: v[q])))) from passes, st where k < {passes}),
+o as (select unnest(range(1, len(v) + 1)) as n, unnest(v) as v from passes where k = {passes})
+select i, j, round(v + 1e-6, {digits}) as {band} from cells join o using (n)"""
 
 
-@query("r_20_filled", "dem", "src as (select i, j, case when landcover <> 11 then elev end as elev from fx_dem),\n" + _filled_sql("src", "elev", 8))
+def _settled(layer, band: str, digits: int):
+    """Relaxed far below the digits that are compared."""
+    return relax.filled(layer, band, tolerance=1e-9).select("i", "j", F.round(F.col(band) + 1e-6, digits).alias(band))
+
+
+@query("r_20_filled", "dem", "src as (select i, j, case when landcover <> 11 then elev end as elev from fx_dem),\n" + _filled_sql("src", "elev", 800, 4))
 def filled(fx):
-    return focal.filled(fx.dem.withColumn("elev", F.when(F.col("landcover") != 11, F.col("elev"))), "elev", 8).select("i", "j", F.round(F.col("elev") + 1e-8, 6).alias("elev"))
+    return _settled(fx.dem.withColumn("elev", F.when(F.col("landcover") != 11, F.col("elev"))), "elev", 4)
 
 
 @query("r_21_margin_ring", "dem", "select i, j, not (i between 3 and 46 and j between 3 and (select max(j) from fx_dem) - 3) as margin from fx_dem")
@@ -276,7 +284,7 @@ def lowest_neighbour(fx):
 @query("c_09_exported_levels", "annual dem", _MOMENTS + """,
 lv as (select cell, loc - scale * ln(-ln(1 - 1 / 30::double)) as level from p),
 src as (select i, j, level from fx_dem left join lv using (cell)),
-""" + _filled_sql("src", "level", 8))
+""" + _filled_sql("src", "level", 6000, 1))
 def exported_levels(fx):
     from firngrid.operators import climate
 
@@ -284,4 +292,4 @@ def exported_levels(fx):
     params = fit.select("cell", F.col("gumbel_loc").alias("loc"), F.col("gumbel_scale").alias("scale"), F.lit(0.0).alias("shape"))
     level = climate.return_levels(params, (30,))
     layer = fx.dem.select("cell", "i", "j").join(level, "cell", "left").select("i", "j", "level")
-    return focal.filled(layer, "level", 8).select("i", "j", F.round(F.col("level") + 1e-8, 6).alias("level"))
+    return _settled(layer, "level", 1)

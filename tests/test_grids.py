@@ -9,9 +9,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from firngrid.functions import grid as G
-from firngrid.operators import catalog, climate, flow, focal, mosaic, pra, raster, vector
+from firngrid.operators import catalog, climate, flow, focal, mosaic, parts, pra, raster, relax, tiles, vector
 from firngrid.operators.components import connected_components
-from firngrid.plans.fixtures import Fixtures
 from firngrid.sources import blobs, sinks
 from firngrid.streaming import streams
 
@@ -152,12 +151,129 @@ def test_blur_of_a_grid_narrower_than_the_kernel(spark):
     assert found.keys() == both.keys() and all(abs(found[k] - both[k]) < 1e-9 for k in both)
 
 
-def test_holes_fill_however_wide(spark):
-    rows = [(i, 0, 1.0 if i == 0 else None) for i in range(30)]
-    cells = spark.createDataFrame(rows, "i int, j int, v double")
-    assert focal.filled(cells, "v", 3).where("v is null").count() == 26
-    assert [r.v for r in focal.filled(cells, "v").collect()] == [1.0] * 30
-    assert focal.filled(cells.where("i > 0"), "v").where("v is not null").count() == 0
+def _relaxed(values):
+    """Unknown cells by a direct solve."""
+    holes = [k for k, v in values.items() if v is None]
+    at = {k: n for n, k in enumerate(holes)}
+    a, b = np.zeros((len(holes), len(holes))), np.zeros(len(holes))
+    for (i, j), n in at.items():
+        for k in ((i + 1, j), (i - 1, j), (i, j + 1), (i, j - 1)):
+            if k in values:
+                a[n, n] += 1
+                if k in at:
+                    a[n, at[k]] -= 1
+                else:
+                    b[n] += values[k]
+    return dict(zip(holes, np.linalg.solve(a, b), strict=True))
+
+
+@pytest.mark.parametrize("at_once", [65_536, 3])
+def test_wide_holes_relax_to_the_direct_solution(spark, monkeypatch, at_once):
+    monkeypatch.setattr(relax, "AT_ONCE", at_once)  # with 3, the system of tiles is solved in rounds as well
+    rng = random.Random(11)
+    values = {(i, j): None if (2 < i < 20 and 3 < j) or rng.random() < 0.2 else 100 * rng.random() + 5 * i for i in range(24) for j in range(18) if (i, j) != (9, 9)}
+    cells = spark.createDataFrame([(i, j, v) for (i, j), v in values.items()], "i int, j int, v double")
+    found = {(r.i, r.j): r.v for r in relax.filled(cells, "v", 0.1, 8).collect()}
+    assert found.keys() == values.keys() and all(found[k] == v for k, v in values.items() if v is not None)
+    around = lambda i, j: [found[k] for k in ((i + 1, j), (i - 1, j), (i, j + 1), (i, j - 1)) if k in found]
+    assert all(abs(np.mean(around(*k)) - found[k]) <= 0.1 for k, v in values.items() if v is None)
+    exact = _relaxed(values)
+    assert max(abs(found[k] - v) for k, v in exact.items()) < 5
+
+
+def test_holes_without_a_known_neighbour_stay(spark):
+    row = lambda known: spark.createDataFrame([(i, 0, 1.0 if i == 0 and known else float("nan") if i == 5 else None) for i in range(30)], "i int, j int, v double")
+    assert [r.v for r in relax.filled(row(True), "v").collect()] == pytest.approx([1.0] * 30, abs=1.0)
+    assert relax.filled(row(False), "v").where("v is not null").count() == 0
+    both = row(True).unionByName(spark.createDataFrame([(0, 2, None), (1, 2, None)], "i int, j int, v double"))
+    assert sorted((r.i, r.j) for r in relax.filled(both, "v").where("v is null").collect()) == [(0, 2), (1, 2)]
+    assert relax.filled(row(True).limit(0), "v").count() == 0
+
+
+@pytest.mark.parametrize("corners", [False, True])
+def test_parts_of_grids_equal_a_search(spark, corners):
+    rng = random.Random(4)
+    shift = 3_000_000_000  # beyond any 32-bit cell number
+    rows = {(k, i, j): shift + 1000 * j + i for k in "ab" for i in range(-9, 13) for j in range(14) if rng.random() < (0.45 if corners else 0.6)}
+    rows |= {("c", i, 3): shift + i for i in range(40)}  # one part through many tiles
+    steps = [(a, b) for a in (-1, 0, 1) for b in (-1, 0, 1) if (a, b) != (0, 0) and (corners or not a * b)]
+    expected, seen = {}, set()
+    for start in sorted(rows, key=rows.get):
+        if start in seen:
+            continue
+        todo, name = [start], rows[start]
+        seen.add(start)
+        while todo:
+            k, i, j = todo.pop()
+            expected[k, rows[k, i, j]] = name
+            for a, b in steps:
+                near = k, i + a, j + b
+                if near in rows and near not in seen:
+                    seen.add(near)
+                    todo.append(near)
+    table = [(k, c, i, j) for (k, i, j), c in rows.items()]
+    cells = spark.createDataFrame([*table, table[0], (None, 5, 1, 1)], "k string, cell long, i int, j int")
+    found = parts.grid_parts(cells, ["k"], corners, size=4)
+    assert {(r.k, r.cell): r.part for r in found.collect()} == expected and found.count() == len(expected)
+    assert parts.grid_parts(cells.limit(0), ["k"], corners).count() == 0
+
+
+def test_wide_blur_in_strips_equals_sums(spark):
+    rng = np.random.default_rng(5)
+    nx, sigma = 700, 40.0  # half width 160: transforms, three strips
+    v = rng.normal(100, 20, nx)
+    v[300:480] = np.nan
+    w = np.array(focal.gaussian_weights(sigma))
+    r = len(w) // 2
+    padded = np.pad(v, r, mode="symmetric")
+    known = ~np.isnan(padded)
+    whole = np.array([np.nansum(padded[k : k + 2 * r + 1] * w) / (known[k : k + 2 * r + 1] * w).sum() for k in range(nx)])
+    cells = spark.createDataFrame([(k, 0, None if np.isnan(x) else float(x)) for k, x in enumerate(v)], "i int, j int, v double")
+    found = {r.i: r.v for r in focal.blur(cells, "v", sigma).collect()}
+    assert len(found) == nx and max(abs(found[k] - whole[k]) for k in found) < 1e-8
+    # where the kernel meets no known cell there is no value
+    far = {r.i: r.v for r in focal.blur(cells.where("i < 640").withColumn("v", F.when(F.col("i") < 10, 1.0)), "v", 10.0).collect()}
+    assert far[40] == pytest.approx(1.0) and far[60] is None and far[639] is None
+
+
+def test_tiles_of_several_bands_equal_neighbours(spark):
+    rng = random.Random(7)
+    rows = [(i, j, rng.random(), None if rng.random() < 0.2 else rng.random()) for i in range(21) for j in range(19) if rng.random() < 0.9]
+    cells = spark.createDataFrame(rows, "i int, j int, a double, b double")
+    kernel = np.arange(9.0).reshape(3, 3)
+    wide = np.ones((5, 5))
+    found = {(r.i, r.j): r for r in tiles.kernel_sums(cells, {"x": ("a", kernel), "y": ("b", wide)}, 8).collect()}
+    a, b = {(r[0], r[1]): r[2] for r in rows}, {(r[0], r[1]): r[3] for r in rows if r[3] is not None}
+    assert found.keys() == a.keys()
+    for (i, j), r in found.items():
+        x = sum(kernel[dj + 1, di + 1] * a.get((i + di, j + dj), 0) for di in (-1, 0, 1) for dj in (-1, 0, 1))
+        near = [b[i + di, j + dj] for di in range(-2, 3) for dj in range(-2, 3) if (i + di, j + dj) in b]
+        assert r.x == pytest.approx(x) and r.y_n == len(near) and (r.y == pytest.approx(sum(near)) if near else r.y is None)
+
+
+def test_gradients_of_a_grid_of_one_column(spark):
+    rng = random.Random(9)
+    height, value = [rng.random() * 50 for _ in range(7)], [rng.random() * 9 for _ in range(7)]
+    make = lambda nx: spark.createDataFrame([(i, j, height[j], value[j]) for i in range(nx) for j in range(7)], "i int, j int, h double, v double")
+    narrow, wide = ({r.j: r.lapse for r in focal.gradient_lapse(make(nx), "h", "v", 10.0).where("i = 0").collect()} for nx in (1, 5))
+    assert narrow == pytest.approx(wide)
+
+
+def test_blur_by_height_across_tiles(spark):
+    rng = random.Random(3)
+    cells = {(i, j): (None if rng.random() < 0.1 else rng.random(), rng.random() * 300) for i in range(140) for j in range(3)}
+    frame = spark.createDataFrame([(i, j, v, h) for (i, j), (v, h) in cells.items()] + [(200, 0, 1.0, None)], "i int, j int, v double, h double")
+    found = {(r.i, r.j): r.v for r in focal.blur_by_height(frame, "v", "h", 10.0, (20.0, 20.0, 150.0)).collect()}
+    assert found.keys() == cells.keys()
+    for i, j in [(0, 0), (126, 1), (127, 2), (128, 0), (131, 1), (139, 2)]:
+        total = weight = 0.0
+        for a in range(-4, 5):
+            for b in range(-4, 5):
+                v, h = cells.get((i + a, j + b), (None, 0))
+                q = 0.25 * (a * a + b * b) + ((h - cells[i, j][1]) / 150) ** 2
+                if v is not None and q <= 4 and a * a + b * b <= 16:
+                    total, weight = total + v * math.exp(-q / 2), weight + math.exp(-q / 2)
+        assert found[i, j] == (pytest.approx(total / weight) if weight else None)
 
 
 def test_nearest_looks_as_far_as_it_must(spark):
@@ -190,12 +306,6 @@ def test_coarse_sums_keep_the_total(spark):
     assert coarse.agg(F.sum("v")).first()[0] == sum(range(400))
 
 
-def test_relaxation_keeps_known_cells_and_fills_holes(spark):
-    rows = [(i, j, None if (i, j) == (2, 2) else float(i + j)) for i in range(5) for j in range(5)]
-    found = {(r.i, r.j): r.v for r in focal.filled(spark.createDataFrame(rows, "i int, j int, v double"), "v", 4).collect()}
-    assert found[2, 2] == pytest.approx(4.0) and found[0, 3] == 3.0
-
-
 def test_burn_counts_the_area_of_a_box(spark):
     ring = [{"x": float(x), "y": float(y)} for x, y in ((1, 2), (6, 2), (6, 9), (1, 9))]
     cells = vector.burn(spark.createDataFrame([(7, ring)], "id long, ring array<struct<x:double,y:double>>"), "id")
@@ -227,6 +337,27 @@ def test_runout_stops_and_voids(spark):
     assert 12 + 4 in reached and all(c % 12 >= 4 for c in reached) and max(c % 12 for c in reached) <= 7
 
 
+def test_runouts_are_alike_in_tiles_of_any_size(spark, monkeypatch):
+    monkeypatch.setattr(flow, "AREAS", 2)  # areas of a tile are shared by several tasks
+    rng = random.Random(2)
+    height = lambda i, j: 400.0 - 9 * i - abs(j - 8) * 3 + rng.randrange(8)
+    rows = [(1000 * j + i, i, j, None if (i, j) == (30, 4) else height(i, j)) for i in range(34) for j in range(17)]
+    cells = spark.createDataFrame(rows, "cell long, i int, j int, h double")
+    release = spark.createDataFrame([(p, 1000 * rng.randrange(2, 15) + rng.randrange(2, 20)) for p in range(12) for _ in range(3)], "pra_id long, cell long")
+    found = [sorted(map(tuple, flow.runout(release, cells, "h", 10.0, min_alpha=10.0, max_runout=90.0, tile=t).collect())) for t in (3, 64)]
+    assert found[0] == found[1] and len({p for p, _ in found[0]}) > 2
+    cell_of = {c: (i, j) for c, i, j, _ in rows}
+    assert any(cell_of[c][0] // 3 != cell_of[d][0] // 3 for (p, c), (q, d) in zip(found[0], found[0][1:], strict=False) if p == q)
+
+
+def test_reachable_takes_few_rounds_and_ends_on_circles(spark):
+    edges = [(k, k + 1) for k in range(100)] + [(100, -1), (200, 201), (201, 202), (202, 200)]
+    start = [(1, 0), (1, 90), (2, 98), (3, 201), (4, 555)]
+    found = flow.reachable(spark.createDataFrame(start, "root long, cell long"), spark.createDataFrame(edges, "cell long, next_cell long"))
+    expected = {(1, k) for k in range(101)} | {(2, k) for k in (98, 99, 100)} | {(3, k) for k in (200, 201, 202)} | {(4, 555)}
+    assert sorted(map(tuple, found.collect())) == sorted(expected)
+
+
 def test_gev_fit_finds_its_parameters(spark):
     rng = np.random.default_rng(4)
     x = 50 + 10 / 0.1 * (1 - (-np.log(rng.uniform(size=400))) ** 0.1)
@@ -290,14 +421,6 @@ def test_experiment_hooks(spark):
     assert own.mosaic_filter(spark.range(4).toDF("n")).count() == 2 and set(own.sizes) == {"For", "NoFor"}
 
 
-def test_paths_are_buffered_from_every_cell(spark, data):
-    from firngrid.plans import queries
-    
-    cells = {r.cell for r in Fixtures(spark, data).dem.where("landcover <> 11").select("cell").collect()}
-    found = [r.root for r in queries.QUERIES["v_04_buffered_paths"](spark, data).collect()]
-    assert sorted(found) == sorted(cells)
-
-
 def test_order_weights_are_the_published_ones():
     # fixed values: best linear weights for two, three and four values, smallest first
     location = {2: [0.916373, 0.083627], 3: [0.656320, 0.255714, 0.087966], 4: [0.510998, 0.263943, 0.153680, 0.071380]}
