@@ -207,7 +207,12 @@ def _resubmitted() -> Column:
 
 @dataclass
 class Experiment:
-    """What an experiment supplies: its key columns, filters and sets of scenarios."""
+    """What an experiment supplies: its key columns, filters and sets of scenarios.
+
+    ``sets`` make the scenarios by name; a scenario runs the release sizes that ``sizes`` has
+    for its ``forest``; ``ignored`` gives runs (by some of their columns) that are left out;
+    ``mosaic_filter`` keeps the extents that go into a mosaic.
+    """
 
     name: str
     keys: tuple[str, ...]
@@ -215,3 +220,30 @@ class Experiment:
     sizes: dict[str, tuple[str, ...]] = field(default_factory=dict)
     ignored: Callable[[SparkSession], DataFrame] | None = None
     sets: dict[str, Callable[[DataFrame], DataFrame]] = field(default_factory=dict)
+
+    def scenarios(self, which: str, tiles: DataFrame) -> DataFrame:
+        """``exp``, the keys and ``pra_size``: all that the named set asks for, in all of ``tiles``."""
+        if which not in self.sets:
+            raise ValueError(f"{self.name} has no set {which}")
+        made = self.sets[which](tiles).select(*self.keys).distinct()
+        sizes = made.sparkSession.createDataFrame([(f, s) for f, of in self.sizes.items() for s in of], "forest string, pra_size string")
+        return made.join(F.broadcast(sizes), "forest").select(F.lit(self.name).alias("exp"), *self.keys, "pra_size")  # sizes are a few rows
+
+    def runs(self, which: str, tiles: DataFrame, areas: DataFrame) -> DataFrame:
+        """The runs of a set: its scenarios by ``areas`` (tile, ``forest, pra_size, id``), without the ignored ones."""
+        on = [k for k in (*self.keys, "pra_size") if k in areas.columns]
+        found = self.scenarios(which, tiles).join(areas, on)
+        if self.ignored is None:
+            return found
+        left_out = self.ignored(tiles.sparkSession)
+        return found.join(left_out, left_out.columns, "left_anti")
+
+
+#: Experiments by name.
+EXPERIMENTS: dict[str, Experiment] = {}
+
+
+def register_experiment(experiment: Experiment) -> Experiment:
+    """Add an experiment to EXPERIMENTS."""
+    EXPERIMENTS[experiment.name] = experiment
+    return experiment

@@ -5,9 +5,11 @@ from __future__ import annotations
 from functools import reduce
 from itertools import combinations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from firngrid.sources.shared import staged
+
 # Elevation classes; the first set overlaps, the second has open ends.
 CLASSES = (("040", 0.0, 40.0), ("160", 0.0, 160.0), ("8000", 160.0, 8000.0), ("full", 0.0, 8000.0))
 CLASSES_1 = (
@@ -61,21 +63,46 @@ def correlations(layers: DataFrame, names: list[str]) -> DataFrame:
     )
 
 
+def quantiles(rows: DataFrame, keys: list[str], value: str, shares: dict[str, float]) -> DataFrame:
+    """``keys, n`` and, for each ``name: share``, the exact quantile of the known values, between ranks linearly.
+
+    Distinct values are counted and dealt by ranges of key and value. The totals of the ranges
+    tell in which of them a rank lies, and only there values are ranked. So no task holds a
+    whole group, however few groups there are. Rows with a null key are left out.
+    """
+    spark = rows.sparkSession
+    v = F.col(value).cast("double")
+    counted = rows.where(v.isNotNull() & ~F.isnan(v)).groupBy(*keys, v.alias("_v")).agg(F.count("*").alias("_n"))
+    dealt = counted.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), *keys, "_v")
+    ranges = staged(dealt.withColumn("_range", F.spark_partition_id()), "ranges")
+    # a row for each group and range that it reaches into
+    totals = ranges.groupBy(*keys, "_range").agg(F.sum("_n").alias("_total"))
+    before = F.sum("_total").over(Window.partitionBy(*keys).orderBy("_range")) - F.col("_total")
+    totals = totals.withColumns({"_before": before, "n": F.sum("_total").over(Window.partitionBy(*keys))})
+    each = F.array(*[F.struct(F.lit(name).alias("_name"), F.lit(float(share)).alias("_share")) for name, share in shares.items()])
+    at = totals.select("*", F.inline(each)).withColumn("_at", F.col("_share") * (F.col("n") - 1))
+    ranks = at.withColumn("_rank", F.explode(F.array(F.floor("_at"), F.ceil("_at")))).where("_rank >= _before and _rank < _before + _total").distinct()
+    through = F.sum("_n").over(Window.partitionBy(*keys, "_range").orderBy("_v"))
+    met = ranges.join(ranks.select(*keys, "_range").distinct(), [*keys, "_range"], "left_semi").withColumn("_through", through)
+    found = ranks.join(met, [*keys, "_range"]).where("_rank - _before < _through and _rank - _before >= _through - _n")
+    low, high = F.min("_v"), F.max("_v")
+    one = found.groupBy(*keys, "n", "_name").agg((low + (high - low) * F.max(F.col("_at") - F.floor("_at"))).alias("_q"))
+    return one.groupBy(*keys, "n").agg(*[F.max(F.when(F.col("_name") == name, F.col("_q"))).alias(name) for name in shares])
+
+
 def quartiles_by_bin(cells: DataFrame, by: str, value: str, width: float, low: float, high: float) -> DataFrame:
     """Exact quartiles of values within ``low .. high`` by bins centred on multiples of ``width``."""
     centre = F.floor(F.col(by) / width + 0.5) * width
-    return (
-        cells.where(F.col(value).between(low, high))
-        .groupBy(centre.cast("double").alias("bin"))
-        .agg(F.count("*").alias("n"), *[F.percentile(value, p).alias(f"q{int(100 * p)}") for p in (0.25, 0.5, 0.75)])
-    )
+    rows = cells.where(F.col(value).between(low, high)).select(centre.cast("double").alias("bin"), value)
+    return quantiles(rows, ["bin"], value, {"q25": 0.25, "q50": 0.5, "q75": 0.75})
 
 
 def scaled_by_median_ratio(cells: DataFrame, value: str, by: str) -> DataFrame:
     """``by`` times the median of ``value / by``, nulls left out."""
     ratio = F.col(value) / F.nullif(F.col(by), F.lit(0.0))
-    middle = cells.agg(F.median(ratio).alias("ratio"))
-    return cells.crossJoin(F.broadcast(middle)).withColumn("scaled", F.col("ratio") * F.col(by)).drop("ratio")
+    middle = quantiles(cells.select(ratio.alias("_ratio")), [], "_ratio", {"_median": 0.5}).select("_median")
+    row = cells.sparkSession.range(1).select().join(middle, how="left")  # one row, null where no ratio is known
+    return cells.crossJoin(F.broadcast(row)).withColumn("scaled", F.col("_median") * F.col(by)).drop("_median")
 
 
 def max_by_period(yearly: DataFrame, periods: DataFrame, key: str, value: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from firngrid.operators.catalog import STATUS
+from firngrid.operators.catalog import STATUS, box_join
 
 CODE = {name: k for k, name in enumerate(STATUS)}
 
@@ -140,18 +140,61 @@ def to_resubmit(runs: DataFrame, keys: list[str], margin: float = 5000.0) -> Dat
     )
 
 
-def area_query(
-    tiles: DataFrame, combos: DataFrame, runs: DataFrame, box: tuple[float, float, float, float], margin: float, statuses: tuple[int, ...]
-) -> DataFrame:
-    """Runs of all scenarios in the tiles whose margin box meets ``box``, with a wanted status.
+def area_boxes(area: tuple | str, chosen: DataFrame, tiles: DataFrame, named: dict[str, tuple] | None = None) -> tuple | DataFrame:
+    """The box or boxes ``x0, y0, x1, y1`` of an area.
 
-    ``tiles`` and ``runs`` are keyed ``idom, jdom``; runs have boxes, which must meet the area too.
+    ``area`` is four numbers, a name of ``named``, ``tile`` for the tiles that ``chosen`` runs
+    lie in, or ``aval`` for the boxes of these runs themselves.
     """
-    x0, y0, x1, y1 = box
-    met = tiles.where(
-        (F.col("x0") - margin <= x1) & (F.col("x1") + margin >= x0) & (F.col("y0") - margin <= y1) & (F.col("y1") + margin >= y0)
-    ).select("idom", "jdom")
-    inside = runs.where(
-        (F.col("x0") <= x1) & (F.col("x1") >= x0) & (F.col("y0") <= y1) & (F.col("y1") >= y0) & F.col("id_status").isin(*statuses)
-    )
-    return combos.crossJoin(met).join(inside, ["idom", "jdom"])
+    if area == "tile":
+        return tiles.join(chosen.select("idom", "jdom").distinct(), ["idom", "jdom"], "left_semi").select("x0", "y0", "x1", "y1")
+    if area == "aval":
+        return chosen.select("x0", "y0", "x1", "y1")
+    corners = (named or {}).get(area) if isinstance(area, str) else area
+    if corners is None:
+        raise ValueError(f"unknown extent: {area}")
+    return tuple(map(float, corners))
+
+
+def area_extent(boxes: tuple | DataFrame) -> tuple:
+    """The box around all boxes of an area."""
+    if isinstance(boxes, tuple):
+        return boxes
+    return tuple(boxes.agg(F.min("x0"), F.min("y0"), F.max("x1"), F.max("y1")).first())
+
+
+def _meeting(rows: DataFrame, key: list[str], boxes: tuple | DataFrame, margin: float, bin_size: float) -> DataFrame:
+    """``rows`` whose box meets one of ``boxes`` when these are grown by ``margin``."""
+    if isinstance(boxes, tuple):
+        x0, y0, x1, y1 = boxes
+        return rows.where((F.col("x0") <= x1 + margin) & (F.col("x1") >= x0 - margin) & (F.col("y0") <= y1 + margin) & (F.col("y1") >= y0 - margin))
+    grown = boxes.distinct().select((F.col("x0") - margin).alias("x0"), (F.col("y0") - margin).alias("y0"), (F.col("x1") + margin).alias("x1"), (F.col("y1") + margin).alias("y1"))
+    met = box_join(rows.select(*key, "x0", "y0", "x1", "y1"), grown, bin_size).select(*key).distinct()
+    return rows.join(met, key, "left_semi")
+
+
+def area_query(
+    tiles: DataFrame, combos: DataFrame, runs: DataFrame, area: tuple | str, margin: float, statuses: tuple[int, ...],
+    chosen: DataFrame | None = None, named: dict[str, tuple] | None = None, combo_status: DataFrame | None = None,
+    least: int = 0, force: bool = False, bin_size: float = 10.0,
+) -> DataFrame:
+    """Runs of all scenarios that meet an area, in the tiles whose box with a margin meets it.
+
+    ``tiles`` and ``runs`` are keyed ``idom, jdom``; runs have ``id``, boxes and ``id_status``, of
+    which the wanted ones are kept. The area is one of ``area_boxes``, for ``chosen`` runs (all
+    by default). With ``aval`` the chosen runs themselves are the answer. ``combo_status`` has
+    the ``combo_status`` of scenarios and tiles: all that are looked at must have the ``least``,
+    or an error is raised; with ``force`` those below are left out. One without a row has none.
+    """
+    chosen, wanted = runs if chosen is None else chosen, F.col("id_status").isin(*statuses)
+    if area == "aval":
+        return combos.crossJoin(chosen.where(wanted))
+    boxes = area_boxes(area, chosen, tiles, named)
+    looked_at = combos.crossJoin(_meeting(tiles, ["idom", "jdom"], boxes, margin, bin_size).select("idom", "jdom"))
+    if combo_status is not None:
+        keys = looked_at.columns
+        looked_at = looked_at.join(combo_status, keys, "left").withColumn("_ok", F.coalesce(F.col("combo_status") >= least, F.lit(False)))
+        if not force and not looked_at.where("not _ok").isEmpty():
+            raise ValueError(f"scenarios below status {least} meet the area")
+        looked_at = looked_at.where("_ok").select(*keys)
+    return looked_at.join(_meeting(runs.where(wanted), ["id"], boxes, 0.0, bin_size), ["idom", "jdom"])

@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from firngrid.functions import grid as G
@@ -36,33 +36,57 @@ def burn(polygons: DataFrame, key: str, keep: list[str] | None = None) -> DataFr
     return cells.where(inside_ring(F.col("i") + 0.5, F.col("j") + 0.5, F.col("ring"))).drop("ring")
 
 
-def nearest(points: DataFrame, targets: DataFrame, k: int, bin_size: int) -> DataFrame:
-    """``cell, distance`` of the ``k`` targets nearest to each of ``points (cell, i, j)``.
+def _reach(points: DataFrame, targets: DataFrame, k: int) -> DataFrame:
+    """``bi, bj, level``: how coarse bins must be for the 3 x 3 around a bin of ``points`` to hold ``k`` targets.
 
-    Points look in the bins around them, in twice as many rings each time, until the k-th
-    target is nearer than anything outside of the rings looked at, or these hold all targets.
+    Bins of a level are twice as wide as those of the level below. Only counts by bin are looked
+    at; the last level is the one whose 3 x 3 hold all there is.
     """
-    binned = lambda df: df.withColumns({"bi": F.floor(F.col("i") / bin_size).cast("int"), "bj": F.floor(F.col("j") / bin_size).cast("int")})
-    todo, goal = binned(points.select("cell", "i", "j")), staged(binned(targets.select(F.col("i").alias("ti"), F.col("j").alias("tj"), "i", "j")).drop("i", "j"), "targets")
-    span = [F.max(c) for c in ("bi", "bj")] + [F.min(c) for c in ("bi", "bj")]
-    ends = todo.select("bi", "bj").union(goal.select("bi", "bj")).agg(*span).first()
-    widest = 0 if ends[0] is None else max(ends[0] - ends[2], ends[1] - ends[3])
-    done, ring = None, 1
+    coarse = lambda c, level: F.floor(F.col(c) / 2**level).alias(c)
+    counts = staged(targets.groupBy("bi", "bj").agg(F.count("*").alias("n")), "counts")
+    todo, done = staged(points.select("bi", "bj").distinct(), "bins"), None
+    ends = counts.select("bi", "bj").union(todo).agg(F.min("bi"), F.max("bi"), F.min("bj"), F.max("bj")).first()
+    around = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a in (-1, 0, 1) for b in (-1, 0, 1)])
+    level = 0
     while True:
-        last = ring >= widest
-        near = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a in range(-ring, ring + 1) for b in range(-ring, ring + 1)])
-        wide = todo.select("cell", "i", "j", "bi", "bj", F.inline(near)).select("cell", "i", "j", (F.col("bi") + F.col("a")).alias("bi"), (F.col("bj") + F.col("b")).alias("bj"))
-        away = F.hypot((F.col("i") - F.col("ti")).cast("double"), (F.col("j") - F.col("tj")).cast("double"))
-        found = wide.join(goal, ["bi", "bj"]).groupBy("cell").agg(F.slice(F.sort_array(F.collect_list(away)), 1, k).alias("near"))
-        found = staged(todo.join(found, "cell", "left"), "near")
-        enough = (F.size("near") == k) & (F.element_at("near", -1) <= ring * bin_size)
-        sure = found.where(F.lit(True) if last else enough).select("cell", F.explode("near").alias("distance"))
+        last = ends[0] is None or all(v >> level >= -1 and v >> level <= 1 for v in (ends[1] - ends[0], ends[3] - ends[2]))
+        at = counts.groupBy(coarse("bi", level), coarse("bj", level)).agg(F.sum("n").alias("n"))
+        near = at.select("n", "bi", "bj", F.inline(around)).groupBy((F.col("bi") + F.col("a")).alias("ci"), (F.col("bj") + F.col("b")).alias("cj")).agg(F.sum("n").alias("n"))
+        keyed = todo.select("bi", "bj", coarse("bi", level).alias("ci"), coarse("bj", level).alias("cj"))
+        found = staged(keyed.join(near, ["ci", "cj"], "left").select("bi", "bj", (F.coalesce("n", F.lit(0)) >= k).alias("enough")), "reach")
+        sure = (found if last else found.where("enough")).select("bi", "bj", F.lit(level).alias("level"))
         done = sure if done is None else done.unionByName(sure)
-        todo = found.where(~F.coalesce(enough, F.lit(False))).drop("near")
-        if last or todo.isEmpty():
-            break
-        ring = min(2 * ring, widest)
-    return done
+        if last:
+            return done
+        todo = found.where("not enough").select("bi", "bj")
+        if todo.isEmpty():
+            return done
+        level += 1
+
+
+def nearest(points: DataFrame, targets: DataFrame, k: int, bin_size: int) -> DataFrame:
+    """``cell, distance`` of the ``k`` targets nearest to each of ``points (cell, i, j)``.
+
+    Counts by bin, over coarser and coarser bins, bound the distance of the k-th target from
+    above. A point then meets the bins of that width within this bound, 7 x 7 at most, and
+    keeps its k least distances while rows are sorted, on both sides of the shuffle.
+    """
+    binned = lambda df: df.withColumns({"bi": F.floor(F.col("i") / bin_size), "bj": F.floor(F.col("j") / bin_size)})
+    source, goal = binned(points.select("cell", "i", "j")), staged(binned(targets.select("i", "j")), "targets")
+    reach = staged(_reach(source, goal, k), "reach")
+    levels = [r.level for r in reach.select("level").distinct().collect()]  # as many as the map has doublings of a bin
+    if not levels:
+        return points.select("cell", F.lit(0.0).alias("distance")).limit(0)
+    wide = lambda c: F.floor(F.col(c) / F.pow(F.lit(2.0), "level")).alias(f"c{c[1]}")
+    shelves = goal.select(F.col("i").alias("ti"), F.col("j").alias("tj"), "bi", "bj", F.explode(F.array(*map(F.lit, levels))).alias("level"))
+    shelves = shelves.select("ti", "tj", "level", wide("bi"), wide("bj"))
+    square = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a in range(-3, 4) for b in range(-3, 4)])
+    asked = source.join(reach, ["bi", "bj"]).select("cell", "i", "j", "level", wide("bi"), wide("bj"), F.inline(square))
+    asked = asked.select("cell", "i", "j", "level", (F.col("ci") + F.col("a")).alias("ci"), (F.col("cj") + F.col("b")).alias("cj"))
+    away = F.hypot((F.col("i") - F.col("ti")).cast("double"), (F.col("j") - F.col("tj")).cast("double"))
+    met = asked.join(shelves, ["level", "ci", "cj"]).select("cell", away.alias("distance"))
+    place = F.row_number().over(Window.partitionBy("cell").orderBy("distance"))
+    return met.withColumn("place", place).where(F.col("place") <= k).drop("place")
 
 
 def _hull(x: np.ndarray, y: np.ndarray) -> list[tuple[float, float]]:

@@ -282,17 +282,72 @@ def resubmission(fx):
     return status.to_resubmit(_runs(fx), ["combo"])
 
 
-@query("v_07_area_query", "boxes tiles combos", """
-t as (select idom, jdom from fx_tiles where x0 - 3 <= 18 and x1 + 3 >= 12 and y0 - 3 <= 9 and y1 + 3 >= 4),
-r as (select aval_id as id, cast(x0 // 10 as int) as idom, cast(y0 // 10 as int) as jdom, x0, y0, x1, y1, case when aval_id % 3 = 0 then 6 when aval_id % 3 = 1 then 5 else 0 end as id_status from fx_boxes)
+_BOXED_RUNS = """
+r as (select aval_id as id, cast(floor(x0 / 10) as int) as idom, cast(floor(y0 / 10) as int) as jdom, x0, y0, x1, y1, case when aval_id % 3 = 0 then 6 when aval_id % 3 = 1 then 5 else 0 end as id_status from fx_boxes)
+"""
+
+
+def _boxed_runs(fx):
+    k = F.col("aval_id")
+    return fx.boxes.select(k.alias("id"), F.floor(F.col("x0") / 10).cast("int").alias("idom"), F.floor(F.col("y0") / 10).cast("int").alias("jdom"),
+                           "x0", "y0", "x1", "y1", F.when(k % 3 == 0, 6).when(k % 3 == 1, 5).otherwise(0).alias("id_status"))
+
+
+_ANSWER = ("region", "era", "forest", "return_period", "id")
+
+
+@query("v_07_area_query", "boxes tiles combos", _BOXED_RUNS + """,
+t as (select idom, jdom from fx_tiles where x0 - 3 <= 18 and x1 + 3 >= 12 and y0 - 3 <= 9 and y1 + 3 >= 4)
 select region, era, forest, return_period, id from fx_combos, t join r using (idom, jdom)
 where return_period = 30 and id_status in (5, 6) and x0 <= 18 and x1 >= 12 and y0 <= 9 and y1 >= 4""")
 def area_query(fx):
-    k = F.col("aval_id")
-    runs = fx.boxes.select(k.alias("id"), F.floor(F.col("x0") / 10).cast("int").alias("idom"), F.floor(F.col("y0") / 10).cast("int").alias("jdom"),
-                           "x0", "y0", "x1", "y1", F.when(k % 3 == 0, 6).when(k % 3 == 1, 5).otherwise(0).alias("id_status"))
-    found = status.area_query(fx.tiles, fx.combos.where("return_period = 30"), runs, (12.0, 4.0, 18.0, 9.0), 3.0, (5, 6))
-    return found.select("region", "era", "forest", "return_period", "id")
+    combos = fx.combos.where("return_period = 30")
+    return status.area_query(fx.tiles, combos, _boxed_runs(fx), "glacier", 3.0, (5, 6), named={"glacier": (12, 4, 18, 9)}).select(*_ANSWER)
+
+
+@query("v_07_area_of_tiles", "boxes tiles combos", _BOXED_RUNS + """,
+ch as (select * from r where id % 500 = 3 and x0 >= 20),
+e as (select distinct t.* from fx_tiles t join ch using (idom, jdom)),
+s as (select * exclude (x0, y0, x1, y1) from fx_tiles t where exists (select 1 from e where t.x0 <= e.x1 + 3 and t.x1 >= e.x0 - 3 and t.y0 <= e.y1 + 3 and t.y1 >= e.y0 - 3))
+select region, era, forest, return_period, id from fx_combos, s join r using (idom, jdom)
+where return_period = 30 and not (era = 'past' and (idom + jdom) % 4 = 1) and id_status in (5, 6)
+  and exists (select 1 from e where r.x0 <= e.x1 and r.x1 >= e.x0 and r.y0 <= e.y1 and r.y1 >= e.y0)""")
+def area_of_tiles(fx):
+    combos, runs = fx.combos.where("return_period = 30"), _boxed_runs(fx)
+    # with force, scenarios that are not ready are left out
+    ready = F.when((F.col("era") == "past") & ((F.col("idom") + F.col("jdom")) % 4 == 1), 4).otherwise(6)
+    state = combos.crossJoin(fx.tiles.select("idom", "jdom")).withColumn("combo_status", ready)
+    chosen = runs.where("id % 500 = 3 and x0 >= 20")
+    return status.area_query(fx.tiles, combos, runs, "tile", 3.0, (5, 6), chosen=chosen, combo_status=state, least=5, force=True).select(*_ANSWER)
+
+
+#: A registered experiment: two sets of scenarios, sizes by forest, and runs that never end.
+_SAMPLE = catalog.register_experiment(
+    catalog.Experiment(
+        "sample",
+        ("idom", "jdom", "era", "forest", "return_period"),
+        mosaic_filter=lambda extents: extents.where("mean_dem >= 300"),
+        sizes={"For": ("S", "T"), "NoFor": ("L", "M")},
+        ignored=lambda spark: spark.createDataFrame([("past", 0)], "era string, digit int"),
+        sets={
+            "rare": lambda tiles: tiles.crossJoin(tiles.sparkSession.createDataFrame([(e, f, 300) for e in ("past", "future") for f in ("For", "NoFor")], "era string, forest string, return_period int")),
+            "all": lambda tiles: tiles.crossJoin(tiles.sparkSession.createDataFrame([(e, f, p) for e in ("past", "future") for f in ("For", "NoFor") for p in (30, 300)], "era string, forest string, return_period int")),
+        },
+    )
+)
+
+
+@query("f_01_experiment_runs", "dem pra tiles", """
+a as (select id, cast(i // 10 as int) as idom, cast(j // 10 as int) as jdom, forest, case id % 4 when 0 then 'S' when 1 then 'L' when 2 then 'T' else 'M' end as pra_size, mean_dem, cast(id % 10 as int) as digit from fx_pra join fx_dem using (cell)),
+s as (select idom, jdom, era, f as forest, z as pra_size from fx_tiles, (values ('past'), ('future')) e(era), (values ('For', 'S'), ('For', 'T'), ('NoFor', 'L'), ('NoFor', 'M')) z(f, z))
+select 'sample' as exp, idom, jdom, era, forest, 300 as return_period, pra_size, id from s join a using (idom, jdom, forest, pra_size) where not (era = 'past' and digit = 0) and mean_dem >= 300""")
+def experiment_runs(fx):
+    key = F.col("id")
+    size = F.element_at(F.array(*map(F.lit, "SLTM")), (key % 4 + 1).cast("int"))
+    tile = [F.floor(F.col(c) / 10).cast("int").alias(t) for c, t in (("i", "idom"), ("j", "jdom"))]
+    areas = fx.pra.join(fx.dem, "cell").select("id", *tile, "forest", size.alias("pra_size"), "mean_dem", (key % 10).cast("int").alias("digit"))
+    own = catalog.EXPERIMENTS["sample"]
+    return own.mosaic_filter(own.runs("rare", fx.tiles.select("idom", "jdom"), areas)).select("exp", *own.keys, "pra_size", "id")
 
 
 @query("j_04_left_status", "status", """

@@ -228,11 +228,24 @@ def downscaled(fx):
     return focal.downscaled(fx.dem.select("i", "j", "elev"), coarse, 5, "snow", "lapse").select("i", "j", _r("snow", 4))
 
 
-@query("r_19_downscaled_by_local_lapse")
+_LOCAL = _COARSE + """,
+src as (select ci as i, cj as j, elev, snow as v from a join (select i // 5 as ci, j // 5 as cj, avg(elev) as elev from fx_dem group by 1, 2) using (ci, cj)),
+""" + _MIRROR.format(k=1, src="src", cols="elev, v", r=2) + f""",
+n as (select a.i, a.j, b.i - a.i as di, b.j - a.j as dj, b.elev, b.v from src a join m1 b on b.i between a.i - 2 and a.i + 2 and b.j between a.j - 2 and a.j + 2),
+w as (select *, {_kernel_case(focal.GRADIENT)} as wx, {_kernel_case([list(c) for c in zip(*focal.GRADIENT)])} as wy from n),
+g as (select i, j, sum(elev * wx) / 48000 as hx, sum(elev * wy) / 48000 as hy, sum(v * wx) / 48000 as tx, sum(v * wy) / 48000 as ty from w group by 1, 2),
+u as (select i, j, (tx * hx + ty * hy) / nullif(hx * hx + hy * hy, 0) as lapse from g where sqrt(hx * hx + hy * hy) >= 0.004),
+m as (select median(lapse / nullif(v, 0)) as ratio from src join u using (i, j) where lapse >= 0),
+lm as (select i as ci, j as cj, v as snow, ratio * v as lapse from src, m)
+"""  # noqa: B905
+
+
+@query("r_19_downscaled_by_local_lapse", "dem", _LOCAL + "," + _DOWN.replace("{coarse}", "lm") + """
+select d.i, d.j, round(greatest(bs.v + coalesce(bl.v * (elev - be.v), 0), 0), 4) as snow from fx_dem d join bs using (i, j) join bl using (i, j) join be using (i, j)""")
 def downscaled_by_local_lapse(fx):
     height = raster.coarsen(fx.dem, 5, [F.avg("elev").alias("elev")])
     coarse = focal.scaled_lapse(_coarse(fx).join(height, ["ci", "cj"]), 50.0)
-    return focal.downscaled(fx.dem.select("i", "j", "elev"), coarse, 5, "snow", "lapse")
+    return focal.downscaled(fx.dem.select("i", "j", "elev"), coarse, 5, "snow", "lapse").select("i", "j", _r("snow", 4))
 
 
 def _filled_sql(src: str, band: str, passes: int, digits: int) -> str:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from firngrid.operators import raster
@@ -129,11 +131,16 @@ def republish(fx):
 
 
 @query("s_15_write_extents", "aval", """
-select aval_id, cell from fx_aval where max_height > 0.25 and max_vel > 1.0""")
+select aval_id, cell, k as extent_type from fx_aval, (values ('full'), ('christen'), ('tetra30'), ('tetra1')) t(k)
+where case k when 'full' then max_height > 0 and max_vel > 0 when 'christen' then max_height > 0.25 and max_vel > 1
+  when 'tetra30' then 300 * max_vel * max_vel > 30 else 300 * max_vel * max_vel > 1 end""")
 def write_extents(fx):
     rows = raster.extent_masks(fx.aval).select("aval_id", "cell", "extent_type")
-    paths = sinks.write_extents(rows, sinks.scratch(rows, "extents"))
-    return fx.spark.read.parquet(paths["christen"])
+    folder = sinks.scratch(rows, "extents")
+    sinks.write_extents(rows.limit(0), folder)  # a first version without rows
+    sinks.write_extents(rows, folder)
+    kinds = [sinks.read_extents(fx.spark, folder, kind) for kind in ("full", "christen", "tetra30", "tetra1")]
+    return reduce(lambda a, b: a.unionByName(b), kinds)
 
 
 @query("s_16_variable_inventory", "", """

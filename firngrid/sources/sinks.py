@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from firngrid.sources.shared import shared_dir
 
@@ -34,15 +37,70 @@ def republish(published: DataFrame, combos: DataFrame, layers: list[str]) -> Dat
     return published.where(F.col("layer").isin(*layers)).join(combos, ["exp", "wcombo"], "left_semi")
 
 
-def write_extents(extents: DataFrame, folder: str) -> dict[str, str]:
-    """One table for each extent type, in one pass over ``extents``; the paths of the tables.
+_VERSION = "number long, path string, columns string"
 
-    Each call writes a folder of its own, so a table that is there stays whole until the new
-    one is, whatever fails; the caller then takes the new paths and drops the old ones.
+
+def _versions(spark: SparkSession, folder: str) -> list[Row]:
+    """The versions of a table, newest first; a row for each that is kept."""
+    try:
+        rows = spark.read.schema(_VERSION).parquet(f"{folder}/_versions").collect()
+    except AnalysisException:  # nothing has been written yet
+        return []
+    return sorted(rows, key=lambda r: (r.number, r.path), reverse=True)
+
+
+def write_version(table: DataFrame, folder: str, *partitions: str) -> str:
+    """Write ``table`` as the newest version of ``folder``; its path.
+
+    The files stand in a folder of their own before one small row names them. Readers follow
+    the newest such row, so they see the old version or the new one and nothing between, and
+    a write that fails leaves no trace for them.
+    """
+    spark = table.sparkSession
+    path = f"{folder}/version-{uuid.uuid4().hex}"
+    table.write.partitionBy(*partitions).parquet(path)
+    newest = _versions(spark, folder)
+    row = [((newest[0].number if newest else 0) + 1, path, table.schema.json())]
+    spark.createDataFrame(row, _VERSION).coalesce(1).write.mode("append").parquet(f"{folder}/_versions")
+    return path
+
+
+def read_version(spark: SparkSession, folder: str) -> DataFrame | None:
+    """The newest version of ``folder``, also one without rows; None before the first."""
+    newest = _versions(spark, folder)
+    if not newest:
+        return None
+    return spark.read.schema(StructType.fromJson(json.loads(newest[0].columns))).parquet(newest[0].path)
+
+
+def drop_old_versions(spark: SparkSession, folder: str, keep: int = 2) -> int:
+    """Delete the files of all but the ``keep`` newest versions; how many there were.
+
+    Readers that began before the newest ones were written need theirs until they end.
     """
-    path = f"{folder}/extents-{uuid.uuid4().hex}"
-    extents.write.partitionBy("extent_type").parquet(path)
-    return {kind: f"{path}/extent_type={kind}" for kind in ("full", "christen", "tetra30", "tetra1")}
+    old = _versions(spark, folder)[keep:]
+    for row in old:
+        delete(spark, row.path)
+    return len(old)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a folder, whatever store it lies in."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def write_extents(extents: DataFrame, folder: str) -> str:
+    """All extent types as the newest version of ``folder``, in one pass over ``extents``."""
+    return write_version(extents, folder, "extent_type")
+
+
+def read_extents(spark: SparkSession, folder: str, kind: str) -> DataFrame:
+    """The newest rows of an extent type; only its partition is read, and it may have no rows."""
+    newest = read_version(spark, folder)
+    if newest is None:
+        raise FileNotFoundError(f"no extents have been written to {folder}")
+    return newest.where(F.col("extent_type") == kind)
 
 
 def scratch(df: DataFrame, name: str) -> str:

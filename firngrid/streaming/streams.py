@@ -6,11 +6,15 @@ Sources are folders of files; each run takes what is new since the last one and
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.types import StructType
 
-from firngrid.sources import blobs
+from firngrid.sources import blobs, sinks
 
 
 def files(spark: SparkSession, path: str, schema: StructType, per_batch: int = 1000) -> DataFrame:
@@ -35,26 +39,76 @@ def archived(results: DataFrame) -> DataFrame:
     return blobs.decode_out(results)
 
 
-def latest_status(events: DataFrame, lateness: str) -> DataFrame:
-    """Latest status of each id and chunk so far, for update or complete mode."""
-    return events.withWatermark("ts", lateness).groupBy("id", "chunkid").agg(
-        F.max_by("id_status", F.struct("ts", "id_status")).alias("id_status")
+_LATEST = "id long, chunkid int, ts timestamp, id_status int"
+
+
+def latest_status(events: DataFrame, lateness: str, idle_days: int = 30) -> DataFrame:
+    """``id, chunkid, ts, id_status``: the latest status of each key that a batch has touched.
+
+    A key keeps one row of state. It is dropped once event time has gone ``idle_days`` beyond
+    the key's last event, so the state does not grow with all runs that ever were. Rows later
+    than ``lateness`` are left out.
+    """
+
+    def update(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        best = state.get if state.exists else None
+        for frame in frames:
+            micros = frame["ts"].astype("datetime64[us]").astype("int64")
+            found = max(zip(micros.tolist(), frame["id_status"].tolist(), strict=True), default=best)
+            best = found if best is None else max(tuple(best), found)
+        state.update(tuple(best))
+        # event time is in milliseconds here, and an end must lie ahead of the watermark
+        ends = best[0] // 1000 + idle_days * 86_400_000
+        state.setTimeoutTimestamp(max(ends, state.getCurrentWatermarkMs() + 1))
+        yield pd.DataFrame({"id": [key[0]], "chunkid": [key[1]], "ts": pd.to_datetime([best[0]], unit="us"), "id_status": [best[1]]})
+
+    rows = events.where("ts is not null").select(F.col("id").cast("long").alias("id"), F.col("chunkid").cast("int").alias("chunkid"), "ts", F.col("id_status").cast("int").alias("id_status"))
+    return rows.withWatermark("ts", lateness).groupBy("id", "chunkid").applyInPandasWithState(
+        update, _LATEST, "ts long, id_status int", "update", GroupStateTimeout.EventTimeTimeout
     )
 
 
-def latest_status_table(events: DataFrame, lateness: str, out: str) -> DataFrame:
-    """Run ``latest_status`` over all that is new; the table of what changed in each batch, rolled up.
+def latest_status_table(events: DataFrame, lateness: str, out: str, idle_days: int = 30) -> DataFrame:
+    """Run ``latest_status`` over all that is new; the latest status of every key so far.
 
-    A batch writes its own folder once more if it is repeated, and only the keys that it
-    touched; the last batch of a key counts.
+    A batch writes its own folder, once more if it is repeated, and only the keys that it
+    touched. ``compact`` puts the folders together.
     """
+
     def write(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out}/batch={number}")
+        batch.write.mode("overwrite").parquet(f"{out}/batches/batch={number}")
 
-    query = latest_status(events, lateness).writeStream.outputMode("update").option("checkpointLocation", f"{out}-log").trigger(availableNow=True).foreachBatch(write).start()
-    query.awaitTermination()
-    rows = events.sparkSession.read.parquet(out)
-    return rows.groupBy("id", "chunkid").agg(F.max_by("id_status", "batch").alias("id_status"))
+    stream = latest_status(events, lateness, idle_days).writeStream.outputMode("update").option("checkpointLocation", f"{out}-log")
+    stream.trigger(availableNow=True).foreachBatch(write).start().awaitTermination()
+    return status_table(events.sparkSession, out).select("id", "chunkid", "id_status")
+
+
+def status_table(spark: SparkSession, out: str) -> DataFrame:
+    """``id, chunkid, ts, id_status`` of the newest compacted version and the batches after it."""
+    rows = spark.read.schema(f"{_LATEST}, batch long").parquet(f"{out}/batches")
+    base = sinks.read_version(spark, f"{out}/base")
+    if base is not None:
+        through = base.agg(F.max("through")).first()[0]
+        rows = rows.where(F.col("batch") > through).drop("batch").unionByName(base.drop("through"))
+    latest = F.max(F.struct("ts", "id_status")).alias("s")
+    return rows.groupBy("id", "chunkid").agg(latest).select("id", "chunkid", "s.ts", "s.id_status")
+
+
+def compact(spark: SparkSession, out: str) -> int:
+    """Make the batches of a status table its newest version and delete their folders; how many there were.
+
+    Not to be run while a reader of the folders is at work.
+    """
+    batches = [r.batch for r in spark.read.schema(f"{_LATEST}, batch long").parquet(f"{out}/batches").select("batch").distinct().collect()]
+    if batches:
+        sinks.write_version(status_table(spark, out).withColumn("through", F.lit(max(batches)).cast("long")), f"{out}/base")
+        for number in batches:
+            sinks.delete(spark, f"{out}/batches/batch={number}")
+        sinks.drop_old_versions(spark, f"{out}/base", 1)
+    return len(batches)
 
 
 def snow_sums(steps: DataFrame, origin_offset: str, lateness: str) -> DataFrame:

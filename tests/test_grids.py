@@ -358,6 +358,104 @@ def test_reachable_takes_few_rounds_and_ends_on_circles(spark):
     assert sorted(map(tuple, found.collect())) == sorted(expected)
 
 
+def test_quantiles_are_exact_wherever_the_ranges_are_cut(spark):
+    from firngrid.operators import stats
+
+    rng = random.Random(8)
+    groups = {"a": [rng.gauss(0, 1) for _ in range(501)], "b": [3.0] * 400 + [1.0, 9.0], "c": [7.5], "d": [1.0, 2.0]}
+    rows = [(k, v) for k, vs in groups.items() for v in vs] + [("a", None), ("a", float("nan")), (None, 1.0), ("e", None)]
+    frame = spark.createDataFrame(rows, "k string, v double")
+    found = {r.k: r for r in stats.quantiles(frame, ["k"], "v", {"low": 0.1, "mid": 0.5, "top": 1.0}).collect()}
+    assert found.keys() == groups.keys()
+    for k, vs in groups.items():
+        assert found[k].n == len(vs)
+        assert [found[k].low, found[k].mid, found[k].top] == pytest.approx(np.quantile(vs, [0.1, 0.5, 1.0]).tolist())
+    every = stats.quantiles(frame, [], "v", {"mid": 0.5}).first()
+    assert every.mid == pytest.approx(np.median([v for vs in groups.values() for v in vs] + [1.0]))
+    none = stats.scaled_by_median_ratio(spark.createDataFrame([(1.0, 0.0)], "v double, w double"), "v", "w").collect()
+    assert [r.scaled for r in none] == [None]
+
+
+def test_nearest_where_there_are_too_few_or_none(spark):
+    points = spark.createDataFrame([(1, 0, 0), (2, 900, 5)], "cell long, i int, j int")
+    spots = spark.createDataFrame([(3, 4), (3, 4), (-700, 0)], "i int, j int")
+    found = sorted(map(tuple, vector.nearest(points, spots, 9, 8).collect()))
+    assert found == [(1, 5.0), (1, 5.0), (1, 700.0), *sorted((2, math.hypot(900 - i, 5 - j)) for i, j in ((3, 4), (3, 4), (-700, 0)))]
+    assert vector.nearest(points, spots.limit(0), 2, 8).count() == 0 and vector.nearest(points.limit(0), spots, 2, 8).count() == 0
+
+
+def test_readers_follow_the_newest_version(spark):
+    rows = spark.createDataFrame([(1, 5, "full"), (2, 6, "christen")], "aval_id long, cell long, extent_type string")
+    folder = sinks.scratch(rows, "extents")
+    with pytest.raises(FileNotFoundError):
+        sinks.read_extents(spark, folder, "full")
+    sinks.write_extents(rows, folder)
+    before = sinks.read_extents(spark, folder, "full")
+    assert sinks.read_extents(spark, folder, "tetra1").count() == 0  # a type without cells
+    rows.withColumn("cell", F.lit(0)).write.parquet(f"{folder}/version-unfinished")  # no row names it
+    assert [r.cell for r in sinks.read_extents(spark, folder, "full").collect()] == [5]
+    sinks.write_extents(rows.withColumn("cell", F.col("cell") + 1), folder)
+    assert [r.cell for r in sinks.read_extents(spark, folder, "full").collect()] == [6]
+    assert [r.cell for r in before.collect()] == [5]  # the old version is still whole
+    sinks.write_extents(rows.limit(0), folder)
+    assert sinks.read_extents(spark, folder, "full").count() == 0
+    assert sinks.drop_old_versions(spark, folder, 1) == 2
+    assert sinks.read_extents(spark, folder, "full").count() == 0
+
+
+def _status_rows(spark, rows):
+    full = [(i, c, f"2024-01-{d:02d} 00:00:00", s) for i, c, d, s in rows]
+    return spark.createDataFrame(full, "id long, chunkid int, t string, id_status int").select("id", "chunkid", F.to_timestamp("t").alias("ts"), "id_status")
+
+
+def test_latest_status_with_late_rows_and_compaction(spark):
+    first = _status_rows(spark, [(1, 0, 1, 2), (2, 0, 1, 5), (1, 0, 3, 6), (1, 0, 3, 4)])
+    source, out = sinks.scratch(first, "status"), sinks.scratch(first, "latest")
+    run = lambda rows: (rows.coalesce(1).write.mode("append").parquet(source), {(r.id, r.chunkid): r.id_status for r in streams.latest_status_table(streams.files(spark, source, first.schema), "2 days", out).collect()})[1]
+    assert run(first) == {(1, 0): 6, (2, 0): 5}
+    assert streams.compact(spark, out) > 0 and streams.compact(spark, out) == 0
+    # a row that is older than what is known, and one that is far too late
+    assert run(_status_rows(spark, [(1, 0, 2, 1), (3, 0, 9, 4)])) == {(1, 0): 6, (2, 0): 5, (3, 0): 4}
+    assert run(_status_rows(spark, [(4, 0, 1, 3), (2, 0, 10, 6)])) == {(1, 0): 6, (2, 0): 6, (3, 0): 4}
+    streams.compact(spark, out)
+    assert {(r.id, r.id_status) for r in streams.status_table(spark, out).collect()} == {(1, 6), (2, 6), (3, 4)}
+
+
+def test_state_of_idle_keys_ends(spark):
+    days = [_status_rows(spark, [(k, 0, d, 1) for k in range(d, d + 3)]) for d in (1, 5, 20, 28)]
+    source, log = sinks.scratch(days[0], "events"), sinks.scratch(days[0], "log")
+    kept = []
+    for rows in days:
+        rows.coalesce(1).write.mode("append").parquet(source)
+        stream = streams.latest_status(streams.files(spark, source, rows.schema), "1 day", idle_days=7)
+        query = stream.writeStream.outputMode("update").option("checkpointLocation", log).trigger(availableNow=True).foreachBatch(lambda df, n: df.count()).start()
+        query.awaitTermination()
+        kept.append(query.lastProgress["stateOperators"][0]["numRowsTotal"])
+    assert kept[0] == 3 and kept[-1] <= 6 < 12  # the keys of the first days are gone
+
+
+def test_area_query_waits_until_all_are_ready(spark):
+    from firngrid.operators import status
+
+    box = "x0 double, y0 double, x1 double, y1 double"
+    tiles = spark.createDataFrame([(0, 0, 0.0, 0.0, 10.0, 10.0), (1, 0, 10.0, 0.0, 20.0, 10.0), (5, 0, 50.0, 0.0, 60.0, 10.0)], f"idom int, jdom int, {box}")
+    combos = spark.createDataFrame([("past",), ("future",)], "era string")
+    runs = spark.createDataFrame([(1, 0, 0, 6, 1.0, 1.0, 2.0, 2.0), (2, 1, 0, 6, 12.0, 1.0, 13.0, 2.0), (3, 5, 0, 6, 51.0, 1.0, 52.0, 2.0), (4, 0, 0, 1, 1.0, 1.0, 2.0, 2.0)], f"id long, idom int, jdom int, id_status int, {box}")
+    state = combos.crossJoin(tiles.select("idom", "jdom")).withColumn("combo_status", F.when((F.col("era") == "past") & (F.col("idom") == 1), 2).otherwise(6))
+    ask = lambda area, **more: sorted((r.era, r.id) for r in status.area_query(tiles, combos, runs, area, 1.0, (5, 6), **more).collect())
+    assert ask((0, 0, 9, 9)) == [("future", 1), ("past", 1)]
+    assert ask((0, 0, 13, 9)) == ask("west", named={"west": (0, 0, 13, 9)}) == [("future", 1), ("future", 2), ("past", 1), ("past", 2)]
+    with pytest.raises(ValueError, match="unknown extent"):
+        ask("east")
+    with pytest.raises(ValueError, match="below status"):
+        ask((0, 0, 13, 9), combo_status=state, least=5)
+    assert ask((0, 0, 13, 9), combo_status=state, least=5, force=True) == [("future", 1), ("future", 2), ("past", 1)]
+    assert ask((0, 0, 8, 9), combo_status=state, least=5) == [("future", 1), ("past", 1)]
+    assert ask("tile", chosen=runs.where("id = 3")) == [("future", 3), ("past", 3)]
+    assert ask("aval", chosen=runs.where("id in (2, 4)")) == [("future", 2), ("past", 2)]
+    assert status.area_extent(status.area_boxes("aval", runs.where("id < 3"), tiles)) == (1.0, 1.0, 13.0, 2.0)
+
+
 def test_gev_fit_finds_its_parameters(spark):
     rng = np.random.default_rng(4)
     x = 50 + 10 / 0.1 * (1 - (-np.log(rng.uniform(size=400))) ** 0.1)
