@@ -6,7 +6,6 @@ changes. Cells are ``cell, i, j`` with a height that is null where there is no t
 
 from __future__ import annotations
 
-import heapq
 import math
 
 import numpy as np
@@ -14,7 +13,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from firngrid.operators import focal
+from firngrid.operators import focal, spill
 from firngrid.operators.parts import grid_parts
 from firngrid.sources.shared import grown, staged
 
@@ -46,57 +45,14 @@ def edge_cells(cells: DataFrame, height: str) -> DataFrame:
     return known.join(near, ["i", "j"], "left").where("n is null or n < 8").drop("n")
 
 
-def spill_levels(cells: DataFrame, height: str, size: int = 128, max_rounds: int = 10_000) -> DataFrame:
+def spill_levels(cells: DataFrame, height: str, size: int = 128, factor: int = 8) -> DataFrame:
     """``cell, i, j, spill``: the lowest level at which water from a cell reaches the border.
 
-    Each round floods every tile by itself, from the border and from what the cells around
-    the tile have reached so far. So the rounds are as many as tiles on the way, not cells.
+    Tiles have ``size`` cells a side, and squares of them are reduced ``factor`` by ``factor``.
     """
     known = cells.where(F.col(height).isNotNull()).select("cell", "i", "j", F.col(height).cast("double").alias("z"))
     border = edge_cells(known, "z").select("cell", F.lit(True).alias("border"))
-    state = known.join(border, "cell", "left").select(
-        "cell", "i", "j", "z", F.coalesce("border", F.lit(False)).alias("border"), F.lit(math.inf).alias("spill"), F.lit(False).alias("lower")
-    )
-    state = staged(state, "spill")
-
-    def flood(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-        i0, j0 = key[0] * size - 1, key[1] * size - 1
-        ii, jj = frame["i"].to_numpy() - i0, frame["j"].to_numpy() - j0
-        z = np.full((size + 2, size + 2), np.nan)
-        level = np.full((size + 2, size + 2), math.inf)
-        z[jj, ii] = frame["z"]
-        own = (ii > 0) & (ii <= size) & (jj > 0) & (jj <= size)
-        level[jj[~own], ii[~own]] = frame["spill"].to_numpy()[~own]
-        start = own & frame["border"].to_numpy()
-        level[jj[start], ii[start]] = z[jj[start], ii[start]]
-        queue = [(level[b, a], b, a) for b, a in zip(*np.nonzero(np.isfinite(level)), strict=True)]
-        heapq.heapify(queue)
-        while queue:
-            at, b, a = heapq.heappop(queue)
-            if at > level[b, a]:
-                continue
-            for da, db, _ in EIGHT:
-                p, q = a + da, b + db
-                if 0 < p <= size and 0 < q <= size and z[q, p] == z[q, p]:
-                    new = max(at, z[q, p])
-                    if new < level[q, p]:
-                        level[q, p] = new
-                        heapq.heappush(queue, (new, q, p))
-        out = frame[own].copy()
-        out["spill"] = level[jj[own], ii[own]]
-        out["lower"] = out["spill"] < frame["spill"][own]
-        return out[["cell", "i", "j", "z", "border", "spill", "lower"]]
-
-    span = lambda c: F.sequence(F.floor((F.col(c) - 1) / size).cast("int"), F.floor((F.col(c) + 1) / size).cast("int"))
-    for _ in range(max_rounds):
-        dealt = state.select("*", F.explode(span("i")).alias("ti"), span("j").alias("tjs")).select("cell", "i", "j", "z", "border", "spill", "ti", F.explode("tjs").alias("tj"))
-        flooded = dealt.groupBy("ti", "tj").applyInPandas(flood, state.schema)
-        state = staged(flooded, "spill")
-        if state.where("lower").isEmpty():
-            break
-    else:
-        raise RuntimeError(f"levels have not settled in {max_rounds} rounds")
-    return state.select("cell", "i", "j", "spill")
+    return spill.levels(known.join(border, "cell", "left").withColumn("border", F.coalesce("border", F.lit(False))), size, factor)
 
 
 def flat_classes(cells: DataFrame, level: str) -> DataFrame:

@@ -27,7 +27,7 @@ def _terraces(fx):
 r(level, cell) as (select level, cell from lv, ed join t using (cell) where z <= level union select r.level, nb.cell from r join nb on nb.other = r.cell where nb.own <= r.level)
 select cell, min(level) as spill from r group by 1""")
 def spill_levels(fx):
-    return flow.spill_levels(_terraces(fx), "z", 16).select("cell", "spill")
+    return flow.spill_levels(_terraces(fx), "z").select("cell", "spill")
 
 
 _FLATS = _TERRACE + """

@@ -49,10 +49,21 @@ def _flood(rows):
 
 @pytest.mark.parametrize("size", [3, 128])
 def test_spill_levels_of_the_toy(toy, size):
-    found = {(r.i, r.j): r.spill for r in flow.spill_levels(toy, "z", size).collect()}
+    found = {(r.i, r.j): r.spill for r in flow.spill_levels(toy, "z", size, factor=2).collect()}
     assert found == _flood(toy.collect())
 
 
+def test_spill_levels_through_many_tiles(spark):
+    rng = random.Random(13)
+    # walls with gaps make water go a long way round; two holes in the map, and one cell alone
+    height = lambda i, j: 50.0 if j % 6 == 3 and i % 40 != (2 if j % 12 == 3 else 37) else float(rng.randrange(12))
+    rows = [(1000 * j + i, i, j, height(i, j)) for i in range(-5, 41) for j in range(30) if not (10 <= i < 13 and 10 <= j < 13)]
+    cells = spark.createDataFrame([*rows, (77, 60, 60, 4.0)], "cell long, i int, j int, z double")
+    found = {(r.i, r.j): r.spill for r in flow.spill_levels(cells, "z", 4, factor=2).collect()}
+    assert found == _flood(cells.collect())
+    assert flow.spill_levels(cells.limit(0), "z", 4).count() == 0
+
+
 def test_flow_edges_lead_out(toy):
     known = toy.where("z is not null")
     spill = flow.spill_levels(toy, "z", 4)
