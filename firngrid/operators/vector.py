@@ -27,13 +27,30 @@ def inside_ring(x: Column, y: Column, ring: Column) -> Column:
     return F.aggregate(crossed, F.lit(0), lambda a, b: a + b) % 2 == 1
 
 
+def sides_of(ring: Column) -> Column:
+    """The sides ``p, q`` of a closed ring of points."""
+    following = F.concat(F.slice(ring, F.lit(2), F.size(ring) - 1), F.slice(ring, 1, 1))
+    return F.zip_with(ring, following, lambda p, q: F.struct(p.alias("p"), q.alias("q")))
+
+
 def burn(polygons: DataFrame, key: str, keep: list[str] | None = None) -> DataFrame:
-    """``key, i, j`` of the cells whose centre is in ``ring``; the box is cut into rows of cells first."""
-    lo = lambda c: F.floor(F.array_min(F.transform("ring", lambda p: p[c]))).cast("int")
-    hi = lambda c: F.ceil(F.array_max(F.transform("ring", lambda p: p[c]))).cast("int")
-    rows = polygons.select(key, *(keep or []), "ring", lo("x").alias("a"), hi("x").alias("b"), F.explode(F.sequence(lo("y"), hi("y"))).alias("j"))
-    cells = rows.select(key, *(keep or []), "ring", "j", F.explode(F.sequence("a", "b")).alias("i"))
-    return cells.where(inside_ring(F.col("i") + 0.5, F.col("j") + 0.5, F.col("ring"))).drop("ring")
+    """``key, i, j`` of the cells whose centre is in ``ring``, or in ``rings`` by the even-odd rule.
+
+    A polygon is cut into rows of cells. The sides that cross the middle of a row, in order, are
+    the ends of the spans inside, so only cells inside are ever made.
+    """
+    sides = F.flatten(F.transform("rings", sides_of)) if "rings" in polygons.columns else sides_of(F.col("ring"))
+    rows = polygons.select(key, *(keep or []), sides.alias("_sides"))
+    ys = F.transform("_sides", lambda s: s["p"]["y"])
+    rows = rows.select("*", F.explode(F.sequence(F.floor(F.array_min(ys)).cast("int"), F.ceil(F.array_max(ys)).cast("int"))).alias("j"))
+    y = F.col("j") + 0.5
+    crossed = F.filter("_sides", lambda s: (s["p"]["y"] > y) != (s["q"]["y"] > y))
+    at = F.transform(crossed, lambda s: (s["q"]["x"] - s["p"]["x"]) * (y - s["p"]["y"]) / (s["q"]["y"] - s["p"]["y"]) + s["p"]["x"])
+    spans = rows.select(key, *(keep or []), "j", F.array_sort(at).alias("_at")).where(F.size("_at") > 0)
+    ends = F.transform("_at", lambda x: F.ceil(x - 0.5).cast("int"))
+    pairs = F.transform(F.sequence(F.lit(0), F.size("_at") - 2, F.lit(2)), lambda k: F.struct(F.get(ends, k).alias("a"), (F.get(ends, k + 1) - 1).alias("b")))
+    each = spans.select(key, *(keep or []), "j", F.inline(pairs)).where("a <= b")
+    return each.select(key, *(keep or []), "j", F.explode(F.sequence("a", "b")).alias("i"))
 
 
 def _reach(points: DataFrame, targets: DataFrame, k: int) -> DataFrame:
@@ -170,37 +187,54 @@ def extent_rows(cells: DataFrame, landcover: DataFrame, sizes: DataFrame, key: s
     return counted.join(sizes, key, "left")
 
 
+def _inner_lengths(sides: np.ndarray, ys: np.ndarray) -> list[np.ndarray]:
+    """The ends of the spans inside of a polygon along each of ``ys``, none of which has a corner."""
+    x0, y0, x1, y1 = sides.T
+    found = []
+    for y in ys:
+        met = (y0 > y) != (y1 > y)
+        found.append(np.sort(x0[met] + (x1[met] - x0[met]) * (y - y0[met]) / (y1[met] - y0[met])))
+    return found
+
+
+def _common(a: np.ndarray, b: np.ndarray) -> float:
+    """The length that two sets of spans share."""
+    ends = np.concatenate([a, b])
+    order = np.argsort(ends, kind="stable")
+    inside = (np.cumsum(order < len(a)) % 2 == 1) & (np.cumsum(order >= len(a)) % 2 == 1)
+    return float(np.diff(ends[order])[inside[:-1]].sum()) if len(ends) else 0.0
+
+
+def _areas(p: np.ndarray, q: np.ndarray) -> tuple[float, float, float]:
+    """The areas of two polygons, given by their sides, and of what they share.
+
+    Between neighbouring heights of corners and crossings, spans grow evenly, so their length
+    half-way up times the height is exact. Polygons may be concave and have holes.
+    """
+    heights = [p[:, 1], q[:, 1]]
+    (ax, ay, bx, by), (cx, cy, dx, dy) = p.T[:, :, None], q.T[:, None, :]
+    turn = (bx - ax) * (dy - cy) - (by - ay) * (dx - cx)
+    over = np.where(turn == 0, 1.0, turn)  # sides in parallel do not cross
+    t = ((cx - ax) * (dy - cy) - (cy - ay) * (dx - cx)) / over
+    u = ((cx - ax) * (by - ay) - (cy - ay) * (bx - ax)) / over
+    crossing = (turn != 0) & (t >= 0) & (t <= 1) & (u >= 0) & (u <= 1)
+    heights.append((ay + t * (by - ay))[crossing])
+    y = np.unique(np.concatenate(heights))
+    middle, high = (y[1:] + y[:-1]) / 2, np.diff(y)
+    a, b = _inner_lengths(p, middle), _inner_lengths(q, middle)
+    whole = lambda spans: float(sum((s[1::2] - s[::2]).sum() * h for s, h in zip(spans, high, strict=True)))
+    return whole(a), whole(b), sum(_common(s, r) * h for s, r, h in zip(a, b, high, strict=True))
+
+
 def overlap_area(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
-    """``key, area_a, area_b, area_both`` of two convex rings of each key."""
-    both = a.select(key, F.col("ring").alias("p")).join(b.select(key, F.col("ring").alias("q")), key)
-
-    def area(ring: np.ndarray) -> float:
-        x, y = ring[:, 0], ring[:, 1]
-        return 0.5 * float(np.dot(x, np.roll(y, -1)) - np.dot(y, np.roll(x, -1)))
-
-    def clipped(p: np.ndarray, q: np.ndarray) -> np.ndarray:
-        for k in range(len(q)):
-            s, e = q[k], q[(k + 1) % len(q)]
-            side = (e[0] - s[0]) * (p[:, 1] - s[1]) - (e[1] - s[1]) * (p[:, 0] - s[0])
-            out = []
-            for m in range(len(p)):
-                n = (m + 1) % len(p)
-                if side[m] >= 0:
-                    out.append(p[m])
-                if (side[m] >= 0) != (side[n] >= 0):
-                    out.append(p[m] + (p[n] - p[m]) * side[m] / (side[m] - side[n]))
-            p = np.array(out).reshape(-1, 2)
-            if not len(p):
-                break
-        return p
+    """``key, area_a, area_b, area_both`` of two polygons of each key, by ``ring`` or ``rings`` and the even-odd rule."""
+    sides = lambda df: F.flatten(F.transform("rings", sides_of)) if "rings" in df.columns else sides_of(F.col("ring"))
+    flat = lambda df, name: df.select(key, F.flatten(F.transform(sides(df), lambda s: F.array(s["p"]["x"], s["p"]["y"], s["q"]["x"], s["q"]["y"]))).alias(name))
+    both = flat(a, "p").join(flat(b, "q"), key)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            out = []
-            for p, q in zip(frame["p"], frame["q"], strict=True):
-                p, q = (np.array([(c["x"], c["y"]) for c in r]) for r in (p, q))
-                p, q = (r if area(r) >= 0 else r[::-1] for r in (p, q))
-                out.append((area(p), area(q), area(c) if len(c := clipped(p, q)) else 0.0))
+            out = [_areas(np.asarray(p, float).reshape(-1, 4), np.asarray(q, float).reshape(-1, 4)) for p, q in zip(frame["p"], frame["q"], strict=True)]
             yield pd.DataFrame({key: frame[key], **{n: [o[k] for o in out] for k, n in enumerate(("area_a", "area_b", "area_both"))}})
 
     return both.mapInPandas(run, f"{key} long, area_a double, area_b double, area_both double")

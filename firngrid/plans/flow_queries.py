@@ -164,9 +164,11 @@ def dissolved_extents(fx):
     return flow.extent_parts(cells, "one").select("cell", "part")
 
 
-def _box_ring(fx):
-    c = {n: F.col(n) for n in ("x0", "y0", "x1", "y1")}
-    return fx.boxes.select("aval_id", G.points((c["x0"], c["y0"]), (c["x1"], c["y0"]), (c["x1"], c["y1"]), (c["x0"], c["y1"])).alias("ring"))
+def _corner_ring(fx, dx: float, dy: float):
+    """A box without its upper right quarter: a concave ring."""
+    x0, y0, x1, y1 = F.col("x0") + dx, F.col("y0") + dy, F.col("x1") + dx, F.col("y1") + dy
+    xm, ym = (x0 + x1) / 2, (y0 + y1) / 2
+    return fx.boxes.select("aval_id", G.points((x0, y0), (x1, y0), (x1, ym), (xm, ym), (xm, y1), (x0, y1)).alias("ring"))
 
 
 @query("j_08_burn", "boxes", """
@@ -181,19 +183,28 @@ def burn(fx):
 
 
 @query("j_19_overlap_area", "boxes", """
-select aval_id, round((x1 - x0) * (y1 - y0), 4) as area_a, round((x1 - x0) * (y1 - y0), 4) as area_b, round(greatest(x1 - x0 - 3, 0) * greatest(y1 - y0 - 2, 0), 4) as area_both from fx_boxes""")
+h as (select aval_id, x0, y0, x1, y1, (x0 + x1) / 2 as xm, (y0 + y1) / 2 as ym from fx_boxes),
+p as (select aval_id, x0 as a, y0 as b, x1 as c, ym as d from h union all select aval_id, x0, ym, xm, y1 from h),
+o as (select aval_id, sum(greatest(least(p.c, q.c + 3) - greatest(p.a, q.a + 3), 0) * greatest(least(p.d, q.d + 2) - greatest(p.b, q.b + 2), 0)) as shared from p join p q using (aval_id) group by 1),
+s as (select aval_id, sum((c - a) * (d - b)) as area from p group by 1)
+select aval_id, round(area, 4) as area_a, round(area, 4) as area_b, round(shared, 4) as area_both from s join o using (aval_id)""")
 def overlap_area(fx):
-    a = _box_ring(fx)
-    b = a.withColumn("ring", F.transform("ring", lambda p: F.struct((p["x"] + 3).alias("x"), (p["y"] + 2).alias("y"))))
-    out = vector.overlap_area(a, b, "aval_id")
+    out = vector.overlap_area(_corner_ring(fx, 0.0, 0.0), _corner_ring(fx, 3.0, 2.0), "aval_id")
     return out.select("aval_id", *[F.round(c, 4).alias(c) for c in ("area_a", "area_b", "area_both")])
 
 
-@query("v_01_convex_hulls", "aval", "select aval_id, min(i)::double as x0, min(j)::double as y0, max(i) + 1.0::double as x1, max(j) + 1.0::double as y1 from fx_aval group by 1")
+#: How far a hull reaches in each of twelve directions tells it apart from any other hull of its cells.
+_REACH = "max(x * cos(k * pi() / 6) + y * sin(k * pi() / 6))"
+
+
+@query("v_01_convex_hulls", "aval", f"""
+c as (select aval_id, i + a as x, j + b as y from fx_aval, (values (0, 0), (0, 1), (1, 0), (1, 1)) t(a, b))
+select aval_id, cast(k as int) as k, round({_REACH}, 6) as reach from c, (select unnest(range(12)) as k) group by 1, 2""")
 def convex_hulls(fx):
-    h = vector.hulls(fx.aval, "aval_id")
-    end = lambda f, c: f(F.transform("ring", lambda p: p[c]))
-    return h.select("aval_id", end(F.array_min, "x").alias("x0"), end(F.array_min, "y").alias("y0"), end(F.array_max, "x").alias("x1"), end(F.array_max, "y").alias("y1"))
+    h = vector.hulls(fx.aval, "aval_id").withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(11))))
+    turn = F.col("k") * F.pi() / 6
+    reach = F.array_max(F.transform("ring", lambda p: p["x"] * F.cos(turn) + p["y"] * F.sin(turn)))
+    return h.select("aval_id", "k", F.round(reach, 6).alias("reach"))
 
 
 @query("v_02_least_rectangles", "aval", _rectangle_sql("aval_id", "fx_aval"))

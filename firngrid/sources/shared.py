@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -10,11 +11,17 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named in ``spark.checkpoint.dir``; one of our own only where that is unset."""
+    """The folder named in ``spark.checkpoint.dir``.
+
+    Where that is unset, one of our own on a single machine; on a cluster, whose machines do
+    not share their folders, an error.
+    """
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not named:
         named = spark.sparkContext.getCheckpointDir()
     if not named:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         named = tempfile.mkdtemp(prefix="spark-")
         spark.sparkContext.setCheckpointDir(named)
     return named.rstrip("/")

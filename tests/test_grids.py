@@ -323,6 +323,36 @@ def test_burn_counts_the_area_of_a_box(spark):
     assert cells.count() == 35
 
 
+def _ring(*spots):
+    return [{"x": float(x), "y": float(y)} for x, y in spots]
+
+
+_POINT = "struct<x:double,y:double>"
+
+
+def test_burn_of_a_star_with_a_hole_equals_a_test_of_every_cell(spark):
+    outer = _ring((0, 0), (9.3, 4.1), (18, -3), (13.7, 9.2), (21, 17), (9.1, 12.6), (-2.4, 19), (4.2, 8.8))
+    hole = _ring((7, 5), (11, 6), (9, 10))
+    found = vector.burn(spark.createDataFrame([(1, [outer, hole]), (2, [_ring((0.6, 0.6), (0.9, 0.6), (0.7, 0.9))])], f"id long, rings array<array<{_POINT}>>"), "id")
+    cells = {(r.i, r.j) for r in found.collect()}
+    grid = spark.range(30 * 30).select((F.col("id") % 30 - 5).alias("i"), (F.floor(F.col("id") / 30) - 5).alias("j"))
+    ring = lambda r: F.array(*[F.struct(F.lit(p["x"]).alias("x"), F.lit(p["y"]).alias("y")) for p in r])
+    inside = lambda r: vector.inside_ring(F.col("i") + 0.5, F.col("j") + 0.5, ring(r))
+    assert cells == {(r.i, r.j) for r in grid.where(inside(outer) != inside(hole)).collect()} and found.count() == len(cells) > 100
+
+
+def test_overlap_of_slanted_and_concave_polygons(spark):
+    square = _ring((0, 0), (4, 0), (4, 4), (0, 4))
+    turned = _ring((2, -1), (5, 2), (2, 5), (-1, 2))  # cuts off the four corners of the square, two sides of 1 each
+    comb = _ring((0, 0), (4, 0), (4, 4), (3, 4), (3, 1), (1, 1), (1, 4), (0, 4))[::-1]
+    frame = [_ring((0, 0), (4, 0), (4, 4), (0, 4)), _ring((1, 1), (3, 1), (3, 3), (1, 3))]
+    pairs = {1: ([square], [turned]), 2: ([square], [comb]), 3: (frame, [turned]), 4: (frame, [_ring((1.5, 1.5), (2.5, 1.5), (2.5, 2.5))]), 5: ([comb], [_ring((0, 2), (4, 2), (4, 3), (0, 3))]), 6: ([square], [_ring((9, 9), (10, 9), (9, 10))]), 7: ([turned], [turned])}
+    table = lambda k: spark.createDataFrame([(i, p[k]) for i, p in pairs.items()], f"id long, rings array<array<{_POINT}>>")
+    found = {r.id: (r.area_a, r.area_b, r.area_both) for r in vector.overlap_area(table(0), table(1), "id").collect()}
+    expected = {1: (16, 18, 14), 2: (16, 10, 10), 3: (12, 18, 10), 4: (12, 0.5, 0), 5: (10, 4, 2), 6: (16, 0.5, 0), 7: (18, 18, 18)}
+    assert all(found[k] == pytest.approx(v) for k, v in expected.items())
+
+
 def test_least_rectangle_of_a_turned_row(spark):
     cells = spark.createDataFrame([(1, k, k) for k in range(10)], "id long, i int, j int")
     found = vector.least_rectangles(vector.hulls(cells, "id"), "id").first()
