@@ -7,7 +7,9 @@ paragraphs as unknown, all in bounded numbers. The L1 weights leave few n-grams,
 paragraph with none of them is unknown without more work. Probabilities are tempered on
 held-out rows, and the least probability that counts as known is set there too. A long
 paragraph is judged by its best span (SPANS) about a word that speaks for a family,
-so that a notice is found wherever it stands in it. A prediction is confirmed if the family's template shares enough 2-grams with the paragraph.
+so that a notice is found wherever it stands in it. An n-gram counts once in a span, so that
+no word becomes a notice by being repeated. A prediction is confirmed if the family's template
+shares enough 2-grams with the paragraph.
 
 Defined results: null texts and empty lines have no paragraphs; paragraphs are numbered
 from 0 among the lines of a text, empty ones included; unknown paragraphs give no rows; of
@@ -126,11 +128,11 @@ class LicenseModel:
     def hopeless(self, words: list[str]) -> bool:
         """Whether no span of the paragraph can be known: all it has for a family is too little for the least span."""
         least = min(len(words), 1 + min(before for _, before in SPANS))
-        most = sum(self.gains[self.singles[w]] for w in words if w in self.singles)
+        met = {self.singles[w] for w in words if w in self.singles}
         for w, after in zip(words, words[1:], strict=False):
             if w in self.pairs and (k := self.pairs[w].get(after)) is not None:
-                most += self.gains[k]
-        return most + 1e-6 < self.lack * max(1, 2 * least - 1) ** 0.5
+                met.add(k)
+        return sum(self.gains[k] for k in met) + 1e-6 < self.lack * max(1, 2 * least - 1) ** 0.5
 
     def spans(self, words: list[str]) -> list[tuple[int, int]]:
         """All words of a paragraph, and if they are many the spans about those that speak for a family."""
@@ -147,7 +149,11 @@ class LicenseModel:
         return out
 
     def span_probabilities(self, words: list[str], spans: list[tuple[int, int]]) -> np.ndarray:
-        """A row of ``probabilities`` for each span, from running sums of the weights of the paragraph."""
+        """A row of ``probabilities`` for each span.
+
+        An n-gram counts where it stands for the first time in a span, that is where it stood
+        before the span the time before.
+        """
         singles = [(at, k) for at, w in enumerate(words) if (k := self.singles.get(w)) is not None]
         pairs = [
             (at, k)
@@ -159,9 +165,16 @@ class LicenseModel:
         for found, end in ((singles, last), (pairs, last - 1)):
             if found:
                 at, rows = np.array(found).T
-                sums = np.vstack([np.zeros(UNKNOWN + 1), np.cumsum(self.rows[rows], axis=0)])
-                ends = np.maximum(np.searchsorted(at, end), np.searchsorted(at, first))
-                score += sums[ends] - sums[np.searchsorted(at, first)]
+                order = np.argsort(rows, kind="stable")
+                again = rows[order[1:]] == rows[order[:-1]]
+                before = np.full(len(at), -1)
+                before[order[1:][again]] = at[order[:-1][again]]
+                low = np.searchsorted(at, first)
+                many = np.maximum(np.searchsorted(at, end) - low, 0)
+                span = np.repeat(np.arange(len(spans)), many)
+                place = np.arange(len(span)) - np.repeat(np.cumsum(many) - many, many) + low[span]
+                new = before[place] < first[span]
+                np.add.at(score, span[new], self.rows[rows[place[new]]])
         size = np.sqrt(np.maximum(1, 2 * (last - first) - 1))
         score = np.round((score / size[:, None] + np.array(self.bias)) / self.temperature, 9)
         share = np.exp(score - score.max(1, keepdims=True))
@@ -171,9 +184,9 @@ class LicenseModel:
         """Tempered probabilities of the families and, last, of unknown."""
         score = np.array(self.bias)
         size = max(1.0, sum(counts.values()) ** 0.5)
-        for g, n in counts.items():
+        for g in counts:
             if (w := self.weights.get(g)) is not None:
-                score = score + np.array(w) * (n / size)
+                score = score + np.array(w) / size
         score = score / self.temperature
         share = np.exp(score - score.max())
         return share / share.sum()
@@ -250,11 +263,11 @@ def _fit(rows: list[tuple[Counter, int]], rounds: int = 200, rate: float = 1.0,
     at, cells, values = [], [], []
     for r, (counts, _) in enumerate(rows):
         size = max(1.0, sum(counts.values()) ** 0.5)
-        for g, n in counts.items():
+        for g in counts:  # once, however often it stands there: repeated words are no notice
             if g in names:
                 at.append(r)
                 cells.append(names[g])
-                values.append(n / size)
+                values.append(1 / size)
     at, cells, values = np.array(at, int), np.array(cells, int), np.array(values)
     gold = np.eye(UNKNOWN + 1)[[y for _, y in rows]]
     weights, bias = np.zeros((len(names), UNKNOWN + 1)), np.zeros(UNKNOWN + 1)

@@ -4,8 +4,10 @@ A batch of changes becomes additive deltas by source, language and tokenizer ver
 an insert adds a document and its tokens, a delete takes them away, a revision takes away
 the old count and adds the new one. The totals are the sums of the deltas of committed
 batches. A commit first writes the deltas under an attempt of its own and then one row
-that names batch and attempt; readers take one attempt of each committed batch. So a batch
-that is sent again, or that failed half-way and was retried, counts once.
+that names batch, attempt and time; readers take the first attempt of each committed batch.
+So a batch that is sent again, or that failed half-way and was retried, or that two writers
+commit at once, counts once, and a later commit of it never changes the totals. ``snapshot``
+writes the totals so far with the batches that they hold; readers then add later batches only.
 
 Defined results: null texts have 0 tokens; null sources and languages are groups of their
 own; repeated rows count each time; a delete of what was never inserted goes below zero
@@ -15,6 +17,7 @@ committed and changes nothing; extra columns are ignored.
 
 from __future__ import annotations
 
+import time
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,7 +25,9 @@ from pyspark.sql import functions as F
 
 KEYS = ("source", "lang", "tokenizer")
 _DELTA = "source string, lang string, tokenizer string, n_docs long, n_tokens long, batch string, attempt string"
-_COMMIT = "batch string, attempt string"
+_COMMIT = "batch string, attempt string, at long"
+_SNAPSHOT = "source string, lang string, tokenizer string, n_docs long, n_tokens long, number long"
+_HELD = "batch string, number long"
 
 
 def words_1(text: Column) -> Column:
@@ -63,11 +68,12 @@ def revised(old: DataFrame, new: DataFrame) -> DataFrame:
 
 
 class TokenRollup:
-    """The deltas and the commit log under a folder that all machines reach."""
+    """The deltas, the commit log and the snapshots under a folder that all machines reach."""
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.deltas, self.commits = spark, f"{path}/deltas", f"{path}/commits"
-        for folder, schema in ((self.deltas, _DELTA), (self.commits, _COMMIT)):
+        self.snapshots, self.held = f"{path}/snapshots", f"{path}/held"
+        for folder, schema in ((self.deltas, _DELTA), (self.commits, _COMMIT), (self.snapshots, _SNAPSHOT), (self.held, _HELD)):
             spark.createDataFrame([], schema).write.mode("append").parquet(folder)
 
     def stage(self, batch: str, changes: DataFrame) -> str:
@@ -78,24 +84,53 @@ class TokenRollup:
         ).withColumns({"batch": F.lit(batch), "attempt": F.lit(attempt)}).write.mode("append").parquet(self.deltas)
         return attempt
 
+    def record(self, batch: str, attempt: str) -> None:
+        """Commit a staged attempt."""
+        row = [(batch, attempt, time.time_ns())]
+        self.spark.createDataFrame(row, _COMMIT).coalesce(1).write.mode("append").parquet(self.commits)
+
     def commit(self, batch: str, changes: DataFrame) -> None:
         """Apply a batch; one that is committed already changes nothing."""
         known = self.spark.read.schema(_COMMIT).parquet(self.commits)
         if known.where(F.col("batch") == batch).isEmpty():
-            row = [(batch, self.stage(batch, changes))]
-            self.spark.createDataFrame(row, _COMMIT).coalesce(1).write.mode("append").parquet(self.commits)
+            self.record(batch, self.stage(batch, changes))
+
+    def _later(self) -> tuple[DataFrame, DataFrame, int]:
+        """First attempts of the batches that the newest snapshot does not hold, its totals, and its number."""
+        held = self.spark.read.schema(_HELD).parquet(self.held)
+        number = held.agg(F.max("number")).first()[0] or 0
+        log = self.spark.read.schema(_COMMIT).parquet(self.commits)
+        first = log.groupBy("batch").agg(F.min_by("attempt", F.struct("at", "attempt")).alias("attempt"))
+        later = first.join(held.where(F.col("number") == number), "batch", "left_anti")
+        return later, self.spark.read.schema(_SNAPSHOT).parquet(self.snapshots).where(F.col("number") == number), number
 
     def totals(self) -> DataFrame:
         """``source, lang, tokenizer, n_docs, n_tokens`` over all committed batches."""
-        log = self.spark.read.schema(_COMMIT).parquet(self.commits)
-        chosen = log.groupBy("batch").agg(F.min("attempt").alias("attempt"))
-        deltas = self.spark.read.schema(_DELTA).parquet(self.deltas)
-        return (
-            deltas.join(chosen, ["batch", "attempt"], "left_semi")
-            .groupBy(*KEYS)
-            .agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens"))
-            .where("n_docs <> 0 or n_tokens <> 0")
-        )
+        return self._totals_of().where("n_docs <> 0 or n_tokens <> 0")
+
+    def snapshot(self) -> None:
+        """Keep the totals so far. One that fails before its last write is never read.
+
+        One writer at a time makes snapshots; commits may go on meanwhile.
+        """
+        later, _, number = self._later()
+        fixed = later.select("batch").collect()  # a name for each batch since the last snapshot
+        if not fixed:
+            return
+        new = max(time.time_ns(), number + 1)
+        names = self.spark.createDataFrame([(r.batch,) for r in fixed], "batch string")
+        held = self.spark.read.schema(_HELD).parquet(self.held).where(F.col("number") == number).select("batch")
+        self._totals_of(names).withColumn("number", F.lit(new)).write.mode("append").parquet(self.snapshots)
+        names.unionByName(held).withColumn("number", F.lit(new)).coalesce(1).write.mode("append").parquet(self.held)
+
+    def _totals_of(self, names: DataFrame | None = None) -> DataFrame:
+        """The newest snapshot and the later batches, of ``names`` or all."""
+        later, before, _ = self._later()
+        columns = (*KEYS, "n_docs", "n_tokens")
+        some = later if names is None else later.join(names, "batch", "left_semi")
+        deltas = self.spark.read.schema(_DELTA).parquet(self.deltas).join(some, ["batch", "attempt"], "left_semi")
+        both = deltas.select(*columns).unionByName(before.select(*columns))
+        return both.groupBy(*KEYS).agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens"))
 
 
 ORACLE_SQL = r"""

@@ -573,11 +573,52 @@ def test_notices_inside_long_paragraphs(spark):
     dense = np.array([model.weights[g] for g in names])
     for _, text in notices[:6]:
         counts = licenses.grams(text)
-        x = np.array([counts[g] for g in names]) / sum(counts.values()) ** 0.5
+        x = np.array([g in counts for g in names]) / sum(counts.values()) ** 0.5
         score = (x @ dense + model.bias) / model.temperature
         assert np.allclose(model.probabilities(counts), np.exp(score - score.max()) / np.exp(score - score.max()).sum())
 
 
+def test_spans_equal_loops_and_repeated_words_are_no_notice(spark, monkeypatch):
+    rng = random.Random(21)
+    words = vocabulary(60, 2)
+    say = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    model = licenses.train(documents(spark, [(k, say(25) + "\n" + say(90) + " source license") for k in range(120)]))
+    texts = [say(30) + " " + licenses.TEMPLATES[f][0] + " " + " ".join([rng.choice(licenses.TEMPLATES[f][0].split())] * 20) + " " + say(40) for f in licenses.FAMILIES]
+    for text in texts:
+        plain = licenses.plain(text).decode().split()
+        spans = model.spans(plain)
+        found = model.span_probabilities(plain, spans)
+        for (first, last), row in zip(spans, found, strict=True):
+            assert np.allclose(row, model.probabilities(licenses.grams(" ".join(plain[first:last]))), atol=1e-6)
+    for family, templates in licenses.TEMPLATES.items():
+        for word in set(" ".join(templates).split()):
+            for n in (3, 60, 500):
+                found = model.classify(" ".join([word] * n))
+                assert found is None or found[3], (family, word, n)  # one word is a notice only where a template says so
+    every = texts + [say(200) for _ in range(20)] + ["source " * 60, "In. " * 50]
+    passed = [model.classify(t) for t in every]
+    monkeypatch.setattr(licenses.LicenseModel, "hopeless", lambda self, words: False)
+    assert [model.classify(t) for t in every] == passed and passed[-2:] == [None, None]
+
+
+def test_notices_that_no_seed_covers(spark):
+    rng = random.Random(22)
+    words = vocabulary(80, 2)
+    say = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    model = licenses.train(documents(spark, [(k, say(20) + "\n" + say(60)) for k in range(150)]))
+    met = total = 0
+    for family in licenses.FAMILIES:
+        for template in licenses.TEMPLATES[family]:
+            own = template.split()
+            for _ in range(6):
+                part = [w for w in own if rng.random() > 0.15]  # words left out, as in a poor copy
+                text = say(10) + " " + " ".join(part) + " " + say(10)
+                if len(part) > 7 and not any(re.search(p, text.lower()) for p in licenses.SEEDS.values()):
+                    total += 1
+                    met += (found := model.classify(text)) is not None and found[0] == family
+    assert total > 10 and met >= 0.9 * total, (met, total)
+
+
 def test_quality_equals_one_machine(spark):
     rng = np.random.default_rng(5)
     stats = rng.normal(size=(240, len(quality.STATISTICS)))
@@ -680,6 +721,33 @@ def test_rollup_is_idempotent_and_additive(spark):
     assert ("s", None, "words-1") not in get()
 
 
+def test_the_first_commit_of_a_batch_counts_and_snapshots_keep_totals(spark):
+    docs = spark.createDataFrame([(1, "a b c", "en", "s", 5), (2, "a", "de", "t", 1)], DOCS)
+    counts = token_rollup.counted(docs)
+    rollup = token_rollup.TokenRollup(spark, scratch(docs, "rollup"))
+    get = lambda: {(r.source, r.tokenizer): (r.n_docs, r.n_tokens) for r in rollup.totals().collect()}
+    rollup.snapshot()  # of nothing
+    # two writers stage the same batch with different changes, and both commit
+    first = rollup.stage("one", token_rollup.signed_changes(counts, 1))
+    second = rollup.stage("one", token_rollup.signed_changes(counts.where("doc_id = 1"), 1))
+    rollup.record("one", first)
+    before = get()
+    rollup.record("one", second)
+    assert get() == before == {("s", "words-1"): (1, 3), ("s", "bytes-4"): (1, 2), ("t", "words-1"): (1, 1), ("t", "bytes-4"): (1, 1)}
+    rollup.snapshot()
+    assert get() == before
+    rollup.record("one", rollup.stage("one", token_rollup.signed_changes(counts, 1)))  # after the snapshot
+    assert get() == before
+    rollup.commit("two", token_rollup.signed_changes(counts.where("doc_id = 2"), -1))
+    after = {k: v for k, v in before.items() if k[0] == "s"}
+    assert get() == after
+    rollup.snapshot()
+    rollup.snapshot()
+    assert get() == after
+    rollup.commit("two", token_rollup.signed_changes(counts, 1))
+    assert get() == after
+
+
 # -- shared helpers
 
 
