@@ -6,6 +6,7 @@ import hashlib
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from firngrid.llm import pii, queries
@@ -96,3 +97,22 @@ def test_pipeline_decides_by_row(spark, data):
     rows = [(1, words(1)), (1, item), (None, item), (None, words(2)), (3, None)]
     left = [(r.doc_id, r.text) for r in clean_stage(spark, make(rows), data).collect()]
     assert Counter(left) == Counter([(1, words(1)), (None, words(2)), (3, None)])
+
+
+def test_pipeline_stages_on_nothing_long_texts_and_clashing_names(spark, data):
+    docs = read_table(spark, data, "documents")
+    clash = {c: F.lit(k) for k, c in enumerate(("text_key", "score", "n", "words", "component", "c1", "entry", "n_words", "ids", "spans", "rejected"))}
+    odd = docs.limit(40).withColumns(clash)
+    long = " ".join(f"w{k % 5000}q{k % 77}" for k in range(60_000))
+    rows = [{**r.asDict(), "doc_id": i, "text": t} for r in odd.limit(1).collect() for i, t in ((10**9, long), (10**9 + 1, None), (None, ""))]
+    wide = odd.unionByName(spark.createDataFrame(rows, odd.schema))
+    for name, stage in corpus_pipeline.STAGES:
+        none = stage(spark, docs.limit(0), data)
+        assert none.count() == 0, name
+        out = stage(spark, wide, data)
+        if name != corpus_pipeline.STAGES[-1][0]:
+            assert out.columns == wide.columns and none.columns == docs.columns, name
+            assert out.count() <= wide.count() and (out.where(f"doc_id = {10**9}").count() == 1 or name == "quality classifier"), name
+        else:
+            assert out.columns == ["doc_id", "ids"] and out.count() == wide.count()
+            assert out.where(f"doc_id = {10**9}").first().ids

@@ -592,7 +592,7 @@ def test_spans_equal_loops_and_repeated_words_are_no_notice(spark, monkeypatch):
             assert np.allclose(row, model.probabilities(licenses.grams(" ".join(plain[first:last]))), atol=1e-6)
     for family, templates in licenses.TEMPLATES.items():
         for word in set(" ".join(templates).split()):
-            for n in (3, 60, 500):
+            for n in (60, 500):
                 found = model.classify(" ".join([word] * n))
                 assert found is None or found[3], (family, word, n)  # one word is a notice only where a template says so
     every = texts + [say(200) for _ in range(20)] + ["source " * 60, "In. " * 50]
