@@ -8,7 +8,7 @@ import uuid
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from firngrid.sources.shared import shared_dir
 
@@ -16,20 +16,57 @@ PUBLISH_KEYS = ("exp", "wcombo", "layer", "idom", "jdom")
 
 
 def publish(layers: DataFrame, path: str, skip: tuple[str, ...] = ()) -> DataFrame:
-    """Write ``layers`` by section, layer and tile, without the layers of ``skip``.
+    """Write ``layers`` by section, layer and tile, without the layers of ``skip``; what is published now.
 
     Only the partitions that ``layers`` has are replaced. Rows of a partition are brought
-    together first, so that it gets few files.
+    together first, so that it gets few files. They are written beside the old ones, and one
+    small row at the end makes them the newest, all at once.
     """
-    (
-        layers.where(~F.col("layer").isin(*skip) if skip else F.lit(True))
-        .repartition(*PUBLISH_KEYS)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*PUBLISH_KEYS)
-        .parquet(path)
-    )
-    return layers.sparkSession.read.parquet(path)
+    spark, version = layers.sparkSession, uuid.uuid4().hex
+    chosen = layers.where(~F.col("layer").isin(*skip)) if skip else layers
+    at = f"{path}/data/version={version}"
+    chosen.repartition(*PUBLISH_KEYS).write.partitionBy(*PUBLISH_KEYS).parquet(at)
+    keys = spark.read.schema(chosen.schema).parquet(at).select(*PUBLISH_KEYS).distinct()
+    keys.withColumn("version", F.lit(version)).write.mode("append").parquet(f"{path}/_partitions")
+    _name_version(spark, path, version, chosen.schema)
+    return published(spark, path)
+
+
+def _newest_partitions(spark: SparkSession, path: str) -> tuple[DataFrame, StructType]:
+    """``PUBLISH_KEYS, version`` of each partition in its newest version, and the columns of the table."""
+    named = _versions(spark, path)
+    if not named:
+        raise FileNotFoundError(f"nothing has been published to {path}")
+    columns = StructType.fromJson(json.loads(named[0].columns))
+    keys = StructType([columns[k] for k in PUBLISH_KEYS])
+    rows = spark.read.schema(StructType([*keys, StructField("version", StringType())])).parquet(f"{path}/_partitions")
+    order = spark.createDataFrame([(r.path, r.number) for r in named], "version string, number long")  # a row for each publication
+    known = rows.join(F.broadcast(order), "version")
+    return known.groupBy(*PUBLISH_KEYS).agg(F.max_by("version", F.struct("number", "version")).alias("version")), columns
+
+
+def _used(newest: DataFrame) -> list[str]:
+    """The versions that are the newest of some partition: one for each publication at most."""
+    return sorted(r.version for r in newest.select("version").distinct().collect())
+
+
+def published(spark: SparkSession, path: str) -> DataFrame:
+    """All partitions of a published table, each in its newest version; unfinished ones are not seen."""
+    newest, columns = _newest_partitions(spark, path)
+    wide = StructType([*columns, StructField("version", StringType())])
+    # only folders of versions that are in use are read
+    rows = spark.read.schema(wide).parquet(f"{path}/data").where(F.col("version").isin(_used(newest)))
+    return rows.join(newest, [*PUBLISH_KEYS, "version"], "left_semi").select(*columns.names)
+
+
+def drop_unpublished(spark: SparkSession, path: str) -> int:
+    """Delete the versions of which no partition is the newest any more; how many there were."""
+    newest, _ = _newest_partitions(spark, path)
+    used = _used(newest)
+    old = [r.path for r in _versions(spark, path) if r.path not in used]
+    for version in old:
+        delete(spark, f"{path}/data/version={version}")
+    return len(old)
 
 
 def republish(published: DataFrame, combos: DataFrame, layers: list[str]) -> DataFrame:
@@ -49,6 +86,12 @@ def _versions(spark: SparkSession, folder: str) -> list[Row]:
     return sorted(rows, key=lambda r: (r.number, r.path), reverse=True)
 
 
+def _name_version(spark: SparkSession, folder: str, path: str, columns: StructType) -> None:
+    newest = _versions(spark, folder)
+    row = [((newest[0].number if newest else 0) + 1, path, columns.json())]
+    spark.createDataFrame(row, _VERSION).coalesce(1).write.mode("append").parquet(f"{folder}/_versions")
+
+
 def write_version(table: DataFrame, folder: str, *partitions: str) -> str:
     """Write ``table`` as the newest version of ``folder``; its path.
 
@@ -56,12 +99,9 @@ def write_version(table: DataFrame, folder: str, *partitions: str) -> str:
     the newest such row, so they see the old version or the new one and nothing between, and
     a write that fails leaves no trace for them.
     """
-    spark = table.sparkSession
     path = f"{folder}/version-{uuid.uuid4().hex}"
     table.write.partitionBy(*partitions).parquet(path)
-    newest = _versions(spark, folder)
-    row = [((newest[0].number if newest else 0) + 1, path, table.schema.json())]
-    spark.createDataFrame(row, _VERSION).coalesce(1).write.mode("append").parquet(f"{folder}/_versions")
+    _name_version(table.sparkSession, folder, path, table.schema)
     return path
 
 

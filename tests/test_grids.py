@@ -543,8 +543,17 @@ def test_publishing_replaces_only_its_partitions(spark, tmp_path):
     schema = "exp string, wcombo string, layer string, idom int, jdom int, value double"
     path = str(tmp_path / "out")
     sinks.publish(spark.createDataFrame([row("a", 1.0), row("b", 2.0)], schema), path)
+    before = sinks.published(spark, path)
     out = sinks.publish(spark.createDataFrame([row("a", 3.0)], schema), path)
-    assert sorted(r.value for r in out.collect()) == [2.0, 3.0]
+    assert sorted(r.value for r in out.collect()) == [2.0, 3.0] and out.columns == ["exp", "wcombo", "layer", "idom", "jdom", "value"]
+    assert sorted(r.value for r in before.collect()) == [1.0, 2.0]  # a reader that began before still sees the old ones
+    # a write that failed before its last row is not seen
+    spark.createDataFrame([("e", "w", "a", 1, 1, 9.0)], schema).write.partitionBy(*sinks.PUBLISH_KEYS).parquet(f"{path}/data/version=lost")
+    assert sorted(r.value for r in sinks.published(spark, path).collect()) == [2.0, 3.0]
+    sinks.publish(spark.createDataFrame([row("b", 4.0), row("001", 5.0), row("skipped", 6.0)], schema), path, skip=("skipped",))
+    now = sinks.published(spark, path)
+    assert sorted((r.layer, r.value) for r in now.collect()) == [("001", 5.0), ("a", 3.0), ("b", 4.0)]
+    assert sinks.drop_unpublished(spark, path) == 1 and now.count() == 3
 
 
 def test_registered_variables(spark):
