@@ -106,11 +106,12 @@ def relief(fx):
     return focal.relief(fx.dem, "elev").select("i", "j", _r("shade"))
 
 
-#: Mirror images of the cells of a view beyond the border.
+#: Mirror images of the cells of a view beyond the border, again and again on a narrow grid.
 _MIRROR = """
 b{k} as (select max(i) + 1 as nx, max(j) + 1 as ny from {src}),
-mi{k} as (select i, j, {cols} from {src} union all select -1 - i, j, {cols} from {src} where i < {r} union all select 2 * nx - 1 - i, j, {cols} from {src}, b{k} where i >= nx - {r}),
-m{k} as (select i, j, {cols} from mi{k} union all select i, -1 - j, {cols} from mi{k} where j < {r} union all select i, 2 * ny - 1 - j, {cols} from mi{k}, b{k} where j >= ny - {r})
+tu{k} as (select s, q from (values (1), (-1)) s(s), (select unnest(range(-3, 4)) as q)),
+mi{k} as (select * exclude nx from (select case when s = 1 then i else -1 - i end + 2 * q * nx as i, j, {cols}, nx from {src}, b{k}, tu{k}) where i between -{r} and nx - 1 + {r}),
+m{k} as (select * exclude ny from (select i, case when s = 1 then j else -1 - j end + 2 * q * ny as j, {cols}, ny from mi{k}, b{k}, tu{k}) where j between -{r} and ny - 1 + {r})
 """
 
 
