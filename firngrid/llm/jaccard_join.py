@@ -57,10 +57,12 @@ BAND_POWER = 4
 LONG = 32
 #: Lists up to this length are compared pair by pair at once, longer ones with a hub first.
 PAIRED = 8
-#: Turns of hubs before what is left is compared across components.
+#: Turns of hubs before what is left is compared by its rarest elements.
 HUB_TURNS = 3
 #: Pairs of one hub that a task compares at most.
 HUB_BLOCK = 2048
+#: Elements that are more than one in so many occurrences are common; there are fewer of them than this.
+COMMON = 65_536
 _SKETCH = 512
 _WORDS = _SKETCH // 64
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -210,6 +212,36 @@ def allocate(
     return sorted(k for _, k in short if k not in twice), sorted(twice)
 
 
+def _class_width(n: int) -> int:
+    """Width of the size class of n: sizes up to 127 stand alone, larger ones within 1.6 %."""
+    return 1 << max(0, n.bit_length() - 7)
+
+
+def rare_entries(n: int, common: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(entries, roles, at)`` of a set of n elements, for each size class of partners.
+
+    ``common`` are the elements that other sets hold too, the rarest first in an order that
+    all sets share; elements that no other set holds stand before them. Linked sets of sizes
+    n and k have at least ``percent * (n + k) / (100 + percent)`` elements alike, so the
+    rarest that both hold is among the first ``n + 1`` less that many of either. The role
+    is 2 where both are of one class, else 1 for the larger class and 0 for the smaller.
+    """
+    alone = n - len(common)
+    own = n // _class_width(n) * _class_width(n)
+    least = -(-n * percent // 100)
+    other = least // _class_width(least) * _class_width(least)
+    out = [], [], []
+    while other * percent <= 100 * n:
+        needed = -(-percent * (n + max(least, other)) // (100 + percent))
+        first = common[: max(0, n - needed + 1 - alone)]
+        low, high = mixed(np.array([min(own, other), max(own, other)], np.uint64) + _STEP)
+        out[0].append(mixed(mixed(first ^ low) ^ high))
+        out[1].append(np.full(len(first), 2 if own == other else int(own > other)))
+        out[2].append(alone + 1 + np.arange(len(first)))
+        other += _class_width(other)
+    return tuple(np.concatenate(v) for v in out)
+
+
 def _facts(docs: DataFrame, size: int, bands: Bands) -> DataFrame:
     """A row of each text: size and 128-bit digest of its set, and of a set once in each task its entries."""
     keep_batches_small(docs.sparkSession)
@@ -367,6 +399,59 @@ def _joined(state: DataFrame | None, links: DataFrame) -> DataFrame:
     return staged(old.unionByName(new), "components")
 
 
+def _rare_lists(c1: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``c1, entry, role, at``: where the sets ``c1`` may meet partners in their rarest elements."""
+
+    def spread(rows):
+        out = {"c1": [], "element": []}
+        for name, data in zip(rows["c1"], rows["elements"], strict=True):
+            held = np.frombuffer(data, np.int64).tolist()
+            out["c1"] += [name] * len(held)
+            out["element"] += held
+        return out
+
+    each = staged(map_batches(c1.join(sets.select("c1", "elements"), "c1"), spread, "c1 long, element long"), "elements")
+    counts = staged(each.groupBy("element").agg(F.count("*").alias("held")).where("held > 1"), "held")
+    # common elements are fewer than COMMON, whatever the input; of the others none is a hot key
+    cut = each.count() // COMMON
+    named = each.join(F.broadcast(counts.where(F.col("held") > cut)), "element").unionByName(
+        each.join(counts.where(F.col("held") <= cut), "element")
+    )
+    ordered = named.groupBy("c1").agg(F.sort_array(F.collect_list(F.struct("held", "element")))["element"].alias("common"))
+
+    def batch(rows):
+        out = {k: [] for k in ("c1", "entry", "role", "at")}
+        for name, n, common in zip(rows["c1"], rows["n"], rows["common"], strict=True):
+            found, roles, at = rare_entries(n, np.array(common, np.int64).view(np.uint64), percent)
+            for k, v in zip(out, ([name] * len(found), signed(found).tolist(), roles.tolist(), at.tolist()), strict=True):
+                out[k] += v
+        return out
+
+    return map_batches(ordered.join(sets.select("c1", "n"), "c1"), batch, "c1 long, entry long, role long, at long")
+
+
+def _rare_pairs(open_sets: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs ``(a, b)`` of ``open_sets (c1, component, n, s0..)`` that may link across components."""
+    listed = _rare_lists(open_sets.select("c1"), sets, percent).join(open_sets, "c1")
+    several = listed.groupBy("entry").agg(
+        *[f("component").alias(k) for f, k in ((F.min, "low"), (F.max, "high"))],
+        *[f("role").alias(k) for f, k in ((F.min, "one"), (F.max, "two"))],
+    )
+    several = several.where("low < high and (one = 2 or one < two)")
+    rows = staged(listed.join(several.select("entry"), "entry"), "rare")
+    after = 1 + F.least(F.col("x.n") - F.col("x.at"), F.col("y.n") - F.col("y.at"))
+    fits = (100 + percent) * after >= percent * (F.col("x.n") + F.col("y.n"))
+    apart = (F.col("x.entry") == F.col("y.entry")) & (F.col("x.component") != F.col("y.component"))
+    out = None
+    for one, two, order in ((2, 2, F.col("x.c1") < F.col("y.c1")), (0, 1, F.lit(True))):
+        x, y = rows.where(F.col("role") == one).alias("x"), rows.where(F.col("role") == two).alias("y")
+        near = x.join(y, apart & order & fits & _may_link(percent)).select(
+            F.least("x.c1", "y.c1").alias("a"), F.greatest("x.c1", "y.c1").alias("b")
+        )
+        out = near if out is None else out.unionByName(near)
+    return out
+
+
 def _linked(lists: DataFrame, sets: DataFrame, percent: int) -> DataFrame | None:
     """``c1, component`` from all links between sets that share one of ``lists (entry, c1)``."""
     light = sets.drop("elements")
@@ -383,20 +468,21 @@ def _linked(lists: DataFrame, sets: DataFrame, percent: int) -> DataFrame | None
         )
         spread = spread.where("low < high").select("entry", "length")
         rows_open = staged(placed.join(spread, "entry"), "open")
-        paired = F.lit(True)
-        if turn < HUB_TURNS:
+        own = ["c1", "component", "n", *[f"s{k}" for k in range(_WORDS)]]
+        if turn == HUB_TURNS:
+            longer = rows_open.where("false")
+            near = _rare_pairs(staged(rows_open.select(own).distinct(), "left"), sets, percent)
+        else:
             paired = F.col("length") <= (LONG if turn else PAIRED)
-        x, y = rows_open.where(paired).alias("x"), rows_open.where(paired).alias("y")
-        apart = (F.col("x.component") != F.col("y.component")) & _may_link(percent)
-        near = x.join(y, (F.col("x.entry") == F.col("y.entry")) & (F.col("x.c1") < F.col("y.c1")) & apart).select(
-            F.col("x.c1").alias("a"), F.col("y.c1").alias("b")
-        )
-        longer = rows_open.where(~paired)
-        if turn < HUB_TURNS:
+            longer = rows_open.where(~paired)
+            x, y = rows_open.where(paired).alias("x"), rows_open.where(paired).alias("y")
+            apart = (F.col("x.component") != F.col("y.component")) & _may_link(percent)
+            near = x.join(y, (F.col("x.entry") == F.col("y.entry")) & (F.col("x.c1") < F.col("y.c1")) & apart).select(
+                F.col("x.c1").alias("a"), F.col("y.c1").alias("b")
+            )
             # the hub is of the largest component at first, then of any; of its most popular sets
             order = F.struct(F.xxhash64("component", F.lit(turn)), "popular", "c1") if turn else F.struct("popular", "c1")
-            own = F.struct("c1", "component", "n", *[f"s{k}" for k in range(_WORDS)])
-            hubs = longer.groupBy("entry").agg(F.max_by(own, order).alias("y"))
+            hubs = longer.groupBy("entry").agg(F.max_by(F.struct(own), order).alias("y"))
             hubs = hubs.select("entry", "y.*")
             spokes = longer.alias("x").join(hubs.alias("y"), (F.col("x.entry") == F.col("y.entry")) & apart)
             near = near.union(spokes.select(F.col("x.c1").alias("a"), F.col("y.c1").alias("b")))

@@ -284,6 +284,66 @@ def test_long_lists_are_left_by_loose_segments(spark, monkeypatch):
     assert seen["chosen"].where("size(twice) > 0").count() > 10
 
 
+def _template_pages(n, own):
+    rng = random.Random(9)
+    template = " ".join(vocabulary(120, 5))
+    words = vocabulary(40000, 6)
+    return [(k, template + " " + " ".join(rng.sample(words, own + k % 3))) for k in range(n)]
+
+
+def test_template_pages_are_not_paired_with_each_other(spark, monkeypatch):
+    rows = _template_pages(300, 17)
+    sets = _sets(rows, 4)
+    made = []
+    real = jaccard_join.staged
+
+    def counted(df, name):
+        out = real(df, name)
+        if name == "rare" or name == "pairs":
+            made.append(out.count())
+        return out
+
+    monkeypatch.setattr(jaccard_join, "staged", counted)
+    found = jaccard_join.components(documents(spark, rows)).collect()
+    assert sorted(map(tuple, found)) == sorted((i, len(sets[i]), i) for i, _ in rows)
+    assert sum(made) < 10 * len(rows)  # all pairs are 44,850
+
+
+@pytest.mark.parametrize("own", [9, 11, 13])
+def test_template_pages_near_the_threshold_equal_brute_force(spark, monkeypatch, own):
+    monkeypatch.setattr(jaccard_join, "HUB_TURNS", 0)  # all lists go to the rarest elements
+    rows = _template_pages(60, own)
+    rows += [(100 + k, t.replace(" ", " x ", 1 + k % 4)) for k, t in rows[:20]]
+    sets = _sets(rows, 4)
+    expected = _components(sets, 85)
+    found = jaccard_join.components(documents(spark, rows)).collect()
+    assert sorted(map(tuple, found)) == sorted((i, len(sets[i]), expected[i]) for i, _ in rows)
+
+
+def test_linked_sets_meet_in_a_rare_element():
+    rng = np.random.default_rng(11)
+    tried = 0
+    for _ in range(3000):
+        percent, n = int(rng.choice([60, 80, 85, 90])), int(rng.integers(1, 700))
+        order = np.unique(rng.integers(0, 2**63, 2 * n + 4, dtype=np.int64)).view(np.uint64)
+        a = np.sort(rng.choice(len(order), min(n, len(order)), replace=False))
+        keep = a[rng.random(len(a)) > rng.random() * 0.3]
+        b = np.union1d(keep, rng.choice(len(order), int(rng.integers(0, n // 5 + 2)), replace=False))
+        met = len(np.intersect1d(a, b))
+        if not met or 100 * met < percent * (len(a) + len(b) - met):
+            continue
+        tried += 1
+        sides = []
+        for own, other in ((a, b), (b, a)):
+            # elements that no other set holds stand first in the order of all sets
+            common = own[np.isin(own, other) | (own % 3 == 0)]
+            sides.append(list(zip(*(v.tolist() for v in jaccard_join.rare_entries(len(own), order[common], percent)), strict=True)))
+        left, right = ({(e, r): p for e, r, p in side} for side in sides)
+        shared = [(p, right[e, 2 if r == 2 else 1 - r]) for (e, r), p in left.items() if (e, 2 if r == 2 else 1 - r) in right]
+        assert any((100 + percent) * (1 + min(len(a) - p, len(b) - q)) >= percent * (len(a) + len(b)) for p, q in shared)
+    assert tried > 300
+
+
 def test_linked_sets_meet_however_the_units_are_spent():
     rng = np.random.default_rng(7)
     for percent in (80, 85, 90):
