@@ -14,10 +14,11 @@ How the units are spent is decided by cost, with lists that have been counted:
   others a set passes over the longest lists, as many as there are spare segments. Both
   orders depend on what is equal in two partners, so one entry that they share is left
   (``indexed``). Most sets have nothing left after that.
-* A set that still has entries in long lists indexes all its segments a second time, with
-  their one-deletion neighbourhoods, among those of its kind. Where short lists of subsets
-  and of neighbourhoods give it its H + 1 units, and reading them costs less than the long
-  lists do, it asks these (``allocate``) and leaves the long lists; else it stays in them.
+* The sets that still have entries in long lists index all their segments a second time. The
+  one-deletion neighbourhood of a subset is written once, however many of these hold it.
+  Where short lists of subsets and of neighbourhoods give a set its H + 1 units, and reading
+  them costs less than the long lists do, it asks these (``allocate``) and leaves the long
+  lists; else it stays in them.
 
 Short lists are compared pair by pair, a bounded number for each set. The sets of a long
 list are compared with a hub, the one with most long lists; links make components; what
@@ -176,14 +177,17 @@ def indexed(elements: np.ndarray, scheme: int, bands: Bands, most: int) -> np.nd
     return _keyed(mixed(sums[full] ^ key[full]), scheme)
 
 
+def subset_entries(elements: np.ndarray, scheme: int, m: int) -> np.ndarray:
+    """The entry of each segment's subset."""
+    _, _, sums, key = _cut(elements, scheme, m)
+    return _keyed(mixed(sums ^ key ^ _LOOSE), scheme)
+
+
 def loose_entries(elements: np.ndarray, scheme: int, m: int) -> tuple[np.ndarray, np.ndarray]:
     """``(segments, entries)``: each segment's subset, and its subsets with one element less."""
     spread, segment, sums, key = _cut(elements, scheme, m)
-    less = mixed((sums[segment] - spread) ^ key[segment] ^ _LOOSE)
-    return (
-        np.concatenate([np.arange(m), segment]),
-        _keyed(np.concatenate([mixed(sums ^ key ^ _LOOSE), less]), scheme),
-    )
+    less = _keyed(mixed((sums[segment] - spread) ^ key[segment] ^ _LOOSE), scheme)
+    return np.concatenate([np.arange(m), segment]), np.concatenate([subset_entries(elements, scheme, m), less])
 
 
 def entries(elements: np.ndarray, bands: Bands) -> np.ndarray:
@@ -334,55 +338,79 @@ def _left_lists(hot: DataFrame, sets: DataFrame, bands: Bands) -> tuple[DataFram
 
     ``left (c1, parity)`` are those that leave the long lists, and ``met (entry, c1)`` the
     lists of subsets and neighbourhoods that they ask, with all of ``hot`` that are in them.
+    Sets of a long list have most subsets alike, so a subset is known by its entry, and its
+    neighbourhood is indexed once, with the number of sets that hold it, and not by each set.
     """
 
-    def batch(rows):
-        out = {k: [] for k in ("c1", "parity", "units", "m", "stay", "segments", "loose")}
+    def cut(rows):
+        out = {k: [] for k in ("c1", "parity", "units", "m", "stay", "subsets")}
         for c1, parity, stay, data in zip(*(rows[k] for k in ("c1", "parity", "stay", "elements")), strict=True):
             elements = np.frombuffer(data, np.uint64)
             for scheme, most in bands.schemes(len(elements)):
                 if scheme & 1 == parity:
                     m = bands.segments(scheme)
-                    segments, loose = loose_entries(elements, scheme, m)
-                    for k, v in zip(out, (c1, parity, most + 1, m, stay, segments, signed(loose)), strict=True):
+                    subsets = signed(subset_entries(elements, scheme, m))
+                    for k, v in zip(out, (c1, parity, most + 1, m, stay, subsets), strict=True):
                         out[k].append(v)
         return out
 
-    schema = "c1 long, parity long, units long, m long, stay long, segments array<long>, loose array<long>"
-    near = staged(map_batches(hot.join(sets.select("c1", "elements"), "c1"), batch, schema), "neighbourhoods")
-    # the first m entries are the subsets themselves
-    each = near.select("c1", "parity", "m", F.posexplode(F.arrays_zip("segments", "loose")).alias("at", "e")).select(
-        "c1", "parity", (F.col("at") < F.col("m")).alias("own"), F.col("e.segments").alias("segment"), F.col("e.loose").alias("entry")
-    )
-    lengths = each.groupBy("entry").agg(F.count("*").alias("length")).where("length > 1")
+    elements = sets.select("c1", "elements")
+    schema = "c1 long, parity long, units long, m long, stay long, subsets array<long>"
+    held = staged(map_batches(hot.join(elements, "c1"), cut, schema), "subsets")
+    each = held.select("c1", "parity", F.posexplode("subsets").alias("segment", "subset"))
+    wanted = each.groupBy("subset").agg(F.count("*").alias("weight"), F.min("c1").alias("c1"), F.first("parity").alias("parity"))
+    spelt = wanted.groupBy("c1", "parity").agg(F.collect_list("subset").alias("subset"), F.collect_list("weight").alias("weight"))
+
+    def spell(rows):
+        out = {"subset": [], "weight": [], "entries": []}
+        for parity, data, subset, weight in zip(*(rows[k] for k in ("parity", "elements", "subset", "weight")), strict=True):
+            elements = np.frombuffer(data, np.uint64)
+            weights = dict(zip(subset, weight, strict=True))
+            for scheme in (k for k, _ in bands.schemes(len(elements)) if k & 1 == parity):
+                m = bands.segments(scheme)
+                segments, found = loose_entries(elements, scheme, m)
+                order = np.argsort(segments, kind="stable")  # the subset itself is the first of its segment
+                for part in np.split(signed(found)[order], np.cumsum(np.bincount(segments, minlength=m))[:-1]):
+                    if int(part[0]) in weights:
+                        for k, v in zip(out, (int(part[0]), weights[int(part[0])], part), strict=True):
+                            out[k].append(v)
+        return out
+
+    near = staged(map_batches(spelt.join(elements, "c1"), spell, "subset long, weight long, entries array<long>"), "neighbourhoods")
+    lists = near.select("subset", "weight", F.explode("entries").alias("entry"))
+    lengths = lists.groupBy("entry").agg(F.sum("weight").alias("length")).where("length > 1")
+    own = F.sum(F.when(F.col("entry") == F.col("subset"), F.col("length")))
     costs = (
-        each.join(lengths, "entry")
-        .groupBy("c1", "parity", "segment")
-        .agg(F.sum("length").alias("near"), F.coalesce(F.sum(F.when(F.col("own"), F.col("length"))), F.lit(0)).alias("own"))
+        lists.join(lengths, "entry", "left")
+        .groupBy("subset")
+        .agg(*[F.coalesce(v, F.lit(0)).alias(k) for k, v in (("near", F.sum("length")), ("own", own))])
+        .where(F.col("own") <= LONG)
+    )
+    # subsets in long lists are not asked for and not joined, so no subset of very many sets is
+    short = (
+        each.join(costs, "subset")
         .groupBy("c1", "parity")
-        .agg(*[F.collect_list(F.struct("segment", k)).alias(k) for k in ("near", "own")])
+        .agg(F.collect_list(F.struct("segment", "near", "own")).alias("short"))
     )
 
     def choose(rows):
-        out = {k: [] for k in ("c1", "parity", "twice", "asked")}
-        for c1, parity, units, m, stay, segments, loose, near, own in zip(
-            *(rows[k] for k in ("c1", "parity", "units", "m", "stay", "segments", "loose", "near", "own")), strict=True
+        out = {k: [] for k in ("c1", "parity", "once", "twice")}
+        for c1, parity, units, m, stay, subsets, short in zip(
+            *(rows[k] for k in ("c1", "parity", "units", "m", "stay", "subsets", "short")), strict=True
         ):
-            lengths = [{e["segment"]: e[k] for e in v or []} for k, v in (("own", own), ("near", near))]
-            if (found := allocate(units, m, *lengths, stay)) is not None:
-                once, twice = map(set, found)
-                asked = [e for k, (s, e) in enumerate(zip(segments, loose, strict=True)) if s in twice or (k < m and s in once)]
-                for k, v in zip(out, (c1, parity, sorted(twice), asked), strict=True):
+            own = dict.fromkeys(range(m), LONG + 1) | {e["segment"]: e["own"] for e in short}
+            found = allocate(units, m, own, {e["segment"]: e["near"] for e in short}, stay)
+            if found is not None:
+                for k, v in zip(out, (c1, parity, *([subsets[s] for s in part] for part in found)), strict=True):
                     out[k].append(v)
         return out
 
-    chosen = map_batches(
-        near.join(costs, ["c1", "parity"], "left"), choose, "c1 long, parity long, twice array<long>, asked array<long>"
-    )
-    chosen = staged(chosen, "chosen")
-    asked = chosen.select(F.explode("asked").alias("entry")).distinct()
-    met = each.select("entry", "c1").join(asked, "entry", "left_semi").distinct()
-    return met, chosen.select("c1", "parity")
+    schema = "c1 long, parity long, once array<long>, twice array<long>"
+    chosen = staged(map_batches(held.join(short, ["c1", "parity"]), choose, schema), "chosen")
+    twice = chosen.select(F.explode("twice").alias("subset")).distinct().join(near, "subset").select(F.explode("entries"))
+    asked = chosen.select(F.explode("once").alias("entry")).union(twice).distinct()
+    met = lists.join(asked, "entry", "left_semi").select("entry", "subset").join(each.select("subset", "c1"), "subset")
+    return met.select("entry", "c1").distinct(), chosen.select("c1", "parity")
 
 
 def _joined(state: DataFrame | None, links: DataFrame) -> DataFrame:

@@ -284,6 +284,46 @@ def test_long_lists_are_left_by_loose_segments(spark, monkeypatch):
     assert seen["chosen"].where("size(twice) > 0").count() > 10
 
 
+def test_neighbourhoods_written_once_equal_those_of_each_set(spark):
+    rng = random.Random(12)
+    bands = jaccard_join.bands_of(85)
+    passage = [rng.getrandbits(64) for _ in range(90)]
+    held = {}
+    for group in range(8):  # sets of a group have most subsets alike, groups more or less of them
+        kept = passage[: 90 - 6 * group] + [rng.getrandbits(64) for _ in range(6 * group)]
+        for k in range(12):
+            own = rng.sample(kept, 90 - k % 4) + [rng.getrandbits(64) for _ in range(k % 3)]
+            held[12 * group + k] = np.unique(np.array(own, np.uint64))
+    hot = [(k, s & 1, 10**6) for k, e in held.items() for s, _ in bands.schemes(len(e))]
+    listed, units = {}, {}
+    for k, e in held.items():
+        for s, most in bands.schemes(len(e)):
+            m = bands.segments(s)
+            segments, found = jaccard_join.loose_entries(e, s, m)
+            units[k, s & 1] = most + 1, m
+            listed[k, s & 1] = list(zip(segments.tolist(), found.view(np.int64).tolist(), strict=True))
+    lengths = Counter(e for v in listed.values() for _, e in v)
+    asked, left, twice = set(), set(), 0
+    for key, entries in listed.items():
+        own, near = {s: lengths[e] for s, e in entries[: units[key][1]]}, Counter()
+        for s, e in entries:
+            near[s] += lengths[e] if lengths[e] > 1 else 0
+        own = {s: n if n > 1 else 0 for s, n in own.items()}
+        if (found := jaccard_join.allocate(*units[key], own, near, 10**6)) is not None:
+            left.add(key)
+            twice += len(found[1])
+            asked |= {e for at, (s, e) in enumerate(entries) if s in found[1] or (at < units[key][1] and s in found[0])}
+    met = {(e, key[0]) for key, entries in listed.items() for _, e in entries if e in asked}
+    sets = spark.createDataFrame([(k, e.tobytes()) for k, e in held.items()], "c1 long, elements binary")
+    rows = spark.createDataFrame(hot, "c1 long, parity long, stay long")
+    found_met, found_left = jaccard_join._left_lists(rows, sets, bands)
+    assert {tuple(r) for r in found_left.collect()} == left
+    assert left and twice and len(left) < len(hot)
+    assert {tuple(r) for r in found_met.collect()} == met
+    near = spark.createDataFrame([], "c1 long, parity long, stay long")
+    assert all(df.isEmpty() for df in jaccard_join._left_lists(near, sets, bands))
+
+
 def _template_pages(n, own):
     rng = random.Random(9)
     template = " ".join(vocabulary(120, 5))
