@@ -591,3 +591,11 @@ def test_order_fit(spark):
         assert np.allclose(found[cell], [*(np.array(climate.order_weights(len(v))).T @ v), 0.0])
     assert abs(found[5][0] - 50) < 4 and abs(found[5][1] - 8) < 3
     assert climate.order_fit(frame.limit(0)).count() == 0
+
+
+def test_spiral_numbers_beyond_an_int(spark):
+    at = spark.createDataFrame([(0, 24_000), (-24_000, 3), (5, -30_000)], "i int, j int")
+    x, y = G.spiral_cell(G.spiral_number(F.col("i"), F.col("j")))
+    assert at.where((x != F.col("i")) | (y != F.col("j"))).count() == 0
+    far = at.select(G.absolute_neighbour(F.lit(0), G.relative_neighbour(F.lit(0), F.lit(1_200_007), 50), 50).alias("back"))
+    assert far.first().back == 1_200_007
