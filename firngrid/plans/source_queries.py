@@ -63,7 +63,7 @@ def inconsistent_results(fx):
 @query("s_07_archive_names", "names", """
 select size, id, case when flag = 'R' then 5 else 6 end as id_status from fx_names""")
 def archive_names(fx):
-    name = F.concat(F.lit("aval-"), "size", F.lit("-"), F.lpad(F.col("id").cast("string"), 6, "0"), F.lit("-"), F.when(F.col("flag") == "R", "overrun").otherwise(""), F.lit(".nc"))
+    name = F.concat(F.lit("aval-"), "size", F.lit("-"), F.format_string("%06d", "id"), F.lit("-"), F.when(F.col("flag") == "R", "overrun").otherwise(""), F.lit(".nc"))
     return fx.names.select(*names.archive_parts(name))
 
 

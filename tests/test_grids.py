@@ -599,3 +599,11 @@ def test_spiral_numbers_beyond_an_int(spark):
     assert at.where((x != F.col("i")) | (y != F.col("j"))).count() == 0
     far = at.select(G.absolute_neighbour(F.lit(0), G.relative_neighbour(F.lit(0), F.lit(1_200_007), 50), 50).alias("back"))
     assert far.first().back == 1_200_007
+
+
+def test_long_ids_stay_whole_in_archive_names(spark, data, tmp_path):
+    rows = spark.read.parquet(f"{data}/lineitem.parquet").limit(5).withColumn("l_orderkey", F.lit(8_999_999).cast("long"))
+    rows.write.parquet(f"{tmp_path}/lineitem.parquet")
+    from firngrid.plans.queries import QUERIES
+
+    assert {r.id for r in QUERIES["s_07_archive_names"](spark, str(tmp_path)).collect()} == {8_999_999}
