@@ -70,8 +70,11 @@ def drop_unpublished(spark: SparkSession, path: str) -> int:
 
 
 def republish(published: DataFrame, combos: DataFrame, layers: list[str]) -> DataFrame:
-    """The chosen layers of the chosen combos."""
-    return published.where(F.col("layer").isin(*layers)).join(combos, ["exp", "wcombo"], "left_semi")
+    """The chosen layers of the chosen combos.
+
+    A table has few combos and any number of rows of each, so the combos go to the rows.
+    """
+    return published.where(F.col("layer").isin(*layers)).join(F.broadcast(combos.distinct()), ["exp", "wcombo"], "left_semi")
 
 
 _VERSION = "number long, path string, columns string"

@@ -607,3 +607,10 @@ def test_long_ids_stay_whole_in_archive_names(spark, data, tmp_path):
     from firngrid.plans.queries import QUERIES
 
     assert {r.id for r in QUERIES["s_07_archive_names"](spark, str(tmp_path)).collect()} == {8_999_999}
+
+
+def test_republish_shuffles_no_rows_of_a_table(spark):
+    layers = spark.range(100).selectExpr("'ak' as exp", "if(id % 9 = 0, 'b', 'a') as wcombo", "'depo' as layer", "id")
+    found = sinks.republish(layers, layers.select("exp", "wcombo").where("wcombo = 'a'").distinct().hint("merge"), ["depo"])
+    assert found.count() == 88
+    assert "BroadcastHashJoin" in found._jdf.queryExecution().toString()
