@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -74,67 +75,86 @@ def moment_fit(maxima: DataFrame) -> DataFrame:
     )
 
 
-def _log_likelihood(p: np.ndarray, x: np.ndarray) -> float:
-    loc, scale, shape = p[0], math.exp(p[1]), p[2]
-    z = (x - loc) / scale
-    if abs(shape) < 1e-9:
-        return -float(np.sum(-p[1] - z - np.exp(-z)))
+def _log_likelihoods(p: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """The negative log likelihood of each row of ``x`` under its ``loc, log scale, shape``."""
+    loc, log_scale, shape = p.T[:, :, None]
+    gumbel = np.abs(shape) < 1e-9
+    shape = np.where(gumbel, 0.0, shape)
+    z = (x - loc) / np.exp(log_scale)
     t = 1 - shape * z
-    if np.any(t <= 0):
-        return math.inf
-    y = -np.log(t) / shape
-    return -float(np.sum(-p[1] - y * (1 - shape) - np.exp(-y)))
-
-
-def _simplex(start: np.ndarray, x: np.ndarray, rounds: int = 300) -> np.ndarray | None:
-    """Downhill simplex over the negative log likelihood."""
-    points = [start] + [start + d for d in np.diag([0.2 * math.exp(start[1]), 0.2, 0.1])]
-    values = [_log_likelihood(p, x) for p in points]
+    y = np.where(gumbel, z, -np.log(np.where(t > 0, t, 1.0)) / np.where(gumbel, 1.0, shape))
+    return np.where((t > 0).all(axis=1), -np.sum(-log_scale - y * (1 - shape) - np.exp(-y), axis=1), math.inf)
+
+
+def _simplexes(start: np.ndarray, x: np.ndarray, rounds: int = 300) -> np.ndarray:
+    """Downhill simplexes over the negative log likelihood, one for each row of ``x``; NaN where none is finite."""
+    n = len(x)
+    points = np.repeat(start[:, None, :], 4, axis=1)
+    points[:, 1, 0] += 0.2 * np.exp(start[:, 1])
+    points[:, 2, 1] += 0.2
+    points[:, 3, 2] += 0.1
+    values = np.stack([_log_likelihoods(points[:, k], x) for k in range(4)], axis=1)
+    going = np.arange(n)  # rows that have not settled
     for _ in range(rounds):
-        order = np.argsort(values, kind="stable")
-        points, values = [points[k] for k in order], [values[k] for k in order]
-        if math.isfinite(values[-1]) and values[-1] - values[0] < 1e-9:
+        order = np.argsort(values[going], axis=1, kind="stable")
+        at, v = points[going[:, None], order], values[going[:, None], order]
+        points[going], values[going] = at, v
+        on = ~(np.isfinite(v[:, 3]) & (v[:, 3] - np.where(np.isfinite(v[:, 0]), v[:, 0], 0.0) < 1e-9))
+        going, at, v = going[on], at[on], v[on]
+        if not len(going):
             break
-        centre = np.mean(points[:-1], axis=0)
-        trial = centre + (centre - points[-1])
-        value = _log_likelihood(trial, x)
-        if value < values[0]:
-            further = centre + 2.0 * (centre - points[-1])
-            if (at_further := _log_likelihood(further, x)) < value:
-                trial, value = further, at_further
-        if value < values[-2]:
-            points[-1], values[-1] = trial, value
-            continue
-        trial = centre + 0.5 * (points[-1] - centre)
-        value = _log_likelihood(trial, x)
-        if value < values[-1]:
-            points[-1], values[-1] = trial, value
-        else:
-            points = [points[0]] + [points[0] + 0.5 * (p - points[0]) for p in points[1:]]
-            values = [values[0]] + [_log_likelihood(p, x) for p in points[1:]]
-    best = int(np.argmin(values))
-    return points[best] if math.isfinite(values[best]) else None
+        own, centre, worst = x[going], at[:, :3].mean(axis=1), at[:, 3].copy()
+        trial = centre + (centre - worst)
+        value = _log_likelihoods(trial, own)
+        better = np.flatnonzero(value < v[:, 0])
+        further = centre[better] + 2.0 * (centre[better] - worst[better])
+        at_further = _log_likelihoods(further, own[better])
+        gain = at_further < value[better]
+        trial[better[gain]], value[better[gain]] = further[gain], at_further[gain]
+        left = np.flatnonzero(~(value < v[:, 2]))
+        nearer = centre[left] + 0.5 * (worst[left] - centre[left])
+        at_nearer = _log_likelihoods(nearer, own[left])
+        gain = at_nearer < v[left, 3]
+        trial[left[gain]], value[left[gain]] = nearer[gain], at_nearer[gain]
+        shrunk = left[~gain]
+        at[:, 3], v[:, 3] = trial, value
+        if len(shrunk):
+            whole = np.concatenate([at[shrunk, :3], worst[shrunk, None]], axis=1)
+            at[shrunk] = whole[:, :1] + 0.5 * (whole - whole[:, :1])
+            v[shrunk, 1:] = np.stack([_log_likelihoods(at[shrunk, k], own[shrunk]) for k in (1, 2, 3)], axis=1)
+        points[going], values[going] = at, v
+    best = np.argmin(values, axis=1)
+    return np.where(np.isfinite(values[np.arange(n), best])[:, None], points[np.arange(n), best], np.nan)
 
 
 def likelihood_fit(maxima: DataFrame) -> DataFrame:
     """GEV parameters of each cell by maximum likelihood; zeros give zeros, a failure null.
 
-    A cell's values are the maxima of its years, so a group is small.
+    A cell's values are the maxima of its years, so a series is short. Series of one length
+    are fitted together, by array operations over many cells at a time.
     """
-
-    def fit(frame: pd.DataFrame) -> pd.DataFrame:
-        x = frame["v"].to_numpy(float)
-        found = [None] * 3
-        if len(x) and x.max() == 0:
-            found = [0.0] * 3
-        elif len(x) >= 3 and x.std() > 0:
-            scale = x.std() * math.sqrt(6) / math.pi
-            p = _simplex(np.array([x.mean() - 0.5772 * scale, math.log(scale), 0.0]), x)
-            if p is not None:
-                found = [p[0], math.exp(p[1]), p[2]]
-        return pd.DataFrame({"cell": [frame["cell"].iloc[0]], "loc": found[:1], "scale": found[1:2], "shape": found[2:]})
-
-    return maxima.groupBy("cell").applyInPandas(fit, "cell long, loc double, scale double, shape double")
+    series = maxima.groupBy("cell").agg(F.sort_array(F.collect_list(F.coalesce(F.col("v").cast("double"), F.lit(math.nan)))).alias("v"))
+
+    def fit(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            found = np.full((len(frame), 3), np.nan)
+            lengths = frame["v"].map(len).to_numpy(int)
+            for n in np.unique(lengths):
+                rows = np.flatnonzero(lengths == n)
+                x = np.stack(frame["v"].to_numpy()[rows]).astype(float)
+                found[rows[x.max(axis=1) == 0]] = 0.0
+                usable = (x.max(axis=1) != 0) & (x.std(axis=1) > 0)
+                if n < 3 or not usable.any():
+                    continue
+                rows, x = rows[usable], x[usable]
+                scale = x.std(axis=1) * math.sqrt(6) / math.pi
+                with np.errstate(all="ignore"):
+                    p = _simplexes(np.stack([x.mean(axis=1) - 0.5772 * scale, np.log(scale), np.zeros(len(x))], axis=1), x)
+                found[rows] = np.stack([p[:, 0], np.exp(p[:, 1]), p[:, 2]], axis=1)
+            columns = np.where(np.isnan(found), None, found).T
+            yield pd.DataFrame({"cell": frame["cell"], "loc": columns[0], "scale": columns[1], "shape": columns[2]})
+
+    return series.mapInPandas(fit, "cell long, loc double, scale double, shape double")
 
 
 @lru_cache

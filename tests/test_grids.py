@@ -614,3 +614,18 @@ def test_republish_shuffles_no_rows_of_a_table(spark):
     found = sinks.republish(layers, layers.select("exp", "wcombo").where("wcombo = 'a'").distinct().hint("merge"), ["depo"])
     assert found.count() == 88
     assert "BroadcastHashJoin" in found._jdf.queryExecution().toString()
+
+
+def test_series_are_fitted_many_at_a_time(spark):
+    rng = np.random.default_rng(8)
+    series = {k: rng.gumbel(100, 20, 5 + k % 3) for k in range(40)}
+    rows = [(k, float(v)) for k, x in series.items() for v in x] + [(50, None), (50, 1.0), (50, 2.0), (50, 4.0)]
+    fitted = climate.likelihood_fit(spark.createDataFrame(rows, "cell long, v double"))
+    assert "FlatMapGroupsInPandas" not in fitted._jdf.queryExecution().toString()
+    found = {r.cell: r for r in fitted.collect()}
+    assert found[50]["scale"] is None
+    for k, x in series.items():
+        own = np.array([[found[k]["loc"], math.log(found[k]["scale"]), found[k]["shape"]]])
+        best = climate._log_likelihoods(own, x[None])[0]
+        near = [climate._log_likelihoods(own + d, x[None])[0] for d in np.diag([0.5, 0.02, 0.02])]
+        assert all(best <= v + 1e-4 for v in near)
