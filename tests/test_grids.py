@@ -629,3 +629,11 @@ def test_series_are_fitted_many_at_a_time(spark):
         best = climate._log_likelihoods(own, x[None])[0]
         near = [climate._log_likelihoods(own + d, x[None])[0] for d in np.diag([0.5, 0.02, 0.02])]
         assert all(best <= v + 1e-4 for v in near)
+
+
+def test_wide_boxes_are_not_shuffled_by_bins(spark):
+    tiles_ = spark.range(60).selectExpr("id", "id % 6 * 10.0D as x0", "id div 6 * 10.0D as y0", "id % 6 * 10.0D + 10 as x1", "id div 6 * 10.0D + 10 as y1").distinct().hint("merge")
+    wide = spark.createDataFrame([(1, 0.0, 0.0, 59.0, 99.0), (2, 20.0, 20.0, 20.0, 20.0)], "k long, x0 double, y0 double, x1 double, y1 double")
+    met = catalog.box_join(wide, tiles_, 10.0)
+    assert "BroadcastHashJoin" in met._jdf.queryExecution().toString()
+    assert {r.k: r.n for r in met.groupBy("k").agg(F.count("*").alias("n")).collect()} == {1: 60, 2: 4}
