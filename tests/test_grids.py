@@ -637,3 +637,16 @@ def test_wide_boxes_are_not_shuffled_by_bins(spark):
     met = catalog.box_join(wide, tiles_, 10.0)
     assert "BroadcastHashJoin" in met._jdf.queryExecution().toString()
     assert {r.k: r.n for r in met.groupBy("k").agg(F.count("*").alias("n")).collect()} == {1: 60, 2: 4}
+
+
+def test_cells_of_a_runout_in_both_forms():
+    for places in ({3}, set(range(0, 4096, 2)), set(range(100)), set(range(127)), set(range(128)), set(range(129)), {4095}):
+        assert set(flow._places(flow._row_of(places, 4096), 4096).tolist()) == places
+    assert len(flow._row_of({1, 4000}, 4096)) == 8 and len(flow._row_of(set(range(4096)), 4096)) == 512
+
+
+def test_runout_broadcasts_no_cells_or_areas(spark):
+    cells = spark.range(400).selectExpr("id as cell", "cast(id % 20 as int) as i", "cast(id div 20 as int) as j", "cast(id as double) as h")
+    found = flow.runout(spark.createDataFrame([(1, 205)], "pra_id long, cell long"), cells, "h", 10.0)
+    assert "BroadcastHashJoin" not in found._jdf.queryExecution().toString()
+    assert "BroadcastHashJoin" not in flow.lowest_edges(cells, "h")._jdf.queryExecution().toString()
