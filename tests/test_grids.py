@@ -650,3 +650,19 @@ def test_runout_broadcasts_no_cells_or_areas(spark):
     found = flow.runout(spark.createDataFrame([(1, 205)], "pra_id long, cell long"), cells, "h", 10.0)
     assert "BroadcastHashJoin" not in found._jdf.queryExecution().toString()
     assert "BroadcastHashJoin" not in flow.lowest_edges(cells, "h")._jdf.queryExecution().toString()
+
+
+def test_paths_in_circles_are_written_once(spark, monkeypatch):
+    written = []
+    kept = flow.grown
+
+    def counted(df, name, table=None):
+        written.append(df.count())
+        return kept(df, name, table)
+
+    monkeypatch.setattr(flow, "grown", counted)
+    edges = spark.createDataFrame([(k, (k + 1) % 3) for k in range(3)] + [(k, k - 1) for k in range(3, 12)] + [(20, -1)], "cell long, next_cell long")
+    found = flow.reachable(edges.select(F.col("cell").alias("root"), "cell"), edges)
+    expected = {(r, c) for r in range(12) for c in range(max(r, 2) + 1)} | {(20, 20)}
+    assert {(r.root, r.cell) for r in found.collect()} == expected
+    assert sum(written) == len(expected)
