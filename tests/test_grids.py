@@ -666,3 +666,19 @@ def test_paths_in_circles_are_written_once(spark, monkeypatch):
     expected = {(r, c) for r in range(12) for c in range(max(r, 2) + 1)} | {(20, 20)}
     assert {(r.root, r.cell) for r in found.collect()} == expected
     assert sum(written) == len(expected)
+
+
+def test_outline_rings_across_tiles(spark):
+    rng = random.Random(5)
+    rows = sorted({(k, rng.randrange(-9, 12), rng.randrange(-9, 12)) for k in (1, 2) for _ in range(160)})
+    cells = spark.createDataFrame(rows, "id long, i int, j int")
+    rings = flow.outline_rings(cells, "id", 4).collect()
+    sides = []
+    for r in rings:
+        points = list(zip(r.points[::2], r.points[1::2]))
+        sides += [(r.id, *p, *q) for p, q in zip(points, points[1:] + points[:1])]
+    assert sorted(sides) == sorted(tuple(r) for r in flow.outline_edges(cells, "id").collect())
+    assert len({(r.id, r.ring) for r in rings}) == len(rings)
+    whole = flow.outline_rings(cells, "id", 64)
+    assert sorted((r.id, r.ring, len(r.points)) for r in rings) == sorted((r.id, r.ring, len(r.points)) for r in whole.collect())
+    assert "collect_list" not in whole._jdf.queryExecution().toString()
