@@ -13,19 +13,23 @@ from pyspark.sql.types import StringType, StructField, StructType
 from firngrid.sources.shared import shared_dir
 
 PUBLISH_KEYS = ("exp", "wcombo", "layer", "idom", "jdom")
+#: Those that are folders.
+PUBLISH_FOLDERS = PUBLISH_KEYS[:3]
 
 
 def publish(layers: DataFrame, path: str, skip: tuple[str, ...] = ()) -> DataFrame:
     """Write ``layers`` by section, layer and tile, without the layers of ``skip``; what is published now.
 
-    Only the partitions that ``layers`` has are replaced. Rows of a partition are brought
-    together first, so that it gets few files. They are written beside the old ones, and one
-    small row at the end makes them the newest, all at once.
+    Only the partitions (the tiles of a layer) that ``layers`` has are replaced. Sections and
+    layers are folders. Tiles are as many as the map is large, so they are none: the rows of a
+    tile are brought together and stand side by side in one file, and readers of a tile pass
+    over the other row groups. They are written beside the old ones, and one small row at the
+    end makes them the newest, all at once.
     """
     spark, version = layers.sparkSession, uuid.uuid4().hex
     chosen = layers.where(~F.col("layer").isin(*skip)) if skip else layers
     at = f"{path}/data/version={version}"
-    chosen.repartition(*PUBLISH_KEYS).write.partitionBy(*PUBLISH_KEYS).parquet(at)
+    chosen.repartition(*PUBLISH_KEYS).sortWithinPartitions(*PUBLISH_KEYS).write.partitionBy(*PUBLISH_FOLDERS).parquet(at)
     keys = spark.read.schema(chosen.schema).parquet(at).select(*PUBLISH_KEYS).distinct()
     keys.withColumn("version", F.lit(version)).write.mode("append").parquet(f"{path}/_partitions")
     _name_version(spark, path, version, chosen.schema)
@@ -54,8 +58,11 @@ def published(spark: SparkSession, path: str) -> DataFrame:
     """All partitions of a published table, each in its newest version; unfinished ones are not seen."""
     newest, columns = _newest_partitions(spark, path)
     wide = StructType([*columns, StructField("version", StringType())])
-    # only folders of versions that are in use are read
-    rows = spark.read.schema(wide).parquet(f"{path}/data").where(F.col("version").isin(_used(newest)))
+    used = _used(newest)
+    if not used:
+        return spark.createDataFrame([], columns)
+    # only folders of versions that are in use are listed and read
+    rows = spark.read.schema(wide).option("basePath", f"{path}/data").parquet(*[f"{path}/data/version={v}" for v in used])
     return rows.join(newest, [*PUBLISH_KEYS, "version"], "left_semi").select(*columns.names)
 
 

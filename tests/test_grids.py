@@ -682,3 +682,16 @@ def test_outline_rings_across_tiles(spark):
     whole = flow.outline_rings(cells, "id", 64)
     assert sorted((r.id, r.ring, len(r.points)) for r in rings) == sorted((r.id, r.ring, len(r.points)) for r in whole.collect())
     assert "collect_list" not in whole._jdf.queryExecution().toString()
+
+
+def test_published_tiles_are_no_folders(spark, tmp_path):
+    path = str(tmp_path / "out")
+    rows = spark.range(400).selectExpr("'ak' as exp", "'past-30' as wcombo", "element_at(array('depo', 'height'), cast(id % 2 + 1 as int)) as layer", "cast(id % 10 as int) as idom", "cast(id div 10 as int) as jdom", "cast(id as double) as value")
+    out = sinks.publish(rows, path)
+    assert sorted(map(tuple, out.collect())) == sorted(map(tuple, rows.collect()))
+    folders = {f.parent for f in (tmp_path / "out" / "data").rglob("*.parquet")}
+    assert len(folders) == 2 and {f.name for f in folders} == {"layer=depo", "layer=height"}
+    assert len(list((tmp_path / "out" / "data").rglob("*.parquet"))) <= 8
+    sinks.publish(rows.where("idom = 3 and layer = 'height'").withColumn("value", F.lit(-1.0)), path)  # one layer of some tiles anew
+    now = sinks.published(spark, path)
+    assert now.count() == 400 and now.where("value = -1").count() == rows.where("idom = 3 and layer = 'height'").count() > 0
