@@ -5,6 +5,7 @@ import math
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -695,3 +696,20 @@ def test_published_tiles_are_no_folders(spark, tmp_path):
     sinks.publish(rows.where("idom = 3 and layer = 'height'").withColumn("value", F.lit(-1.0)), path)  # one layer of some tiles anew
     now = sinks.published(spark, path)
     assert now.count() == 400 and now.where("value = -1").count() == rows.where("idom = 3 and layer = 'height'").count() > 0
+
+
+@pytest.mark.parametrize("passes", [24, 1])
+def test_hulls_of_many_sets_are_found_together(monkeypatch, passes):
+    monkeypatch.setattr(vector, "CHAIN_PASSES", passes)
+    rng = random.Random(6)
+    sets = [[(float(rng.randrange(m)), float(rng.randrange(m))) for _ in range(rng.randrange(8, 60))] for m in (3, 5, 40) for _ in range(60)]
+    sets.append([(float(t), float(t * t)) for t in range(60)] + [(61.0, -1e6)])  # each corner goes by the one after it
+    of = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    x, y = np.array([p for s in sets for p in s]).T
+    at, hx, hy = vector._hulls(of, x, y)
+    for k, points in enumerate(sets):
+        ordered = sorted(set(points))
+        if len({p[0] for p in ordered}) < 2 or len({p[1] for p in ordered}) < 2:
+            continue
+        expected = vector._half(ordered)[:-1] + vector._half(ordered[::-1])[:-1]
+        assert list(zip(hx[at == k].tolist(), hy[at == k].tolist())) == expected
