@@ -698,6 +698,26 @@ def test_published_tiles_are_no_folders(spark, tmp_path):
     assert now.count() == 400 and now.where("value = -1").count() == rows.where("idom = 3 and layer = 'height'").count() > 0
 
 
+def test_areas_of_many_pairs_are_found_together(monkeypatch):
+    rng = random.Random(4)
+    asked = []
+    of_pairs = vector._areas
+    monkeypatch.setattr(vector, "_areas", lambda p, q: asked.append(len(p)) or of_pairs(p, q))
+    ring = lambda *c: np.array([v for a, b in zip(c, c[1:] + c[:1]) for v in (*a, *b)])
+    box = lambda x, y, w, h: ring((x, y), (x + w, y), (x + w, y + h), (x, y + h))
+    # a box but for its upper right quarter
+    bent = lambda x, y, w, h: ring((x, y), (x + w, y), (x + w, y + h / 2), (x + w / 2, y + h / 2), (x + w / 2, y + h), (x, y + h))
+    boxes = [[rng.randrange(1, 9) for _ in range(8)] for _ in range(3000)]
+    p, q = pd.Series([(bent if k % 2 else box)(*b[:4]) for k, b in enumerate(boxes)]), pd.Series([box(*b[4:]) for b in boxes])
+    found = vector._areas_of_all(p, q).T
+    assert sum(asked) == 3000 and len(asked) <= 4
+    shared = lambda x, y, w, h, u, v, a, b: max(min(x + w, u + a) - max(x, u), 0) * max(min(y + h, v + b) - max(y, v), 0)
+    for k, (x, y, w, h, *other) in enumerate(boxes):
+        cut = shared(x + w / 2, y + h / 2, w / 2, h / 2, *other) if k % 2 else 0
+        assert found[k] == pytest.approx([w * h * (0.75 if k % 2 else 1), other[2] * other[3], shared(x, y, w, h, *other) - cut])
+    assert vector._areas_of_all(p[:0], q[:0]).shape == (3, 0)
+
+
 @pytest.mark.parametrize("passes", [24, 1])
 def test_hulls_of_many_sets_are_found_together(monkeypatch, passes):
     monkeypatch.setattr(vector, "CHAIN_PASSES", passes)
