@@ -42,6 +42,10 @@ def archived(results: DataFrame) -> DataFrame:
 _LATEST = "id long, chunkid int, ts timestamp, id_status int"
 
 
+def _status_events(events: DataFrame) -> DataFrame:
+    return events.where("ts is not null").select(F.col("id").cast("long").alias("id"), F.col("chunkid").cast("int").alias("chunkid"), "ts", F.col("id_status").cast("int").alias("id_status"))
+
+
 def latest_status(events: DataFrame, lateness: str, idle_days: int = 30) -> DataFrame:
     """``id, chunkid, ts, id_status``: the latest status of each key that a batch has touched.
 
@@ -65,25 +69,36 @@ def latest_status(events: DataFrame, lateness: str, idle_days: int = 30) -> Data
         state.setTimeoutTimestamp(max(ends, state.getCurrentWatermarkMs() + 1))
         yield pd.DataFrame({"id": [key[0]], "chunkid": [key[1]], "ts": pd.to_datetime([best[0]], unit="us"), "id_status": [best[1]]})
 
-    rows = events.where("ts is not null").select(F.col("id").cast("long").alias("id"), F.col("chunkid").cast("int").alias("chunkid"), "ts", F.col("id_status").cast("int").alias("id_status"))
-    return rows.withWatermark("ts", lateness).groupBy("id", "chunkid").applyInPandasWithState(
+    return _status_events(events).withWatermark("ts", lateness).groupBy("id", "chunkid").applyInPandasWithState(
         update, _LATEST, "ts long, id_status int", "update", GroupStateTimeout.EventTimeTimeout
     )
 
 
-def latest_status_table(events: DataFrame, lateness: str, out: str, idle_days: int = 30) -> DataFrame:
-    """Run ``latest_status`` over all that is new; the latest status of every key so far.
+def latest_status_table(events: DataFrame, lateness: str, out: str) -> DataFrame:
+    """All that is new in ``events``, put into the table ``out``; the latest status of every key so far.
 
     A batch writes its own folder, once more if it is repeated, and only the keys that it
-    touched. ``compact`` puts the folders together.
+    touched. The table is all that is remembered of a key, so the stream has no state: beside
+    the batches stands the latest time seen up to each, and rows of a batch that are later than
+    ``lateness`` before that of the batches before it are left out. ``compact`` puts the
+    folders together.
     """
+    spark = events.sparkSession
 
     def write(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out}/batches/batch={number}")
-
-    stream = latest_status(events, lateness, idle_days).writeStream.outputMode("update").option("checkpointLocation", f"{out}-log")
+        seen = spark.read.schema("micros long").parquet(f"{out}/seen/batch={number - 1}").first().micros if number else None
+        rows = batch
+        if seen is not None:
+            rows = rows.where(F.col("ts") > F.timestamp_micros(F.lit(seen // 1000 * 1000)) - F.expr(f"interval {lateness}"))
+        latest = F.max(F.struct("ts", "id_status")).alias("s")
+        at = f"{out}/batches/batch={number}"
+        rows.groupBy("id", "chunkid").agg(latest).select("id", "chunkid", "s.ts", "s.id_status").write.mode("overwrite").parquet(at)
+        newest = spark.read.schema(_LATEST).parquet(at).agg(F.greatest(F.lit(seen).cast("long"), F.unix_micros(F.max("ts"))).alias("micros"))
+        newest.write.mode("overwrite").parquet(f"{out}/seen/batch={number}")
+
+    stream = _status_events(events).writeStream.option("checkpointLocation", f"{out}-log")
     stream.trigger(availableNow=True).foreachBatch(write).start().awaitTermination()
-    return status_table(events.sparkSession, out).select("id", "chunkid", "id_status")
+    return status_table(spark, out).select("id", "chunkid", "id_status")
 
 
 def status_table(spark: SparkSession, out: str) -> DataFrame:

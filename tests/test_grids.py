@@ -733,3 +733,16 @@ def test_hulls_of_many_sets_are_found_together(monkeypatch, passes):
             continue
         expected = vector._half(ordered)[:-1] + vector._half(ordered[::-1])[:-1]
         assert list(zip(hx[at == k].tolist(), hy[at == k].tolist())) == expected
+
+
+def test_the_status_table_needs_no_state_of_the_stream(spark):
+    from pathlib import Path
+
+    rows = _status_rows(spark, [(1, 0, 5, 2), (2, 0, 6, 5)])
+    source, out = sinks.scratch(rows, "status"), sinks.scratch(rows, "latest")
+    for more in (rows, _status_rows(spark, [(1, 0, 4, 6), (3, 0, 3, 6)]), _status_rows(spark, [(2, 0, 4, 6), (1, 0, 7, 6)])):
+        more.coalesce(1).write.mode("append").parquet(source)
+        found = streams.latest_status_table(streams.files(spark, source, rows.schema), "2 days", out)
+    assert {(r.id, r.id_status) for r in found.collect()} == {(1, 6), (2, 5)}  # the row of day 3 comes too late
+    log = Path(f"{out}-log".removeprefix("file://"))
+    assert (log / "commits").is_dir() and not (log / "state").exists()
