@@ -746,3 +746,13 @@ def test_the_status_table_needs_no_state_of_the_stream(spark):
     assert {(r.id, r.id_status) for r in found.collect()} == {(1, 6), (2, 5)}  # the row of day 3 comes too late
     log = Path(f"{out}-log".removeprefix("file://"))
     assert (log / "commits").is_dir() and not (log / "state").exists()
+
+
+def test_long_holes_settle_in_few_rounds(spark):
+    values = {(i, j): 10.0 * i + (i * 7 + j * 3) % 5 if j < 3 else None for i in range(12) for j in range(50)}
+    cells = spark.createDataFrame([(i, j, v) for (i, j), v in values.items()], "i int, j int, v double")
+    found = {(r.i, r.j): r.x for r in relax.relaxed(relax.hole_system(cells, "v"), 1e-9, 8, margin=1, max_rounds=45).collect()}
+    exact = _relaxed(values)
+    assert found.keys() == exact.keys() and max(abs(found[k] - v) for k, v in exact.items()) < 1e-5
+    weights = relax._mixture(np.array([[4.0, -4.0], [-4.0, 4.0]]))  # of two opposite vectors
+    assert weights == pytest.approx([0.5, 0.5]) and relax._mixture(np.array([[0.0]])).tolist() == [1.0]
