@@ -756,3 +756,17 @@ def test_long_holes_settle_in_few_rounds(spark):
     assert found.keys() == exact.keys() and max(abs(found[k] - v) for k, v in exact.items()) < 1e-5
     weights = relax._mixture(np.array([[4.0, -4.0], [-4.0, 4.0]]))  # of two opposite vectors
     assert weights == pytest.approx([0.5, 0.5]) and relax._mixture(np.array([[0.0]])).tolist() == [1.0]
+
+
+def test_nearest_deals_its_pairs_to_as_many_tasks_as_there_are_points(spark, monkeypatch):
+    monkeypatch.setattr(vector, "NEAREST_POINTS", 100)
+    cells = [(c, c % 40, c // 40) for c in range(1600)]
+    spots = [(i, j) for _, i, j in cells if (3 * i + 5 * j) % 11 == 0 and j < 20]
+    points = spark.createDataFrame(cells, "cell long, i int, j int").coalesce(1)
+    found = vector.nearest(points, spark.createDataFrame(spots, "i int, j int").coalesce(1), 4, 4)
+    assert found.rdd.getNumPartitions() >= 16  # one file of points was one task
+    near = {}
+    for cell, distance in found.collect():
+        near.setdefault(cell, []).append(distance)
+    for c, i, j in cells:
+        assert sorted(near[c]) == pytest.approx(sorted(math.hypot(i - a, j - b) for a, b in spots)[:4])
