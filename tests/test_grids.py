@@ -770,3 +770,16 @@ def test_nearest_deals_its_pairs_to_as_many_tasks_as_there_are_points(spark, mon
         near.setdefault(cell, []).append(distance)
     for c, i, j in cells:
         assert sorted(near[c]) == pytest.approx(sorted(math.hypot(i - a, j - b) for a, b in spots)[:4])
+
+
+def test_overrun_edges_are_found_without_sending_cells_around(spark):
+    rng = random.Random(8)
+    own = {(g, i, j) for g in (1, 2) for i in range(-3, 12) for j in range(9) if rng.random() < 0.75}
+    out = {(i, j) for i in range(-4, 13) for j in range(-1, 10) if rng.random() < 0.05}
+    cells = spark.createDataFrame([(g, 100 * j + i, i, j) for g, i, j in own], "g long, cell long, i int, j int")
+    edge = flow.overrun_edge(cells, "g", spark.createDataFrame(list(out), "i int, j int"))
+    beside = lambda i, j: [(i + 1, j), (i - 1, j), (i, j + 1), (i, j - 1)]
+    expected = {(g, i, j) for g, i, j in own if any((g, *b) not in own for b in beside(i, j)) and not any(b in out for b in beside(i, j))}
+    assert sorted((r.g, r.i, r.j) for r in edge.collect()) == sorted(expected)
+    plan = edge._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate") == 1  # of the cells masked out alone
