@@ -783,3 +783,15 @@ def test_overrun_edges_are_found_without_sending_cells_around(spark):
     assert sorted((r.g, r.i, r.j) for r in edge.collect()) == sorted(expected)
     plan = edge._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Generate") == 1  # of the cells masked out alone
+
+
+def test_avalanche_cells_are_grouped_in_tasks_of_bounded_size(spark, data, monkeypatch):
+    from firngrid.plans.fixtures import Fixtures
+    from firngrid.sources import shared
+
+    monkeypatch.setattr(shared, "TASK_ROWS", 500)
+    cells = Fixtures(spark, data).aval
+    rows = spark.read.parquet(f"{data}/lineitem.parquet").select("l_orderkey", "l_partkey")
+    assert cells.rdd.getNumPartitions() >= rows.count() // 500
+    assert cells.count() == rows.distinct().count()
+    assert max(cells.groupBy(F.spark_partition_id()).count().select("count").toPandas()["count"]) <= 1000
