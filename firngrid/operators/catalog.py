@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from firngrid.functions import grid as G
+from firngrid.sources.shared import staged, unsent
 
 STATUS = (
     "TODO", "INPROCESS", "NOINPUT", "INCOMPLETE", "FAILED", "OVERRUN", "FINISHED",
@@ -81,6 +82,74 @@ def box_join(left: DataFrame, right: DataFrame, size: float) -> DataFrame:
     return met.select(*[f"a.{c}" for c in left.columns], *[f"b.{c}" for c in own])
 
 
+_PIECES = "array<struct<level:int,at:bigint>>"
+
+
+def _filling(low: Column, high: Column) -> Column:
+    """The fewest pieces ``level, at`` that fill the numbers ``low`` to ``high``; a piece has 2**level of them."""
+
+    def of_level(level: Column) -> Column:
+        width = F.pow(F.lit(2.0), level)
+        first, last = F.ceil(low / width), F.floor((high + 1) / width) - 1
+        piece = lambda at: F.struct(level.alias("level"), at.alias("at"))
+        some = first <= last
+        return F.array(F.when(some & (F.pmod(first, F.lit(2)) == 1), piece(first)), F.when(some & (F.pmod(last, F.lit(2)) == 0), piece(last)))
+
+    levels = F.sequence(F.lit(0), F.ceil(F.log2(F.greatest(high - low + 1, F.lit(1)).cast("double"))).cast("int"))
+    return F.array_compact(F.flatten(F.transform(levels, of_level))).cast(_PIECES)
+
+
+def boxes_met(rows: DataFrame, key: list[str], boxes: DataFrame, size: float) -> DataFrame:
+    """The keys of ``rows`` whose box touches any of ``boxes``, once each; both have ``x0, y0, x1, y1``.
+
+    A box is cut into columns of bins. In a column the bins between its first and its last one are
+    filled by pieces of 1, 2, 4 ... bins, so a box as tall as the map has some tens of rows and not
+    one for each bin. A piece is filled from below to above, so only what ``boxes`` cover of its
+    width matters; the two bins at the ends are compared box by box. Columns run along the axis on
+    which the rows are longer.
+    """
+    at = lambda c: F.floor(F.col(c) / size)
+    wide, tall, most_wide, most_tall = rows.agg(*[f(at(b) - at(a)) for f in (F.sum, F.max) for a, b in (("x0", "x1"), ("y0", "y1"))]).first()
+    if wide is None:
+        return rows.select(*key).limit(0)
+    if wide > tall:
+        turned = [F.col(a).alias(b) for a, b in (("y0", "x0"), ("x0", "y0"), ("y1", "x1"), ("x1", "y1"))]
+        rows, boxes, most_tall = rows.select(*key, *turned), boxes.select(*turned), most_wide
+    column, low, high = F.explode(F.sequence(at("x0"), at("x1"))).alias("bx"), at("y0"), at("y1")
+    ends = F.transform(F.array_distinct(F.array(low, high)), lambda b: F.struct(F.lit(-1).alias("level"), b.alias("at"))).cast(_PIECES)
+    asked = rows.select(*key, "x0", "y0", "x1", "y1", F.inline(F.concat(ends, _filling(low + 1, high - 1)))).select("*", column)
+
+    places = boxes.select("x0", "y0", "x1", "y1", column).select("*", F.explode(F.sequence(low, high)).alias("at"))
+    whole = places.select(F.lit(-1).alias("level"), "at", "bx", "x0", "y0", "x1", "y1").distinct()
+    inside = F.greatest("x0", F.col("bx") * size), F.least("x1", (F.col("bx") + 1) * size)
+    spans = places.select("at", "bx", inside[0].alias("x0"), inside[1].alias("x1")).distinct()
+    levels = F.explode(F.array(*[F.lit(k) for k in range(int(most_tall + 1).bit_length() + 1)]))
+    spans = spans.select("at", "bx", "x0", "x1", levels.alias("level"))
+    spans = spans.select("level", F.floor(F.col("at") / F.pow(F.lit(2.0), "level")).alias("at"), "bx", "x0", "x1").distinct()
+    # spans of a piece that touch are one
+    before = Window.partitionBy("level", "at", "bx").orderBy("x0", "x1")
+    begins = F.coalesce(F.col("x0") > F.max("x1").over(before.rowsBetween(Window.unboundedPreceding, -1)), F.lit(True))
+    spans = spans.withColumn("_new", begins.cast("int")).withColumn("_run", F.sum("_new").over(before))
+    covered = spans.groupBy("level", "at", "bx", "_run").agg(F.min("x0").alias("x0"), F.max("x1").alias("x1")).drop("_run")
+    low_y, high_y = F.lit(float("-inf")).alias("y0"), F.lit(float("inf")).alias("y1")
+    tiles = staged(whole.unionByName(covered.select("level", "at", "bx", "x0", low_y, "x1", high_y)), "pieces")
+
+    # high levels have few pieces, of which each is asked for by very many rows; low ones have many
+    counts = sorted((r.level, r.n) for r in tiles.groupBy("level").agg(F.count("*").alias("n")).collect())
+    sent, first = 0, len(counts)
+    while first and sent + counts[first - 1][1] <= SMALL_SIDE:
+        first -= 1
+        sent += counts[first][1]
+    from_level = counts[first][0] if first < len(counts) else most_tall + 1
+    found = None
+    for side, part in ((F.broadcast, F.col("level") >= from_level), (unsent, F.col("level") < from_level)):
+        if side is unsent and first == 0:
+            continue
+        met = asked.where(part).alias("a").join(side(tiles.where(part)).alias("b"), ["level", "at", "bx"]).where(boxes_touch("a", "b")).select(*[f"a.{k}" for k in key])
+        found = met if found is None else found.unionByName(met)
+    return found.distinct()
+
+
 def near_segments(points: DataFrame, segments: DataFrame, radius: float, keys: list[str]) -> DataFrame:
     """``points (x, y)`` within ``radius`` of a segment ``ax, ay, bx, by``."""
     size = 2 * radius

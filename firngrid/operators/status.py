@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from firngrid.operators.catalog import STATUS, box_join
+from firngrid.operators.catalog import STATUS, boxes_met
 
 CODE = {name: k for k, name in enumerate(STATUS)}
 
@@ -169,7 +169,7 @@ def _meeting(rows: DataFrame, key: list[str], boxes: tuple | DataFrame, margin:
         x0, y0, x1, y1 = boxes
         return rows.where((F.col("x0") <= x1 + margin) & (F.col("x1") >= x0 - margin) & (F.col("y0") <= y1 + margin) & (F.col("y1") >= y0 - margin))
     grown = boxes.distinct().select((F.col("x0") - margin).alias("x0"), (F.col("y0") - margin).alias("y0"), (F.col("x1") + margin).alias("x1"), (F.col("y1") + margin).alias("y1"))
-    met = box_join(rows.select(*key, "x0", "y0", "x1", "y1"), grown, bin_size).select(*key).distinct()
+    met = boxes_met(rows.select(*key, "x0", "y0", "x1", "y1"), key, grown, bin_size)
     return rows.join(met, key, "left_semi")
 
 

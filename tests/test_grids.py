@@ -795,3 +795,25 @@ def test_avalanche_cells_are_grouped_in_tasks_of_bounded_size(spark, data, monke
     assert cells.rdd.getNumPartitions() >= rows.count() // 500
     assert cells.count() == rows.distinct().count()
     assert max(cells.groupBy(F.spark_partition_id()).count().select("count").toPandas()["count"]) <= 1000
+
+
+@pytest.mark.parametrize("turned", [False, True])
+@pytest.mark.parametrize("small_side", [200_000, 40])
+def test_tall_boxes_meet_others_by_few_pieces(spark, monkeypatch, turned, small_side):
+    monkeypatch.setattr(catalog, "SMALL_SIDE", small_side)
+    rng = random.Random(11)
+    box = lambda x, y, w, h: tuple(map(float, (x, y, x + w, y + h)))
+    rows = [box(rng.uniform(-30, 30), rng.uniform(-3000, 3000), rng.choice([0, 0.5, 7, 20]), rng.choice([0, 3, 15, 900, 4000])) for _ in range(250)]
+    boxes = [box(rng.uniform(-30, 30), rng.uniform(-3000, 3000), rng.choice([0, 1, 12]), rng.choice([0, 1, 25])) for _ in range(60)]
+    rows += [box(0, 0, 10, 100), box(0, 0, 0, 5000)]
+    boxes += [box(10, 100, 4, 1), box(-1, 5000, 1, 0)]  # they touch by a corner and by an end
+    turn = (lambda b: (b[1], b[0], b[3], b[2])) if turned else (lambda b: b)
+    names = "x0 double, y0 double, x1 double, y1 double"
+    left = spark.createDataFrame([(k, *turn(b)) for k, b in enumerate(rows)], f"id long, {names}")
+    right = spark.createDataFrame([turn(b) for b in boxes], names)
+    found = catalog.boxes_met(left, ["id"], right, 10.0)
+    touch = lambda a, b: a[0] <= b[2] and b[0] <= a[2] and a[1] <= b[3] and b[1] <= a[3]
+    assert sorted(r.id for r in found.collect()) == [k for k, a in enumerate(rows) if any(touch(a, b) for b in boxes)]
+    assert catalog.boxes_met(left.limit(0), ["id"], right, 10.0).count() == catalog.boxes_met(left, ["id"], right.limit(0), 10.0).count() == 0
+    pieces = spark.range(1).select(F.inline(catalog._filling(F.lit(-1234), F.lit(98_765)))).collect()
+    assert len(pieces) < 40 and sorted(n for p in pieces for n in range(p.at << p.level, (p.at + 1) << p.level)) == list(range(-1234, 98_766))
