@@ -380,10 +380,12 @@ def _left_lists(hot: DataFrame, sets: DataFrame, bands: Bands) -> tuple[DataFram
     lists = near.select("subset", "weight", F.explode("entries").alias("entry"))
     lengths = lists.groupBy("entry").agg(F.sum("weight").alias("length")).where("length > 1")
     own = F.sum(F.when(F.col("entry") == F.col("subset"), F.col("length")))
+    # most entries of a group of near copies stand alone and cost nothing, so these are not joined
+    several = lists.join(lengths, "entry").groupBy("subset").agg(F.sum("length").alias("near"), own.alias("own"))
     costs = (
-        lists.join(lengths, "entry", "left")
-        .groupBy("subset")
-        .agg(*[F.coalesce(v, F.lit(0)).alias(k) for k, v in (("near", F.sum("length")), ("own", own))])
+        near.select("subset")
+        .join(several, "subset", "left")
+        .select("subset", *[F.coalesce(k, F.lit(0)).alias(k) for k in ("near", "own")])
         .where(F.col("own") <= LONG)
     )
     # subsets in long lists are not asked for and not joined, so no subset of very many sets is

@@ -324,6 +324,28 @@ def test_neighbourhoods_written_once_equal_those_of_each_set(spark):
     assert all(df.isEmpty() for df in jaccard_join._left_lists(near, sets, bands))
 
 
+def test_entries_that_stand_alone_are_not_joined(spark, monkeypatch):
+    rng = random.Random(5)
+    bands = jaccard_join.bands_of(80)
+    passage = [rng.getrandbits(64) for _ in range(120)]
+    held = {k: np.unique(np.array(passage[12:] + [rng.getrandbits(64) for _ in range(12)], np.uint64)) for k in range(60)}
+    sets = spark.createDataFrame([(k, e.tobytes()) for k, e in held.items()], "c1 long, elements binary")
+    hot = [(k, s & 1, 10**6) for k, e in held.items() for s, _ in bands.schemes(len(e))]
+    staged, join, seen, made = jaccard_join.staged, type(sets).join, {}, []
+    monkeypatch.setattr(jaccard_join, "staged", lambda df, name: seen.setdefault(name, staged(df, name)))
+
+    def kept(self, other, on=None, how=None):
+        out = join(self, other, on, how)
+        if on == "entry":
+            made.append(out)
+        return out
+
+    monkeypatch.setattr(type(sets), "join", kept)
+    jaccard_join._left_lists(spark.createDataFrame(hot, "c1 long, parity long, stay long"), sets, bands)
+    entries = [e for r in seen["neighbourhoods"].collect() for e in r.entries]
+    assert made and all(df.count() < len(entries) / 2 for df in made)
+
+
 def _template_pages(n, own):
     rng = random.Random(9)
     template = " ".join(vocabulary(120, 5))
