@@ -817,3 +817,18 @@ def test_tall_boxes_meet_others_by_few_pieces(spark, monkeypatch, turned, small_
     assert catalog.boxes_met(left.limit(0), ["id"], right, 10.0).count() == catalog.boxes_met(left, ["id"], right.limit(0), 10.0).count() == 0
     pieces = spark.range(1).select(F.inline(catalog._filling(F.lit(-1234), F.lit(98_765)))).collect()
     assert len(pieces) < 40 and sorted(n for p in pieces for n in range(p.at << p.level, (p.at + 1) << p.level)) == list(range(-1234, 98_766))
+
+
+def test_neighbours_are_dealt_in_bounded_tasks(spark, monkeypatch):
+    from firngrid.sources import shared
+
+    monkeypatch.setattr(shared, "TASK_ROWS", 500)
+    n = 40
+    cells = spark.range(n * n).selectExpr("id as cell", f"cast(id % {n} as int) as i", f"cast(id div {n} as int) as j", "cast((id * 7919) % 101 as double) as z")
+    near = flow.neighbours(cells, ["z"])
+    sizes = near.rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect()
+    assert sum(sizes) == 4 * (n - 1) * (2 * n - 1) and len(sizes) > 20 and max(sizes) < 2000
+    z = {r.cell: r.z for r in cells.collect()}
+    around = {c: [d for d in z if d != c and abs(d % n - c % n) <= 1 and abs(d // n - c // n) <= 1] for c in (0, 39, 777, 1599)}
+    lowest = {r.cell: r.lowest for r in flow.lowest_neighbour(cells, "z").collect()}
+    assert len(lowest) == n * n and all(lowest[c] == min(d, key=lambda k: (z[k], k)) for c, d in around.items())
