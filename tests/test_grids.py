@@ -832,3 +832,12 @@ def test_neighbours_are_dealt_in_bounded_tasks(spark, monkeypatch):
     around = {c: [d for d in z if d != c and abs(d % n - c % n) <= 1 and abs(d // n - c // n) <= 1] for c in (0, 39, 777, 1599)}
     lowest = {r.cell: r.lowest for r in flow.lowest_neighbour(cells, "z").collect()}
     assert len(lowest) == n * n and all(lowest[c] == min(d, key=lambda k: (z[k], k)) for c, d in around.items())
+
+
+def test_joins_of_flow_edges_are_dealt_in_bounded_tasks(spark, toy, monkeypatch):
+    from firngrid.sources import shared
+
+    monkeypatch.setattr(shared, "TASK_ROWS", 50)
+    known = toy.where("z is not null")
+    plan = flow.flow_edges(known, "z", flow.edge_cells(known, "z"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count(f", {known.count() * 8 // 50 + 1}\n") == 6  # neighbours, their flats, and those of the others
