@@ -1,7 +1,13 @@
 """Holes of a grid filled by relaxation: every unknown cell becomes the mean of those around it.
 
-This is a sparse linear system over the unknown cells only. Each round solves every tile by
-itself, with a margin of the cells around it (conjugate gradients on its arrays), and takes the
+This is a sparse linear system over the unknown cells only. It is solved without rounds
+(``solved``): each tile is reduced to the equations of the cells on its rim, squares of tiles to
+those of the cells that are linked to other squares, and so on until nothing leaves a square; then values are handed
+down again, square by square. So the steps grow with the logarithm of a hole's length. What one
+task holds are the cells linked across the rims of a few squares, and it is known beforehand: where it is more than
+``AT_HAND``, in holes more than some 500 cells wide and as long, the system is relaxed in rounds (``relaxed``).
+
+Each round solves every tile by itself, with a margin of the cells around it (conjugate gradients on its arrays), and takes the
 tile's own cells from that; before the next round, a system with one unknown for each tile
 takes away the error that is smooth across tiles, so the rounds do not grow with the width of
 a hole. Then the last rounds are mixed so that what they changed adds up to as little as can
@@ -29,6 +35,16 @@ from firngrid.sources.shared import staged
 AT_ONCE = 65_536
 #: Rounds that are mixed at most.
 MIXED = 8
+#: Unknowns that one task eliminates from, by a matrix of their square.
+AT_HAND = 4_096
+#: Unknowns that are eliminated in a task, in their tiles.
+TASK_CELLS = 8_192
+#: How many times as wide as the last ones the next squares are, the widest that fit.
+FACTORS = (8, 4, 2)
+#: The equations ``m x = b`` of the cells of a square that are linked to other squares. A cell is
+#: ``j * 2**32 + i``; there is a link of weight ``w`` from each of ``own`` to the one of ``other``. A row of the
+#: whole system sums up to ``known``, the weight of its links to known cells, which no subtraction blurs.
+SQUARE = "si int, sj int, n int, cells array<long>, m binary, b array<double>, known array<double>, own array<long>, other array<long>, w array<double>"
 #: ``e`` and ``s`` are the weights of the links to the cells east (i + 1) and south (j + 1).
 SYSTEM = "i int, j int, e double, s double, d double, b double"
 
@@ -209,12 +225,164 @@ def relaxed(system: DataFrame, tolerance: float, size: int = 64, margin: int = 8
     raise RuntimeError(f"cells have not settled in {max_rounds} rounds")
 
 
+def _tile_equations(key: tuple, frame: pd.DataFrame, size: int) -> dict[str, np.ndarray]:
+    """The equations of a tile's own cells, and its links to other tiles, from its cells and those beside it."""
+    i, j = frame["i"].to_numpy(np.int64), frame["j"].to_numpy(np.int64)
+    ii, jj = i - key[0] * size, j - key[1] * size
+    inside = (ii >= 0) & (ii < size) & (jj >= 0) & (jj < size)
+    number = np.full((size + 2, size + 2), -1)
+    number[jj + 1, ii + 1] = np.where(inside, np.cumsum(inside) - 1, -1)
+    code = j * 2**32 + i
+    n, d = int(inside.sum()), frame["d"].to_numpy()[inside]
+    m = np.zeros((n, n))
+    own, other, w = [], [], []
+    for name, di, dj in (("e", 1, 0), ("s", 0, 1)):
+        weight = frame[name].to_numpy()
+        near = (ii + di <= size) & (jj + dj <= size)
+        a, b = number[jj + 1, ii + 1], np.where(near, number[np.minimum(jj + dj, size) + 1, np.minimum(ii + di, size) + 1], -1)
+        both = (weight != 0) & (a >= 0) & (b >= 0)
+        m[a[both], b[both]] -= weight[both]
+        m[b[both], a[both]] -= weight[both]
+        to = code + dj * 2**32 + di
+        for one, start, end in (((a >= 0) & (b < 0), code, to), ((a < 0) & (b >= 0), to, code)):
+            at = one & (weight != 0)
+            own.append(start[at])
+            other.append(end[at])
+            w.append(weight[at])
+    links = {"own": np.concatenate(own), "other": np.concatenate(other), "w": np.concatenate(w)}
+    known = d + m.sum(axis=1) - _leaving(code[inside], links)
+    np.fill_diagonal(m, d)
+    return {"cells": code[inside], "m": m, "b": frame["b"].to_numpy()[inside], "known": known, **links}
+
+
+def _leaving(cells: np.ndarray, links: dict[str, np.ndarray]) -> np.ndarray:
+    """The weight of the links from each of the ``cells`` to other squares."""
+    return np.bincount(_places(cells, links["own"]), links["w"], len(cells))
+
+
+def _square_equations(frame: pd.DataFrame) -> dict[str, np.ndarray]:
+    """The equations of the cells of some squares, put together, and the links that leave them all."""
+    cells, b, known, own, other, w = (np.concatenate([np.asarray(x) for x in frame[c]]) for c in ("cells", "b", "known", "own", "other", "w"))
+    m = np.zeros((len(cells), len(cells)))
+    first = 0
+    for n, block in zip(frame["n"], frame["m"], strict=True):
+        m[first : first + n, first : first + n] = np.frombuffer(block).reshape(n, n)
+        first += n
+    inner = np.isin(other, cells)
+    # a link between two of the squares came from both
+    m[_places(cells, own[inner]), _places(cells, other[inner])] -= w[inner]
+    return {"cells": cells, "m": m, "b": b, "known": known, "own": own[~inner], "other": other[~inner], "w": w[~inner]}
+
+
+def _places(cells: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Where the ``wanted`` stand in ``cells``, which has them all."""
+    order = np.argsort(cells)
+    return order[np.searchsorted(cells, wanted, sorter=order)]
+
+
+def _parted(equations: dict[str, np.ndarray]) -> tuple[np.ndarray, ...]:
+    """Which cells are linked to other squares, and the matrix of the others and its part for the linked ones."""
+    kept = np.isin(equations["cells"], equations["own"])
+    inner = equations["m"][~kept]
+    return kept, inner[:, ~kept], inner[:, kept]
+
+
+def _reduced(key: tuple, equations: dict[str, np.ndarray]) -> pd.DataFrame:
+    """The equations of the cells that are linked to other squares, a ``SQUARE`` or nothing."""
+    kept, own, across = _parted(equations)
+    columns = ["si", "sj", "n", "cells", "m", "b", "known", "own", "other", "w"]
+    if not kept.any():
+        return pd.DataFrame(columns=columns)
+    sides = np.column_stack([equations["b"], equations["known"]])
+    x = np.linalg.solve(own, np.column_stack([across, sides[~kept]]))
+    m = equations["m"][np.ix_(kept, kept)] - across.T @ x[:, :-2]
+    b, known = (sides[kept] - across.T @ x[:, -2:]).T
+    np.fill_diagonal(m, 0.0)
+    cells = equations["cells"][kept]
+    np.fill_diagonal(m, known - m.sum(axis=1) + _leaving(cells, equations))
+    values = (*key, len(b), cells, m.tobytes(), b, known, *[equations[c] for c in ("own", "other", "w")])
+    return pd.DataFrame({c: [v] for c, v in zip(columns, values, strict=True)})
+
+
+def _handed_down(equations: dict[str, np.ndarray], known: pd.DataFrame) -> np.ndarray:
+    """The values of all cells, by those of the cells that are linked to other squares."""
+    kept, own, across = _parted(equations)
+    x = np.zeros(len(kept))
+    if kept.any():
+        x[kept] = known["x"].to_numpy()[_places(known["cell"].to_numpy(), equations["cells"][kept])]
+    x[~kept] = np.linalg.solve(own, equations["b"][~kept] - across @ x[kept])
+    return x
+
+
+def solved(system: DataFrame, size: int = 32) -> DataFrame | None:
+    """``i, j, x``: the solution of a ``SYSTEM``, by elimination in tiles and in squares of tiles.
+
+    None where a task would have to hold more than ``AT_HAND`` unknowns in every larger square.
+    """
+    def of_tile(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
+        return _reduced(key, _tile_equations(key, frame, size))
+
+    def of_square(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
+        return _reduced(key, _square_equations(frame))
+
+    def down(key: tuple, frame: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
+        if not len(frame):
+            return pd.DataFrame(columns=["cell", "x"])
+        equations = _square_equations(frame)
+        return pd.DataFrame({"cell": equations["cells"], "x": _handed_down(equations, known)})
+
+    def down_to_tile(key: tuple, frame: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
+        if not len(frame):
+            return pd.DataFrame(columns=["i", "j", "x"])
+        equations = _tile_equations(key, frame, size)
+        j, i = np.divmod(equations["cells"] + 2**31, 2**32)
+        return pd.DataFrame({"i": i - 2**31, "j": j, "x": _handed_down(equations, known)})
+
+    *corner, cells = system.agg(*[F.floor(F.min(c) / size).cast("int") for c in ("i", "j")], F.count("*")).first()
+    if not cells:
+        return system.select("i", "j", F.col("b").alias("x"))
+    # the work grows with the cells of a tile and not with their bytes, by which the planner would deal them
+    tiles = dealt_to_tiles(system, size, 1).repartition(cells // TASK_CELLS + 1, "ti", "tj").groupBy("ti", "tj")
+    square = lambda c, o, by: F.floor((F.col(c) - o) / by).cast("int")
+    squares = staged(tiles.applyInPandas(of_tile, SQUARE).select(square("si", corner[0], 1).alias("si"), square("sj", corner[1], 1).alias("sj"), *[c.split()[0] for c in SQUARE.split(", ")[2:]]), "squares")
+    stages: list[tuple[DataFrame, int]] = []  # squares, and how many tiles wide the next ones are
+    wide = 1
+    while True:
+        sizes = [squares.groupBy(square("si", 0, f), square("sj", 0, f)).agg(F.sum("n").alias("n")).agg(F.max("n").alias("n"), F.lit(f).alias("f")) for f in FACTORS]
+        most = {r.f: r.n for r in reduce(DataFrame.unionByName, sizes).collect()}
+        if most[FACTORS[0]] is None:
+            break
+        factor = next((f for f in FACTORS if most[f] <= AT_HAND), None)
+        if factor is None:
+            return None
+        wide *= factor
+        dealt = squares.withColumns({"ti": square("si", 0, factor), "tj": square("sj", 0, factor)})
+        stages.append((dealt, wide))
+        squares = staged(dealt.groupBy("ti", "tj").applyInPandas(of_square, SQUARE), "squares")
+    spark = system.sparkSession
+    known = spark.createDataFrame([], "cell long, x double")
+    axes = {"i": F.expr("cell + 2147483648L - floor((cell + 2147483648L) / 4294967296L) * 4294967296L - 2147483648L")}
+    axes["j"] = F.expr("floor((cell + 2147483648L) / 4294967296L)")
+
+    def by_square(wide: int, origin: tuple[int, int]) -> DataFrame:
+        at = known.withColumns(axes)
+        return at.select("cell", "x", *[square(c, o * size, wide * size).alias(t) for c, o, t in (("i", origin[0], "ti"), ("j", origin[1], "tj"))])
+
+    for dealt, wide in reversed(stages):
+        found = dealt.groupBy("ti", "tj").cogroup(by_square(wide, corner).groupBy("ti", "tj")).applyInPandas(down, "cell long, x double")
+        known = staged(found, "values")
+    return tiles.cogroup(by_square(1, (0, 0)).groupBy("ti", "tj")).applyInPandas(down_to_tile, "i int, j int, x double")
+
+
 def filled(cells: DataFrame, band: str, tolerance: float = 0.1, size: int = 64) -> DataFrame:
     """``i, j, band``: unknown cells by relaxation until each is within ``tolerance`` of the mean around it.
 
     Known cells stay. The mean is over those of the four neighbours that are there, so a border
     has no slope across it. A hole without a known neighbour stays unknown.
     """
-    found = relaxed(hole_system(cells, band), tolerance, size)
+    system = staged(hole_system(cells, band), "system")
+    found = solved(system)
+    if found is None:
+        found = relaxed(system, tolerance, size)
     v = F.col(band)
     return cells.select("i", "j", F.when(~F.isnan(v), v).alias(band)).join(found, ["i", "j"], "left").select("i", "j", F.coalesce(band, "x").alias(band))

@@ -841,3 +841,30 @@ def test_joins_of_flow_edges_are_dealt_in_bounded_tasks(spark, toy, monkeypatch)
     known = toy.where("z is not null")
     plan = flow.flow_edges(known, "z", flow.edge_cells(known, "z"))._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count(f", {known.count() * 8 // 50 + 1}\n") == 6  # neighbours, their flats, and those of the others
+
+
+def test_long_holes_are_solved_without_rounds(spark, monkeypatch):
+    rng = random.Random(5)
+    values = {(i, j): 5e5 + 1e4 * rng.random() if j < -20 or rng.random() < 0.02 else None for i in range(-3, 9) for j in range(-25, 30) if (i, j) != (2, 10)}
+    cells = spark.createDataFrame([(i, j, v) for (i, j), v in values.items()], "i int, j int, v double")
+    exact = _relaxed(values)
+    system = relax.hole_system(cells, "v").localCheckpoint()
+    for hand, rounds in ((128, False), (3, True)):
+        monkeypatch.setattr(relax, "AT_HAND", hand)
+        found = relax.solved(system, 4)
+        assert (found is None) == rounds
+        if not rounds:
+            found = {(r.i, r.j): r.x for r in found.collect()}
+            assert found.keys() == exact.keys() and max(abs(found[k] - v) for k, v in exact.items()) < 1e-7
+    monkeypatch.setattr(relax, "AT_HAND", 4_096)
+    monkeypatch.setattr(relax, "relaxed", None)  # no rounds
+    found = {(r.i, r.j): r.v for r in relax.filled(cells, "v", 1e-9).collect()}
+    assert found.keys() == values.keys() and max(abs(found[k] - v) for k, v in exact.items()) < 1e-7
+
+
+def test_holes_too_wide_for_a_task_are_relaxed(spark, monkeypatch):
+    values = {(i, j): float(i * j) if i in (0, 15) or j == 0 else None for i in range(16) for j in range(20)}
+    cells = spark.createDataFrame([(i, j, v) for (i, j), v in values.items()], "i int, j int, v double")
+    monkeypatch.setattr(relax, "AT_HAND", 20)
+    found = {(r.i, r.j): r.v for r in relax.filled(cells, "v", 1e-6, 8).collect()}
+    assert max(abs(found[k] - v) for k, v in _relaxed(values).items()) < 1e-3
