@@ -868,3 +868,32 @@ def test_holes_too_wide_for_a_task_are_relaxed(spark, monkeypatch):
     monkeypatch.setattr(relax, "AT_HAND", 20)
     found = {(r.i, r.j): r.v for r in relax.filled(cells, "v", 1e-6, 8).collect()}
     assert max(abs(found[k] - v) for k, v in _relaxed(values).items()) < 1e-3
+
+
+@pytest.mark.parametrize("small_side", [200_000, 40, 0])
+def test_boxes_meet_once_in_blocks(spark, monkeypatch, small_side):
+    monkeypatch.setattr(catalog, "SMALL_SIDE", small_side)
+    rng = random.Random(2)
+
+    def boxes(n):
+        spots = [(rng.randrange(-300, 300) / 2.0, rng.randrange(-90, 90) / 2.0) for _ in range(n)]
+        return [(k, x, y, x + rng.choice([0.0, 1.0, 10.0, 35.5, 250.0]), y + rng.choice([0.0, 0.5, 10.0, 120.0])) for k, (x, y) in enumerate(spots)] + [(n, None, 0.0, 1.0, 1.0), (n + 1, 0.0, 0.0, 1.0, None)]
+
+    few, many = boxes(30), boxes(60)
+    frame = lambda rows, key: spark.createDataFrame(rows, f"{key} long, x0 double, y0 double, x1 double, y1 double")
+    known = lambda rows: [r for r in rows if None not in r]
+    touch = lambda a, b: a[1] <= b[3] and b[1] <= a[3] and a[2] <= b[4] and b[2] <= a[4]
+    for a, b in ((few, many), (many, few)):
+        expected = sorted((p[0], q[0]) for p in known(a) for q in known(b) if touch(p, q))
+        met = catalog.box_join(frame(a, "k"), frame(b, "m"), 10.0)
+        assert met.columns == ["k", "x0", "y0", "x1", "y1", "m"]
+        assert sorted((r.k, r.m) for r in met.collect()) == expected
+    assert catalog.box_join(frame(few, "k"), frame(few[-2:], "m"), 10.0).count() == 0
+    assert catalog.box_join(frame(few, "k"), frame(few, "m").limit(0), 10.0).count() == 0
+
+
+def test_boxes_much_wider_than_bins_meet(spark):
+    wide = spark.createDataFrame([(1, -1e12, -1e12, 1e12, 1e12), (2, 0.0, 0.0, 5.0, 5.0)], "k long, x0 double, y0 double, x1 double, y1 double")
+    spots = spark.createDataFrame([(1, 4.0, 4.0, 6.0, 6.0), (2, 9e11, 0.0, 9e11, 0.0), (3, -2e12, 0.0, 2e12, 1.0)], "m long, x0 double, y0 double, x1 double, y1 double")
+    found = {(r.k, r.m) for r in catalog.box_join(wide, spots, 10.0).collect()}
+    assert found == {(1, 1), (1, 2), (1, 3), (2, 1), (2, 3)}
