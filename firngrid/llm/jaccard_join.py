@@ -62,6 +62,8 @@ PAIRED = 8
 HUB_TURNS = 3
 #: Pairs of one hub that a task compares at most.
 HUB_BLOCK = 2048
+#: Subsets whose neighbourhoods a task writes.
+TASK_SUBSETS = 8_192
 #: Elements that are more than one in so many occurrences are common; there are fewer of them than this.
 COMMON = 65_536
 _SKETCH = 512
@@ -333,6 +335,15 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return map_batches(both, compare, "a long, b long")
 
 
+def _counted(rows: dict[str, list]) -> dict[str, np.ndarray]:
+    """``subset, weight, c1``: how many sets of a batch hold a subset, and the least of them."""
+    subsets = np.concatenate(rows["subsets"]).astype(np.int64)
+    c1 = np.repeat(np.array(rows["c1"], np.int64), [len(x) for x in rows["subsets"]])
+    order = np.lexsort((c1, subsets))
+    found, first, weight = np.unique(subsets[order], return_index=True, return_counts=True)
+    return {"subset": found, "weight": weight, "c1": c1[order][first]}
+
+
 def _left_lists(hot: DataFrame, sets: DataFrame, bands: Bands) -> tuple[DataFrame, DataFrame]:
     """``(met, left)`` of the sets ``hot (c1, parity, stay)`` that stand in long lists.
 
@@ -340,6 +351,8 @@ def _left_lists(hot: DataFrame, sets: DataFrame, bands: Bands) -> tuple[DataFram
     lists of subsets and neighbourhoods that they ask, with all of ``hot`` that are in them.
     Sets of a long list have most subsets alike, so a subset is known by its entry, and its
     neighbourhood is indexed once, with the number of sets that hold it, and not by each set.
+    Sets of a batch count their subsets together, and a set has a row only for subsets in short
+    lists, since no others are asked for.
     """
 
     def cut(rows):
@@ -357,8 +370,25 @@ def _left_lists(hot: DataFrame, sets: DataFrame, bands: Bands) -> tuple[DataFram
     elements = sets.select("c1", "elements")
     schema = "c1 long, parity long, units long, m long, stay long, subsets array<long>"
     held = staged(map_batches(hot.join(elements, "c1"), cut, schema), "subsets")
-    each = held.select("c1", "parity", F.posexplode("subsets").alias("segment", "subset"))
-    wanted = each.groupBy("subset").agg(F.count("*").alias("weight"), F.min("c1").alias("c1"), F.first("parity").alias("parity"))
+    counted = map_batches(held.select("c1", "subsets"), _counted, "subset long, weight long, c1 long")
+    # the last bit of an entry is the parity of its scheme
+    parity = F.col("subset").bitwiseAND(F.lit(1)).cast("long").alias("parity")
+    wanted = staged(counted.groupBy("subset").agg(F.sum("weight").alias("weight"), F.min("c1").alias("c1")).select("*", parity), "wanted")
+    heavy = wanted.where(F.col("weight") > LONG).select("subset")
+    known = np.zeros(0, np.int64)
+    if heavy.count() <= BROADCAST_ROWS:
+        known = np.sort(np.array([row.subset for row in heavy.collect()], np.int64))
+
+    def lighter(rows):
+        subsets = np.concatenate(rows["subsets"]).astype(np.int64)
+        lengths = [len(x) for x in rows["subsets"]]
+        light = np.flatnonzero(~np.isin(subsets, known))
+        at = np.repeat(np.arange(len(lengths)), lengths)[light]
+        segments = np.concatenate([np.arange(n) for n in lengths])[light]
+        c1, parities = (np.array(rows[k], np.int64)[at] for k in ("c1", "parity"))
+        return {"c1": c1, "parity": parities, "segment": segments, "subset": subsets[light]}
+
+    each = staged(map_batches(held.select("c1", "parity", "subsets"), lighter, "c1 long, parity long, segment long, subset long"), "light")
     spelt = wanted.groupBy("c1", "parity").agg(F.collect_list("subset").alias("subset"), F.collect_list("weight").alias("weight"))
 
     def spell(rows):
@@ -377,7 +407,9 @@ def _left_lists(hot: DataFrame, sets: DataFrame, bands: Bands) -> tuple[DataFram
         return out
 
     near = staged(map_batches(spelt.join(elements, "c1"), spell, "subset long, weight long, entries array<long>"), "neighbourhoods")
-    lists = near.select("subset", "weight", F.explode("entries").alias("entry"))
+    # small files are read together, so without this few tasks would have the rows of all neighbourhoods
+    spread = near.repartition(near.count() // TASK_SUBSETS + 1)
+    lists = staged(spread.select("subset", "weight", F.explode("entries").alias("entry")), "near-lists")
     lengths = lists.groupBy("entry").agg(F.sum("weight").alias("length")).where("length > 1")
     own = F.sum(F.when(F.col("entry") == F.col("subset"), F.col("length")))
     # most entries of a group of near copies stand alone and cost nothing, so these are not joined

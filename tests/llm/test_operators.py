@@ -346,6 +346,24 @@ def test_entries_that_stand_alone_are_not_joined(spark, monkeypatch):
     assert made and all(df.count() < len(entries) / 2 for df in made)
 
 
+def test_subsets_of_many_sets_have_no_row_for_each_set(spark, monkeypatch):
+    rng = random.Random(6)
+    bands = jaccard_join.bands_of(80)
+    passage = [rng.getrandbits(64) for _ in range(120)]
+    held = {k: np.unique(np.array([*rng.sample(passage, 118), rng.getrandbits(64)], np.uint64)) for k in range(80)}
+    sets = spark.createDataFrame([(k, e.tobytes()) for k, e in held.items()], "c1 long, elements binary")
+    hot = [(k, s & 1, 10**6) for k, e in held.items() for s, _ in bands.schemes(len(e))]
+    subsets = [e for k, e in held.items() for s, _ in bands.schemes(len(e)) for e in jaccard_join.subset_entries(e, s, bands.segments(s)).tolist()]
+    light = [e for e, n in Counter(subsets).items() for _ in range(n) if n <= jaccard_join.LONG]
+    staged, select, seen, exploded = jaccard_join.staged, type(sets).select, {}, []
+    monkeypatch.setattr(jaccard_join, "staged", lambda df, name: seen.setdefault(name, staged(df, name)))
+    monkeypatch.setattr(type(sets), "select", lambda self, *c: exploded.extend(str(x) for x in c if "posexplode" in str(x)) or select(self, *c))
+    jaccard_join._left_lists(spark.createDataFrame(hot, "c1 long, parity long, stay long"), sets, bands)
+    assert not exploded and 0 < len(light) < len(subsets) / 2
+    assert sorted(r.subset % 2**64 for r in seen["light"].collect()) == sorted(light)
+    assert {r.subset % 2**64: r.weight for r in seen["wanted"].collect()} == Counter(subsets)
+
+
 def _template_pages(n, own):
     rng = random.Random(9)
     template = " ".join(vocabulary(120, 5))
